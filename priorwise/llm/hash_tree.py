@@ -22,40 +22,57 @@ RACK_SHARDS = 4
 REGION_RACKS = 5
 
 
-def _least_of(draws: Column, group: int, width: int) -> Column:
-    """The least draw of each run of ``group`` entries; ``width`` entries in all."""
-    return F.array(*[F.array_min(F.slice(draws, k + 1, min(group, width - k))) for k in range(0, width, group)])
+def leaf_draws(key: Column, weights: Sequence[float]) -> Column:
+    """The draw of every leaf for ``key``; a null key counts as one value."""
+    if not weights or min(weights) <= 0:
+        raise ValueError("each shard needs a positive weight")
+    text = F.coalesce(key.cast("string"), F.lit("null"))
+    by_leaf = F.array(*[F.lit(float(w)) for w in weights])
+
+    def draw(leaf: Column) -> Column:
+        # 53 bits of a hash, moved off zero
+        u = (F.shiftrightunsigned(F.xxhash64(text, leaf), 11).cast("double") + 0.5) / float(2**53)
+        return -F.log(u) / F.get(by_leaf, leaf)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(len(weights) - 1)), draw)
 
 
-def tree_shard(key: Column, shards: int, weights: Sequence[float] | None = None, rack: int = RACK_SHARDS, racks: int = REGION_RACKS) -> Column:
-    """The shard, 0 to ``shards - 1``, of ``key`` (a null key counts as one value).
+def descend(draws: Column, shards: int, rack: int = RACK_SHARDS, racks: int = REGION_RACKS) -> Column:
+    """The shard reached by the least draw at each level of the tree.
 
     Regions hold ``racks`` racks of ``rack`` shards, filled in order.
     """
-    weights = list(weights) if weights is not None else [1.0] * shards
-    if len(weights) != shards or min(weights) <= 0:
-        raise ValueError("each shard needs a positive weight")
-    text = F.coalesce(key.cast("string"), F.lit("null"))
 
-    def draw(leaf: int) -> Column:
-        # 53 bits of a hash, moved off zero
-        u = (F.shiftrightunsigned(F.xxhash64(text, F.lit(leaf)), 11).cast("double") + 0.5) / float(2**53)
-        return -F.log(u) / F.lit(float(weights[leaf]))
+    def least(values: Column, group: int, count: int) -> Column:
+        """The least draw of each run of ``group`` entries, ``count`` runs."""
+        return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda g: F.array_min(F.slice(values, g * group + 1, F.lit(group))))
+
+    def first_least(values: Column) -> Column:
+        return (F.array_position(values, F.array_min(values)) - 1).cast("int")
 
-    draws = F.array(*[draw(i) for i in range(shards)])
-    rack_draws = _least_of(draws, rack, shards)
     n_racks = -(-shards // rack)
-    region_draws = _least_of(rack_draws, racks, n_racks)
-    levels = F.struct(draws.alias("leaf"), rack_draws.alias("rack"), region_draws.alias("region"))
+    n_regions = -(-n_racks // racks)
+
+    def bound(value: Column, use) -> Column:
+        """``use`` of a value that is worked out once."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def in_tree(leaves: Column) -> Column:
+        def below_racks(by_rack: Column) -> Column:
+            def in_region(region: Column) -> Column:
+                rack_no = region * racks + first_least(F.slice(by_rack, region * racks + 1, F.lit(racks)))
+                return bound(rack_no, lambda r: r * rack + first_least(F.slice(leaves, r * rack + 1, F.lit(rack))))
+
+            return bound(first_least(least(by_rack, racks, n_regions)), in_region)
 
-    def descend(t: Column) -> Column:
-        region = F.array_position(t["region"], F.array_min(t["region"])) - 1
-        own_racks = F.slice(t["rack"], (region * racks + 1).cast("int"), racks)
-        rack_no = region * racks + F.array_position(own_racks, F.array_min(own_racks)) - 1
-        own = F.slice(t["leaf"], (rack_no * rack + 1).cast("int"), rack)
-        return (rack_no * rack + F.array_position(own, F.array_min(own)) - 1).cast("int")
+        return bound(least(leaves, rack, n_racks), below_racks)
 
-    return F.element_at(F.transform(F.array(levels), descend), 1)
+    return bound(draws, in_tree)
+
+
+def tree_shard(key: Column, shards: int, weights: Sequence[float] | None = None) -> Column:
+    """The shard, 0 to ``shards - 1``, of ``key``."""
+    return descend(leaf_draws(key, list(weights) if weights is not None else [1.0] * shards), shards)
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, weights: Sequence[float] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,10 +87,16 @@ def shard_documents(docs: DataFrame, shards: int = 40, weights: Sequence[float]
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    grown = None if weights is None else [*weights, 1.0]
+    weights = list(weights) if weights is not None else [1.0] * shards
+    if len(weights) != shards:
+        raise ValueError("each shard needs a weight")
     base = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    rows = base.withColumns({"shard": tree_shard(F.col("doc_id"), shards, weights), "grown_shard": tree_shard(F.col("doc_id"), shards + 1, grown)})
-    rows = materialize(rows, "hash-tree")
+    # the draws of the grown tree hold those of the present one
+    trees = F.transform(
+        F.array(leaf_draws(F.col("doc_id"), [*weights, 1.0])),
+        lambda d: F.struct(descend(F.slice(d, 1, shards), shards).alias("shard"), descend(d, shards + 1).alias("grown_shard")),
+    )
+    rows = materialize(base.withColumn("tree", F.get(trees, F.lit(0))).select("*", "tree.*").drop("tree"), "hash-tree")
     # Slots: cells of a shard by hash, numbered within, offset by the cells before.
     # A cell holds about 1/64 of a partition's rows however large a shard is.
     cells = shuffle_partitions(spark) * 64
