@@ -27,10 +27,24 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).drop("copies", "source")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .length_histogram import length_histogram
+
+    return length_histogram(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_hash_tree": op2_hash_tree,
     "op4_mixing": op4_mixing,
     "op7_content_sort": op7_content_sort,
+    "op9_packing": op9_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLES = {

@@ -2,14 +2,14 @@
 
 The vocabulary drops white space and encodes what stands between it piece by
 piece, so a text's ids are those of its words in order.  A word is looked up in
-a bounded memo; on a miss its pieces are, and what is new goes to the tokenizer
-itself in one batch.  Ids are kept as little-endian unsigned 32-bit bytes.
+a bounded memo; on a miss its pieces are, and a new piece goes to the
+tokenizer's model.  Ids are kept as little-endian unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from itertools import chain
+from array import array
 
 import regex
 from tokenizers import Tokenizer
@@ -25,67 +25,73 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as itself where it prints, else as a letter from 256 on."""
+    plain = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174}
+    others = [b for b in range(256) if b not in plain]
+    return {b: 256 + k for k, b in enumerate(others)}
+
+
+class _Pieces(dict):
+    """Ids of pieces as the vocabulary's own rule cuts them, in lower case."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        super().__init__()
+        self.model = tokenizer.model
+        self.letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        spelt = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = self[piece] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+        return ids
+
+
+class _Words(dict):
+    """Ids of words, put together from their pieces."""
+
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        super().__init__()
+        self.tokenizer = tokenizer
+        self.pieces = _Pieces(tokenizer)
+        # fixed values: the vocabulary's own rule for cutting words into pieces
+        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+
+    def __missing__(self, word: str) -> bytes:
+        if "<|" in word or max(word, default="") >= "ɐ":
+            # special strings, and letters whose case or form needs the tokenizer's own rules
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        elif word.isascii():
+            low = word.lower()
+            ids = self.pieces[low] if low.isalpha() else b"".join([self.pieces[p] for p in self.cut(low)])
+        else:
+            ids = b"".join([self.pieces[p] for p in self.cut(unicodedata.normalize("NFC", word).lower())])
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
-    """ids(texts) for vocabularies of the kind "BPE with word ends".
+    """ids(texts) for byte-level vocabularies of the kind "BPE with word ends".
 
     ``most`` bounds the words and, apart, the pieces that are remembered; a
     full memo starts anew.
     """
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        # fixed values: the vocabulary's own rule for cutting words into pieces
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-
-    def _encode(self, strings: list[str]) -> list[bytes]:
-        from array import array
-
-        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def _learn(self, new: list[str]) -> None:
-        """Remember the ids of new words, through their pieces where those are plain."""
-        if len(self.words) + len(new) > self.most:
-            self.words.clear()
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
-        cut: dict[str, list[str]] = {}
-        whole: list[str] = []
-        unknown: set[str] = set()
-        for word in new:
-            if "<|" in word or max(word, default="") >= "ɐ":
-                whole.append(word)  # special strings, and letters whose case or form needs the tokenizer's own rules
-                continue
-            cut[word] = pieces = self.cut(unicodedata.normalize("NFC", word).lower())
-            unknown.update(p for p in pieces if p not in self.pieces)
-        listed = list(unknown)
-        encoded = self._encode(whole + listed)
-        self.words.update(zip(whole, encoded, strict=False))
-        self.pieces.update(zip(listed, encoded[len(whole) :], strict=True))
-        for word, pieces in cut.items():
-            self.words[word] = b"".join([self.pieces[p] for p in pieces])
+        self.words = _Words(self.tokenizer)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, 4 bytes each; a null text has none."""
-        split = [self._words(t) for t in texts]
-        get = self.words.get
-        found = [list(map(get, ws)) for ws in split]
-        new = {w for ws, fs in zip(split, found, strict=True) if None in fs for w, f in zip(ws, fs, strict=True) if f is None}
-        if new:
-            self._learn(list(new))
-            # learning may have emptied the memo, so what is missing now is learnt again
-            again = [i for i, fs in enumerate(found) if None in fs]
-            if gone := {w for w in chain.from_iterable(split[i] for i in again) if w not in self.words}:
-                self._learn(list(gone))
-            get = self.words.get
-            for i in again:
-                found[i] = list(map(get, split[i]))
-                if None in found[i]:  # more words than the memo holds
-                    found[i] = self._encode([texts[i]])
-        return [b"".join(fs) for fs in found]
+        get = self.words.__getitem__
+        out = []
+        for text in texts:
+            if len(self.words) > self.most:
+                self.words.clear()
+            if len(self.words.pieces) > self.most:
+                self.words.pieces.clear()
+            out.append(b"".join(map(get, self._words(text))))
+        return out
 
     @staticmethod
     def _words(text: str | None) -> list[str]:
