@@ -9,6 +9,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_gam import score_quality
+
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .risk_rules import apply_rules
+
+    return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .content_sort import content_sort_groups
 
@@ -27,6 +39,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents")).drop("copies", "source")
 
 
+def op8_linked_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .linked_secrets import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -40,9 +58,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_gam": op1_quality_gam,
+    "op5_risk_rules": op5_risk_rules,
     "op2_hash_tree": op2_hash_tree,
     "op4_mixing": op4_mixing,
     "op7_content_sort": op7_content_sort,
+    "op8_linked_secrets": op8_linked_secrets,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
 }
