@@ -126,16 +126,19 @@ def code_points(raw: np.ndarray) -> np.ndarray:
 def pack_keys(values: np.ndarray) -> bytes:
     """Sorted unsigned integers as byte planes of their differences.
 
-    Differences have many zero high bytes, which the exchange's compression
-    removes; the first difference counts from 0.
+    Planes that are all zero at the high end are left out; what zeros remain
+    the exchange's compression removes.  The first difference counts from 0.
     """
-    steps = np.diff(values, prepend=U64(0))
-    return steps.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    steps = np.diff(values, prepend=U64(0)).astype("<u8")
+    planes = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([planes]) + steps.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
 
 
 def unpack_keys(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=U64)
+    planes = blob[0]
+    steps = np.zeros((((len(blob) - 1) // planes), 8), np.uint8)
+    steps[:, :planes] = np.frombuffer(blob, np.uint8, offset=1).reshape(planes, -1).T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=U64)
 
 
 def slices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:

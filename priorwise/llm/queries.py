@@ -33,6 +33,12 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_components
+
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_plan
 
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op5_risk_rules": op5_risk_rules,
     "op2_hash_tree": op2_hash_tree,
+    "op3_ngram_join": op3_ngram_join,
     "op4_mixing": op4_mixing,
     "op7_content_sort": op7_content_sort,
     "op8_linked_secrets": op8_linked_secrets,
