@@ -21,6 +21,12 @@ def op5_risk_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .recompression import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .content_sort import content_sort_groups
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op2_hash_tree": op2_hash_tree,
     "op3_ngram_join": op3_ngram_join,
     "op4_mixing": op4_mixing,
+    "op6_recompression": op6_recompression,
     "op7_content_sort": op7_content_sort,
     "op8_linked_secrets": op8_linked_secrets,
     "op9_packing": op9_packing,
