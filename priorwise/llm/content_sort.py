@@ -119,10 +119,57 @@ def content_sort_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def content_sort_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    The kept identifiers select the rows; rows that repeat an identifier with
-    an equal text are thinned to one, those with a null identifier as well.
+    As :func:`content_sort_groups`, but whole rows are sorted and only the
+    first row of each run goes on, so nothing is joined back.  The first run of
+    a partition may continue the last run of one before; it is dropped then.
     """
-    kept = content_sort_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    marked = docs.withColumn("__norm", F.sha2(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " "), 256))
-    hit = marked.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__norm") == F.col("__sha")), "left_semi")
-    return hit.dropDuplicates([id_col, "__norm"]).select(*docs.columns)
+    spark = docs.sparkSession
+    ship(spark)
+    n = len(docs.columns)
+    at = {c: i for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*[f"c{i}" for i in range(n)])
+    key, text = F.col(f"c{at[id_col]}").asc_nulls_last(), F.col(f"c{at[text_col]}")
+    rows = rows.withColumn("norm", F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " "))
+    rows = rows.withColumns({"head": F.substring("norm", 1, 32), "hash": F.xxhash64("norm")})
+    dealt = rows.repartitionByRange(shuffle_partitions(spark), F.col("head"), F.col("hash"), key)
+    within = dealt.sortWithinPartitions("head", "hash", "norm", key).withColumn("sha", F.sha2("norm", 256)).drop("head", "hash")
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        before = None
+        held: pa.RecordBatch | None = None
+        start = True
+
+        def out(batch: pa.RecordBatch, edge: bool) -> pa.RecordBatch:
+            columns = [batch.column(i) for i in range(n)] + [batch.column("sha"), pa.array([part] * batch.num_rows, pa.int32()), pa.array([edge] * batch.num_rows, pa.bool_())]
+            return pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(n)] + ["sha", "part", "edge"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            texts = batch.column("norm")
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = pc.not_equal(texts[1:], texts[:-1]).to_numpy(zero_copy_only=False)
+            new[0] = before is None or texts[0].as_py() != before
+            before = texts[-1].as_py()
+            firsts = batch.filter(pa.array(new))
+            if not firsts.num_rows:
+                continue
+            if held is not None:
+                yield out(held, start)
+                start = False
+            if firsts.num_rows > 1 and start:
+                yield out(firsts.slice(0, 1), True)
+                firsts, start = firsts.slice(1), False
+            if firsts.num_rows > 1:
+                yield out(firsts.slice(0, firsts.num_rows - 1), False)
+            held = firsts.slice(firsts.num_rows - 1)
+        if held is not None:
+            yield out(held, True)
+
+    ddl = ", ".join([f"`c{i}` {kind}" for i, (_, kind) in enumerate(docs.dtypes)] + ["sha string", "part int", "edge boolean"])
+    found = materialize(within.mapInArrow(heads, ddl), "content-sort")
+    ends = found.filter("edge").groupBy("sha").agg(F.min("part").alias("first_part"))
+    # at most two rows for each partition of the sort: a proven bound
+    kept = found.join(F.broadcast(ends), ["sha"], "left").filter(~F.col("edge") | (F.col("part") == F.col("first_part")))
+    return kept.select(*[F.col(f"c{i}") for i in range(n)]).toDF(*docs.columns)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .scratch import materialize, ship
 from .tokens import encoder
 
-BLOCK = 1024
+BLOCK = 64
 
 
 def encoded_lengths(docs: DataFrame, vocabulary: str | None = None, text_col: str = "text") -> DataFrame:

@@ -267,7 +267,7 @@ def _across(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id.
+    """Per row of ``docs``: doc_id, n_shingles, component_id, text_hash (xxhash64 of the text).
 
     Texts are linked when 100 * intersection >= 80 * union of their shingle
     sets; component_id is the smallest identifier that links reach, itself
@@ -289,14 +289,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         seen: set[int] = set()
         size = 0
 
-        def rows(ids, n, nodes, buckets, blobs) -> pa.RecordBatch:
-            return pa.record_batch([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "n_shingles", "node", "bucket", "entries"])
+        def rows(ids, texts, n, nodes, buckets, blobs) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "node", "bucket", "entries"])
 
         def send() -> pa.RecordBatch:
             e = np.sort(np.concatenate(held), order="key")
             buckets, at = slices(e["key"], bits)
             none = [None] * len(buckets)
-            return rows(none, none, none, buckets.astype(np.int32), [e[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)])
+            return rows(none, none, none, none, buckets.astype(np.int32), [e[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)])
 
         for batch in calls(batches):
             nodes, counts = [], []
@@ -318,7 +318,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 e["key"], e["node"], e["size"], e["at"] = got[order[at]], node, n, at
                 held.append(e)
                 size += len(at)
-            yield rows(batch.column("doc_id"), counts, nodes, [None] * len(nodes), [None] * len(nodes))
+            yield rows(batch.column("doc_id"), batch.column("text_hash"), counts, nodes, [None] * len(nodes), [None] * len(nodes))
             if size >= FLUSH:
                 yield send()
                 held, size = [], 0
@@ -326,9 +326,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if size:
             yield send()
 
-    slim_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    entered = materialize(slim_docs.mapInArrow(enter, "doc_id long, n_shingles long, node long, bucket int, entries binary"), "entries")
-    slim = entered.filter("bucket is null").select("doc_id", "n_shingles", "node")
+    slim_docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    entered = materialize(slim_docs.mapInArrow(enter, "doc_id long, text_hash long, n_shingles long, node long, bucket int, entries binary"), "entries")
+    slim = entered.filter("bucket is null").select("doc_id", "text_hash", "n_shingles", "node")
     merged = entered.filter("bucket is not null").select("bucket", "entries").groupBy("bucket").applyInArrow(_merge_lists, "a long, b long, members binary")
     merged = materialize(merged, "merged")
     pairs = materialize(merged.filter("members is null").select("a", "b").distinct(), "pairs")
@@ -345,4 +345,33 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     least = materialize(least, "node-least")
     of_label = materialize(least.groupBy("label").agg(F.min("low").alias("component_id")), "component-least")
     of_node = materialize(least.join(of_label, "label").select("node", "component_id"), "node-components")
-    return slim.join(of_node, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return slim.join(of_node, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps its smallest identifier.
+
+    All columns are kept.  Texts without words and rows with a null identifier
+    stay.  Rows that cannot be among the dropped ones, by a bounded filter,
+    stay without a join.
+    """
+    found = ngram_components(docs, id_col, text_col)
+    gone = materialize(found.filter("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_text")).distinct(), "near-copies")
+    holds = value_filter(gone, "g_id")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = docs.columns.index(id_col)
+
+    def part(maybe: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids = batch.column(at).cast(pa.int64())
+                hit = holds(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == maybe))
+
+        return pick
+
+    rows = docs.toDF(*names)
+    sure, maybe = rows.mapInArrow(part(False), rows.schema), rows.mapInArrow(part(True), rows.schema)
+    text = F.col(names[docs.columns.index(text_col)])
+    left = maybe.withColumn("x_text", F.xxhash64(text)).join(gone, (F.col(names[at]).cast("long") == F.col("g_id")) & (F.col("x_text") == F.col("g_text")), "left_anti").drop("x_text")
+    return sure.unionByName(left).toDF(*docs.columns)
