@@ -307,7 +307,7 @@ def text_audit(df: DataFrame, text: str, target: str, words: Sequence[str], leak
         (F.sum(F.when(w, p).otherwise(0)) / F.sum(p)).alias("word_rate_1"), (F.sum(F.when(w, q).otherwise(0)) / F.sum(q)).alias("word_rate_0"),
         F.count_if(dup & ((p == 0) | (q == 0))).alias("pure_groups"), F.count_if(dup & (p > 0) & (q > 0)).alias("mixed_groups"), (F.sum(F.when(dup, F.greatest(p, q))) / F.sum(F.when(dup, p + q))).alias("template_purity"),
     )
-    return out.withColumn("leaks", F.coalesce(F.greatest(F.abs(F.col("word_rate_1") - F.col("word_rate_0"))) >= leak_at, F.lit(False)))
+    return out.withColumn("leaks", F.coalesce(F.abs(F.col("word_rate_1") - F.col("word_rate_0")) >= leak_at, F.lit(False)))
 
 
 SEVERITIES = ("INFO", "WARNING", "BLOCKER")
