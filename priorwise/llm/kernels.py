@@ -25,7 +25,7 @@ _STEP = U64(0x9E3779B97F4A7C15) | U64(1)
 #: Multipliers of the words of a shingle, by place.
 PLACES = _rng.integers(1, 2**63, 64, dtype=np.uint64) * U64(2) + U64(1)
 #: Bytes that one kernel call takes at most, unless a single text is longer.
-CALL_BYTES = 1 << 22
+CALL_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
