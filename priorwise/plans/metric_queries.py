@@ -31,8 +31,8 @@ def _rank(by: str = "") -> str:
     part = f"PARTITION BY {by} " if by else ""
     return f"""h AS (SELECT {g}p, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM scored GROUP BY {g}p),
 c AS (SELECT *, sum(pos) OVER ({part}ORDER BY p DESC) AS tp, sum(neg) OVER ({part}ORDER BY p DESC) AS fp, sum(pos) OVER ({part}) AS n_pos, sum(neg) OVER ({part}) AS n_neg FROM h),
-r AS (SELECT {g}round(sum(pos / CAST(n_pos AS DOUBLE) * tp / (tp + fp)), 6) AS average_precision, round(sum(neg * (tp - pos + pos / 2.0::DOUBLE)) / any_value(CAST(n_pos AS DOUBLE) * n_neg), 6) AS roc_auc,
-  round(sum(pos / CAST(n_pos AS DOUBLE) * (tp / CAST(tp + fp AS DOUBLE) + CASE WHEN tp + fp - pos - neg > 0 THEN (tp - pos) / CAST(tp + fp - pos - neg AS DOUBLE) ELSE 1 END) / 2), 6) AS pr_auc,
+r AS (SELECT {g}round(coalesce(sum(pos / CAST(nullif(n_pos, 0) AS DOUBLE) * tp / (tp + fp)), 0), 6) AS average_precision, round(coalesce(sum(neg * (tp - pos + pos / 2.0::DOUBLE)) / nullif(any_value(CAST(n_pos AS DOUBLE) * n_neg), 0), 0), 6) AS roc_auc,
+  round(coalesce(sum(pos / CAST(nullif(n_pos, 0) AS DOUBLE) * (tp / CAST(tp + fp AS DOUBLE) + CASE WHEN tp + fp - pos - neg > 0 THEN (tp - pos) / CAST(tp + fp - pos - neg AS DOUBLE) ELSE 1 END) / 2), 0), 6) AS pr_auc,
   round(-sum(pos * ln(p) + neg * ln(1 - p)) / sum(pos + neg), 6) AS log_loss, round(sum(pos * (p - 1) * (p - 1) + neg * p * p) / sum(pos + neg), 6) AS brier, CAST(sum(pos + neg) AS BIGINT) AS rows, CAST(sum(pos) AS BIGINT) AS positives, round(sum(pos) / CAST(sum(pos + neg) AS DOUBLE), 6) AS prevalence, round(sum(p * (pos + neg)) / sum(pos + neg), 6) AS mean_p
   FROM c {f"GROUP BY {by}" if by else ""})"""
 
