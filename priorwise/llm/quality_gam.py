@@ -168,11 +168,22 @@ def held_out(id_col) -> "F.Column":
     return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 1, F.lit(False))
 
 
-def fit_quality(counts: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> PairwiseGam:
-    """Fit on labelled rows outside the held-out third; at most ``max_rows`` reach the driver."""
-    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
-    rows = counts.join(known, F.col("doc_id") == F.col("label_id")).withColumn("draw", F.xxhash64("doc_id"))
-    sample = rows.select("draw", "doc_id", *COUNTS, "quality").orderBy("draw", "doc_id", *COUNTS).limit(max_rows).toPandas()
+def training_labels(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """label_id, quality of at most ``max_rows`` labels outside the held-out third, by least hash.
+
+    Of contradicting labels the lower holds.
+    """
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality"))
+    return known.orderBy(F.xxhash64("label_id"), "label_id").limit(max_rows)
+
+
+def fit_quality(counts: DataFrame, known: DataFrame, max_rows: int = MAX_ROWS) -> PairwiseGam:
+    """Fit on the counts of the texts that ``known`` labels, which come to the driver."""
+    # bounded by max_rows, so it is sent to every task however large the corpus is
+    rows = counts.join(F.broadcast(known), F.col("doc_id") == F.col("label_id"))
+    # rows may repeat an identifier, so the bound holds for them as well
+    sample = rows.select("doc_id", *COUNTS, "quality").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(max_rows).toPandas()
     y = sample["quality"].to_numpy(float)
     return PairwiseGam().fit(features({c: sample[c].to_numpy() for c in COUNTS}), y)
 
@@ -188,7 +199,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     ship(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     counts = materialize(text_counts(slim, ["doc_id"]), "quality-counts")
-    model = fit_quality(counts, labels, max_rows)
+    model = fit_quality(counts, materialize(training_labels(labels, max_rows), "labels"), max_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,10 +216,10 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max
     Texts are counted where they are read, so rows are filtered without a join.
     """
     ship(docs.sparkSession)
-    wanted = labels.select(F.col("doc_id").alias("__id")).distinct()
-    labelled = docs.join(wanted, F.col(id_col) == F.col("__id"), "left_semi")
-    slim = labelled.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit_quality(materialize(text_counts(slim, ["doc_id"]), "quality-counts"), labels, max_rows)
+    known = materialize(training_labels(labels, max_rows), "labels")
+    # the labels are bounded by max_rows, so no text is shuffled to find theirs
+    labelled = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known.select("label_id")), F.col("doc_id") == F.col("label_id"), "left_semi")
+    model = fit_quality(materialize(text_counts(labelled, ["doc_id"]), "quality-counts"), known, max_rows)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from .kernels import calls
