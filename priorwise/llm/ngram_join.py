@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from .bitmaps import value_filter
 from .components import components
 from .kernels import PLACES, U64, bucket_bits, calls, mix, pack_keys, sequence_hashes, slices, span_hashes, text_bytes, unpack_keys, window_hashes, word_spans
-from .scratch import materialize, ship, shuffle_partitions
+from .scratch import materialize, release, ship, shuffle_partitions
 
 WIDTH = 5
 #: The similarity, 4/5, as integers.
@@ -343,6 +343,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             labels = materialize(components(stars.unionByName(extra)), "labels")
     least = slim.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = materialize(least, "node-least")
+    release(merged, pairs)
     of_label = materialize(least.groupBy("label").agg(F.min("low").alias("component_id")), "component-least")
     of_node = materialize(least.join(of_label, "label").select("node", "component_id"), "node-components")
     return slim.join(of_node, "node", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bitmaps import value_filter
 from .kernels import PLACES, U64, bucket_bits, calls, mix, pack_keys, sequence_hashes, slices, span_hashes, text_bytes, unpack_keys, window_hashes, word_spans
-from .scratch import materialize, ship
+from .scratch import materialize, release, ship
 
 WIDTH = 35
 ROUNDS = 5
@@ -193,7 +193,9 @@ def _answer(bits: int, full: bool):
 def _gather(asked: DataFrame, bits: int, full: bool, finish, ddl: str, name: str) -> DataFrame:
     """Ask by key, then hand each node's repeated places to ``finish``."""
     told = materialize(asked.groupBy("kind", "bucket").applyInArrow(_answer(bits, full), _SENT), name)
-    return told.groupBy("bucket").applyInArrow(finish, ddl)
+    out = materialize(told.groupBy("bucket").applyInArrow(finish, ddl), f"{name}-by-node")
+    release(told)
+    return out
 
 
 def _by_node(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -351,7 +353,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     total = slim.agg(F.sum("n_words")).first()[0] or 0
     bits = bucket_bits(total / 4, each=5e5)
     asked = source.mapInArrow(_ask_pairs(width, bits), _SENT)
-    ranges = materialize(_gather(asked, bits, False, _open_ranges, "node long, ranges binary", "pairs-told"), "open-windows")
+    ranges = _gather(asked, bits, False, _open_ranges, "node long, ranges binary", "pairs-told")
     ids = slim.join(ranges.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     holds = value_filter(materialize(ids, "open-ids"), "doc_id")
 
@@ -387,6 +389,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     many = materialize(slim.filter(F.col("n_words") >= width).groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.max("n_words").alias("n")).filter("rows > 1"), "whole-repeats")
     whole = many.select("node", F.col("n").alias("removed"), F.lit(_EMPTY).alias("sha"), F.lit("").alias("left_text"))
     verdicts = materialize(repeated.join(many.select("node"), "node", "left_anti").unionByName(whole), "verdicts")
+    release(ranges, opened, starts, many)
     out = slim.join(verdicts, "node", "left").select(
         "doc_id",
         "n_words",

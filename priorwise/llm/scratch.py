@@ -45,7 +45,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch_path = path
+    return back
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing still to run reads."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
