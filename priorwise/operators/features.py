@@ -8,7 +8,7 @@ expression is made from a :class:`Feature`, so the catalog is the plan.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -42,7 +42,10 @@ _AGGREGATES = {
 
 @dataclass(frozen=True)
 class Feature:
-    """One column of the matrix: what it is made of, and how."""
+    """One column of the matrix: what it is made of, and how.
+
+    ``make`` gives its expression, which needs a session; the rest does not.
+    """
 
     name: str
     family: str
@@ -52,10 +55,14 @@ class Feature:
     aggregation: str
     sources: tuple[str, ...]
     formula: str
-    expression: Column = field(compare=False, repr=False)
+    make: Callable[[], Column] = field(compare=False, repr=False)
     zero_fill: bool = False
     derived: bool = False
 
+    @property
+    def expression(self) -> Column:
+        return self.make()
+
 
 def within(window: str) -> Column:
     """The event is inside the window of the bridge row's anchor."""
@@ -67,26 +74,26 @@ def metric(family: str, column: str, aggregation: str, windows: Iterable[str] =
     """An aggregate of a column in each window; counts are 0 and measures null without rows."""
     out = []
     for w in windows:
-        x = _AGGREGATES[aggregation](F.when(within(w), F.col(column)))
         counts = aggregation in ("count", "nunique")
-        out.append(Feature(f"{family}_{name or column}_{aggregation}_{w}", family, tier, "long" if counts else "double", w, aggregation, (column,), f"{aggregation}({column})", x, counts))
+        make = lambda w=w: _AGGREGATES[aggregation](F.when(within(w), F.col(column)))
+        out.append(Feature(f"{family}_{name or column}_{aggregation}_{w}", family, tier, "long" if counts else "double", w, aggregation, (column,), f"{aggregation}({column})", make, counts))
     return out
 
 
 def event_count(family: str, key: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", F.count(F.when(within(w), F.col(key))), True) for w in windows]
+    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", lambda w=w: F.count(F.when(within(w), F.col(key))), True) for w in windows]
 
 
 def flag_count(family: str, flag: str, windows: Iterable[str] = WINDOWS, negate: bool = False, tier: str = "CORE", name: str | None = None) -> list[Feature]:
     """Rows whose flag is true (``negate``: false); null flags are neither."""
-    cond = ~F.col(flag) if negate else F.col(flag)
+    cond = lambda: ~F.col(flag) if negate else F.col(flag)
     name = name or (f"not_{flag}" if negate else flag)
-    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", F.count_if(within(w) & cond), True) for w in windows]
+    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", lambda w=w: F.count_if(within(w) & cond()), True) for w in windows]
 
 
 def ratio(family: str, name: str, numerator: str, denominator: str, windows: Iterable[str] = WINDOWS, tier: str = "CORE") -> list[Feature]:
     """Ratio of two features of the family, named up to the window."""
-    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", safe_divide(F.col(f"{numerator}_{w}"), F.col(f"{denominator}_{w}")), derived=True) for w in windows]
+    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", lambda w=w: safe_divide(F.col(f"{numerator}_{w}"), F.col(f"{denominator}_{w}")), derived=True) for w in windows]
 
 
 def _order(key: str) -> Column:
@@ -95,48 +102,52 @@ def _order(key: str) -> Column:
 
 def latest(family: str, column: str, key: str, tier: str = "CORE") -> Feature:
     """The value of the row with the greatest (date, key), null included."""
-    return Feature(f"{family}_{column}_latest", family, tier, "value", "all", "latest", (column, key), f"latest({column})", F.max_by(column, _order(key)))
+    return Feature(f"{family}_{column}_latest", family, tier, "value", "all", "latest", (column, key), f"latest({column})", lambda: F.max_by(column, _order(key)))
 
 
 def recency(family: str) -> Feature:
-    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", F.date_diff(F.max("anchor_date"), F.max("event_date")))
+    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda: F.date_diff(F.max("anchor_date"), F.max("event_date")))
 
 
 def first_to_last(family: str, column: str, key: str, windows: Iterable[str], least: int = 1, tier: str = "CORE", name: str = "change") -> list[Feature]:
     """Latest minus earliest value in each window, when enough values are there."""
     out = []
     for w in windows:
-        inside = within(w) & F.col(column).isNotNull()
-        order = F.when(inside, _order(key))
-        diff = F.max_by(column, order) - F.min_by(column, order)
-        out.append(Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", F.when(F.count(F.when(inside, F.col(column))) >= least, diff)))
+
+        def make(w: str = w) -> Column:
+            inside = within(w) & F.col(column).isNotNull()
+            order = F.when(inside, _order(key))
+            diff = F.max_by(column, order) - F.min_by(column, order)
+            return F.when(F.count(F.when(inside, F.col(column))) >= least, diff)
+
+        out.append(Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", make))
     return out
 
 
 def months_observed(family: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", _distinct(F.when(within(w), month_index(F.col("event_date")))), True) for w in windows]
+    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", lambda w=w: _distinct(F.when(within(w), month_index(F.col("event_date")))), True) for w in windows]
 
 
 def month_span(family: str) -> list[Feature]:
-    m = month_index(F.col("event_date"))
-    span = F.max(m) - F.min(m) + 1
+    m = lambda: month_index(F.col("event_date"))
+    span = lambda: F.max(m()) - F.min(m()) + 1
     return [
         Feature(f"{family}_month_span", family, "CORE", "long", "all", "span", ("event_date",), "max - min month + 1", span),
-        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", span - _distinct(m)),
+        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", lambda: span() - _distinct(m())),
     ]
 
 
 def type_diversity(family: str, column: str, key: str) -> list[Feature]:
     return [
-        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", _distinct(F.col(column)), True),
+        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", lambda: _distinct(F.col(column)), True),
         latest(family, column, key),
-        Feature(f"{family}_{column}_dominant", family, "CORE", "string", "all", "mode", (column,), f"mode({column}), least on ties", F.mode(column, True)),
+        Feature(f"{family}_{column}_dominant", family, "CORE", "string", "all", "mode", (column,), f"mode({column}), least on ties", lambda: F.mode(column, True)),
     ]
 
 
 def since_latest(family: str, anchor: str, column: str, key: str) -> Feature:
     """The anchor's reading minus the one at the latest event."""
-    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", F.max(anchor) - F.max_by(column, _order(key)))
+    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", lambda: F.max(anchor) - F.max_by(column, _order(key)))
 
 
 def build_family(bridge: DataFrame, features: Sequence[Feature], key: str = ANCHOR) -> DataFrame:
@@ -214,7 +225,7 @@ def maintenance_spec(key: str = "maintenance_event_key", kind: str = "maintenanc
     f = "maintenance"
     out = event_spec(f, key, kind, readings)
     out += flag_count(f, scheduled) + flag_count(f, scheduled, negate=True, name="unscheduled") + flag_count(f, on_time)
-    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", F.count_if(within(w) & (F.col(overdue) > 0)), True) for w in WINDOWS]
+    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", lambda w=w: F.count_if(within(w) & (F.col(overdue) > 0)), True) for w in WINDOWS]
     out += metric(f, cost, "sum") + metric(f, overdue, "mean") + metric(f, overdue, "max", tier="EXTENDED")
     late = ("6m", "12m", "24m", "all")
     return out + ratio(f, scheduled, f"{f}_{scheduled}_count", f"{f}_event_count", late) + ratio(f, on_time, f"{f}_{on_time}_count", f"{f}_event_count", late)
@@ -229,13 +240,13 @@ def component_spec(key: str = "installation_key", rework: str = "rework_flag", s
     for c in measures:
         for a in ("mean", "min", "max"):
             out += metric(f, c, a, ("all",), "CORE" if a == "mean" else "EXTENDED")
-    age = F.date_diff("anchor_date", "event_date")
-    share = safe_divide(age / DAYS_PER_MONTH, F.col(life_months))
+    age = lambda: F.date_diff("anchor_date", "event_date")
+    share = lambda: safe_divide(age() / DAYS_PER_MONTH, F.col(life_months))
     for a, fn in (("mean", F.avg), ("min", F.min), ("max", F.max)):
-        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", fn(age)))
+        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", lambda fn=fn: fn(age())))
     for a, fn in (("mean", F.avg), ("max", F.max)):
-        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", fn(share)))
-    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", F.avg(F.when(share.isNotNull(), (share >= 1).cast("double")))))
+        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", lambda fn=fn: fn(share())))
+    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", lambda: F.avg(F.when(share().isNotNull(), (share() >= 1).cast("double")))))
     return [*out, recency(f)]
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from priorwise.functions.exprs import tokens
 
@@ -16,7 +17,7 @@ SEPARATOR = " [SEP] "
 TEXT_WINDOWS: dict[str, int | None] = {"6m": 6, "12m": 12, "24m": 24, "all": None}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_description(text: pd.Series) -> pd.Series:
     """NFKC, white space collapsed and trimmed, case folded; blank and null become null."""
 

@@ -294,10 +294,10 @@ def g11_apply(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("g12_blend_grid", f"""{_P}, mixed AS (SELECT k / 10.0::DOUBLE AS weight, y, k / 10.0::DOUBLE * p + (1 - k / 10.0::DOUBLE) * p2 AS p FROM other, range(11) x(k)), {_rank('weight').replace('FROM scored', 'FROM mixed')}
-SELECT weight, rows, positives, round(log_loss, 5) AS log_loss, round(brier, 5) AS brier, round(mean_p, 5) AS mean_p FROM r""")
+SELECT weight, rows, positives, log_loss, brier, mean_p FROM r""")
 def g12(spark: SparkSession, d: str) -> DataFrame:
     out = rounded(G.blend_grid(parts(spark, d)[1], "p", "p2"))
-    return out.select("weight", "rows", "positives", *[F.round(c, 5).alias(c) for c in ("log_loss", "brier", "mean_p")])
+    return out.select("weight", "rows", "positives", "log_loss", "brier", "mean_p")
 
 
 @query("g13_score_frozen", f"""{_P}, e AS (SELECT claim_key, 1 / (1 + exp(-(1.2 * ln(p / (1 - p)) + 0.1))) AS e, p2 FROM other) SELECT claim_key, round(e, 6) AS effective_p, round(0.7 * e + 0.3 * p2, 6) AS final_p, CAST(0.7 * e + 0.3 * p2 >= 0.45 AS INTEGER) AS predicted FROM e""")
