@@ -35,6 +35,8 @@ def dot_product_fill(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, in
     """
     if not len(tokens):
         return []
+    if tokens.max() > limits[0] or loss.max() > limits[2] or limits[1] < 1:
+        raise ValueError("an example does not fit an empty sequence")
     sizes = np.stack([tokens, loss], 1)
     kinds, kind_of = np.unique(sizes, axis=0, return_inverse=True)
     order = np.argsort(kind_of.ravel(), kind="stable")

@@ -90,7 +90,7 @@ def count_texts(column: pa.Array) -> dict[str, np.ndarray]:
     breaks = np.flatnonzero(raw == NEWLINE)
     line_starts = np.unique(np.concatenate([off[:-1][np.diff(off) > 0], breaks + 1]))
     line_starts = line_starts[line_starts < len(raw)]
-    line_ends = np.append(line_starts[1:], len(raw))
+    line_ends = np.append(line_starts[1:], len(raw)) if len(line_starts) else line_starts
     # a line ends before its line break
     line_ends = line_ends - ((line_ends > line_starts) & (raw[line_ends - 1] == NEWLINE)) if len(line_ends) else line_ends
     with_word = np.searchsorted(starts, line_ends) > np.searchsorted(starts, line_starts)

@@ -76,7 +76,7 @@ class WordEncoder:
     full memo starts anew.
     """
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 300_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
         self.words = _Words(self.tokenizer)
