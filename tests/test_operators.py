@@ -1,0 +1,117 @@
+"""Hand-worked cases for the operators whose rules matter most."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from priorwise.operators import bridges as B, features as E, keys as K, metrics as M, splits as S, textfeatures as T
+from priorwise.sources import tables
+
+D = dt.date
+CLAIM = ("k", "e", "d")
+
+
+@pytest.fixture(scope="module")
+def claims(spark):
+    return spark.createDataFrame([(1, 7, D(2026, 3, 15), 10), (2, 7, D(2026, 5, 15), None), (3, 9, D(2026, 5, 15), None)], "k long, e long, d date, own long")
+
+
+def test_history_is_strictly_before(spark, claims):
+    ev = spark.createDataFrame([(10, 7, D(2026, 3, 14)), (11, 7, D(2026, 3, 15)), (12, 7, None), (None, 7, D(2026, 1, 1))], "id long, e long, t date")
+    got = B.bridge_strict_before(claims, ev, CLAIM, ("e", "t"), {"id": "id"}).collect()
+    assert sorted((r.current_claim_key, str(r.id)) for r in got) == [(1, "10"), (1, "None"), (2, "10"), (2, "11"), (2, "None")]
+    got = B.bridge_exclude_current(claims, ev, CLAIM, ("e", "t"), "own", "id", {"id": "id"}).collect()
+    # a null key is dropped only where the claim's own is null too
+    assert sorted((r.current_claim_key, str(r.id)) for r in got) == [(1, "None"), (2, "10"), (2, "11")]
+
+
+def test_a_month_counts_when_it_is_over(spark, claims):
+    m = spark.createDataFrame([(1, 7, D(2026, 2, 1)), (2, 7, D(2026, 3, 1)), (3, 7, D(2026, 5, 1))], "id long, e long, m date")
+    got = B.bridge_completed_month(claims, m, CLAIM, ("e", "m"), {"id": "id"}).collect()
+    assert sorted((r.current_claim_key, r.id) for r in got) == [(1, 1), (2, 1), (2, 2)]
+
+
+def test_an_unsafe_event_fails(spark, claims):
+    bad = spark.createDataFrame([(1, D(2026, 3, 15))], "current_claim_key long, t date")
+    with pytest.raises(Exception, match="not before"):
+        B.attach_anchor_dates(claims, bad, "k", "d", "t").collect()
+
+
+def test_keys_and_joins_fail_closed(spark, claims):
+    with pytest.raises(ValueError):
+        K.assert_unique_key(claims, "e")
+    with pytest.raises(ValueError):
+        K.assert_unique_key(claims, "missing")
+    with pytest.raises(ValueError):
+        K.join_many_to_one(claims, claims.withColumn("x", F.lit(1)), ["e"], ["e"], {"x": "x"})
+    assert K.join_many_to_one(claims, spark.createDataFrame([(7, "a")], "e long, x string"), ["e"], ["e"], {"x": "x"}).filter("x is null").count() == 1
+
+
+def test_latest_takes_null_and_windows_include_their_lower_bound(spark):
+    rows = [(1, 5, D(2026, 1, 15), D(2026, 7, 15), 2.0), (1, 6, D(2026, 6, 1), D(2026, 7, 15), None), (1, 4, D(2026, 1, 14), D(2026, 7, 15), 8.0)]
+    b = spark.createDataFrame(rows, "current_claim_key long, id long, event_date date, anchor_date date, v double")
+    spec = [E.latest("f", "v", "id"), *E.metric("f", "v", "sum", ("6m", "all")), *E.event_count("f", "id", ("3m", "6m")), E.recency("f"), *E.metric("f", "v", "std", ("6m",))]
+    r = E.build_family(b, spec).first()
+    assert (r.f_v_latest, r.f_v_sum_6m, r.f_v_sum_all, r.f_event_count_3m, r.f_event_count_6m, r.f_recency_days, r.f_v_std_6m) == (None, 2.0, 10.0, 1, 2, 44, None)
+
+
+def test_matrix_zero_fills_counts_and_nulls_measures(spark, claims):
+    b = spark.createDataFrame([(1, 5, D(2026, 1, 15), D(2026, 3, 15), 2.0)], "current_claim_key long, id long, event_date date, anchor_date date, v double")
+    spec = [*E.event_count("f", "id", ("all",)), *E.metric("f", "v", "sum", ("all",))]
+    got = {r.current_claim_key: (r.f_event_count_all, r.f_v_sum_all) for r in E.feature_matrix(claims, "k", [], [(E.build_family(b, spec), spec)]).collect()}
+    assert got == {1: (1, 2.0), 2: (0, None), 3: (0, None)}
+    with pytest.raises(ValueError):
+        E.feature_matrix(claims, "k", ["target"], [])
+
+
+def test_dates_are_never_split(spark):
+    days = [(i, D(2026, 1, 1) + dt.timedelta(days=i)) for i in range(20)]
+    r = S.split_boundaries(spark.createDataFrame(days, "k long, d date"), "d").first()
+    assert (r.train_end, r.validation_end, r.status) == (D(2026, 1, 14), D(2026, 1, 17), "OK")
+    one = spark.createDataFrame([(i, D(2026, 1, 1)) for i in range(5)], "k long, d date")
+    assert S.split_boundaries(one, "d").first().status == "TOO_FEW"
+
+
+def test_asof_ties(spark):
+    c = spark.createDataFrame([(1, 1, 5, D(2026, 2, 1)), (2, 1, None, D(2026, 2, 1)), (3, 1, 6, D(2026, 2, 1)), (4, 2, 5, D(2026, 2, 1))], "k long, e long, c long, d date")
+    i = spark.createDataFrame([(1, 5, D(2026, 1, 1), "a", 1), (1, 5, D(2026, 1, 1), "a", 2), (1, 6, D(2026, 1, 1), "a", 3), (1, 6, D(2026, 1, 1), "b", 4), (1, 6, D(2025, 1, 1), "c", 5)], "e long, c long, t date, lot string, id long")
+    got = B.asof_latest_match(c, i, ("k", "e", "d", None), "c", ("e", "c", "t"), ["lot"], ["id"])
+    assert {r.k: (r.match_status, r.tied, r.lot, r.n_candidates) for r in got.collect()} == {1: ("matched", True, "a", 2), 2: ("no_causal_component", False, None, 0), 3: ("ambiguous", True, None, 3), 4: ("unmatched", False, None, 0)}
+    r = B.match_counters(got).first()
+    assert (r.matched, r.unmatched, r.ambiguous, r.no_causal_component) == (1, 2, 2, 1)
+
+
+def test_metrics_by_hand(spark):
+    s = spark.createDataFrame([(1, 1, 0.9), (2, 0, 0.8), (3, 1, 0.8), (4, 0, 0.1)], "k long, y int, p double")
+    r = M.ranking_metrics(s).first()
+    assert r.average_precision == pytest.approx(0.5 * 1 + 0.5 * 2 / 3) and r.roc_auc == pytest.approx(0.875)
+    c = M.confusion_metrics(s, 0.8).first()
+    assert (c.tp, c.fp, c.tn, c.fn, c.mcc) == (2, 1, 1, 0, pytest.approx(2 / 12**0.5))
+    assert M.threshold_curve(s).count() == 999
+
+
+def test_normalisation_is_unicode_aware(spark):
+    df = spark.createDataFrame([(" Straße  ﬁx ",), ("  ",), (None,)], "t string")
+    assert [r[0] for r in df.select(T.normalize_description("t")).collect()] == ["strasse fix", None, None]
+
+
+def test_publish_refuses_bad_keys_and_overwrites(spark, tmp_path):
+    df = spark.createDataFrame([(1,), (2,)], "k long")
+    path = f"file://{tmp_path}/out"
+    assert tables.publish_staged(df, path, "k").count() == 2
+    with pytest.raises(FileExistsError):
+        tables.publish_staged(df, path, "k")
+    with pytest.raises(ValueError):
+        tables.publish_staged(df.union(df), f"file://{tmp_path}/bad", "k")
+    assert not (tmp_path / "bad").exists()
+    from priorwise.operators.groups import content_fingerprint
+
+    assert tables.read_verified(spark, path, content_fingerprint(df.orderBy(F.desc("k")))).count() == 2
+    with pytest.raises(ValueError):
+        tables.read_verified(spark, path, content_fingerprint(df.limit(1)))
+    meta = tables.write_parquet(df, f"file://{tmp_path}/z", "zstd").first()
+    assert (meta.row_count, meta.column_count) == (2, 1)
+    assert [len(b) for b in tables.iter_chunks(df.union(df), ["k"], 3)] == [3, 1]
+    need = tables.plan_columns(spark.createDataFrame([("a", "x", ["a.k", "b.k"]), ("c", "y", [])], "source_table string, source_column string, join_columns array<string>"), ["c"])
+    assert {r.table_name: r.columns for r in need.collect()} == {"a": ["k", "x"], "b": ["k"]}
