@@ -42,7 +42,7 @@ def op2_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import ngram_components
 
-    return ngram_components(table(spark, sf_dir, "documents"))
+    return ngram_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +83,39 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_ngram_join": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+          FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, md5(array_to_string(ws[i : i + 4], ' ')) AS h FROM d, unnest(range(1, greatest(len(ws) - 3, 2))) t(i) WHERE len(ws) > 0
+        ), n AS (
+          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), e AS (
+          SELECT a.doc_id AS a, b.doc_id AS b
+          FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+          GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(x.n) + any_value(y.n) - count(*))
+        ), r AS (
+          SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(r.b) FROM r WHERE r.a = d.doc_id) AS component_id
+        FROM d LEFT JOIN n ON d.doc_id = n.doc_id
+    """,
+    "op6_recompression": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), w AS (
+          SELECT doc_id, i, md5(array_to_string(ws[i : i + 34], ' ')) AS h FROM d, unnest(range(1, len(ws) - 33)) t(i)
+        ), c AS (
+          SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)
+        ), k AS (
+          SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.p) AS kept, count(*) AS n
+          FROM (SELECT doc_id, generate_subscripts(ws, 1) AS p, unnest(ws) AS word FROM d) x ANTI JOIN c ON x.doc_id = c.doc_id AND x.p = c.p
+          GROUP BY x.doc_id
+        )
+        SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+    """,
     "op7_content_sort": r"""
         WITH n AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
