@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from priorwise.functions.exprs import grid_cell, right_closed_bucket
 
-from .metrics import CELLS, confusion_metrics, global_place, ranking_metrics
+from .metrics import CELLS, EPS, confusion_columns, confusion_metrics, global_place, ranking_metrics, score_histogram
 
 MISSING, OTHER = "__MISSING__", "__OTHER__"
 
@@ -195,21 +198,102 @@ def bootstrap_weights(scored: DataFrame, key: str, replicates: int, groups: Sequ
     return counts.join(named, on).select(*groups, "replicate", key, "weight")
 
 
-def bootstrap_metrics(scored: DataFrame, key: str, replicates: int, groups: Sequence[str] = (), seed: int = 17) -> DataFrame:
-    """Ranking metrics of every replicate, from weights."""
-    w = bootstrap_weights(scored, key, replicates, groups, seed=seed)
-    j = w.join(scored.select(*groups, key, "y", "p"), [*groups, key])
-    return ranking_metrics(j, [*groups, "replicate"], weight="weight")
+BOOTSTRAP_METRICS = ("average_precision", "roc_auc", "log_loss", "brier", "precision", "recall", "f1", "f2", "mcc", "balanced_accuracy")
+#: Rows of a score range of the bootstrap, when that is finer than the cells; weights of it held at a time.
+RANGE_ROWS, HELD = 5000, 1_000_000
 
 
-def bootstrap_ci(metrics: DataFrame, replicates: int, groups: Sequence[str] = (), columns: Sequence[str] = ("average_precision", "roc_auc", "brier", "log_loss"), level: float = 0.95) -> DataFrame:
-    """Per group and metric: percentile interval, and replicates without a value."""
+def _stream(*parts) -> np.random.Generator:
+    return np.random.default_rng(int.from_bytes(hashlib.blake2b(":".join(map(str, parts)).encode(), digest_size=16).digest()))
+
+
+def _resample(rng: np.random.Generator, draws: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A row for each number of draws: how often each place is drawn, with replacement, when it stands for its count of rows."""
+    if not counts.sum():
+        return np.zeros((len(draws), len(counts)), dtype="int64")
+    share = counts / counts.sum()
+    return rng.multinomial(draws, share / max(1.0, share.sum()))
+
+
+def _range_draws(replicates: int, seed: int):
+    def run(frames):
+        for f in frames:
+            for gid, ranges in zip(f["gid"], f["ranges"], strict=True):
+                ranges = sorted(ranges, key=lambda x: x["part"])
+                drawn = []
+                for c in ("cp", "cn"):
+                    counts = np.array([x[c] for x in ranges], dtype="int64")
+                    w = _resample(_stream(seed, gid, c), np.full(replicates, counts.sum()), counts)
+                    w = np.vstack([counts, w])  # replicate 0 is the sample itself
+                    drawn += [w, np.cumsum(w, axis=1) - w]
+                for k, x in enumerate(ranges):
+                    yield pd.DataFrame({"gid": [gid], "part": [x["part"]]} | {n: [w[:, k].tolist()] for n, w in zip(("dp", "ap", "dn", "an"), drawn, strict=True)})
+
+    return run
+
+
+def _range_sums(threshold: float, seed: int):
+    def run(frames):
+        for f in frames:
+            for gid, part, scores, *drawn in f[["gid", "part", "scores", "dp", "ap", "dn", "an"]].itertuples(index=False, name=None):
+                scores = sorted(scores, key=lambda x: -x["p"])
+                p, pos, neg = (np.array([x[c] for x in scores], dtype=t) for c, t in (("p", "float64"), ("pos", "int64"), ("neg", "int64")))
+                dp, ap, dn, an = (np.asarray(x, dtype="int64") for x in drawn)
+                q, hit = np.clip(p, EPS, 1 - EPS), p >= threshold
+                a, b = _stream(seed, gid, "scores", part, 1), _stream(seed, gid, "scores", part, 0)
+                step = max(1, HELD // len(p))
+                for at in [slice(0, 1), *(slice(i, i + step) for i in range(1, len(dp), step))]:
+                    wp, wn = (_resample(a, dp[at], pos), _resample(b, dn[at], neg)) if at.start else (pos[None], neg[None])
+                    tp, fp = ap[at, None] + np.cumsum(wp, axis=1), an[at, None] + np.cumsum(wn, axis=1)
+                    yield pd.DataFrame({
+                        "gid": gid, "replicate": np.arange(len(dp))[at], "precisions": (wp * (tp / np.maximum(tp + fp, 1))).sum(axis=1), "pairs": (wn * (tp - wp / 2.0)).sum(axis=1),
+                        "loss": -(wp @ np.log(q) + wn @ np.log(1 - q)), "squares": wp @ (1 - p) ** 2 + wn @ p**2, "tp": wp @ hit.astype("int64"), "fp": wn @ hit.astype("int64")})
+
+    return run
+
+
+def bootstrap_metrics(scored: DataFrame, replicates: int, threshold: float, groups: Sequence[str] = (), seed: int = 17) -> DataFrame:
+    """groups, replicate and ten metrics, of as many rows of each class as there are, drawn with replacement.
+
+    Replicate 0 is the sample itself.  A replicate of a group of one class has
+    no metrics.  Draws are made in two levels, over score ranges and then over
+    the distinct scores of a range, which has the law of single draws; streams
+    are seeded by hash of seed, group and range, so runs agree.
+    """
+    gid = F.to_json(F.struct(*groups)) if groups else F.lit("{}")
+    h = score_histogram(scored.withColumn("gid", gid), ["gid"])
+    above = Window.partitionBy("gid").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    cells = h.groupBy("gid", "cell").agg(F.sum("pos").alias("cp"), F.sum("neg").alias("cn"))
+    cells = cells.withColumn("part", F.floor(F.coalesce(F.sum(F.col("cp") + F.col("cn")).over(above), F.lit(0)) / RANGE_ROWS))
+    ranges = cells.groupBy("gid", "part").agg(F.sum("cp").alias("cp"), F.sum("cn").alias("cn")).groupBy("gid").agg(F.collect_list(F.struct("part", "cp", "cn")).alias("ranges"), F.sum("cp").alias("n_pos"), F.sum("cn").alias("n_neg"))
+    drawn = ranges.select("gid", "ranges").mapInPandas(_range_draws(replicates, seed), "gid string, part long, dp array<long>, ap array<long>, dn array<long>, an array<long>")
+    scores = h.join(cells.select("gid", "cell", "part"), ["gid", "cell"]).groupBy("gid", "part").agg(F.collect_list(F.struct("p", "pos", "neg")).alias("scores"))
+    sums = scores.join(drawn, ["gid", "part"]).mapInPandas(_range_sums(threshold, seed), "gid string, replicate int, precisions double, pairs double, loss double, squares double, tp long, fp long")
+    x = sums.groupBy("gid", "replicate").agg(*[F.sum(c).alias(c) for c in ("precisions", "pairs", "loss", "squares", "tp", "fp")]).join(ranges.select("gid", "n_pos", "n_neg"), "gid")
+    pos, neg = F.col("n_pos"), F.col("n_neg")
+    values = {"average_precision": F.col("precisions") / pos, "roc_auc": F.col("pairs") / (pos.cast("double") * neg), "log_loss": F.col("loss") / (pos + neg), "brier": F.col("squares") / (pos + neg)}
+    values |= confusion_columns(F.col("tp"), F.col("fp"), neg - F.col("fp"), pos - F.col("tp"))
+    names = [F.from_json("gid", scored.select(*groups).schema).getField(g).alias(g) for g in groups]
+    return x.select(*names, "replicate", *[F.when((pos > 0) & (neg > 0), values[c]).alias(c) for c in BOOTSTRAP_METRICS])
+
+
+def bootstrap_ci(metrics: DataFrame, replicates: int, groups: Sequence[str] = (), columns: Sequence[str] = BOOTSTRAP_METRICS, level: float = 0.95) -> DataFrame:
+    """Per group and metric: value of the sample (replicate 0), percentile interval, and replicates without a value."""
     lo = (1 - level) / 2
-    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("v")) for c in columns])).alias("x")
-    g = metrics.select(*groups, cells).groupBy(*groups, "x.metric").agg(F.percentile("x.v", F.lit(lo)).alias("low"), F.percentile("x.v", F.lit(1 - lo)).alias("high"), F.avg("x.v").alias("mean"), F.count("x.v").alias("done"))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("all_v"), F.when(F.col("replicate") > 0, F.col(c)).alias("v")) for c in columns])).alias("x")
+    g = metrics.select(*groups, "replicate", cells).groupBy(*groups, "x.metric").agg(
+        F.max(F.when(F.col("replicate") == 0, F.col("x.all_v"))).alias("point"), F.percentile("x.v", F.lit(lo)).alias("low"), F.percentile("x.v", F.lit(1 - lo)).alias("high"), F.avg("x.v").alias("mean"), F.count("x.v").alias("done"))
     return g.withColumn("failed", F.lit(replicates) - F.col("done")).drop("done")
 
 
+def bootstrap_slices(members: DataFrame, scored: DataFrame, key: str, low: tuple[int, int, int] = (75, 8, 20)) -> DataFrame:
+    """slice ('id=label'), y, p of the rows of every supported slice that has the positives and negatives of the gate."""
+    x = members.join(scored, key).select(F.concat_ws("=", "slice_id", "label").alias("slice"), "y", "p")
+    n = x.groupBy(F.col("slice").alias("s")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("y") == 1).alias("positives"), F.count_if(F.col("y") == 0).alias("negatives"))
+    kept = n.filter((F.col("rows") >= low[0]) & (F.col("positives") >= low[1]) & (F.col("negatives") >= low[2]))
+    return x.join(kept, F.col("slice") == F.col("s"), "left_semi")
+
+
 def error_cohorts(scored: DataFrame, threshold: float, y: str = "y", p: str = "p") -> DataFrame:
     """Adds outcome (TP, FP, FN, TN) and margin to the threshold."""
     hit, pos = F.col(p) >= threshold, F.col(y) == 1

@@ -140,18 +140,21 @@ def i12(spark: SparkSession, d: str) -> DataFrame:
     return R.bootstrap_weights(parts(spark, d)[1].filter("claim_key % 5 = 0"), "claim_key", 20)
 
 
+@query("i12_bootstrap_weights_all")
+def i12_all(spark: SparkSession, d: str) -> DataFrame:
+    """The weights of all rows and all replicates; i12_bootstrap_weights has those of a fifth, 20 times, for its SQL."""
+    return R.bootstrap_weights(parts(spark, d)[1], "claim_key", 2000)
+
+
 @query("i12_bootstrap_ci")
 def i12_ci(spark: SparkSession, d: str) -> DataFrame:
-    s = parts(spark, d)[1].filter("claim_key % 5 = 0").select("claim_key", "y", "p")
-    return rounded(R.bootstrap_ci(R.bootstrap_metrics(s, "claim_key", 100), 100))
+    return rounded(R.bootstrap_ci(R.bootstrap_metrics(parts(spark, d)[1], 2000, 0.4), 2000))
 
 
 @query("i13_slice_bootstrap")
 def i13(spark: SparkSession, d: str) -> DataFrame:
-    s = parts(spark, d)[1].select("claim_key", "y", "p")
-    x = slices(spark, d).filter("slice_id in ('level', 'third')").join(s, "claim_key").withColumn("slice", F.concat_ws("=", "slice_id", "label"))
-    m = R.bootstrap_metrics(x.select("slice", "claim_key", "y", "p"), "claim_key", 20, ["slice"])
-    return rounded(R.bootstrap_ci(m, 20, ["slice"]))
+    x = R.bootstrap_slices(slices(spark, d), parts(spark, d)[1].select("claim_key", "y", "p"), "claim_key")
+    return rounded(R.bootstrap_ci(R.bootstrap_metrics(x, 1000, 0.4, ["slice"]), 1000, ["slice"]))
 
 
 _ERR = "err AS (SELECT *, CASE WHEN p >= 0.4 AND y = 1 THEN 'TP' WHEN p >= 0.4 THEN 'FP' WHEN y = 1 THEN 'FN' ELSE 'TN' END AS outcome, abs(p - 0.4) AS margin FROM other)"
