@@ -126,6 +126,18 @@ def h17(spark: SparkSession, d: str) -> DataFrame:
     return rounded(M.support_status(M.ranking_metrics(s, ["priority"]), 10, 3, 4))
 
 
+_GRAINS = "s2 AS (SELECT y, p, 'month' AS grain, strftime(claim_date, '%Y-%m') AS period FROM scored UNION ALL SELECT y, p, 'day', strftime(claim_date, '%Y-%m-%d') FROM scored)"
+
+
+@query("h17_support_status_all", f"""{ctes(ANCHORS, SCORED)}, {_GRAINS}, {_rank('grain, period').replace('FROM scored', 'FROM s2')}
+SELECT * REPLACE (CASE WHEN positives > 0 AND positives < rows THEN average_precision END AS average_precision, CASE WHEN positives > 0 AND positives < rows THEN roc_auc END AS roc_auc, CASE WHEN positives > 0 AND positives < rows THEN pr_auc END AS pr_auc), CASE WHEN rows < 75 OR positives < 5 OR rows - positives < 20 THEN 'LOW_SUPPORT' ELSE 'SUPPORTED' END AS support FROM r""")
+def h17_all(spark: SparkSession, d: str) -> DataFrame:
+    """All scored rows by month and by day, with the default gates; h17_support_status has one row in twenty, for its SQL."""
+    grains = F.explode(F.array(*[F.struct(F.lit(n).alias("grain"), F.date_format("claim_date", f).alias("period")) for n, f in (("month", "yyyy-MM"), ("day", "yyyy-MM-dd"))])).alias("g")
+    s = scored(spark, d).select("y", "p", grains).select("y", "p", "g.*")
+    return rounded(M.support_status(M.ranking_metrics(s, ["grain", "period"])))
+
+
 @query("h18_fold_metrics", f"""{ctes(ANCHORS, SCORED)}, {_rank('fold')} SELECT count(*) AS folds, {', '.join(f"round({f}({c}), 5) AS {c}_{n}" for c in ("average_precision", "roc_auc") for n, f in (("mean", "avg"), ("min", "min"), ("max", "max"), ("std", "stddev_pop")))} FROM r""")
 def h18(spark: SparkSession, d: str) -> DataFrame:
     per = rounded(M.ranking_metrics(scored(spark, d), ["fold"]))

@@ -61,3 +61,13 @@ def test_bootstrap_takes_every_supported_slice(spark):
     got = QUERIES["i13_slice_bootstrap"](spark, DATA).collect()
     assert {r.slice for r in got} == want and len(want) < len(labels) and {k.split("=")[0] for k in want} > {"level", "third"}
     assert len(got) == 10 * len(want)
+
+
+def test_support_counts_every_row(spark):
+    rows = QUERIES["h17_support_status_all"](spark, DATA).collect()
+    n = spark.read.parquet(f"{DATA}/orders.parquet").count()
+    assert [sum(r.rows for r in rows if r.grain == g) for g in ("month", "day")] == [n, n]
+    for r in rows:
+        assert r.support == ("LOW_SUPPORT" if r.rows < 75 or r.positives < 5 or r.rows - r.positives < 20 else "SUPPORTED")
+        assert (r.average_precision is None) == (r.positives in (0, r.rows))
+    assert any(r.average_precision is None for r in rows) and any(r.average_precision is not None for r in rows)
