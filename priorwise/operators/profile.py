@@ -6,7 +6,7 @@ serves them all.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -295,9 +295,9 @@ def leakage_diagnostics(df: DataFrame, target: str, numeric: Sequence[str], cate
     return association_table(df, target, numeric, categorical).join(missingness_by_target(df, target, [*numeric, *categorical]), "field")
 
 
-def text_audit(df: DataFrame, text: str, target: str, words: Sequence[str], leak_at: float = 0.8) -> DataFrame:
+def text_audit(df: DataFrame, text: str, target: str, words: Sequence[str], leak_at: float = 0.8, normalize: Callable[[Column], Column] = normalize_space) -> DataFrame:
     """One row: normalised distinct texts, repeats, outcome-word rate per class, pure and mixed groups, and a leak flag."""
-    norm = normalize_space(F.col(text))
+    norm = normalize(F.col(text))
     marked = df.select(F.col(target).alias("y"), norm.alias("t")).filter("t <> ''").withColumn("w", reduce(lambda a, b: a | b, [F.contains(F.col("t"), F.lit(w)) for w in words]))
     g = marked.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.max("w").alias("w"))
     n, p, q, w = (F.col(c) for c in "npqw")

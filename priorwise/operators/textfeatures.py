@@ -27,6 +27,12 @@ def normalize_description(text: pd.Series) -> pd.Series:
     return text.map(one, na_action="ignore").astype(object).where(text.notna(), None)
 
 
+@F.pandas_udf(StringType())
+def fold_space(text: pd.Series) -> pd.Series:
+    """White space trimmed and collapsed, case folded, in any script; null becomes empty."""
+    return text.map(lambda t: " ".join(t.split()).casefold(), na_action="ignore").astype(object).where(text.notna(), "")
+
+
 def historical_documents(bridge: DataFrame, key: str, text: str, windows: Mapping[str, int | None] = TEXT_WINDOWS) -> DataFrame:
     """Per anchor and window the earlier texts by (date, key), joined; repeats stay, none is null.
 

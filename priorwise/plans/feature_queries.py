@@ -296,6 +296,13 @@ def f_normalize(spark: SparkSession, d: str) -> DataFrame:
     return t.filter(~F.col("t").rlike(r"[^\x00-\x7f]")).select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
 
 
+@query("f01_normalize_description_all")
+def f_normalize_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every document; f01_normalize_description has the English ones in ASCII, for its SQL."""
+    t = table(spark, d, "documents").select("doc_id", T.normalize_description("text").alias("t"))
+    return t.select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
+
+
 @query("f02_tokens", r"SELECT p_partkey, len(regexp_extract_all(p_name, '[\p{L}\p{N}]+')) AS n_tokens, array_to_string(regexp_extract_all(p_name, '[\p{L}\p{N}]+'), '|') AS tokens FROM part")
 def f_tokens(spark: SparkSession, d: str) -> DataFrame:
     from priorwise.functions.exprs import tokens

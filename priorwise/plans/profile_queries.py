@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from priorwise.functions.exprs import normalize_space
-from priorwise.operators import keys as K, profile as P
+from priorwise.operators import keys as K, profile as P, textfeatures as T
 
 from .bindings import ANCHORS, INSTALLS, LINES, MONTHS, anchors, ctes, installs, lines, months, table
 from .feature_queries import rounded
@@ -55,6 +55,12 @@ def c05(spark: SparkSession, d: str) -> DataFrame:
     return b.select("item_id", normalize_space(F.col("text")).alias("t"))
 
 
+@query("c05_normalize_ws_all")
+def c05_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every item; c05_normalize_ws has those in ASCII, for its SQL."""
+    return table(spark, d, "benchmark").select("item_id", T.fold_space("text").alias("t"))
+
+
 @query("c06_profile_other", f"{ctes(LINES)} SELECT 'returned' AS field, count(DISTINCT returned) AS distinct_values FROM lines UNION ALL SELECT 'line_status', count(DISTINCT line_status) FROM lines")
 def c06(spark: SparkSession, d: str) -> DataFrame:
     return P.profile_other(lines(spark, d), ["returned", "line_status"])
@@ -112,6 +118,12 @@ def c14(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.association_table(anchors(spark, d), "target", ["total_cents", "entity_key"], ["priority", "entity_key", "claim_key"], ["claim_key"]).filter("not (method = 'cramers_v' and field = 'entity_key')"))
 
 
+@query("c11_c12_c14_association_all", f"{ctes(ANCHORS, _PB, _CV)} SELECT field, 'point_biserial' AS method, association + 0.0 AS association FROM pb UNION ALL SELECT field, 'cramers_v', association + 0.0 FROM cv")
+def c14_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every field; c11_c12_c14_association leaves out Cramer's V of entity_key."""
+    return rounded(P.association_table(anchors(spark, d), "target", ["total_cents", "entity_key"], ["priority", "entity_key", "claim_key"], ["claim_key"]))
+
+
 @query("c13_target_rate_range", f"{ctes(ANCHORS)} SELECT 'priority' AS field, round(min(r), 6) AS min_rate_pct, round(max(r), 6) AS max_rate_pct FROM (SELECT priority, 100.0 * avg(target) AS r FROM anchors GROUP BY 1)")
 def c13(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.target_rate_range(anchors(spark, d), "target", ["priority"]))
@@ -256,6 +268,12 @@ def c33(spark: SparkSession, d: str) -> DataFrame:
     return rounded(P.text_audit(t, "text", "quality", ["the", "$$$"]))
 
 
+@query("c33_text_audit_all")
+def c33_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every labelled document; c33_text_audit has the English ones in ASCII, for its SQL."""
+    return rounded(P.text_audit(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id"), "text", "quality", ["the", "$$$"], normalize=T.fold_space))
+
+
 @query("c34_findings_rollup", f"""{ctes(ANCHORS, LINES)} SELECT CASE WHEN dup > 0 THEN 'BLOCKED' WHEN late > 0 THEN 'READY WITH WARNINGS' ELSE 'READY' END AS status, CAST(dup > 0 AS INTEGER) + CAST(late > 0 AS INTEGER) AS findings FROM
 (SELECT (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1)) AS dup, (SELECT count(*) FROM lines JOIN anchors ON order_key = claim_key WHERE claim_date > event_date) AS late)""")
 def c34(spark: SparkSession, d: str) -> DataFrame:
