@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from priorwise.functions.exprs import logit
@@ -100,11 +100,17 @@ def isotonic_eligible(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     return df.agg(F.count_if(F.col(y) == 1).alias("positives"), F.count_if(F.col(y) == 0).alias("negatives"), F.count_distinct(p).alias("distinct_scores")).withColumn("eligible", (F.col("positives") >= 20) & (F.col("negatives") >= 100) & (F.col("distinct_scores") >= 50))
 
 
-def fit_isotonic(df: DataFrame, y: str = "y", p: str = "p") -> list[tuple[float, float]]:
-    """Breakpoints (p, calibrated) of an isotonic fit."""
-    x = df.select(F.col(p).cast("double").alias("features"), F.col(y).cast("double").alias("label"))
-    m = IsotonicRegression(isotonic=True).fit(x)
-    return list(zip(map(float, m.boundaries), map(float, m.predictions), strict=True))
+def fit_isotonic(df: DataFrame, y: str = "y", p: str = "p") -> IsotonicRegressionModel:
+    """Isotonic fit of the exact scores; equal scores are one point of their weight."""
+    x = df.groupBy(F.col(p).cast("double").alias("features")).agg(F.avg(F.col(y).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+    return IsotonicRegression(isotonic=True, weightCol="weight").fit(x)
+
+
+def calibrate_isotonic(df: DataFrame, model: IsotonicRegressionModel, p: str = "p") -> DataFrame:
+    """p calibrated by the model itself: interpolated between breakpoints, flat outside, kept within 0 and 1; null stays null."""
+    some = model.transform(df.filter(F.col(p).isNotNull()).withColumn("features", F.col(p).cast("double")))
+    some = some.withColumn(p, F.least(F.greatest("prediction", F.lit(0.0)), F.lit(1.0))).select(*df.columns)
+    return some.unionByName(df.filter(F.col(p).isNull()))
 
 
 def apply_isotonic(p: Column, points: Sequence[tuple[float, float]]) -> Column:

@@ -282,8 +282,7 @@ def g09(spark: SparkSession, d: str) -> DataFrame:
 def g11(spark: SparkSession, d: str) -> DataFrame:
     """Isotonic calibration fitted on train, and its metrics on the rest."""
     a, b = parts(spark, d)
-    points = G.fit_isotonic(a.withColumn("p", F.round("p", 2)))
-    return rounded(M.ranking_metrics(b.withColumn("p", G.apply_isotonic(F.col("p"), points))), 4)
+    return rounded(M.ranking_metrics(G.calibrate_isotonic(b, G.fit_isotonic(a))), 4)
 
 
 @query("g10_apply_sigmoid", f"{_P} SELECT claim_key, round(1 / (1 + exp(-(1.5 * ln(p / (1 - p)) - 0.25))), 6) AS p FROM other")

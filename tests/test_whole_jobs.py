@@ -108,3 +108,21 @@ def test_text_audit_takes_every_labelled_text(spark):
 
 def test_association_has_every_field(spark):
     assert {(r.field, r.method) for r in QUERIES["c11_c12_c14_association_all"](spark, DATA).collect()} == {(f, "point_biserial") for f in ("total_cents", "entity_key")} | {(f, "cramers_v") for f in ("priority", "entity_key")}
+
+
+def test_isotonic_fits_exact_scores(spark):
+    a, b = (np.array([(r.p, r.y) for r in x.select("p", "y").collect()]) for x in Q.parts(spark, DATA))
+    xs, at, n = np.unique(a[:, 0], return_inverse=True, return_counts=True)
+    assert len(xs) > 101
+    blocks = []
+    for x, mean, w in zip(xs, np.bincount(at, a[:, 1]) / n, n):
+        blocks.append([mean, w, [x]])
+        while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
+            v, m, c = blocks.pop()
+            u = blocks[-1]
+            blocks[-1] = [(u[0] * u[1] + v * m) / (u[1] + m), u[1] + m, u[2] + c]
+    ys = np.concatenate([np.full(len(c), v) for v, _, c in blocks])
+    q = np.interp(b[:, 0], xs, ys)
+    r = QUERIES["g09_g11_isotonic"](spark, DATA).first()
+    assert r.rows == len(b)
+    assert (r.brier, r.mean_p) == pytest.approx((np.mean((q - b[:, 1]) ** 2), q.mean()), abs=6e-5)
