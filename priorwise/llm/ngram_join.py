@@ -1,11 +1,11 @@
-"""N-gram Jaccard join by T-occurrence search with DivideSkip.
+"""N-gram Jaccard join by a prefix filter and verification of pairs.
 
 Two texts whose sets of word shingles have Jaccard similarity of at least 4/5
 share at least T = ceil(4/5 * size) shingles, for the size of either.  Of a
-text's inverted lists, DivideSkip sets the longest T - 1 aside: whatever
-reaches T occurrences is in at least one of the other, short lists.  Those are
-merged; the long lists are never read as lists but probed by binary search for
-the candidates that the merge yields.
+text's inverted lists, the longest T - 1 are set aside (the prefix filter):
+whatever reaches T occurrences is in at least one of the other, short lists.
+Those yield candidates; occurrences are not counted in them, the long lists are
+not built, and each candidate pair is verified on its two whole sets.
 
 1.  Lists are measured: every shingle is counted over all texts, and a bounded
     table holds, per slot of the hash, how long the longest list is, in four
