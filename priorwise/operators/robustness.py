@@ -184,11 +184,14 @@ def bootstrap_weights(scored: DataFrame, key: str, replicates: int, groups: Sequ
 
     Every replicate draws as many rows of each class as there are.  Draw i of
     replicate r takes the row whose place in its stratum is the hash of (seed,
-    r, class, i) modulo the stratum's size, so runs and engines agree.
+    r, class, i) modulo the stratum's size, so runs and engines agree.  Places
+    are taken over even ranges of the numeric key, not in one task a stratum.
     """
     strata = [*groups, y]
-    n = F.count(F.lit(1)).over(Window.partitionBy(*strata))
-    x = scored.select(*groups, key, F.col(y)).withColumns({"i": F.row_number().over(Window.partitionBy(*strata).orderBy(key)) - 1, "n": n})
+    ends = scored.agg(F.min(key).alias("__min"), F.max(key).alias("__max"))
+    cell = F.floor((F.col(key) - F.col("__min")) * float(CELLS) / (F.col("__max") - F.col("__min") + 1))
+    x = global_place(scored.select(*groups, key, F.col(y)).crossJoin(F.broadcast(ends)), [F.col(key)], cell, strata)
+    x = x.select(*groups, key, F.col(y), F.col("place").alias("i"), F.col("total").alias("n"))
     draws = x.select(*groups, F.col(y).alias("y"), "i", "n", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate"))
     text = F.concat_ws(":", F.lit(str(seed)), "replicate", *groups, "y", "i")
     at = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long") % F.col("n")

@@ -126,3 +126,13 @@ def test_isotonic_fits_exact_scores(spark):
     r = QUERIES["g09_g11_isotonic"](spark, DATA).first()
     assert r.rows == len(b)
     assert (r.brier, r.mean_p) == pytest.approx((np.mean((q - b[:, 1]) ** 2), q.mean()), abs=6e-5)
+
+
+def test_bootstrap_places_are_not_taken_in_one_task_a_class(spark):
+    df = spark.createDataFrame([(k, int(k % 3 == 0), 0.5) for k in range(7, 3000, 7)], "k long, y int, p double")
+    w = R.bootstrap_weights(df, "k", 2)
+    plan = w._jdf.queryExecution().optimizedPlan().toString()
+    spec = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)
+    assert spec and all("__c#" in s for s in spec)
+    n = df.count()
+    assert {r["sum(weight)"] for r in w.groupBy("replicate").sum("weight").collect()} == {n}
