@@ -135,12 +135,48 @@ def test_hash_tree_moves_only_into_the_new_shard(spark, n):
     assert abs(sum(r.b == n for r in x) - 3000 / (n + 1)) < 5 * math.sqrt(3000 / (n + 1))
 
 
-def test_hash_tree_weights_confine_movement(spark):
-    before, after = [1.0] * 24, [1.0] * 24
-    after[6] = 3.0
-    x = spark.range(4000).select(hash_tree.tree_shard(F.col("id"), 24, before).alias("a"), hash_tree.tree_shard(F.col("id"), 24, after).alias("b")).collect()
-    assert all(r.b in (r.a, 6) for r in x)
-    assert 300 < sum(r.b == 6 for r in x) < 620  # 4000 * 3 / 26
+@pytest.mark.parametrize("weight", [3.0, 0.25])
+def test_hash_tree_weights_confine_movement_level_by_level(spark, weight):
+    before, after = [1.0] * 48, [1.0] * 48
+    after[26] = weight  # rack 6, region 1
+    x = spark.range(6000).select(hash_tree.tree_shard(F.col("id"), 48, before).alias("a"), hash_tree.tree_shard(F.col("id"), 48, after).alias("b")).collect()
+    moved = 0
+    for r in x:
+        a, b = (r.a, r.b) if weight > 1 else (r.b, r.a)
+        moved += a != b
+        if a // 20 != b // 20:
+            assert b // 20 == 1
+        elif a // 4 != b // 4:
+            assert b // 4 == 6
+        elif a != b:
+            assert b == 26
+    assert 0 < moved < 1500
+    share = sum(r.b == 26 for r in x) / len(x)
+    assert share == pytest.approx(weight / (47 + weight), rel=0.3)
+
+
+@pytest.mark.parametrize("n", [3, 19, 20, 41, 50])
+def test_hash_tree_against_every_leaf(spark, n):
+    """Each leaf's draw from the top down; the tree must reach the least of those that exist."""
+    rng = random.Random(n)
+    weights = [rng.choice([0.5, 1.0, 2.0]) for _ in range(n)]
+    regions = -(-n // 20)
+    leaf = weights + [1.0] * (regions * 20 - n)
+    rack = [sum(leaf[i : i + 4]) for i in range(0, len(leaf), 4)]
+    whole = [sum(leaf[i : i + 20]) for i in range(0, len(leaf), 20)]
+    key = F.col("id").cast("string")
+    hashes = [F.array(*[F.xxhash64(key, F.lit(level), F.lit(i)) for i in range(len(w))]) for level, w in enumerate((whole, rack, leaf))]
+    for r in spark.range(300).select(hash_tree.tree_shard(F.col("id"), n, weights).alias("got"), *[h.alias(f"h{k}") for k, h in enumerate(hashes)]).collect():
+        own = [[-math.log(((h % 2**64 >> 11) + 0.5) / 2**53) / w for h, w in zip(hs, ws, strict=True)] for hs, ws in ((r.h0, whole), (r.h1, rack), (r.h2, leaf))]
+        racks = [own[0][i // 5] + (d - min(own[1][i // 5 * 5 : i // 5 * 5 + 5])) for i, d in enumerate(own[1])]
+        leaves = [racks[i // 4] + (d - min(own[2][i // 4 * 4 : i // 4 * 4 + 4])) for i, d in enumerate(own[2])]
+        assert r.got == min(range(n), key=leaves.__getitem__)
+
+
+def test_hash_tree_spreads_rows_without_identifier(spark):
+    rows = spark.createDataFrame([(None, "same")] * 400, "doc_id long, text string").repartition(4)
+    got = hash_tree.shard_documents(rows).collect()
+    assert sorted(r.slot for r in got) == list(range(400)) and len({r.shard for r in got}) == 1
 
 
 # --- 4
