@@ -129,7 +129,8 @@ ORACLES = {
     """,
     "op4_mixing": r"""
         WITH RECURSIVE d AS (
-          SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+          SELECT *, length(bin(size)) AS class, ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT >> 40 AS cell
+          FROM (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents)
         ), s AS (
           SELECT source, sum(size)::BIGINT AS source_size,
                  ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight,
@@ -147,10 +148,30 @@ ORACLES = {
           FROM l
         ), r AS (
           SELECT source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t
+        ), h AS (
+          SELECT source, class, cell, sum(size) AS words FROM d WHERE size > 0 GROUP BY ALL
+        ), u AS (
+          SELECT source, class, cell, (sum(words) OVER w)::BIGINT AS upto, (sum(words) OVER w - words)::BIGINT AS before,
+                 (sum(words) OVER (PARTITION BY source, class))::BIGINT AS total
+          FROM h WINDOW w AS (PARTITION BY source, class ORDER BY cell)
+        ), k AS (
+          SELECT source, class, any_value(total) AS total, row_number() OVER (PARTITION BY source ORDER BY class DESC) AS place,
+                 ('0x' || substr(md5('17:' || class || ':' || coalesce(source, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS draw
+          FROM u GROUP BY source, class
+        ), cuts AS (
+          SELECT source, 0::BIGINT AS place, 0 AS class, 0.0::DOUBLE AS carry, NULL::BIGINT AS cut, rate - floor(rate) AS part FROM r
+          UNION ALL
+          SELECT x.source, x.place, x.class,
+                 want - CASE WHEN want < 0 THEN 0 WHEN u.cell IS NULL THEN x.total WHEN draw < (want - u.before) / (u.upto - u.before) THEN u.upto ELSE u.before END,
+                 CASE WHEN want < 0 THEN 0 WHEN u.cell IS NULL THEN 4096 WHEN draw < (want - u.before) / (u.upto - u.before) THEN u.cell + 1 ELSE u.cell END,
+                 part
+          FROM (SELECT k.*, c.part, c.part * k.total + c.carry AS want
+                FROM cuts c JOIN k ON k.source IS NOT DISTINCT FROM c.source AND k.place = c.place + 1) x
+          LEFT JOIN u ON u.source IS NOT DISTINCT FROM x.source AND u.class = x.class AND u.before <= x.want AND x.want < u.upto
         )
         SELECT d.doc_id, d.size, r.source_size, r.target,
-               (d.size * (floor(rate) + CASE WHEN ('0x' || substr(md5('17:' || d.doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0
-                                             < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+               (d.size * (floor(rate) + CASE WHEN d.cell < cut THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+        LEFT JOIN cuts ON cuts.source IS NOT DISTINCT FROM d.source AND cuts.class = d.class
     """,
 }

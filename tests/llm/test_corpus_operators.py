@@ -194,23 +194,68 @@ def brute_targets(sizes):
         capped |= over
 
 
+def seeded(text):
+    return int(hashlib.md5(text.encode()).hexdigest()[:13], 16)
+
+
+def brute_mix(rows, seed=17):
+    """(doc_id, text, ..., source at 3) rows to (doc_id, size, source_size, target, taken), worked out source by source."""
+    name = lambda x: "null" if x is None else str(x)
+    cell = lambda d: seeded(f"{seed}:{name(d)}") >> 40
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r[3]].append((r[0], len(words(r[1]))))
+    sizes = {k: sum(n for _, n in v) for k, v in by_source.items()}
+    target = brute_targets(sizes)
+    out = Counter()
+    for source, members in by_source.items():
+        rate = target[source] / sizes[source] if sizes[source] else 0.0
+        part, carry, cuts = rate - math.floor(rate), 0.0, {}
+        for c in sorted({n.bit_length() for _, n in members if n}, reverse=True):
+            hist = Counter()
+            for d, n in members:
+                if n.bit_length() == c:
+                    hist[cell(d)] += n
+            want, before = part * sum(hist.values()) + carry, 0
+            cut, taken = (0, 0) if want < 0 else (4096, sum(hist.values()))
+            for x in sorted(hist) if want >= 0 else []:
+                if before <= want < before + hist[x]:
+                    more = seeded(f"{seed}:{c}:{name(source)}") / 2**52 < (want - before) / hist[x]
+                    cut, taken = x + more, before + more * hist[x]
+                before += hist[x]
+            cuts[c], carry = cut, want - taken
+        for d, n in members:
+            out[d, n, sizes[source], round(target[source], 6), n * (math.floor(rate) + (n > 0 and cell(d) < cuts[n.bit_length()]))] += 1
+    return out
+
+
 def test_mixing(docs, empty):
     got = mixing.mix_plan(docs).collect()
-    sizes = Counter()
-    for r in ROWS:
-        sizes[r[3]] += len(words(r[1]))
-    target = brute_targets(sizes)
-    assert len(got) == len(ROWS)
-    for r in got:
-        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
-        rate = r.target / r.source_size
-        u = int(hashlib.md5(f"17:{'null' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:13], 16) / 2**52
-        assert r.taken == r.size * (math.floor(rate) + (u < rate - math.floor(rate))) <= 3 * r.size
+    assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in got) == brute_mix(ROWS)
+    assert all(r.taken <= 3 * r.size for r in got)
     assert mixing.mix_plan(empty).count() == 0
     again = Counter((r.doc_id, r.taken) for r in mixing.mix_plan(docs.repartition(3)).collect())
     assert again == Counter((r.doc_id, r.taken) for r in got)
 
 
+def test_mixing_comes_near_its_targets(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for r in mixing.mix_plan(d).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r.taken / r.target - 1) < 0.02
+
+
+def test_mixing_draws_each_document_at_its_rate(spark):
+    """Over many sources alike a document of each size is taken as often as the rate says."""
+    kinds = (900, 700, 30, 5)
+    rows = [(4 * j + k, "w " * n, f"s{j:03d}") for j in range(240) for k, n in enumerate(kinds)]
+    total, rate = defaultdict(list), {}
+    for r in mixing.mix_plan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        total[r.doc_id // 4 % 3, r.size].append(r.taken / r.size)
+        rate[r.doc_id // 4 % 3] = r.target / r.source_size
+    for (weight, _), taken in total.items():
+        assert len(taken) == 80 and abs(np.mean(taken) - rate[weight]) < 0.2
+
+
 def test_mixing_emits_rows(docs, empty):
     plan = Counter()
     for r in mixing.mix_plan(docs).collect():
@@ -219,6 +264,9 @@ def test_mixing_emits_rows(docs, empty):
     assert out.schema.names == docs.schema.names
     assert Counter(r.doc_id for r in out.collect()) == +plan
     assert mixing.mix_documents(empty).count() == 0
+    clashing = docs.selectExpr("*", "1 as __rate", "2 as __of", "3 as __n", "4 as c0", "5 as copy", "6 as rate", "7 as cuts", "8 as of")
+    assert mixing.mix_documents(clashing).columns == clashing.columns
+    assert Counter(r.doc_id for r in mixing.mix_documents(clashing).collect()) == +plan
 
 
 def test_mixing_ceilings_cascade(spark):
