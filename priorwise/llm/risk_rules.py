@@ -1,13 +1,19 @@
 """Quality rules with risk-controlled cutoffs.
 
-A rule rejects a text whose ratio exceeds a cutoff.  For each stratum (by
-default the language) the labelled rows are a holdout: a cutoff is admissible
-when an exact binomial test shows that it rejects at most ``RISK`` of the good
-texts.  Cutoffs of a rule are tested from lenient to strict on a grid that is
-fixed beforehand, stopping at the first that fails, so a rule costs one error
-level; the levels of all rules and strata share ``ERROR`` by Bonferroni.  The
-strictest admissible cutoff is used; where none is (too few labels), the rule
-rejects nothing in that stratum.
+A rule rejects a text whose ratio exceeds a cutoff of a grid fixed beforehand.
+A third of the labels (by identifier) orders the cutoffs of all rules into one
+ladder, those first that reject the most bad texts for each good one; a cutoff
+that does not pay is left out.  The other labels are the holdout, which the
+ladder has not seen.
+
+For each stratum (by default the language) the rungs are tried in order.  After
+each, an exact binomial test on the stratum's good holdout texts must show that
+all rules so far together reject at most ``RISK`` of them; the first rung that
+fails ends the stratum's ladder.  As the order is fixed, a stratum costs one
+error level, however many rules and cutoffs it tries; the levels of the strata
+and of the pool share ``ERROR`` by Bonferroni.  A stratum with too few good
+labels to prove even a ladder that rejects none of them uses the cutoffs of the
+pool of all strata, whose promise holds for all of them together.
 """
 
 from __future__ import annotations
@@ -21,16 +27,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .scratch import materialize
 from .text_stats import text_counts
 
-#: A rule may reject this share of a stratum's good texts.
-RISK = 0.005
-#: Chance that any cutoff of any rule and stratum breaks its promise.
+#: All rules together may reject this share of a stratum's good texts.
+RISK = 0.03
+#: Chance that the promise breaks in any stratum or in the pool.
 ERROR = 0.05
 #: Cutoffs from lenient to strict.
 GRID = tuple(float(f"{x:.4g}") for x in np.geomspace(4.0, 0.005, 60))
+#: Bad texts that a rung must reject for each good one, half a good one added.
+WORTH = 5.0
 MIN_WORDS = 50
 
 
-
 def _ratios() -> dict[str, Column]:
     def ratio(part: Column, of: Column) -> Column:
         return F.when(of > 0, part / of).otherwise(0.0)
@@ -74,37 +81,94 @@ def admissible(rejected: np.ndarray, n: int, level: float, risk: float = RISK) -
     return best
 
 
+def build_ladder(bad: dict[str, np.ndarray], good: dict[str, np.ndarray], worth: float = WORTH) -> list[tuple[str, int]]:
+    """(rule, place in the grid) in the order in which they are tried.
+
+    ``bad`` and ``good`` count, per rule, the tuning texts that each cutoff is
+    the first to reject.  Of a rule the steepest stretch of cutoffs comes first,
+    then the steepest of the rest; ties go to the stretch that rejects more,
+    then to the rule named first.
+    """
+    rungs = []
+    for rule in bad:
+        b, g, at, steepest = np.cumsum(bad[rule]), np.cumsum(good[rule]), -1, np.inf
+        while at + 1 < len(b):
+            more_b = b[at + 1 :] - (b[at] if at >= 0 else 0)
+            more_g = g[at + 1 :] - (g[at] if at >= 0 else 0)
+            value = more_b / (more_g + 0.5)
+            best = int(np.lexsort((np.arange(len(value)), -more_b, -value))[0])
+            steepest = min(steepest, float(value[best]))
+            if steepest < worth:
+                break
+            at += 1 + best
+            rungs.append((-steepest, -int(more_b[best]), len(rungs), rule, at))
+    # a rule's own rungs keep their order, as their steepness never rises
+    return [(rule, at) for *_, rule, at in sorted(rungs, key=lambda r: (r[0], r[2]))]
+
+
+def tuning(id_col: Column) -> Column:
+    """True for the third of the identifiers whose labels order the ladder."""
+    return F.coalesce(F.crc32(id_col.cast("string")) % 3 == 0, F.lit(False))
+
+
+def cutoffs_of(rules: list[str], ladder: list[tuple[str, int]], last: int) -> dict[str, float | None]:
+    """Each rule's strictest cutoff among the rungs up to ``last``; None where it has none."""
+    at = dict.fromkeys(rules, -1)
+    for rule, place in ladder[: last + 1]:
+        at[rule] = max(at[rule], place)
+    return {rule: GRID[place] if place >= 0 else None for rule, place in at.items()}
+
+
 def learn_cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """stratum and a cutoff per rule (null: the rule is off).
+    """stratum, a cutoff per rule (null: the rule is off) and pooled.
 
     ``counts`` holds id, stratum and the counts of every text; ``labels`` id and
-    quality.  Good texts are those of quality 1 that pass the base rule.
+    quality (of contradicting ones the lower holds).  Good texts are those of
+    quality 1; only texts that pass the base rule count.  Every stratum of
+    ``counts`` has a row.
     """
     rules = _ratios()
-    good = labels.filter("quality = 1").select(F.col(id_col).alias("__label")).distinct()
-    rows = counts.filter(~base_failed()).join(good, F.col(id_col) == F.col("__label"), "left_semi")
-    # the strictest cutoff that keeps a text: its place in the grid, per rule
+    known = labels.filter(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__label")).agg(F.min("quality").alias("__quality"))
+    rows = counts.filter(~base_failed()).join(known, F.col(id_col) == F.col("__label"))
+    # the most lenient cutoff that rejects a text: its place in the grid, per rule
     cells = {r: F.lit(len(GRID)) - F.size(F.filter(F.array(*[F.lit(g) for g in GRID]), lambda g: g < x)) for r, x in rules.items()}  # noqa: B023
-    pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), x.alias("cell")) for r, x in cells.items()])).alias("p")
-    tallies = rows.select(F.col(stratum).alias("stratum"), pairs).select("stratum", "p.*").groupBy("stratum", "rule", "cell").agg(F.count(F.lit(1)).alias("n"))
-    tallies = materialize(tallies, "rule-tallies")
-    strata = tallies.select("stratum").distinct().agg(F.count(F.lit(1)).alias("n_strata"))
+    celled = materialize(rows.select(F.col(stratum).alias("stratum"), tuning(F.col(id_col)).alias("tuning"), F.col("__quality").alias("quality"), *[x.alias(f"cell_{r}") for r, x in cells.items()]), "rule-cells")
+    pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"cell_{r}").alias("cell")) for r in rules])).alias("p")
+    # at most two rows for each rule and cutoff
+    tallies = celled.filter("tuning").select("quality", pairs).groupBy("quality", "p.rule", "p.cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    seen = {q: {r: np.zeros(len(GRID)) for r in rules} for q in (0, 1)}
+    for row in tallies:
+        if row["cell"] < len(GRID):
+            seen[row["quality"]][row["rule"]][row["cell"]] = row["n"]
+    ladder = build_ladder(seen[0], seen[1])
+    never = len(ladder)
+    # the rung that first rejects a text of each cell
+    first = {r: [min((k for k, (rule, at) in enumerate(ladder) if rule == r and at >= c), default=never) for c in range(len(GRID) + 1)] for r in rules}
+    rung = F.least(*[F.get(F.array(*[F.lit(k) for k in first[r]]), F.col(f"cell_{r}")) for r in rules])
+    tried = celled.filter("not tuning and quality = 1").groupBy("stratum", rung.alias("rung")).agg(F.count(F.lit(1)).alias("n"))
+    tried = materialize(tried, "rule-tallies")
+    strata = materialize(counts.select(F.col(stratum).alias("stratum")).distinct(), "rule-strata")
+    level = error / (strata.count() + 1)
     names = list(rules)
 
+    def last_rung(rungs: np.ndarray, n: np.ndarray) -> int:
+        hist = np.bincount(rungs.astype(int), weights=n.astype(float), minlength=never + 1)
+        return admissible(np.cumsum(hist)[:never], int(hist.sum()), level, risk)
+
+    # at most one row a rung
+    pool = tried.groupBy("rung").agg(F.sum("n").alias("n")).toPandas()
+    pooled = last_rung(pool["rung"].to_numpy(), pool["n"].to_numpy())
+
     def choose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        level = error / (len(names) * max(1, int(pdf["n_strata"].iloc[0])))
-        row: dict = {"stratum": key[0]}
-        for name in names:
-            own = pdf[pdf["rule"] == name]
-            hist = np.bincount(own["cell"].astype(int), weights=own["n"].astype(float), minlength=len(GRID) + 1)
-            # a text in cell c is rejected by the cutoffs from place c on
-            rejected = np.cumsum(hist)[: len(GRID)]
-            best = admissible(rejected, int(hist.sum()), level, risk)
-            row[f"cut_{name}"] = GRID[best] if best >= 0 else None
-        return pd.DataFrame([row])
+        some = pdf[pdf["n"].notna()]
+        alone = binomial_tail(0, int(some["n"].sum()), risk) <= level
+        last = last_rung(some["rung"].to_numpy(), some["n"].to_numpy()) if alone else pooled
+        cuts = cutoffs_of(names, ladder, last)
+        return pd.DataFrame([{"stratum": key[0], **{f"cut_{r}": cuts[r] for r in cuts}, "pooled": not alone}])
 
-    ddl = "stratum string, " + ", ".join(f"cut_{r} double" for r in names)
-    return tallies.crossJoin(F.broadcast(strata)).groupBy("stratum").applyInPandas(choose, ddl)
+    ddl = "stratum string, " + ", ".join(f"cut_{r} double" for r in rules) + ", pooled boolean"
+    every = strata.join(tried.withColumnRenamed("stratum", "of"), F.col("stratum").eqNullSafe(F.col("of")), "left").select("stratum", "rung", "n")
+    return every.groupBy("stratum").applyInPandas(choose, ddl)
 
 
 def base_failed() -> Column:
@@ -115,9 +179,10 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_co
     """Per row of ``docs``: doc_id, the counts, base_failed, kept, rejected_by.
 
     A null text counts as empty and fails the base rule.  A null stratum is one
-    of its own; a stratum without good labels rejects by the base rule only.
-    Rows that repeat count as rows; repeated labels count once.  Other columns
-    are ignored; an empty table gives an empty result.
+    of its own; a stratum with too few good labels uses the cutoffs of the pool,
+    and where the pool has too few as well, the base rule alone decides.  Rows
+    that repeat count as rows; repeated labels count once.  Other columns are
+    ignored; an empty table gives an empty result.
     """
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), F.col(text_col).alias("text"))
     counts = materialize(text_counts(slim, ["doc_id", "stratum"]), "rule-counts")

@@ -395,8 +395,75 @@ def test_binomial_bounds():
     for n, p in ((1, 0.3), (7, 0.5), (40, 0.01)):
         exact = np.cumsum([math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(n + 1)])
         assert [risk_rules.binomial_tail(k, n, p) for k in range(n + 1)] == pytest.approx(exact.tolist())
-    assert risk_rules.admissible(np.zeros(60), 10, 0.01) == -1
-    assert risk_rules.admissible(np.array([0, 0, 1, 40, 0]), 4000, 0.01) == 2
+    assert risk_rules.admissible(np.zeros(60), 10, 0.01, 0.005) == -1
+    assert risk_rules.admissible(np.array([0, 0, 1, 40, 0]), 4000, 0.01, 0.005) == 2
+
+
+def plain_ratios(c):
+    over = lambda a, b: c[a] / c[b] if c[b] else 0.0
+    return [over("n_symbols", "word_chars"), over("n_dup_lines", "n_lines"), over("n_repeat_words", "n_words"), over("n_upper", "word_chars"), over("n_marks", "n_words"), over("n_digits", "word_chars"), over("n_stops", "n_words"), over("n_long_words", "n_words")]
+
+
+def plain_cutoffs(rows, risk=0.03, error=0.05, worth=5.0):
+    """rows of (id, stratum, ratios, base failed, quality or None) to {stratum: cutoffs per rule}."""
+    grid, n_rules = risk_rules.GRID, 8
+    known = [r for r in rows if r[4] is not None and not r[3]]
+    third = lambda d: zlib.crc32(str(d).encode()) % 3 == 0
+    tune, hold = [r for r in known if third(r[0])], [r for r in known if not third(r[0])]
+    rungs = []
+    for k in range(n_rules):
+        at, cap = -1, math.inf
+        while True:
+            best = None
+            for i in range(at + 1, len(grid)):
+                new = [r for r in tune if r[2][k] > grid[i] and (at < 0 or r[2][k] <= grid[at])]
+                bad = sum(r[4] == 0 for r in new)
+                value = bad / (len(new) - bad + 0.5)
+                if best is None or (value, bad) > best[:2]:
+                    best = (value, bad, i)
+            if best is None or min(cap, best[0]) < worth:
+                break
+            cap, at = min(cap, best[0]), best[2]
+            rungs.append((-cap, len(rungs), k, at))
+    ladder = [(k, i) for _, _, k, i in sorted(rungs)]
+    strata = {r[1] for r in rows}
+
+    def climb(good):
+        cuts = [None] * n_rules
+        trial = [None] * n_rules
+        for k, i in ladder:
+            trial[k] = i if trial[k] is None else max(trial[k], i)
+            lost = sum(any(c is not None and x > grid[c] for x, c in zip(r[2], trial, strict=True)) for r in good)
+            tail = sum(math.comb(len(good), j) * risk**j * (1 - risk) ** (len(good) - j) for j in range(lost + 1))
+            if lost >= risk * len(good) or tail > error / (len(strata) + 1):
+                break
+            cuts = list(trial)
+        return [None if c is None else grid[c] for c in cuts]
+
+    good = [r for r in hold if r[4] == 1]
+    out = {}
+    for s in strata:
+        own = [r for r in good if r[1] == s]
+        out[s] = climb(own if (1 - risk) ** len(own) <= error / (len(strata) + 1) else good)
+    return out
+
+
+def check_rules(spark, docs, labels, stratum="lang"):
+    counted = text_stats.text_counts(docs.select("doc_id", stratum, "text"), ["doc_id", stratum]).collect()
+    quality = {}
+    for r in labels.collect():
+        quality[r.doc_id] = min(r.quality, quality.get(r.doc_id, 1))
+    quality.pop(None, None)
+    rows = [(c["doc_id"], c[stratum], plain_ratios(c), c["n_words"] < 50 or 2 * c["n_repeat_words"] > c["n_words"], quality.get(c["doc_id"])) for c in counted]
+    cuts = plain_cutoffs(rows)
+    names = ["symbols", "dup_lines", "repeat_words", "upper", "marks", "digits", "dense_stops", "long_words"]
+    want = Counter()
+    for d, s, x, failed, _ in rows:
+        hits = tuple(n for n, v, c in zip(names, x, cuts[s], strict=True) if c is not None and v > c)
+        want[d, failed, not failed and not hits, hits] += 1
+    got = risk_rules.apply_rules(docs, labels, stratum).collect()
+    assert Counter((r.doc_id, r.base_failed, r.kept, tuple(r.rejected_by)) for r in got) == want
+    return got, cuts
 
 
 def test_risk_rules_learn_and_keep_good_texts(spark):
@@ -405,10 +472,18 @@ def test_risk_rules_learn_and_keep_good_texts(spark):
     for d in range(3000):
         bad = d % 10 == 0
         w = ["".join(rng.choice("abcdefgh") for _ in range(5)) + ("$$$" if bad else "") for _ in range(60)]
-        rows.append((d, " ".join(w), "en"))
+        rows.append((d, " ".join(w), rng.choice(["en", "en", "en", "fr", None]) if d % 100 else "rare"))
         quality.append((d, int(not bad)))
-    got = risk_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(quality, "doc_id long, quality int")).collect()
+    got, cuts = check_rules(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(quality, "doc_id long, quality int"))
     assert all(r.kept == (r.doc_id % 10 > 0) for r in got)
+    assert set(cuts) == {"en", "fr", None, "rare"}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_risk_rules_against_plain_loops(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    got, cuts = check_rules(spark, spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    assert sf == "0.001" or any(len(r.rejected_by) for r in got)
 
 
 # --- 1
