@@ -7,6 +7,11 @@ greatest dot product of its sizes and the room left, both as shares of the
 limits, goes next.  Examples of equal sizes are alike, so the choice runs over
 distinct sizes only.
 
+A document's first line is its prompt when words follow it; otherwise its first
+token is.  Prompt tokens bear no loss.  By default a sequence takes loss on at
+most 127/128 of its length, so a sequence needs some prompt tokens to be full,
+and texts without a prompt go with others that have one.
+
 A block is a bounded stretch of one task's rows, so nothing is shuffled and no
 group meets in one place.
 """
@@ -75,7 +80,6 @@ def pack_documents(
     length: int = 2048,
     max_segments: int = 256,
     max_loss: int | None = None,
-    prompt_tokens: int = 1,
     vocabulary: str | None = None,
     block_tokens: int = 8_000_000,
     with_ids: bool = False,
@@ -85,10 +89,10 @@ def pack_documents(
     """The pieces of all documents, packed into sequences of at most ``length`` tokens.
 
     A document is its ids and the closing id 1; a null text is empty, so it is
-    the closing id alone.  A document longer than ``length`` fills whole
-    sequences and its rest is placed as an example.  A document's first
-    ``prompt_tokens`` tokens bear no loss; ``max_loss`` limits the others in a
-    sequence (by default it equals ``length``).
+    the closing id alone.  A document that exceeds ``length`` tokens or
+    ``max_loss`` loss-bearing ones fills sequences of its own, each as long as
+    both limits allow, and its rest is placed as an example.  ``max_loss`` is
+    127/128 of ``length`` unless given.
 
     Returns one row a piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and ids (little-endian unsigned 32-bit) when
@@ -100,7 +104,7 @@ def pack_documents(
     longest document.
     """
     ship(docs.sparkSession)
-    limits = (length, max_segments, max_loss or length)
+    limits = (length, max_segments, max_loss or length - length // 128)
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
     if with_ids:
         fields.append(("ids", pa.binary()))
@@ -111,7 +115,7 @@ def pack_documents(
         enc = encoder(vocabulary)
         sequence = TaskContext.get().partitionId() << 36
         rows: list[tuple] = []  # of the open block
-        rest: list[tuple] = []  # id, start, ids, tokens of the document
+        rest: list[tuple] = []  # id, start, ids, tokens of the document, tokens of its prompt
         held = 0
 
         def emit(doc: int | None, start: int, ids: bytes, total: int, seq: int, offset: int) -> None:
@@ -120,7 +124,8 @@ def pack_documents(
         def close_block() -> Iterator[pa.RecordBatch]:
             nonlocal sequence, held
             tokens = np.array([len(r[2]) // 4 for r in rest], np.int64)
-            loss = tokens - np.array([min(prompt_tokens, n) if r[1] == 0 else 0 for r, n in zip(rest, tokens, strict=True)], np.int64)
+            prompt = np.array([r[4] - r[1] for r in rest], np.int64)
+            loss = tokens - np.clip(prompt, 0, tokens)
             filled = dot_product_fill(tokens, loss, limits)
             for k, members in enumerate(filled):
                 offset = 0
@@ -131,7 +136,7 @@ def pack_documents(
                 else:
                     parts = [length]
                 for m in members:
-                    doc, start, ids, n = rest[m]
+                    doc, start, ids, n, _ = rest[m]
                     while ids:
                         take = ids[: 4 * (parts[0] - offset)]
                         emit(doc, start, take, n, sequence, offset)
@@ -150,15 +155,18 @@ def pack_documents(
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
             for at in range(0, len(doc_ids), 256):
-                encoded = enc.ids(texts[at : at + 256].to_pylist())
-                for doc, ids in zip(doc_ids[at : at + 256], encoded, strict=True):
-                    ids += close
+                # a line break is white space, so the ids of both parts are those of the whole
+                parts = [(t or "").partition("\n") for t in texts[at : at + 256].to_pylist()]
+                lines, others = enc.ids([p[0] for p in parts]), enc.ids([p[2] for p in parts])
+                for doc, line, other in zip(doc_ids[at : at + 256], lines, others, strict=True):
+                    ids = line + other + close
                     total, start = len(ids) // 4, 0
-                    while total - start >= length:
-                        emit(doc, start, ids[4 * start : 4 * (start + length)], total, sequence, 0)
-                        start, sequence = start + length, sequence + 1
+                    prompt = max(1, len(line) // 4) if other else 1
+                    while total - start >= (most := min(length, limits[2] + max(0, prompt - start))):
+                        emit(doc, start, ids[4 * start : 4 * (start + most)], total, sequence, 0)
+                        start, sequence = start + most, sequence + 1
                     if start < total:
-                        rest.append((doc, start, ids[4 * start :], total))
+                        rest.append((doc, start, ids[4 * start :], total, prompt))
                     held += total
                 if held >= block_tokens:
                     yield from close_block()

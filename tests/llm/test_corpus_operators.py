@@ -553,9 +553,7 @@ def test_linked_secrets(spark):
 
 # --- 9, 10
 def encode(t):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(tokens.default_path()).encode(t or "", add_special_tokens=False).ids
+    return tokens.encoder().tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
 def test_packing_covers_every_id_once(docs, empty):
@@ -602,6 +600,47 @@ def test_dot_product_fill_respects_all_limits():
         assert n[small][f].sum() <= 100 and loss[small][f].sum() <= 60 and len(f) <= 5
 
 
+def test_dot_product_fill_against_plain_loops():
+    """The choice itself: of the examples that fit, the greatest dot product of sizes and room."""
+    rng = random.Random(8)
+    for limits in ((100, 4, 90), (100, 50, 60), (64, 2, 64)):
+        sizes = [(n := rng.randint(1, limits[0]), rng.randint(0, min(n, limits[2]))) for _ in range(120)]
+        left, want = list(range(len(sizes))), []
+        while left:
+            room, placed = list(limits), []
+            while room[1]:
+                fits = [i for i in left if sizes[i][0] <= room[0] and sizes[i][1] <= room[2]]
+                if not fits:
+                    break
+                value = lambda i: sizes[i][0] * room[0] / limits[0] ** 2 + sizes[i][1] * room[2] / limits[2] ** 2  # noqa: B023, E731
+                top = max(map(value, fits))
+                best = max((i for i in fits if value(i) > top - 1e-12), key=lambda i: (*sizes[i], -i))
+                placed.append(sizes[best])
+                left.remove(best)
+                room = [room[0] - sizes[best][0], room[1] - 1, room[2] - sizes[best][1]]
+            want.append(placed)
+        got = packing.dot_product_fill(np.array([a for a, _ in sizes]), np.array([b for _, b in sizes]), limits)
+        assert [[sizes[i] for i in f] for f in got] == want
+
+
+@pytest.mark.parametrize("max_segments", [256, 2])
+def test_every_limit_closes_sequences(spark, max_segments):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prompt = {}
+    for r in docs.collect():
+        line, _, rest = r.text.partition("\n")
+        prompt[r.doc_id] = max(1, len(encode(line))) if rest.strip(" \t\r\n\x0b\x0c") else 1
+    totals = defaultdict(lambda: [0, 0, 0])
+    for r in packing.pack_documents(docs, max_segments=max_segments).collect():
+        t = totals[r.sequence_id]
+        t[0], t[1], t[2] = t[0] + r.length, t[1] + 1, t[2] + r.length - min(r.length, max(0, prompt[r.doc_id] - r.start))
+    assert all(n <= 2048 and k <= max_segments and loss <= 2032 for n, k, loss in totals.values())
+    assert sum(n == 2048 for n, _, _ in totals.values()) > 5
+    assert sum(loss == 2032 and n < 2048 for n, _, loss in totals.values()) > 5
+    if max_segments == 2:
+        assert sum(k == 2 and n < 2000 for n, k, _ in totals.values()) > 5
+
+
 def test_packing_wastes_little(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     g = packing.pack_documents(df).groupBy("sequence_id").agg(F.sum("length").alias("n"))
