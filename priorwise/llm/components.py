@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .scratch import materialize
+from .scratch import materialize, release
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -13,12 +13,13 @@ def _digest(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, label: the least node that each node of (u, v) edges reaches.
+    """node, label: the least node that each node of (u, v) edges reaches; a written table.
 
     Only nodes with an edge to another node are listed.  Every round joins each
     node's neighbours to the least of them, once upwards and once downwards;
     rounds stop when the edges are stars around least nodes.  The minima are
-    written before they are joined, so a hub's many edges can be split.
+    written before they are joined, so a hub's many edges can be split.  The
+    tables of a round are deleted when the next one stands.
     """
     now = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = materialize(now, "edges")
@@ -29,7 +30,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         up = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         up = materialize(up, "edges")
-        least = materialize(up.groupBy("u").agg(F.min("v").alias("m")), "least")
-        down = up.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        now = materialize(down.unionByName(least.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()).groupBy("node").agg(F.min("label").alias("label"))
+        below = materialize(up.groupBy("u").agg(F.min("v").alias("m")), "least")
+        down = up.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        after = materialize(down.unionByName(below.select("u", F.col("m").alias("v"))).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        release(now, least, up, below)
+        now = after
+    ends = now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("label")))
+    labels = materialize(ends.groupBy("node").agg(F.min("label").alias("label")), "labels")
+    release(now)
+    return labels

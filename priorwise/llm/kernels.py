@@ -141,6 +141,21 @@ def unpack_keys(blob: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=U64)
 
 
+def pack_small(values: np.ndarray) -> bytes:
+    """Unsigned integers below 2^32 as byte planes, zero planes left out."""
+    values = values.astype("<u4")
+    planes = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return values.view(np.uint8).reshape(-1, 4)[:, :planes].T.tobytes()
+
+
+def unpack_small(blob: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 4), np.uint8)
+    if n:
+        planes = len(blob) // n
+        out[:, :planes] = np.frombuffer(blob, np.uint8).reshape(planes, n).T
+    return out.view("<u4").ravel().astype(np.int64)
+
+
 def slices(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Of sorted keys: the non-empty buckets by the top ``bits`` and their bounds."""
     top = (keys >> U64(64 - bits)).astype(np.int64)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bitmaps import value_filter
-from .kernels import PLACES, U64, bucket_bits, calls, mix, pack_keys, sequence_hashes, slices, span_hashes, text_bytes, unpack_keys, window_hashes, word_spans
+from .kernels import PLACES, U64, bucket_bits, calls, mix, pack_keys, pack_small, sequence_hashes, slices, span_hashes, text_bytes, unpack_keys, unpack_small, window_hashes, word_spans
 from .scratch import materialize, release, ship
 
 WIDTH = 35
@@ -96,21 +96,6 @@ class Parse:
         self.names, self.text, self.own = names, text, own
 
 
-def _small(values: np.ndarray) -> bytes:
-    """Unsigned integers as byte planes, zero planes left out."""
-    values = values.astype("<u4")
-    planes = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    return values.view(np.uint8).reshape(-1, 4)[:, :planes].T.tobytes()
-
-
-def _large(blob: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 4), np.uint8)
-    if n:
-        planes = len(blob) // n
-        out[:, :planes] = np.frombuffer(blob, np.uint8).reshape(planes, n).T
-    return out.view("<u4").ravel().astype(np.int64)
-
-
 #: A place: node, and three numbers whose meaning the step knows.
 _PLACE = np.dtype([("node", "<i8"), ("j", "<i8"), ("a", "<i8"), ("z", "<i8")])
 _SENT = "kind int, bucket int, keys binary, node binary, j binary, a binary, z binary"
@@ -121,7 +106,7 @@ _BACK = 64
 
 
 def _rows(kind: int, buckets, groups: list[tuple[bytes | None, np.ndarray]]) -> pa.RecordBatch:
-    cols = [[k for k, _ in groups], [p["node"].tobytes() for _, p in groups], [_small(p["j"]) for _, p in groups], [_small(p["a"]) for _, p in groups], [_small(p["z"] - p["a"] + _BACK) for _, p in groups]]
+    cols = [[k for k, _ in groups], [p["node"].tobytes() for _, p in groups], [pack_small(p["j"]) for _, p in groups], [pack_small(p["a"]) for _, p in groups], [pack_small(p["z"] - p["a"] + _BACK) for _, p in groups]]
     return pa.record_batch([pa.array([kind] * len(groups), pa.int32()), pa.array(np.asarray(buckets, np.int32)), *(pa.array(c, pa.binary()) for c in cols)], schema=_SCHEMA)
 
 
@@ -130,8 +115,8 @@ def _places(table: pa.Table) -> np.ndarray:
     for node, j, a, z in zip(*(table.column(c) for c in ("node", "j", "a", "z")), strict=True):
         node = np.frombuffer(node.as_py(), "<i8")
         p = np.zeros(len(node), _PLACE)
-        p["node"], p["j"], p["a"] = node, _large(j.as_py(), len(node)), _large(a.as_py(), len(node))
-        p["z"] = p["a"] + _large(z.as_py(), len(node)) - _BACK
+        p["node"], p["j"], p["a"] = node, unpack_small(j.as_py(), len(node)), unpack_small(a.as_py(), len(node))
+        p["z"] = p["a"] + unpack_small(z.as_py(), len(node)) - _BACK
         out.append(p)
     return np.concatenate(out) if out else np.zeros(0, _PLACE)
 

@@ -323,6 +323,81 @@ def test_ngram_join_large_group_of_near_copies(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
 
 
+def templates(n, rng):
+    """Ten groups of near copies that share one line."""
+    line, rows = " ".join(f"line{i}" for i in range(14)), []
+    for d in range(n):
+        w = [f"t{d % 10}w{i}" for i in range(120)]
+        w[rng.randrange(120)] = f"u{rng.randrange(10**9)}"
+        rows.append((d, " ".join([*w[:60], line, *w[60:]])))
+    return rows
+
+
+def test_ngram_join_verifies_pairs_in_proportion_to_texts(spark, monkeypatch):
+    counted = {}
+    write = ngram_join.materialize
+
+    def watch(df, name):
+        out = write(df, name)
+        if name in ("pairs", "pairs-across"):
+            counted[name] = counted.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", watch)
+    for n in (300, 600):
+        counted.clear()
+        rows = templates(n, random.Random(n))
+        got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert all(r.component_id == r.doc_id % 10 for r in got)
+        assert sum(counted.values()) < 12 * n
+
+
+def test_ngram_join_with_blocked_lists(spark, monkeypatch):
+    """Small limits deal out lists in blocks and cells; the links stay the same."""
+    for name, value in (("_LONG", 1), ("_SHORT_LIST", 2), ("_BLOCKED", 2), ("_CELL", 4), ("_ENVOYS", 2)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(9)
+    rows = templates(60, rng)
+    base = [f"w{i}" for i in range(80)]
+    for d in range(60, 130):
+        w = list(base)
+        for _ in range(rng.randint(0, 8)):
+            w[rng.randrange(80)] = f"v{rng.randrange(5)}"
+        rows.append((d, " ".join(w)))
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+
+
+def test_reaches_probes_only_the_long_lists():
+    """On top of the counted occurrences, for random sets around the limit."""
+
+    class Levels:
+        of = staticmethod(lambda x: (x % np.uint64(5)).astype(np.uint8))
+
+    rng = np.random.default_rng(3)
+    ranked = lambda s: s[np.lexsort((s, Levels.of(s)))]
+    seen = set()
+    for _ in range(400):
+        n = int(rng.integers(5, 400))
+        x = rng.choice(10**6, n, replace=False).astype(np.uint64)
+        y = x.copy()
+        change = rng.choice(n, int(n * rng.uniform(0.05, 0.16)), replace=False)
+        y[change] += np.uint64(10**7)
+        a, b = ranked(x), ranked(y)
+        shared = len(np.intersect1d(a, b))
+        need = -(-4 * (2 * n) // 9)
+        short = n - need + ngram_join.wanted_occurrences(n)
+        counted = len(np.intersect1d(a[:short], b[:short]))
+        verdict = 100 * shared >= 80 * (2 * n - shared)
+        assert ngram_join.reaches(a, b, None, Levels, 16) == verdict
+        if counted >= ngram_join.wanted_occurrences(n):
+            assert ngram_join.reaches(a, b, counted, Levels, 16) == verdict
+        else:
+            assert not verdict
+        seen.add(verdict)
+    assert seen == {True, False}
+
+
 def test_drop_near_copies(docs, empty):
     out = ngram_join.drop_near_copies(docs)
     assert out.schema.names == docs.schema.names
