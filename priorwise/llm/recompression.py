@@ -11,9 +11,13 @@ either end, and how many may differ there is known from the sides alone.
 1.  Pairs of neighbouring symbols of the last round are counted over all texts.
     A window of ``width`` words can occur twice only if all the pairs that are
     sure to lie in it occur twice; a window without such a pair stays open.
-2.  The open windows are verified: hashes of all their words are counted over
-    all texts.
-3.  Words covered by a window that occurs twice are removed.
+2.  Of the open windows, hashes of all their words are brought together; each
+    that occurs at two places is told one other place.
+3.  Windows in a row that are told places in a row make a stretch.  The words of
+    the other place are sent to the stretch and compared with its own.  Should a
+    window's words differ (two windows with one hash), all windows with that
+    hash are compared by their words.
+4.  Words covered by a window that is proven to occur twice are removed.
 
 Texts with equal words are one node; a node with two rows repeats as a whole.
 A name that occurs often in a task is sent on twice only, so no common passage
@@ -96,27 +100,31 @@ class Parse:
         self.names, self.text, self.own = names, text, own
 
 
-#: A place: node, and three numbers whose meaning the step knows.
-_PLACE = np.dtype([("node", "<i8"), ("j", "<i8"), ("a", "<i8"), ("z", "<i8")])
-_SENT = "kind int, bucket int, keys binary, node binary, j binary, a binary, z binary"
-_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("keys", "node", "j", "a", "z"))])
+#: A place: node, three numbers whose meaning the step knows, and the node of another place.
+_PLACE = np.dtype([("node", "<i8"), ("j", "<i8"), ("a", "<i8"), ("z", "<i8"), ("other", "<i8")])
+_SENT = "kind int, bucket int, keys binary, node binary, j binary, a binary, z binary, other binary"
+_SCHEMA = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), *((c, pa.binary()) for c in ("keys", "node", "j", "a", "z", "other"))])
+#: Windows from ``j`` on that are told windows of ``other`` from ``a`` on.
+_STRETCH = np.dtype([("node", "<i8"), ("other", "<i8"), ("j", "<i4"), ("a", "<i4"), ("n", "<i4")])
 _ASK, _TOLD = 0, 1
 #: z may be less than a by this much.
 _BACK = 64
 
 
 def _rows(kind: int, buckets, groups: list[tuple[bytes | None, np.ndarray]]) -> pa.RecordBatch:
-    cols = [[k for k, _ in groups], [p["node"].tobytes() for _, p in groups], [pack_small(p["j"]) for _, p in groups], [pack_small(p["a"]) for _, p in groups], [pack_small(p["z"] - p["a"] + _BACK) for _, p in groups]]
+    cols = [[k for k, _ in groups], [p["node"].tobytes() for _, p in groups], [pack_small(p["j"]) for _, p in groups], [pack_small(p["a"]) for _, p in groups], [pack_small(p["z"] - p["a"] + _BACK) for _, p in groups], [p["other"].tobytes() if p["other"].any() else b"" for _, p in groups]]
     return pa.record_batch([pa.array([kind] * len(groups), pa.int32()), pa.array(np.asarray(buckets, np.int32)), *(pa.array(c, pa.binary()) for c in cols)], schema=_SCHEMA)
 
 
 def _places(table: pa.Table) -> np.ndarray:
     out = []
-    for node, j, a, z in zip(*(table.column(c) for c in ("node", "j", "a", "z")), strict=True):
-        node = np.frombuffer(node.as_py(), "<i8")
+    for node, j, a, z, other in zip(*(table.column(c) for c in ("node", "j", "a", "z", "other")), strict=True):
+        node, other = np.frombuffer(node.as_py(), "<i8"), np.frombuffer(other.as_py(), "<i8")
         p = np.zeros(len(node), _PLACE)
         p["node"], p["j"], p["a"] = node, unpack_small(j.as_py(), len(node)), unpack_small(a.as_py(), len(node))
         p["z"] = p["a"] + unpack_small(z.as_py(), len(node)) - _BACK
+        if len(other):
+            p["other"] = other
         out.append(p)
     return np.concatenate(out) if out else np.zeros(0, _PLACE)
 
@@ -125,7 +133,7 @@ def _told(places: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     """Places dealt out by node."""
     if len(places):
         key = mix(places["node"].view(U64))
-        order = np.argsort(key, kind="stable")
+        order = np.lexsort((places["j"], key))
         buckets, at = slices(key[order], bits)
         places = places[order]
         yield _rows(_TOLD, buckets, [(None, places[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)])
@@ -141,10 +149,19 @@ def _sorted(keys: np.ndarray, places: np.ndarray, full: bool) -> tuple[np.ndarra
     return keys, places, same
 
 
+def _first_places(places: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """(start, start, node) of the first place of each place's group; of the group's second for the first."""
+    sizes = np.diff(np.append(begins, len(places)))
+    to = np.repeat(begins, sizes)
+    to[begins[sizes > 1]] += 1
+    return np.stack([places["j"][to], places["j"][to], places["node"][to]], 1)
+
+
 def _asked(keys: np.ndarray, places: np.ndarray, bits: int, full: bool) -> Iterator[pa.RecordBatch]:
     """Keys with their places dealt out by key; of a key with more than two, the rest is told.
 
-    ``full``: keys are sent whole, and ``a`` holds more bits of the same hash.
+    ``full``: keys are sent whole, and ``a`` holds more bits of the same hash;
+    who is told is told the first place of the key.
     """
     if not len(keys):
         return
@@ -152,7 +169,10 @@ def _asked(keys: np.ndarray, places: np.ndarray, bits: int, full: bool) -> Itera
     keys, places, same = _sorted(keys >> shift, places, full)
     begins = np.flatnonzero(np.append(True, ~same))
     nth = np.arange(len(keys)) - np.repeat(begins, np.diff(np.append(begins, len(keys))))
-    yield from _told(places[nth >= 2], bits)
+    rest = places[nth >= 2]
+    if full:
+        rest["a"], rest["z"], rest["other"] = _first_places(places, begins)[nth >= 2].T
+    yield from _told(rest, bits)
     keys, places = keys[nth < 2], places[nth < 2]
     buckets, at = slices(keys << shift, bits)
     yield _rows(_ASK, buckets, [(pack_keys(keys[a:b]), places[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)])
@@ -169,7 +189,10 @@ def _answer(bits: int, full: bool):
             keys, places, same = _sorted(keys, places, full)
             fresh = np.append(True, ~(same & (places["node"][1:] == places["node"][:-1]) & (places["j"][1:] == places["j"][:-1])))
             keys, places, again = _sorted(keys[fresh], places[fresh], full)
-            places = places[np.append(again, False) | np.append(False, again)]
+            twice = np.append(again, False) | np.append(False, again)
+            if full and len(places):
+                places["a"], places["z"], places["other"] = _first_places(places, np.flatnonzero(np.append(True, ~again))).T
+            places = places[twice]
         return pa.Table.from_batches(list(_told(places, bits)), _SCHEMA)
 
     return answer
@@ -212,13 +235,91 @@ def _open_ranges(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array(whole["node"][begins]), "ranges": pa.array([spans[a:b].tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary())})
 
 
-def _repeated_starts(table: pa.Table) -> pa.Table:
-    """Per node: the starts of windows that occur twice."""
+def _stretches(table: pa.Table) -> pa.Table:
+    """The stretches of a bucket's nodes, gathered by the node that holds the other place."""
     places = _places(table)
-    keys = np.unique(places[["node", "j"]])
-    begins, ends = _by_node(keys)
-    starts = keys["j"].astype("<i4")
-    return pa.table({"node": pa.array(keys["node"][begins].copy()), "starts": pa.array([starts[a:b].tobytes() for a, b in zip(begins, ends, strict=True)], pa.binary())})
+    places = places[np.lexsort((places["j"], places["node"]))]
+    head = np.append(True, (places["node"][1:] != places["node"][:-1]) | (places["j"][1:] != places["j"][:-1] + 1) | (places["other"][1:] != places["other"][:-1]) | (places["a"][1:] != places["a"][:-1] + 1))
+    starts = np.flatnonzero(head)
+    out = np.zeros(len(starts), _STRETCH)
+    for name in ("node", "other", "j", "a"):
+        out[name] = places[name][starts]
+    out["n"] = np.diff(np.append(starts, len(places)))
+    out = out[np.argsort(out["other"], kind="stable")]
+    cuts = np.flatnonzero(np.append(True, out["other"][1:] != out["other"][:-1]))
+    return pa.table({"node": pa.array(out["other"][cuts].copy()), "stretches": pa.array([out[i:k].tobytes() for i, k in zip(cuts, np.append(cuts[1:], len(out)), strict=True)], pa.binary())})
+
+
+def _slices(width: int):
+    """Of texts with the stretches that are told their places: the words that each stretch must equal."""
+
+    def slices_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, blob in zip(batch.column("text").cast(pa.large_binary()), batch.column("stretches"), strict=True):
+                words = text.as_py().split()
+                asked = np.frombuffer(blob.as_py(), _STRETCH)
+                told = [b" ".join(words[a : a + n + width - 1]) for a, n in zip(asked["a"].tolist(), asked["n"].tolist(), strict=True)]
+                yield pa.record_batch([pa.array(asked["node"].copy()), pa.array(asked["j"].copy()), pa.array(asked["n"].copy()), pa.array(told, pa.binary())], names=["node", "j", "n", "words"])
+
+    return slices_of
+
+
+def _prove(width: int):
+    """Of texts with their stretches: the window starts that are proven, and those whose words differ."""
+
+    def prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good, bad = [], []
+            for text, told in zip(batch.column("text").cast(pa.large_binary()), batch.column("told").to_pylist(), strict=True):
+                words = text.as_py().split()
+                proven: list[int] = []
+                unproven: list[int] = []
+                for s in told:
+                    j, n = s["j"], s["n"]
+                    own = words[j : j + n + width - 1]
+                    if b" ".join(own) == s["words"]:
+                        proven += range(j, j + n)
+                        continue
+                    other = s["words"].split()
+                    for i in range(n):
+                        (proven if own[i : i + width] == other[i : i + width] else unproven).append(j + i)
+                good.append(np.array(sorted(proven), "<i4").tobytes())
+                bad.append(np.array(sorted(unproven), "<i4").tobytes())
+            yield pa.record_batch([batch.column("node"), pa.array(good, pa.binary()), pa.array(bad, pa.binary())], names=["node", "starts", "unproven"])
+
+    return prove
+
+
+def _by_words(opened: DataFrame, proven: DataFrame, width: int) -> DataFrame:
+    """node, start: windows whose told place had other words, and that do occur twice.
+
+    All open windows with one of their hashes are compared by their words.
+    """
+
+    def windows(wanted: str | None):
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                words, first = word_hashes(batch.column("text"))
+                hashes = window_hashes(words, width).view(np.int64)
+                for i, node in enumerate(batch.column("node").to_pylist()):
+                    if wanted:
+                        starts = np.frombuffer(batch.column(wanted)[i].as_py(), "<i4")
+                    else:
+                        starts = np.unique(np.concatenate([np.arange(a, z) for a, z in np.frombuffer(batch.column("ranges")[i].as_py(), "<i4").reshape(-1, 2)]))
+                    if not len(starts):
+                        continue
+                    split = batch.column("text")[i].cast(pa.large_binary()).as_py().split()
+                    yield pa.record_batch([pa.array(hashes[first[i] + starts]), pa.array(np.full(len(starts), node)), pa.array(starts.astype(np.int32)), pa.array([b" ".join(split[s : s + width]) for s in starts.tolist()], pa.binary())], names=["key", "node", "start", "words"])
+
+        return emit
+
+    ddl = "key long, node long, start int, words binary"
+    failed = materialize(opened.join(proven.filter("octet_length(unproven) > 0"), "node").select("node", "text", "unproven").mapInArrow(windows("unproven"), ddl), "unproven")
+    if not failed.limit(1).count():
+        return failed.select("node", "start")
+    alike = opened.mapInArrow(windows(None), ddl).join(failed.select("key").distinct(), "key", "left_semi")
+    twice = alike.groupBy("words").agg(F.count(F.lit(1)).alias("places")).filter("places > 1")
+    return failed.join(twice, "words", "left_semi").select("node", "start")
 
 
 def _ask_pairs(width: int, bits: int):
@@ -340,7 +441,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     asked = source.mapInArrow(_ask_pairs(width, bits), _SENT)
     ranges = _gather(asked, bits, False, _open_ranges, "node long, ranges binary", "pairs-told")
     ids = slim.join(ranges.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    holds = value_filter(materialize(ids, "open-ids"), "doc_id")
+    ids = materialize(ids, "open-ids")
+    holds = value_filter(ids, "doc_id")
+    release(ids)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in calls(batches):
@@ -351,15 +454,23 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
 
     opened = source.mapInArrow(texts, "node long, text string").dropDuplicates(["node"]).join(ranges, "node")
     opened = materialize(opened, "open-texts")
-    starts = _gather(opened.mapInArrow(_ask_windows(width, bits), _SENT), bits, True, _repeated_starts, "node long, starts binary", "windows-told")
+    asked = _gather(opened.mapInArrow(_ask_windows(width, bits), _SENT), bits, True, _stretches, "node long, stretches binary", "windows-told")
+    told = materialize(opened.select("node", "text").join(asked, "node").mapInArrow(_slices(width), "node long, j int, n int, words binary"), "other-words")
+    release(asked)
+    # of a node, at most one stretch a window
+    told_by_node = told.groupBy("node").agg(F.collect_list(F.struct("j", "n", "words")).alias("told"))
+    proven = opened.select("node", "text").join(told_by_node, "node").mapInArrow(_prove(width), "node long, starts binary, unproven binary")
+    proven = materialize(proven, "proven")
+    release(told)
+    late = materialize(_by_words(opened, proven, width).groupBy("node").agg(F.collect_set("start").alias("late")), "proven-by-words")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, shas, kept = [], [], []
-            for t, s in zip(batch.column("text").cast(pa.large_binary()), batch.column("starts"), strict=True):
+            for t, s, more in zip(batch.column("text").cast(pa.large_binary()), batch.column("starts"), batch.column("late").to_pylist(), strict=True):
                 words = t.as_py().split()
                 cover = np.zeros(len(words) + width + 1, np.int64)
-                at = np.frombuffer(s.as_py(), "<i4")
+                at = np.concatenate([np.frombuffer(s.as_py(), "<i4"), np.array(more or [], "<i4")])
                 cover[at] += 1
                 cover[at + width] -= 1
                 gone = np.cumsum(cover)[: len(words)] > 0
@@ -369,12 +480,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
                 kept.append(left.decode() if with_text else None)
             yield pa.record_batch([batch.column("node"), pa.array(removed, pa.int64()), pa.array(shas, pa.string()), pa.array(kept, pa.string())], names=["node", "removed", "sha", "left_text"])
 
-    repeated = opened.select("node", "text").join(starts, "node").mapInArrow(cut, "node long, removed long, sha string, left_text string")
+    repeated = opened.select("node", "text").join(proven, "node").join(late, "node", "left").select("node", "text", "starts", "late").mapInArrow(cut, "node long, removed long, sha string, left_text string")
     # a node with two rows repeats as a whole
     many = materialize(slim.filter(F.col("n_words") >= width).groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.max("n_words").alias("n")).filter("rows > 1"), "whole-repeats")
     whole = many.select("node", F.col("n").alias("removed"), F.lit(_EMPTY).alias("sha"), F.lit("").alias("left_text"))
     verdicts = materialize(repeated.join(many.select("node"), "node", "left_anti").unionByName(whole), "verdicts")
-    release(ranges, opened, starts, many)
+    release(ranges, opened, proven, late, many)
     out = slim.join(verdicts, "node", "left").select(
         "doc_id",
         "n_words",

@@ -445,6 +445,14 @@ def test_recompression_on_few_words(spark):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_repeats(rows, 20)
 
 
+def test_recompression_compares_words_when_hashes_agree(docs, spark, monkeypatch):
+    """With window hashes of eight bits nearly all windows collide; only equal words count."""
+    whole = recompression.window_hashes
+    monkeypatch.setattr(recompression, "window_hashes", lambda words, width: whole(words, width) & np.uint64(0xF << 60))
+    got = recompression.remove_repeats(docs, 12).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_repeats(ROWS, 12)
+
+
 # --- 5
 def brute_counts(t):
     w = words(t)
