@@ -9,7 +9,8 @@ are merged afterwards.
 
 The range key is (32 leading characters, 64-bit hash, identifier), so a
 splitter stays short however long texts are; the sort goes on with the whole
-text, and only whole texts are compared.
+text, and inside a partition only whole texts are compared.  Runs at partition
+ends are matched by the SHA-256 of their texts.
 """
 
 from __future__ import annotations

@@ -73,18 +73,26 @@ def total_tokens(histogram: DataFrame) -> DataFrame:
 
 
 def length_quantiles(histogram: DataFrame, shares: list[float]) -> DataFrame:
-    """share, length: the least length that at least that share of documents does not exceed."""
-    wanted = histogram.sparkSession.createDataFrame([(float(s),) for s in shares], "share double")
-    return histogram.join(F.broadcast(wanted), F.col("share_at_most") >= F.col("share") - 1e-12).groupBy("share").agg(F.min("length").alias("length"))
+    """share, length: the least length that at least that share of documents does not exceed.
+
+    The length is null when there are no documents.
+    """
+    found = [F.struct(F.lit(float(s)).alias("share"), F.min(F.when(F.col("share_at_most") >= s - 1e-12, F.col("length"))).alias("length")) for s in shares]
+    return histogram.agg(F.array(*found).alias("found")).select(F.inline("found"))
 
 
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
     """context_limit, n_tokens: tokens left when every document is cut to each limit.
 
-    For a limit that is no length, the next longer length L with its suffix
-    sums gives it: the tokens below L, and the limit for each document of L or
-    more.
+    The suffix sums at the least length above the limit give it: the tokens of
+    all documents but those of that length or more, and the limit for each of
+    these.  It is 0 when there are no documents.
     """
-    wanted = histogram.sparkSession.createDataFrame([(int(x),) for x in limits], "context_limit long")
-    cut = F.when(F.col("length") <= F.col("context_limit"), F.col("length")).otherwise(F.col("context_limit"))
-    return histogram.crossJoin(F.broadcast(wanted)).groupBy("context_limit").agg(F.sum(cut * F.col("n_docs")).alias("n_tokens"))
+    total = F.coalesce(F.max("tokens_at_least"), F.lit(0))
+
+    def left(limit: int):
+        above = F.col("length") > limit
+        sums = F.min_by(F.struct("docs_at_least", "tokens_at_least"), F.when(above, F.col("length")))
+        return F.struct(F.lit(limit).cast("long").alias("context_limit"), (total - F.coalesce(sums["tokens_at_least"] - limit * sums["docs_at_least"], F.lit(0))).alias("n_tokens"))
+
+    return histogram.agg(F.array(*[left(int(x)) for x in limits]).alias("found")).select(F.inline("found"))

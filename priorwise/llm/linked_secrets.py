@@ -30,6 +30,8 @@ WEAK = (
     ("endpoint", r"(?i)\b(?:https?|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>]{4,}", ("assign", "access", "hex")),
 )
 _KINDS = [k for k, _ in STRONG] + [k for k, _, _ in WEAK]
+#: Pieces of a text that are turned into spans at a time.
+_GROUP = 256
 _SPANS = "array<struct<start:int,kind:int,stop:int>>"
 
 
@@ -39,10 +41,9 @@ def _spans(text: Column, kind: int, pattern: str) -> Column:
     ``text`` must not hold the mark.
     """
     pieces = F.split(F.regexp_replace(text, pattern, f"{_MARK}$0{_MARK}"), _MARK, -1)
-    # pieces at odd places are matches
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.array().cast(_SPANS).alias("out"))
 
     def step(acc: Column, piece: Column) -> Column:
+        # pieces at odd places are matches
         stop = acc["at"] + F.length(piece)
         keep = acc["i"] % 2 == 1
         if kind == 0:
@@ -50,7 +51,20 @@ def _spans(text: Column, kind: int, pattern: str) -> Column:
         span = F.struct(acc["at"].alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"))
         return F.struct(stop.alias("at"), (acc["i"] + 1).alias("i"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    found = F.aggregate(pieces, start, step, lambda acc: acc["out"])
+    def spans_of(group: Column) -> Column:
+        start = F.struct(group["at"].alias("at"), F.lit(0).alias("i"), F.array().cast(_SPANS).alias("out"))
+        return F.aggregate(group["pieces"], start, step, lambda acc: acc["out"])
+
+    # Appending copies what stands, so spans are gathered in groups of an even
+    # number of pieces, each with the place at which it begins.
+    groups = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / _GROUP).cast("int") - 1), lambda g: F.slice(pieces, g * _GROUP + 1, F.lit(_GROUP)))
+    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,pieces:array<string>>>").alias("out"))
+
+    def begin(acc: Column, group: Column) -> Column:
+        length = F.aggregate(group, F.lit(0), lambda n, piece: n + F.length(piece))
+        return F.struct((acc["at"] + length).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), group.alias("pieces")))).alias("out"))
+
+    found = F.flatten(F.transform(F.aggregate(groups, begun, begin, lambda acc: acc["out"]), spans_of))
     return F.when(F.size(pieces) > 1, found).otherwise(F.array().cast(_SPANS))
 
 

@@ -214,6 +214,10 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max
     """The rows of ``docs`` whose score is at least ``threshold``, all columns kept.
 
     Texts are counted where they are read, so rows are filtered without a join.
+    A null text counts as empty and is scored like any; a null identifier never
+    trains.  Repeated rows stay or go alike.  Without labels every score is one
+    half, so all rows stay.  Column names do not matter but for the identifier's
+    and the text's; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
     known = materialize(training_labels(labels, max_rows), "labels")

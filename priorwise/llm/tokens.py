@@ -8,6 +8,7 @@ tokenizer's model.  Ids are kept as little-endian unsigned 32-bit bytes.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from array import array
 
@@ -16,6 +17,10 @@ from tokenizers import Tokenizer
 
 #: Characters that Python's split takes for white space and the vocabulary does not.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: How the vocabulary cuts words into pieces, and prepares text before.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"type": "Split", "pattern": {"Regex": _CUT}, "behavior": "Removed", "invert": True}
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -53,8 +58,7 @@ class _Words(dict):
         super().__init__()
         self.tokenizer = tokenizer
         self.pieces = _Pieces(tokenizer)
-        # fixed values: the vocabulary's own rule for cutting words into pieces
-        self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        self.cut = regex.compile(_CUT).findall
 
     def __missing__(self, word: str) -> bytes:
         if "<|" in word or max(word, default="") >= "ɐ":
@@ -73,11 +77,16 @@ class WordEncoder:
     """ids(texts) for byte-level vocabularies of the kind "BPE with word ends".
 
     ``most`` bounds the words and, apart, the pieces that are remembered; a
-    full memo starts anew.
+    full memo starts anew.  A vocabulary that prepares or cuts text in another
+    way is refused, as its ids would be wrong.
     """
 
     def __init__(self, path: str, most: int = 300_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())
+        cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (rules["normalizer"] or {}).get("normalizers") != _NORMALIZERS or cuts[:1] != [_SPLIT] or [c["type"] for c in cuts[1:]] != ["ByteLevel"] or cuts[1]["use_regex"] or cuts[1]["add_prefix_space"]:
+            raise ValueError(f"{path} prepares or cuts text in a way that this encoder does not know")
         self.most = most
         self.words = _Words(self.tokenizer)
 
