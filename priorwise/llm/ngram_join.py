@@ -22,8 +22,8 @@ occurrences then occurs at least k times in the other, short lists.
     meet the most central one and their neighbour by size.  Lists of thousands
     are dealt out in blocks, which share some members, so that all meet the
     same centre.  In lists whose members are not in one component afterwards,
-    occurrences are counted across components, in cells of bounded size, and
-    pairs with k of them are probed as well, so no link is lost.
+    occurrences are counted across components, in cells of bounded size and
+    with k = 1, and those pairs are probed as well, so no link is lost.
 
 Everything but the bounded tables stays distributed.
 """
@@ -166,13 +166,14 @@ _ENTRY = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<i4"), ("at", "<i4
 _COUNTED = "a long, b long, size_a int, size_b int, n int, unknown int"
 
 
-def _may_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _may_link(a: np.ndarray, b: np.ndarray, k: int | None = None) -> np.ndarray:
     """Whether an occurrence counts: both places are among the pair's short lists.
 
     These are all but the T - k longest, of either text.
     """
     a_size, b_size = a["size"].astype(np.int64), b["size"].astype(np.int64)
-    k = np.minimum(wanted_occurrences(a_size), wanted_occurrences(b_size))
+    if k is None:
+        k = np.minimum(wanted_occurrences(a_size), wanted_occurrences(b_size))
     need = PART * (a_size + b_size)
     both = PART + WHOLE
     return (both * (a_size - a["at"] + k - 1) >= need) & (both * (b_size - b["at"] + k - 1) >= need)
@@ -264,8 +265,8 @@ def _wanted() -> Column:
 def _verify(docs: DataFrame, slim: DataFrame, pairs: DataFrame, levels: ListLevels, text_col: str, id_col: str) -> DataFrame:
     """u, v: the node pairs whose sets are similar enough; a written table.
 
-    ``pairs`` has a, b, n and unknown; where nothing is unknown, n counts all
-    occurrences in the pair's short lists, and only long lists are probed.
+    ``pairs`` has a, b, n, unknown and k; where nothing is unknown, n counts all
+    occurrences in the pair's short lists, and only the T - k long ones are probed.
     """
     wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidates")
     ids = materialize(slim.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "candidate-ids")
@@ -283,8 +284,8 @@ def _verify(docs: DataFrame, slim: DataFrame, pairs: DataFrame, levels: ListLeve
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [
-                reaches(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), None if unknown.as_py() else n.as_py(), levels)
-                for x, y, n, unknown in zip(*(batch.column(c) for c in ("x", "y", "n", "unknown")), strict=True)
+                reaches(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64), None if unknown.as_py() else n.as_py(), k.as_py(), levels)
+                for x, y, n, unknown, k in zip(*(batch.column(c) for c in ("x", "y", "n", "unknown", "k")), strict=True)
             ]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
@@ -292,24 +293,25 @@ def _verify(docs: DataFrame, slim: DataFrame, pairs: DataFrame, levels: ListLeve
     have = have.join(wanted, "node", "left_semi").dropDuplicates(["node"])
     left = have.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = have.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    links = pairs.join(left, "a").join(right, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), "x", "y", "n", "unknown").mapInArrow(probe, "u long, v long")
+    links = pairs.join(left, "a").join(right, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), "x", "y", "n", "unknown", "k").mapInArrow(probe, "u long, v long")
     links = materialize(links, "links")
     release(wanted, ids)
     return links
 
 
-def reaches(x: np.ndarray, y: np.ndarray, counted: int | None, levels: ListLevels, step: int = 128) -> bool:
+def reaches(x: np.ndarray, y: np.ndarray, counted: int | None, k: int, levels: ListLevels, step: int = 128) -> bool:
     """Whether two ranked sets share T shingles.
 
-    ``counted``: occurrences in the pair's short lists, or None when it is not
-    known.  The long lists of the text whose short ones end first are probed.
+    ``counted``: occurrences in the pair's short lists, all but the T - k
+    longest, or None when it is not known.  The long lists of the text whose
+    short ones end first are probed.
     """
     need = -(-PART * (len(x) + len(y)) // (PART + WHOLE))
     if counted is None:
         counted = 0
         probes, other = (x, y) if len(x) <= len(y) else (y, x)
     else:
-        aside = need - min(wanted_occurrences(len(x)), wanted_occurrences(len(y)))
+        aside = need - k
         ends = np.array([x[len(x) - aside - 1], y[len(y) - aside - 1]])
         last = levels.of(ends)
         probes, other = (x, y) if (last[0], ends[0]) <= (last[1], ends[1]) else (y, x)
@@ -326,6 +328,8 @@ def reaches(x: np.ndarray, y: np.ndarray, counted: int | None, levels: ListLevel
 def _across(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Occurrences, in the long lists, of pairs of members in different components.
 
+    Here k is 1, so that a list yields only pairs that have their first common
+    place in it and can still share T shingles from there on.
     A list's largest component and the others are cut into blocks of about
     ``_CELL`` members; each block of the others meets every block.
     """
@@ -373,7 +377,7 @@ def _across(lists: DataFrame, labels: DataFrame) -> DataFrame:
             x, y = (m.ravel() for m in np.meshgrid(one, two, indexing="ij"))
             fit = (label[x] != label[y]) & ((e["node"][x] < e["node"][y]) | (kind == 0) | (i != j))
             x, y = x[fit], y[fit]
-            fit = _may_link(e[x], e[y])
+            fit = _may_link(e[x], e[y], 1)
             pairs.append((e[x[fit]], e[y[fit]], True))
         return _count(pairs)
 
@@ -456,7 +460,7 @@ def _components_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     merged = entered.filter("bucket is not null").select("bucket", "entries").groupBy("bucket").applyInArrow(_merger(bits), f"{_COUNTED}, members binary")
     merged = materialize(merged, "merged")
     counted = materialize(_summed(merged.filter("members is null").drop("members")), "counts")
-    able = materialize(counted.filter(F.col("n") + F.col("unknown") >= _wanted()).select("a", "b", "n", "unknown"), "pairs")
+    able = materialize(counted.filter(F.col("n") + F.col("unknown") >= _wanted()).select("a", "b", "n", "unknown", _wanted().alias("k")), "pairs")
     links = _verify(docs, slim, able, levels, text_col, id_col)
     labels = components(links)
     release(links, able)
@@ -464,7 +468,7 @@ def _components_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     if lists.limit(1).count():
         # whoever met before is decided; others have all their occurrences in open long lists
         across = _across(lists, labels)
-        more = materialize(across.filter(F.col("n") >= _wanted()).join(counted, ["a", "b"], "left_anti").select("a", "b", "n", F.lit(0).alias("unknown")), "pairs-across")
+        more = materialize(across.join(counted, ["a", "b"], "left_anti").select("a", "b", "n", F.lit(0).alias("unknown"), F.lit(1).alias("k")), "pairs-across")
         release(across)
         if more.limit(1).count():
             extra = _verify(docs, slim, more, levels, text_col, id_col)

@@ -386,12 +386,13 @@ def test_reaches_probes_only_the_long_lists():
         a, b = ranked(x), ranked(y)
         shared = len(np.intersect1d(a, b))
         need = -(-4 * (2 * n) // 9)
-        short = n - need + ngram_join.wanted_occurrences(n)
+        k = int(rng.choice([1, ngram_join.wanted_occurrences(n)]))
+        short = n - need + k
         counted = len(np.intersect1d(a[:short], b[:short]))
         verdict = 100 * shared >= 80 * (2 * n - shared)
-        assert ngram_join.reaches(a, b, None, Levels, 16) == verdict
-        if counted >= ngram_join.wanted_occurrences(n):
-            assert ngram_join.reaches(a, b, counted, Levels, 16) == verdict
+        assert ngram_join.reaches(a, b, None, k, Levels, 16) == verdict
+        if counted >= k:
+            assert ngram_join.reaches(a, b, counted, k, Levels, 16) == verdict
         else:
             assert not verdict
         seen.add(verdict)
