@@ -24,7 +24,8 @@ WINDOWS: dict[str, int | None] = {"3m": 3, "6m": 6, "12m": 12, "24m": 24, "all":
 # The measures of the monthly telemetry table.
 ADDITIVE = ("mileage_month", "engine_hours_month", "idle_hours_month", "low_oil_pressure_events", "brake_air_pressure_alerts", "battery_voltage_alerts", "fault_code_count", "harsh_braking_events")
 CONTINUOUS = ("avg_engine_temp", "max_engine_temp", "avg_oil_pressure", "avg_payload_weight", "fuel_efficiency_mpg", "route_severity_score", "maintenance_compliance_score")
-
+TRENDS = ("mileage_month", "engine_hours_month", "fault_code_count", "avg_engine_temp", "avg_oil_pressure", "fuel_efficiency_mpg", "route_severity_score", "maintenance_compliance_score")
+TREND_WINDOWS = ("6m", "12m", "24m")
 
 
 def _distinct(x: Column) -> Column:
@@ -109,16 +110,18 @@ def recency(family: str) -> Feature:
     return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda: F.date_diff(F.max("anchor_date"), F.max("event_date")))
 
 
-def first_to_last(family: str, column: str, key: str, windows: Iterable[str], least: int = 1, tier: str = "CORE", name: str = "change") -> list[Feature]:
-    """Latest minus earliest value in each window, when enough values are there."""
+def first_to_last(family: str, column: str, key: str, windows: Iterable[str], least: int = 0, tier: str = "CORE", name: str = "change") -> list[Feature]:
+    """The latest row's value minus the earliest row's in each window, null when either has none.
+
+    ``least``: values that the window must hold.
+    """
     out = []
     for w in windows:
 
         def make(w: str = w) -> Column:
-            inside = within(w) & F.col(column).isNotNull()
-            order = F.when(inside, _order(key))
+            order = F.when(within(w), _order(key))
             diff = F.max_by(column, order) - F.min_by(column, order)
-            return F.when(F.count(F.when(inside, F.col(column))) >= least, diff)
+            return F.when(F.count(F.when(within(w), F.col(column))) >= least, diff)
 
         out.append(Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", make))
     return out
@@ -171,14 +174,19 @@ def inter_event_stats(bridge: DataFrame, event_key: str, family: str, key: str =
 def slopes(bridge: DataFrame, columns: Sequence[str], windows: Sequence[str], family: str, key: str = ANCHOR) -> DataFrame:
     """Least-squares slope of monthly averages on the month index, for three months or more.
 
-    Null when the months do not vary.
+    Null when the months do not vary.  Months count from the anchor's, so sums
+    of whole values are exact and a slope is one division.
     """
     out = []
-    monthly = bridge.groupBy(key, month_index(F.col("event_date")).alias("m"), "anchor_date").agg(*[F.avg(F.when(within(w), F.col(c))).alias(f"{c}|{w}") for c in columns for w in windows])
+    month = (month_index(F.col("event_date")) - month_index(F.col("anchor_date"))).cast("double")
+    monthly = bridge.groupBy(key, month.alias("m"), "anchor_date").agg(*[F.avg(F.when(within(w), F.col(c))).alias(f"{c}|{w}") for c in columns for w in windows])
     for c in columns:
         for w in windows:
             y = F.col(f"`{c}|{w}`")
-            out.append(F.when(F.count(y) >= 3, F.regr_slope(y, F.col("m"))).alias(f"{family}_{c}_slope_{w}"))
+            x = F.when(y.isNotNull(), F.col("m"))
+            n, sx = F.count(y), F.sum(x)
+            spread = n * F.sum(x * x) - sx * sx
+            out.append(F.when((n >= 3) & (spread > 0), (n * F.sum(x * y) - sx * F.sum(y)) / spread).alias(f"{family}_{c}_slope_{w}"))
     return monthly.groupBy(key).agg(*out)
 
 
@@ -193,8 +201,8 @@ def coverage_ratios(observed: DataFrame, anchors: DataFrame, key: str, date: str
     return j.select(*cols)
 
 
-def telemetry_spec(additive: Sequence[str] = ADDITIVE, continuous: Sequence[str] = CONTINUOUS, key: str = "month_key", idle: tuple[str, str] | None = ("idle_hours_month", "engine_hours_month"), odometer: str | None = "total_odometer_miles") -> list[Feature]:
-    """Monthly facts: sums and means, extremes and deviations, latest values, recency and span."""
+def telemetry_spec(additive: Sequence[str] = ADDITIVE, continuous: Sequence[str] = CONTINUOUS, key: str = "month_key", idle: tuple[str, str] | None = ("idle_hours_month", "engine_hours_month"), odometer: str | None = "total_odometer_miles", trends: Sequence[str] = TRENDS) -> list[Feature]:
+    """Monthly facts: sums and means, extremes and deviations, latest values, recency, span and changes."""
     f = "telemetry"
     out = months_observed(f)
     for c in additive:
@@ -210,8 +218,8 @@ def telemetry_spec(additive: Sequence[str] = ADDITIVE, continuous: Sequence[str]
     out += [latest(f, c, key) for c in measures] + [recency(f)] + month_span(f)
     if odometer:
         out += first_to_last(f, odometer, key, ("3m", "6m", "12m", "24m"), name="delta")
-    for c in continuous:
-        out += first_to_last(f, c, key, ("12m",), least=2, tier="EXTENDED")
+    for c in trends:
+        out += first_to_last(f, c, key, TREND_WINDOWS, least=2, tier="EXTENDED")
     return out
 
 
@@ -221,6 +229,11 @@ def event_spec(family: str, key: str, kind: str, readings: Mapping[str, str] | N
     return out + [since_latest(family, a, c, key) for c, a in (readings or {}).items()]
 
 
+def service_spec(key: str = "service_key", kind: str = "service_type", readings: Mapping[str, str] | None = None, windows: Sequence[str] = ("6m", "12m", "24m", "all")) -> list[Feature]:
+    """Service visits: counts, recency, kinds, and what the anchor gained since the last."""
+    return event_spec("service", key, kind, readings, windows)
+
+
 def maintenance_spec(key: str = "maintenance_event_key", kind: str = "maintenance_type", scheduled: str = "scheduled_flag", on_time: str = "completed_on_time_flag", overdue: str = "overdue_days", cost: str = "maintenance_cost", readings: Mapping[str, str] | None = None) -> list[Feature]:
     f = "maintenance"
     out = event_spec(f, key, kind, readings)
@@ -284,6 +297,19 @@ def direct_values(anchors: DataFrame, passed: Sequence[str], numeric: Sequence[s
     return anchors.select(*[F.col(c).try_cast("double").alias(c) if c in numeric else F.col(c) for c in passed])
 
 
+def frame_features(frame: DataFrame, family: str, aggregation: str, sources: Sequence[str], names: Sequence[str], tier: str = "CORE", window: str = "all") -> tuple[DataFrame, list[Feature]]:
+    """Columns that a frame of one row an anchor holds already, as a family of the matrix.
+
+    A name that ends in a window's is a feature of that window.
+    """
+    kinds = dict(frame.dtypes)
+
+    def window_of(name: str) -> str:
+        return next((w for w in WINDOWS if name.endswith(f"_{w}")), window)
+
+    return frame, [Feature(n, family, tier, kinds[n], window_of(n), aggregation, tuple(sources), f"{aggregation}({', '.join(sources)})", lambda n=n: F.col(n)) for n in names]
+
+
 #: Parts of a column name that the matrix must not have.
 FORBIDDEN = ("target", "claim_id", "vin", "serial_no", "description", "notes")
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priorwise.functions.exprs import DAYS_PER_MONTH, safe_divide
+from priorwise.functions.exprs import safe_divide
 from priorwise.operators import bridges as B, features as E, textfeatures as T
 from priorwise.operators.profile import feature_quality
 
 from .bindings import ANCHORS, CLAIM, EVENT, INSTALLS, LINES, MONTHS, anchors, ctes, installs, lines, months, table
 from .registry import query
 
-TELE = """tele AS (SELECT claim_key AS current_claim_key, claim_date AS anchor_date, month_start AS event_date, month_key, qty, cents, discount_pct, n_lines, month_key % 1000 + qty AS odometer
+TELE = """tele AS (SELECT claim_key AS current_claim_key, claim_date AS anchor_date, month_start AS event_date, month_key, qty, cents, CASE WHEN month_key % 7 > 0 THEN discount_pct END AS discount_pct, n_lines, CASE WHEN month_key % 5 > 0 THEN month_key % 1000 + qty END AS odometer
   FROM anchors JOIN months USING (entity_key) WHERE last_day(month_start) < claim_date)"""
 MAINT = """maint AS (SELECT claim_key AS current_claim_key, claim_date AS anchor_date, event_date, event_key, line_status AS kind, part_key % 2 = 0 AS scheduled, CASE WHEN part_key % 7 > 0 THEN qty < 30 END AS on_time,
   discount_pct AS overdue, cents AS cost, qty AS reading, total_cents AS anchor_reading FROM anchors JOIN lines USING (entity_key) WHERE event_date < claim_date)"""
@@ -22,8 +22,8 @@ PRIOR = """prior AS (SELECT a.claim_key AS current_claim_key, a.claim_date AS an
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded, so that both engines write the same."""
-    return df.withColumns({c: F.round(c, digits) + 0.0 for c, t in df.dtypes if t == "double"})
+    """Doubles rounded, so that both engines write the same; slopes are exact in both as they are."""
+    return df.withColumns({c: F.round(c, digits) + 0.0 for c, t in df.dtypes if t == "double" and "_slope_" not in c})
 
 
 def _dated(spark: SparkSession, d: str, bridge: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def _dated(spark: SparkSession, d: str, bridge: DataFrame) -> DataFrame:
 def tele(spark: SparkSession, d: str) -> DataFrame:
     out = {"month_start": "event_date"} | {c: c for c in ("month_key", "qty", "cents", "discount_pct", "n_lines")}
     b = B.bridge_completed_month(anchors(spark, d), months(spark, d), CLAIM, ("entity_key", "month_start"), out)
-    return _dated(spark, d, b).withColumn("odometer", F.col("month_key") % 1000 + F.col("qty"))
+    k = F.col("month_key")
+    return _dated(spark, d, b).withColumns({"discount_pct": F.when(k % 7 > 0, F.col("discount_pct")), "odometer": F.when(k % 5 > 0, k % 1000 + F.col("qty"))})
 
 
 def maint(spark: SparkSession, d: str) -> DataFrame:
@@ -55,11 +56,23 @@ def prior(spark: SparkSession, d: str) -> DataFrame:
     return b.withColumns({"system": F.substring("code", 1, 1), "safety": F.col("target") == 1, "recall": F.col("total_cents") % 3 == 0, "severity": F.expr("substr(code, 3)")}).drop("target", "total_cents")
 
 
-TELE_SPEC = E.telemetry_spec(("qty", "cents", "n_lines"), ("discount_pct",), "month_key", ("n_lines", "qty"), "odometer")
+SERVICE = "serv AS (SELECT current_claim_key, anchor_date, event_date, event_key, system AS visit, score AS reading, total_cents % 100 AS anchor_reading FROM comp JOIN anchors ON claim_key = current_claim_key WHERE supp_key % 2 = 0)"
+
+
+def service(spark: SparkSession, d: str) -> DataFrame:
+    """Visits: the installations of every other supplier."""
+    a = anchors(spark, d).select(F.col("claim_key").alias("current_claim_key"), (F.col("total_cents") % 100).alias("anchor_reading"))
+    visits = comp(spark, d).filter("supp_key % 2 = 0").withColumnsRenamed({"system": "visit", "score": "reading"})
+    return visits.join(a, "current_claim_key").select("current_claim_key", "anchor_date", "event_date", "event_key", "visit", "reading", "anchor_reading")
+
+
+TELE_SPEC = E.telemetry_spec(("qty", "cents", "n_lines"), ("discount_pct",), "month_key", ("n_lines", "qty"), "odometer", ("qty", "cents", "discount_pct"))
 MAINT_SPEC = E.maintenance_spec("event_key", "kind", "scheduled", "on_time", "overdue", "cost", {"reading": "anchor_reading"})
 COMP_SPEC = E.component_spec("event_key", "rework", "safety", ("supp_key", "system", "category"), ("score", "cost"), "life")
 PRIOR_SPEC = E.prior_claim_spec("prior_claim_key", "safety", "recall", ("code", "system"), "severity")
 
+SERVICE_SPEC = E.service_spec("event_key", "visit", {"reading": "anchor_reading"})
+
 # --- the same families in SQL, written apart from the expressions above
 _W = {"3m": "event_date >= anchor_date - INTERVAL 3 MONTH", "6m": "event_date >= anchor_date - INTERVAL 6 MONTH", "12m": "event_date >= anchor_date - INTERVAL 12 MONTH", "24m": "event_date >= anchor_date - INTERVAL 24 MONTH", "all": "TRUE"}
 
@@ -93,8 +106,9 @@ _TELE_COLS += _agg("telemetry", "discount_pct", "mean") + [x for a in ("min", "m
 _TELE_COLS += _ratio("telemetry", "idle", "sum(n_lines) FILTER ({w})", "sum(qty) FILTER ({w})")
 _TELE_COLS += [_latest("telemetry", c, "month_key") for c in ("qty", "cents", "n_lines", "discount_pct", "odometer")] + [_recency("telemetry")]
 _TELE_COLS += [f"max({_MI}) - min({_MI}) + 1 AS telemetry_month_span", f"max({_MI}) - min({_MI}) + 1 - count(DISTINCT {_MI}) AS telemetry_missing_months"]
-_TELE_COLS += [f"CAST(max_by(odometer, (event_date, month_key)) FILTER ({_W[w]}) - min_by(odometer, (event_date, month_key)) FILTER ({_W[w]}) AS DOUBLE) AS telemetry_odometer_delta_{w}" for w in ("3m", "6m", "12m", "24m")]
-_TELE_COLS += [f"CASE WHEN count(discount_pct) FILTER ({_W['12m']}) >= 2 THEN max_by(discount_pct, (event_date, month_key)) FILTER ({_W['12m']}) - min_by(discount_pct, (event_date, month_key)) FILTER ({_W['12m']}) END AS telemetry_discount_pct_change_12m"]
+_EDGES = "arg_max_null({c}, (event_date, month_key)) FILTER ({w}) - arg_min_null({c}, (event_date, month_key)) FILTER ({w})"
+_TELE_COLS += [f"CAST({_EDGES.format(c='odometer', w=_W[w])} AS DOUBLE) AS telemetry_odometer_delta_{w}" for w in ("3m", "6m", "12m", "24m")]
+_TELE_COLS += [f"CASE WHEN count({c}) FILTER ({_W[w]}) >= 2 THEN {_EDGES.format(c=c, w=_W[w])} END AS telemetry_{c}_change_{w}" for c in ("qty", "cents", "discount_pct") for w in ("6m", "12m", "24m")]
 
 
 @query("e10_e20_e22_telemetry", f"{ctes(ANCHORS, LINES, MONTHS, TELE)} SELECT current_claim_key, {', '.join(_TELE_COLS)} FROM tele GROUP BY current_claim_key")
@@ -141,12 +155,15 @@ def e_coverage(spark: SparkSession, d: str) -> DataFrame:
     return rounded(E.coverage_ratios(observed, a, "claim_key", "claim_date", "started", "telemetry"))
 
 
-@query("e21_slope", f"""{ctes(ANCHORS, LINES, MONTHS, TELE)}, m AS (SELECT current_claim_key, {_MI} AS mi, avg(qty) FILTER ({_W['6m']}) AS q6, avg(qty) FILTER ({_W['24m']}) AS q24, avg(cents) FILTER ({_W['6m']}) AS c6, avg(cents) FILTER ({_W['24m']}) AS c24 FROM tele GROUP BY 1, 2)
-SELECT current_claim_key, {', '.join(f"round(CASE WHEN count({c}) >= 3 THEN regr_slope({c}, mi) END / 30.4375::DOUBLE, 4) + 0.0 AS telemetry_{n}" for c, n in (("q6", "qty_slope_6m"), ("q24", "qty_slope_24m"), ("c6", "cents_slope_6m"), ("c24", "cents_slope_24m")))} FROM m GROUP BY 1""")
+_SLOPES = [(c, w) for c in ("qty", "cents", "discount_pct") for w in ("6m", "12m", "24m")]
+_MONTHLY = f"mon AS (SELECT current_claim_key, CAST({_MI} - any_value(year(anchor_date) * 12 + month(anchor_date)) AS DOUBLE) AS mi, {', '.join(f'avg({c}) FILTER ({_W[w]}) AS {c}_{w}' for c, w in _SLOPES)} FROM tele GROUP BY current_claim_key, {_MI})"
+_SUMS = "(count({y}) * sum(mi * mi) FILTER ({y} IS NOT NULL) - pow(sum(mi) FILTER ({y} IS NOT NULL), 2))"
+_SLOPE_COLS = [f"CASE WHEN count({y}) >= 3 AND {_SUMS.format(y=y)} > 0 THEN (count({y}) * sum(mi * {y}) - sum(mi) FILTER ({y} IS NOT NULL) * sum({y})) / {_SUMS.format(y=y)} END AS telemetry_{c}_slope_{w}" for c, w in _SLOPES for y in [f"{c}_{w}"]]
+
+
+@query("e21_slope", f"{ctes(ANCHORS, LINES, MONTHS, TELE, _MONTHLY)} SELECT current_claim_key, {', '.join(_SLOPE_COLS)} FROM mon GROUP BY 1")
 def e_slope(spark: SparkSession, d: str) -> DataFrame:
-    """Slopes a day, as text of four digits ties too often for slopes a month."""
-    out = E.slopes(tele(spark, d), ["qty", "cents"], ["6m", "24m"], "telemetry")
-    return rounded(out.withColumns({c: F.col(c) / DAYS_PER_MONTH for c in out.columns[1:]}), 4)
+    return rounded(E.slopes(tele(spark, d), ["qty", "cents", "discount_pct"], ["6m", "12m", "24m"], "telemetry"))
 
 
 _N = [f"count(event_key) FILTER ({w}) AS {{f}}_event_count_{k}" for k, w in _W.items()]
@@ -164,6 +181,15 @@ def e_maintenance(spark: SparkSession, d: str) -> DataFrame:
     return rounded(E.build_family(maint(spark, d), MAINT_SPEC))
 
 
+_SERVICE_COLS = [x.format(f="service") for x in _N[1:]] + [_recency("service"), "count(DISTINCT visit) AS service_visit_nunique_all", _latest("service", "visit", "event_key"), "CAST(max(anchor_reading) - max_by(reading, (event_date, event_key)) AS DOUBLE) AS service_reading_since_last"]
+_VISIT = "visit_of AS (SELECT current_claim_key, arg_min(visit, (-n, visit)) AS service_visit_dominant FROM (SELECT current_claim_key, visit, count(*) AS n FROM serv WHERE visit IS NOT NULL GROUP BY 1, 2) GROUP BY 1)"
+
+
+@query("e23_e28_service", f"{ctes(ANCHORS, LINES, INSTALLS, COMP, SERVICE, _VISIT)} SELECT s.*, service_visit_dominant FROM (SELECT current_claim_key, {', '.join(_SERVICE_COLS)} FROM serv GROUP BY 1) s LEFT JOIN visit_of USING (current_claim_key)")
+def e_service(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(E.build_family(service(spark, d), SERVICE_SPEC))
+
+
 @query("e28_dominant_share", f"{ctes(ANCHORS, LINES, MAINT)} SELECT current_claim_key, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS kind_share FROM (SELECT current_claim_key, kind, count(*) AS n FROM maint WHERE kind IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
 def e_share(spark: SparkSession, d: str) -> DataFrame:
     return rounded(E.dominant_share(maint(spark, d), "kind", "kind_share"))
@@ -236,29 +262,71 @@ def e_presence(spark: SparkSession, d: str) -> DataFrame:
     return E.history_presence(anchors(spark, d), "claim_key", {"telemetry": tele(spark, d), "prior_claim": prior(spark, d)})
 
 
+def families(spark: SparkSession, d: str) -> list[tuple[DataFrame, list[E.Feature]]]:
+    """All ten families: frames of one row an anchor and what their columns are."""
+    months_of, events, installed, earlier, visits = (f(spark, d) for f in (tele, maint, comp, prior, service))
+    grouped = [(E.build_family(b, s), s) for b, s in ((months_of, TELE_SPEC), (events, MAINT_SPEC), (installed, COMP_SPEC), (earlier, PRIOR_SPEC), (visits, SERVICE_SPEC))]
+    key = F.col("claim_key").alias("current_claim_key")
+    span = _span(spark, d).withColumn("allowed", F.lit(100))
+    passed = E.direct_values(span.withColumn("urgency", F.substring("priority", 1, 1)), ["claim_key", "priority", "urgency"], ["urgency"])
+    days = E.lifecycle_days(span, {"days_from_first": ("claim_date", "first_ship"), "days_between": ("last_ship", "first_ship")})
+    usage = E.usage_rates(span, "cents", "qty", "n")
+    warranty = E.warranty_utilization(span, {"qty": ("qty", "allowed"), "cents": ("cents", "total_cents")})
+    started = lines(spark, d).groupBy("entity_key").agg(F.min("event_date").alias("started"))
+    coverage = E.coverage_ratios(grouped[0][0], anchors(spark, d).join(started, "entity_key", "left"), "claim_key", "claim_date", "started", "telemetry")
+    trends = E.slopes(months_of, TREND_COLUMNS, E.TREND_WINDOWS, "telemetry")
+    rhythm = E.inter_event_stats(events, "event_key", "maintenance").join(E.dominant_share(events, "kind", "maintenance_kind_share"), "current_claim_key", "left")
+    parts = [
+        (passed, "direct", "direct", ["priority"], ["priority", "urgency"], "CORE"),
+        (days, "lifecycle", "days", ["claim_date", "first_ship", "last_ship"], ["days_from_first", "days_between"], "CORE"),
+        (usage, "usage", "rate", ["cents", "qty", "n"], ["usage_miles_per_month", "usage_hours_per_month", "usage_miles_per_hour"], "CORE"),
+        (warranty, "warranty", "ratio", ["qty", "cents", "total_cents"], [c for c in warranty.columns if c.startswith("warranty_")], "CORE"),
+        (coverage, "coverage", "ratio", ["event_date", "started"], coverage.columns[1:], "CORE"),
+        (trends, "telemetry_trend", "slope", list(TREND_COLUMNS), trends.columns[1:], "EXTENDED"),
+        (rhythm, "maintenance_rhythm", "gap", ["event_date", "kind"], rhythm.columns[1:], "EXTENDED"),
+    ]
+    named = [(f if "current_claim_key" in f.columns else f.select(key, *names), *rest, names, tier) for f, *rest, names, tier in parts]
+    return grouped + [E.frame_features(f, family, how, sources, names, tier) for f, family, how, sources, names, tier in named]
+
+
+TREND_COLUMNS = ("qty", "cents", "discount_pct")
+
+
 def matrix(spark: SparkSession, d: str) -> DataFrame:
-    families = [(E.build_family(b, s), s) for b, s in ((tele(spark, d), TELE_SPEC), (maint(spark, d), MAINT_SPEC), (comp(spark, d), COMP_SPEC), (prior(spark, d), PRIOR_SPEC))]
-    return E.feature_matrix(anchors(spark, d), "claim_key", ["claim_date"], families)
+    return E.feature_matrix(anchors(spark, d), "claim_key", ["claim_date"], families(spark, d))
 
 
 def _filled(spec, cols: str) -> str:
     return ", ".join(f"coalesce({f.name}, 0) AS {f.name}" if f.zero_fill else f.name for f in spec)
 
 
-@query("e34_feature_matrix", f"""{ctes(ANCHORS, LINES, MONTHS, INSTALLS, TELE, MAINT, _MODE, COMP, PRIOR)},
+_COVER_COLS = ", ".join(f"{_expected_sql(w)} AS telemetry_months_expected_{w}, round(CASE WHEN {_expected_sql(w)} > 0 THEN coalesce(t.telemetry_months_observed_{w}, 0) / CAST({_expected_sql(w)} AS DOUBLE) END, 6) AS telemetry_coverage_ratio_{w}" for w in _W)
+
+
+@query("e34_feature_matrix", f"""{ctes(ANCHORS, LINES, MONTHS, INSTALLS, TELE, MAINT, _MODE, COMP, PRIOR, SERVICE, _VISIT, _SPAN, _FIRST, _MONTHLY)},
 t AS (SELECT current_claim_key, {', '.join(_TELE_COLS)} FROM tele GROUP BY 1), m AS (SELECT current_claim_key, {', '.join(_MAINT_COLS)} FROM maint GROUP BY 1),
-c AS (SELECT current_claim_key, {', '.join(_COMP_COLS)} FROM comp GROUP BY 1), p AS (SELECT current_claim_key, {', '.join(_PRIOR_COLS)} FROM prior GROUP BY 1)
-SELECT claim_key AS current_claim_key, claim_date, {_filled(TELE_SPEC, 't')}, {_filled(MAINT_SPEC, 'm')}, {_filled(COMP_SPEC, 'c')}, {_filled(PRIOR_SPEC, 'p')}
-FROM anchors LEFT JOIN t ON claim_key = t.current_claim_key LEFT JOIN m ON claim_key = m.current_claim_key LEFT JOIN mode_of ON claim_key = mode_of.current_claim_key LEFT JOIN c ON claim_key = c.current_claim_key LEFT JOIN p ON claim_key = p.current_claim_key""", dates=["claim_date"])
+c AS (SELECT current_claim_key, {', '.join(_COMP_COLS)} FROM comp GROUP BY 1), p AS (SELECT current_claim_key, {', '.join(_PRIOR_COLS)} FROM prior GROUP BY 1),
+s AS (SELECT current_claim_key, {', '.join(_SERVICE_COLS)} FROM serv GROUP BY 1), sl AS (SELECT current_claim_key, {', '.join(_SLOPE_COLS)} FROM mon GROUP BY 1),
+gp AS (SELECT current_claim_key, round(avg(gap), 6) AS maintenance_gap_days_mean, round(CASE WHEN count(gap) >= 2 THEN stddev_pop(gap) END, 6) AS maintenance_gap_days_std FROM (SELECT current_claim_key, event_date - lag(event_date) OVER (PARTITION BY current_claim_key ORDER BY event_date, event_key) AS gap FROM maint) GROUP BY 1),
+sh AS (SELECT current_claim_key, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS maintenance_kind_share FROM (SELECT current_claim_key, kind, count(*) AS n FROM maint WHERE kind IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+r AS (SELECT claim_key, round(span.qty / 100.0::DOUBLE, 6) AS warranty_qty_ratio, 100.0::DOUBLE - span.qty AS warranty_qty_remaining, round(CASE WHEN total_cents > 0 THEN span.cents / CAST(total_cents AS DOUBLE) END, 6) AS warranty_cents_ratio, CAST(total_cents - span.cents AS DOUBLE) AS warranty_cents_remaining FROM anchors LEFT JOIN span ON claim_key = order_key)
+SELECT anchors.claim_key AS current_claim_key, claim_date, {_filled(TELE_SPEC, 't')}, {_filled(MAINT_SPEC, 'm')}, {_filled(COMP_SPEC, 'c')}, {_filled(PRIOR_SPEC, 'p')}, {_filled(SERVICE_SPEC, 's')},
+  priority, TRY_CAST(substr(priority, 1, 1) AS DOUBLE) AS urgency, claim_date - first_ship AS days_from_first, last_ship - first_ship AS days_between,
+  round(span.cents / CAST(span.n AS DOUBLE), 6) AS usage_miles_per_month, round(span.qty / CAST(span.n AS DOUBLE), 6) AS usage_hours_per_month, round(CASE WHEN span.qty > 0 THEN span.cents / CAST(span.qty AS DOUBLE) END, 6) AS usage_miles_per_hour,
+  r.* EXCLUDE (claim_key), greatest(warranty_qty_ratio, warranty_cents_ratio) AS warranty_max_ratio, {_COVER_COLS}, sl.* EXCLUDE (current_claim_key), gp.* EXCLUDE (current_claim_key), maintenance_kind_share
+FROM anchors LEFT JOIN t ON claim_key = t.current_claim_key LEFT JOIN m ON claim_key = m.current_claim_key LEFT JOIN mode_of ON claim_key = mode_of.current_claim_key LEFT JOIN c ON claim_key = c.current_claim_key LEFT JOIN p ON claim_key = p.current_claim_key
+LEFT JOIN s ON claim_key = s.current_claim_key LEFT JOIN visit_of ON claim_key = visit_of.current_claim_key LEFT JOIN span ON claim_key = span.order_key LEFT JOIN first_seen USING (entity_key) LEFT JOIN sl ON claim_key = sl.current_claim_key LEFT JOIN gp ON claim_key = gp.current_claim_key LEFT JOIN sh ON claim_key = sh.current_claim_key LEFT JOIN r ON anchors.claim_key = r.claim_key""", dates=["claim_date"])
 def e_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """All ten families of features for every claim."""
     return rounded(matrix(spark, d))
 
 
 @query("e35_c36_catalog_quality")
 def e_catalog(spark: SparkSession, d: str) -> DataFrame:
     """The catalog with each numeric feature's quality over the matrix."""
-    catalog = E.feature_catalog(spark, [*TELE_SPEC, *MAINT_SPEC, *COMP_SPEC, *PRIOR_SPEC])
-    m = matrix(spark, d)
+    parts = families(spark, d)
+    catalog = E.feature_catalog(spark, [f for _, features in parts for f in features])
+    m = E.feature_matrix(anchors(spark, d), "claim_key", ["claim_date"], parts)
     numeric = [c for c, t in m.dtypes if t in ("double", "bigint", "int")][1:]
     return catalog.drop("sources").join(feature_quality(m, numeric), "feature", "left")
 

@@ -65,6 +65,15 @@ def test_matrix_zero_fills_counts_and_nulls_measures(spark, claims):
         E.feature_matrix(claims, "k", ["target"], [])
 
 
+def test_changes_take_the_rows_at_the_edges(spark):
+    """A null reading in the first or last row gives no change; one in between does not matter."""
+    rows = [(1, 1, D(2026, 1, 1), 10.0), (1, 2, D(2026, 2, 1), 15.0), (1, 3, D(2026, 3, 1), None), (2, 1, D(2026, 1, 1), 10.0), (2, 2, D(2026, 2, 1), None), (2, 3, D(2026, 3, 1), 15.0), (3, 1, D(2026, 1, 1), 4.0), (4, 1, D(2026, 1, 1), None), (4, 2, D(2026, 2, 1), 3.0)]
+    b = spark.createDataFrame([(*r[:3], D(2026, 4, 1), r[3]) for r in rows], "current_claim_key long, id long, event_date date, anchor_date date, v double")
+    spec = [*E.first_to_last("f", "v", "id", ("6m",), name="delta"), *E.first_to_last("f", "v", "id", ("6m",), least=2)]
+    got = {r.current_claim_key: (r.f_v_delta_6m, r.f_v_change_6m) for r in E.build_family(b, spec).collect()}
+    assert got == {1: (None, None), 2: (5.0, 5.0), 3: (0.0, None), 4: (None, None)}
+
+
 def test_dates_are_never_split(spark):
     days = [(i, D(2026, 1, 1) + dt.timedelta(days=i)) for i in range(20)]
     r = S.split_boundaries(spark.createDataFrame(days, "k long, d date"), "d").first()
