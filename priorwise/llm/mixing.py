@@ -111,7 +111,8 @@ def _plan_sources(sized: DataFrame, seed: int, max_repeats: int) -> DataFrame:
 def _copies(rate, cuts, size, cell):
     """floor(rate), and one more below the cut of the size's class; without a cut, below the fraction."""
     part = rate - F.floor(rate)
-    cut = F.coalesce(F.get(F.map_values(F.map_filter(cuts, lambda k, _: k == _class(size))), F.lit(0)).cast("double"), part * _CELLS)
+    # one lookup: inside a lambda the size would be worked out for every class
+    cut = F.coalesce(F.try_element_at(cuts, _class(size)).cast("double"), part * _CELLS)
     return (F.floor(rate) + F.when(cell < cut, 1).otherwise(0)).cast("long")
 
 

@@ -447,7 +447,8 @@ def _components_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
                 block.append(b)
                 size += len(at)
             yield rows(batch.column("doc_id"), batch.column("text_hash"), counts, nodes, [None] * len(nodes), [None] * len(nodes))
-            if size >= FLUSH:
+            # an entry takes as much memory as four shingles, and twice when sorted
+            if size >= FLUSH // 4:
                 yield send()
                 held, block, size = [], [], 0
                 seen.clear()
