@@ -59,3 +59,17 @@ def test_run_is_the_last_stage(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert out.count() > 0
+
+
+def test_run_on_nulls_clashing_columns_and_no_rows(spark, tmp_path):
+    """Null texts and identifiers pass through; extra columns do not clash; no documents give no rows."""
+    words = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, words), (2, words), (3, None), (None, words + " more"), (4, ""), (5, "alone " * 60), (5, "alone " * 60)]
+    docs = spark.createDataFrame([(d, t, "en", None if d == 5 else "s", 0, "x", 1, 2.0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long, norm string, node long, rate double")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for name, table in (("some", docs), ("none", docs.limit(0))):
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    got = {r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/some").collect()}
+    assert got <= {1, 3, 4, 5, None} and 2 not in got and got & {1, 5, None}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
