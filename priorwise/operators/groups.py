@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from priorwise.functions.exprs import canonical, fingerprint
 
@@ -64,14 +64,14 @@ def membership_problems(membership: DataFrame, assignments: DataFrame, key: str)
 
 def group_exposure(members: DataFrame) -> DataFrame:
     """Each membership with the group's first split and whether TRAIN, VALIDATION or development saw it."""
-    w = Window.partitionBy("group_type", "group_value_hash")
     place = F.when(F.col("split") == "TRAIN", 0).when(F.col("split") == "VALIDATION", 1).otherwise(2)
-    train, valid = F.max(F.col("split") == "TRAIN").over(w), F.max(F.col("split") == "VALIDATION").over(w)
-    first = F.min(place).over(w)
-    return members.withColumns({
-        "first_split": F.when(first == 0, "TRAIN").when(first == 1, "VALIDATION").otherwise("TEST"),
-        "seen_in_train": train, "seen_in_validation": valid, "seen_in_development": train | valid,
-    })
+    # flags are aggregated before they are joined back, so a large group is never sorted in one task
+    flags = members.groupBy(F.col("group_type").alias("__t"), F.col("group_value_hash").alias("__h")).agg(
+        F.min(place).alias("__first"), F.max(F.col("split") == "TRAIN").alias("seen_in_train"), F.max(F.col("split") == "VALIDATION").alias("seen_in_validation"))
+    j = members.join(flags, F.col("group_type").eqNullSafe(F.col("__t")) & F.col("group_value_hash").eqNullSafe(F.col("__h")))
+    return j.select(
+        *members.columns, F.when(F.col("__first") == 0, "TRAIN").when(F.col("__first") == 1, "VALIDATION").otherwise("TEST").alias("first_split"),
+        "seen_in_train", "seen_in_validation", (F.col("seen_in_train") | F.col("seen_in_validation")).alias("seen_in_development"))
 
 
 def group_overlap(members: DataFrame) -> DataFrame:

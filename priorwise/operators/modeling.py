@@ -147,7 +147,7 @@ def score_frozen(df: DataFrame, p1: str, p2: str, slope: float, intercept: float
 
 def select_oof(scores: DataFrame, champions: DataFrame) -> DataFrame:
     """Rows of each track's champion strategy, with the calibrated score where the champion is calibrated."""
-    j = scores.join(F.broadcast(champions.select("track", "strategy", "calibrated")), ["track", "strategy"])
+    j = scores.join(champions.select("track", "strategy", "calibrated"), ["track", "strategy"])
     return j.withColumn("p", F.when(F.col("calibrated"), F.col("calibrated_p")).otherwise(F.col("raw_p")))
 
 
@@ -164,6 +164,6 @@ def importance_stability(df: DataFrame, feature: str, fold: str, loss: str, cont
 
 def feature_families(features: DataFrame, rules: DataFrame) -> DataFrame:
     """feature, families, family: by name prefix; not exactly one family makes family null."""
-    j = features.crossJoin(F.broadcast(rules)).filter(F.startswith("feature", F.col("prefix")))
+    j = features.join(rules, F.startswith(F.col("feature"), F.col("prefix")))
     g = j.groupBy("feature").agg(F.count_distinct("family").alias("families"), F.min("family").alias("family"))
     return features.join(g, "feature", "left").select("feature", F.coalesce("families", F.lit(0)).alias("families"), F.when(F.col("families") == 1, F.col("family")).alias("family"))

@@ -123,8 +123,9 @@ def point_biserial(df: DataFrame, target: str, columns: Sequence[str]) -> DataFr
 def cramers_v(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
     """field, association: uncorrected Cramér's V of value and target, nulls left out."""
     c = unpivot(df, columns, "string", [target]).filter(F.col("value").isNotNull() & F.col(target).isNotNull()).groupBy("field", "value", target).agg(F.count(F.lit(1)).alias("n"))
-    row, col, all_ = Window.partitionBy("field", "value"), Window.partitionBy("field", target), Window.partitionBy("field")
-    m = c.withColumns({"r": F.sum("n").over(row), "k": F.sum("n").over(col), "t": F.sum("n").over(all_)})
+    # the sums over classes are few and joined back: a window over a class would hold all values of a field
+    per_class = c.groupBy("field", target).agg(F.sum("n").alias("k"))
+    m = c.withColumn("r", F.sum("n").over(Window.partitionBy("field", "value"))).join(per_class, ["field", target])
     # sum over cells of n^2 / (r k) is chi^2 / N + 1, empty cells included
     g = m.groupBy("field").agg(F.sum(F.col("n") * F.col("n") / (F.col("r") * F.col("k"))).alias("q"), F.count_distinct("value").alias("rows"), F.count_distinct(target).alias("cols"))
     least = F.least(F.col("rows"), F.col("cols")) - 1

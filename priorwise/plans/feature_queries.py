@@ -358,15 +358,9 @@ def descriptions(spark: SparkSession, d: str) -> DataFrame:
 _DOCS = "docs AS (SELECT current_claim_key, " + ", ".join(f"list(t ORDER BY event_date, k) FILTER (t IS NOT NULL AND {_W[w]}) AS texts_{w}" for w in _TW) + " FROM descr GROUP BY 1)"
 
 
-@query("f01_normalize_description", r"SELECT doc_id, length(t) AS n, md5(t) AS digest FROM (SELECT doc_id, lower(trim(regexp_replace(text, '[\s]+', ' ', 'g'))) AS t FROM documents WHERE lang = 'en') WHERE NOT regexp_matches(t, '[^\x00-\x7f]')")
+@query("f01_normalize_description", r"SELECT doc_id, length(t) AS n, md5(t) AS digest FROM (SELECT doc_id, nullif(trim(regexp_replace(replace(lower(nfc_normalize(text)), 'ß', 'ss'), '\s+', ' ', 'g')), '') AS t FROM documents)")
 def f_normalize(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").filter("lang = 'en'").select("doc_id", T.normalize_description("text").alias("t"))
-    return t.filter(~F.col("t").rlike(r"[^\x00-\x7f]")).select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
-
-
-@query("f01_normalize_description_all")
-def f_normalize_all(spark: SparkSession, d: str) -> DataFrame:
-    """Every document; f01_normalize_description has the English ones in ASCII, for its SQL."""
+    """Every document.  The SQL has NFC and one folding, enough for Latin letters; a test compares with NFKC and full case folding."""
     t = table(spark, d, "documents").select("doc_id", T.normalize_description("text").alias("t"))
     return t.select("doc_id", F.length("t").alias("n"), F.md5("t").alias("digest"))
 

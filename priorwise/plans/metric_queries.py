@@ -119,20 +119,13 @@ def h16(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("average_precision_lift", F.round("average_precision_lift", 4))
 
 
-@query("h17_support_status", f"""{ctes(ANCHORS, SCORED.replace('FROM anchors)', 'FROM anchors WHERE claim_key % 20 = 3)'))}, s2 AS (SELECT * REPLACE (strftime(claim_date, '%Y-%m') AS priority) FROM scored), {_rank('priority').replace('FROM scored', 'FROM s2')}
-SELECT * REPLACE (CASE WHEN positives > 0 AND positives < rows THEN average_precision END AS average_precision, CASE WHEN positives > 0 AND positives < rows THEN roc_auc END AS roc_auc, CASE WHEN positives > 0 AND positives < rows THEN pr_auc END AS pr_auc), CASE WHEN rows < 10 OR positives < 3 OR rows - positives < 4 THEN 'LOW_SUPPORT' ELSE 'SUPPORTED' END AS support FROM r""")
-def h17(spark: SparkSession, d: str) -> DataFrame:
-    s = scored(spark, d).filter("claim_key % 20 = 3").withColumn("priority", F.date_format("claim_date", "yyyy-MM"))
-    return rounded(M.support_status(M.ranking_metrics(s, ["priority"]), 10, 3, 4))
-
-
 _GRAINS = "s2 AS (SELECT y, p, 'month' AS grain, strftime(claim_date, '%Y-%m') AS period FROM scored UNION ALL SELECT y, p, 'day', strftime(claim_date, '%Y-%m-%d') FROM scored)"
 
 
-@query("h17_support_status_all", f"""{ctes(ANCHORS, SCORED)}, {_GRAINS}, {_rank('grain, period').replace('FROM scored', 'FROM s2')}
+@query("h17_support_status", f"""{ctes(ANCHORS, SCORED)}, {_GRAINS}, {_rank('grain, period').replace('FROM scored', 'FROM s2')}
 SELECT * REPLACE (CASE WHEN positives > 0 AND positives < rows THEN average_precision END AS average_precision, CASE WHEN positives > 0 AND positives < rows THEN roc_auc END AS roc_auc, CASE WHEN positives > 0 AND positives < rows THEN pr_auc END AS pr_auc), CASE WHEN rows < 75 OR positives < 5 OR rows - positives < 20 THEN 'LOW_SUPPORT' ELSE 'SUPPORTED' END AS support FROM r""")
-def h17_all(spark: SparkSession, d: str) -> DataFrame:
-    """All scored rows by month and by day, with the default gates; h17_support_status has one row in twenty, for its SQL."""
+def h17(spark: SparkSession, d: str) -> DataFrame:
+    """All scored rows by month and by day, with the default gates."""
     grains = F.explode(F.array(*[F.struct(F.lit(n).alias("grain"), F.date_format("claim_date", f).alias("period")) for n, f in (("month", "yyyy-MM"), ("day", "yyyy-MM-dd"))])).alias("g")
     s = scored(spark, d).select("y", "p", grains).select("y", "p", "g.*")
     return rounded(M.support_status(M.ranking_metrics(s, ["grain", "period"])))
@@ -152,7 +145,17 @@ def h19(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 5) for c in ("delta", "relative_lift")})
 
 
-@query("h20_generalization_status")
+def _exact(fold: int, at: str) -> str:
+    """The ranking metrics of one fold, not rounded."""
+    return f"(WITH {_rank().replace(', 6)', ', 15)').replace('FROM scored', f'FROM (SELECT * FROM scored WHERE fold = {fold})')} SELECT * FROM r) {at}"
+
+
+_COMPARED = ("average_precision", "roc_auc", "log_loss", "brier", "prevalence")
+
+
+@query("h20_generalization_status", f"""{ctes(ANCHORS, SCORED)}, x AS (SELECT v.*, {', '.join(f't.{n} AS t_{n}' for n in _COMPARED)}, CASE WHEN v.average_precision <> 0 THEN t.average_precision / v.average_precision ELSE 0.0 END AS ratio FROM {_exact(1, 'v')}, {_exact(2, 't')})
+SELECT {', '.join(f'round({n}, 6) AS validation_{n}, round(t_{n}, 6) AS test_{n}, round(t_{n} - {n}, 6) AS {n}_difference' for n in _COMPARED)}, round(ratio, 6) AS ap_ratio,
+CASE WHEN t_average_precision <= t_prevalence OR t_roc_auc <= 0.5 THEN 'SEVERE_DEGRADATION' WHEN ratio < 0.8 OR t_roc_auc < roc_auc - 0.05 THEN 'MODERATE_DEGRADATION' ELSE 'STABLE_GENERALIZATION' END AS generalization_status FROM x""")
 def h20(spark: SparkSession, d: str) -> DataFrame:
     s = scored(spark, d)
     return rounded(M.generalization_status(M.ranking_metrics(s.filter("fold = 1")), M.ranking_metrics(s.filter("fold = 2"))))

@@ -110,15 +110,30 @@ def i08(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 2) for c in ("iqr_0", "iqr_1", "wasserstein")})
 
 
-@query("i09_categorical_drift", f"""{_P}, h AS (SELECT coalesce(level, '__MISSING__') AS v, count(*) FILTER (s = 0) AS a, count(*) FILTER (s = 1) AS b FROM (SELECT level, 0 AS s FROM train UNION ALL SELECT level, 1 FROM other) GROUP BY 1),
-p AS (SELECT *, a / CAST(sum(a) OVER () AS DOUBLE) AS pa, b / CAST(sum(b) OVER () AS DOUBLE) AS pb, count(*) OVER () AS k FROM h), e AS (SELECT *, (pa + 1e-6) / (1 + 1e-6 * k) AS x, (pb + 1e-6) / (1 + 1e-6 * k) AS y, (pa + pb) / 2 AS m FROM p)
+_SHARES = """h AS (SELECT coalesce(level, '__MISSING__') AS v, count(*) FILTER (s = 0) AS a, count(*) FILTER (s = 1) AS b FROM (SELECT level, 0 AS s FROM train UNION ALL SELECT level, 1 FROM other) GROUP BY 1),
+p AS (SELECT *, a / CAST(sum(a) OVER () AS DOUBLE) AS pa, b / CAST(sum(b) OVER () AS DOUBLE) AS pb, count(*) OVER () AS k FROM h), e AS (SELECT *, (pa + 1e-6) / (1 + 1e-6 * k) AS x, (pb + 1e-6) / (1 + 1e-6 * k) AS y, (pa + pb) / 2 AS m FROM p)"""
+
+
+@query("i09_categorical_drift", f"""{_P}, {_SHARES}
 SELECT 'level' AS field, round((SELECT avg(CAST(level IS NULL AS INTEGER)) FROM train), 6) AS missing_0, round((SELECT avg(CAST(level IS NULL AS INTEGER)) FROM other), 6) AS missing_1, round(sum((y - x) * ln(y / x)), 6) AS psi,
 round(sqrt(greatest((sum(CASE WHEN pa > 0 THEN pa * log2(pa / m) ELSE 0 END) + sum(CASE WHEN pb > 0 THEN pb * log2(pb / m) ELSE 0 END)) / 2, 0)), 6) AS js_distance, round(sum(CASE WHEN a = 0 THEN pb ELSE 0 END), 6) AS unseen_rate FROM e""")
 def i09(spark: SparkSession, d: str) -> DataFrame:
     return rounded(R.categorical_drift(*parts(spark, d), ["level"]))
 
 
-@query("i10_drift_table")
+def _missing_sql(c: str) -> str:
+    return ", ".join(f"(SELECT avg(CAST({c} IS NULL AS INTEGER)) FROM {t}) AS missing_{s}" for s, t in ((0, "train"), (1, "other")))
+
+
+def _grade_sql(x: str, a: float, b: float) -> str:
+    return f"CASE WHEN {x} IS NULL THEN 'UNAVAILABLE' WHEN {x} >= {b} THEN 'SEVERE' WHEN {x} >= {a} THEN 'MODERATE' ELSE 'STABLE' END"
+
+
+_NUMERIC_PSI = " UNION ALL ".join(f"SELECT '{c}' AS field, 'numeric' AS kind, {_missing_sql(c)}, (SELECT psi FROM {_psi_sql(c, 'side = 0')}) AS psi" for c in ("cents", "p"))
+
+
+@query("i10_drift_table", f"""{_P}, {_SHARES}, both_kinds AS ({_NUMERIC_PSI} UNION ALL SELECT 'level', 'categorical', {_missing_sql('level')}, (SELECT sum((y - x) * ln(y / x)) FROM e))
+SELECT field, kind, round(missing_0, 6) AS missing_0, round(missing_1, 6) AS missing_1, round(psi, 6) AS psi, {_grade_sql('psi', 0.1, 0.25)} AS psi_class, {_grade_sql('abs(missing_1 - missing_0)', 0.05, 0.1)} AS missing_class FROM both_kinds""")
 def i10(spark: SparkSession, d: str) -> DataFrame:
     a, b = parts(spark, d)
     return rounded(R.drift_table(R.numeric_drift(a, b, ["cents", "p"]), R.categorical_drift(a, b, ["level"])))
@@ -130,19 +145,20 @@ def i11(spark: SparkSession, d: str) -> DataFrame:
     return rounded(R.score_drift(*parts(spark, d)))
 
 
-_BOOT = """strat AS (SELECT claim_key, y, row_number() OVER (PARTITION BY y ORDER BY claim_key) - 1 AS i, count(*) OVER (PARTITION BY y) AS n FROM other WHERE claim_key % 5 = 0),
+_BOOT = """strat AS (SELECT claim_key, y, row_number() OVER (PARTITION BY y ORDER BY claim_key) - 1 AS i, count(*) OVER (PARTITION BY y) AS n FROM other),
 drawn AS (SELECT y, replicate, ('0x' || substr(md5('17:' || replicate || ':' || y || ':' || i), 1, 12))::BIGINT % n AS at FROM strat, range(1, 21) r(replicate)),
 w AS (SELECT replicate, claim_key, count(*) AS weight FROM drawn JOIN strat ON drawn.y = strat.y AND drawn.at = strat.i GROUP BY 1, 2)"""
 
 
 @query("i12_bootstrap_weights", f"{_P}, {_BOOT} SELECT replicate, claim_key, weight FROM w")
 def i12(spark: SparkSession, d: str) -> DataFrame:
-    return R.bootstrap_weights(parts(spark, d)[1].filter("claim_key % 5 = 0"), "claim_key", 20)
+    """The weights of all rows in 20 replicates."""
+    return R.bootstrap_weights(parts(spark, d)[1], "claim_key", 20)
 
 
 @query("i12_bootstrap_weights_all")
 def i12_all(spark: SparkSession, d: str) -> DataFrame:
-    """The weights of all rows and all replicates; i12_bootstrap_weights has those of a fifth, 20 times, for its SQL."""
+    """The weights of all rows in as many replicates as the intervals take."""
     return R.bootstrap_weights(parts(spark, d)[1], "claim_key", 2000)
 
 
@@ -210,7 +226,9 @@ def i20(spark: SparkSession, d: str) -> DataFrame:
     return rounded(R.score_reproduction(s.filter("claim_key % 3 <> 0").select("claim_key", "p"), s.filter("claim_key % 4 <> 0").select("claim_key", F.col("p2").alias("p")), "claim_key"))
 
 
-@query("i21_warning_inventory")
+@query("i21_warning_inventory", f"""{_P}, {_DEFS}, {_MEM}, w AS (SELECT 'SEVERE_DRIFT' AS code, count(*) AS rows, TRUE AS blocking FROM ({_NUMERIC_PSI}) WHERE psi >= 0.25
+UNION ALL SELECT 'LOW_SUPPORT_SLICES', count(*), FALSE FROM (SELECT count(*) AS n, sum(y) AS pos FROM mem JOIN other USING (claim_key) GROUP BY slice_id, label) WHERE n < 75 OR pos < 5 OR n - pos < 20)
+SELECT *, CASE WHEN bool_or(blocking) OVER () THEN 'BLOCKED' ELSE 'READY' END AS status, count(*) OVER () AS warnings FROM w WHERE rows > 0""")
 def i21(spark: SparkSession, d: str) -> DataFrame:
     a, b = parts(spark, d)
     rules = [(R.numeric_drift(a, b, ["cents", "p"]), F.col("psi") >= 0.25, "SEVERE_DRIFT"), (R.slice_metrics(b.select("claim_key", "y", "p"), slices(spark, d), "claim_key", 0.4), F.col("status") == "LOW_SUPPORT", "LOW_SUPPORT_SLICES")]

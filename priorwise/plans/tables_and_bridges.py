@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -37,6 +38,21 @@ def a02(spark: SparkSession, d: str) -> DataFrame:
     return S.exact_counts(S.scan_all_tables(spark, d, CONTRACT))
 
 
+@query("a07_write_parquet", f"SELECT count(*) AS row_count, {len(CONTRACT['lineitem'])} AS column_count FROM lineitem")
+def a07(spark: SparkSession, d: str) -> DataFrame:
+    """What is found in the written table."""
+    return S.write_parquet(S.scan_explicit(spark, f"{d}/lineitem.parquet", CONTRACT["lineitem"]), f"{S.shared_folder(spark)}/lineitem-{uuid.uuid4().hex}")
+
+
+@query("a08_a09_publish_verified", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders", dates=["o_orderdate"])
+def a08(spark: SparkSession, d: str) -> DataFrame:
+    """Orders published under a checked key and read again against their fingerprint."""
+    orders = S.scan_explicit(spark, f"{d}/orders.parquet", CONTRACT["orders"])
+    path = f"{S.shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    S.publish_staged(orders, path, "o_orderkey")
+    return S.read_verified(spark, path, G.content_fingerprint(orders))
+
+
 @query("a06_scan_labels_semi", f"{ctes(ANCHORS)} SELECT claim_key, target FROM anchors WHERE entity_key IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def a06(spark: SparkSession, d: str) -> DataFrame:
     a = anchors(spark, d)
@@ -197,13 +213,16 @@ _CAUSAL = """causal AS (SELECT a.*, CASE WHEN p_size % 9 <> 0 THEN f.part_key EN
   FROM anchors a LEFT JOIN (SELECT order_key, min_by(part_key, event_key) AS part_key FROM lines GROUP BY 1) f ON f.order_key = claim_key LEFT JOIN part ON f.part_key = p_partkey)"""
 
 
-@query("b16_asof_latest_match", f"""{ctes(ANCHORS, LINES, _CAUSAL)}, pairs AS (
+_MATCH = f"""{ctes(ANCHORS, LINES, _CAUSAL)}, pairs AS (
   SELECT c.claim_key, l.event_key, l.supp_key, l.line_status, rank() OVER (PARTITION BY c.claim_key ORDER BY l.event_date DESC) AS r, count(*) OVER (PARTITION BY c.claim_key) AS n
   FROM causal c JOIN lines l ON c.entity_key = l.entity_key AND c.component = l.part_key AND l.event_date <= coalesce(c.failure_date, c.claim_date)
 ), best AS (SELECT claim_key, count(*) AS ties, count(DISTINCT supp_key || '|' || line_status) AS vals, min_by(supp_key, event_key) AS supp_key, min_by(line_status, event_key) AS line_status, max(n) AS n FROM pairs WHERE r = 1 GROUP BY 1)
 SELECT c.claim_key, CASE WHEN component IS NULL THEN 'no_causal_component' WHEN ties IS NULL THEN 'unmatched' WHEN vals > 1 THEN 'ambiguous' ELSE 'matched' END AS match_status,
        coalesce(ties > 1, FALSE) AS tied, coalesce(n, 0) AS n_candidates, CASE WHEN vals = 1 THEN supp_key END AS supp_key, CASE WHEN vals = 1 THEN line_status END AS line_status
-FROM causal c LEFT JOIN best USING (claim_key)""")
+FROM causal c LEFT JOIN best USING (claim_key)"""
+
+
+@query("b16_asof_latest_match", _MATCH)
 def b16(spark: SparkSession, d: str) -> DataFrame:
     a, x = anchors(spark, d), lines(spark, d)
     first = x.groupBy(F.col("order_key").alias("k")).agg(F.min_by("part_key", "event_key").alias("fp"))
@@ -213,7 +232,8 @@ def b16(spark: SparkSession, d: str) -> DataFrame:
     return B.asof_latest_match(c, x.drop("order_key"), ("claim_key", "entity_key", "claim_date", "failure_date"), "component", ("entity_key", "part_key", "event_date"), ["supp_key", "line_status"], ["event_key"])
 
 
-@query("b16_match_counters")
+@query("b16_match_counters", f"""SELECT count(*) FILTER (match_status = 'no_causal_component') AS no_causal_component, count(*) FILTER (match_status = 'matched') AS matched, count(*) FILTER (match_status IN ('unmatched', 'ambiguous')) AS unmatched,
+  count(*) FILTER (tied) AS ambiguous, count(*) FILTER (n_candidates > 1) AS multi_history FROM ({_MATCH})""")
 def b16_counters(spark: SparkSession, d: str) -> DataFrame:
     return B.match_counters(b16(spark, d))
 

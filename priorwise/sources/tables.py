@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
@@ -74,6 +75,17 @@ def label_guard(labels: DataFrame, keys: DataFrame, key: str, target: str) -> Da
     return missing.crossJoin(checks)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; only a local master may go without, and gets a temporary one set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="priorwise-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: str = "errorifexists") -> DataFrame:
     """Write and return one row of metadata: row_count, column_count."""
     if compression not in CODECS:

@@ -69,7 +69,7 @@ def test_bootstrap_takes_every_supported_slice(spark):
 
 
 def test_support_counts_every_row(spark):
-    rows = QUERIES["h17_support_status_all"](spark, DATA).collect()
+    rows = QUERIES["h17_support_status"](spark, DATA).collect()
     n = spark.read.parquet(f"{DATA}/orders.parquet").count()
     assert [sum(r.rows for r in rows if r.grain == g) for g in ("month", "day")] == [n, n]
     for r in rows:
@@ -82,9 +82,9 @@ def test_texts_of_every_script_are_normalised(spark):
     docs, items = (spark.read.parquet(f"{DATA}/{t}.parquet").collect() for t in ("documents", "benchmark"))
     one = lambda t: " ".join(unicodedata.normalize("NFKC", t).split()).casefold() or None
     want = {r.doc_id: (len(t), hashlib.md5(t.encode()).hexdigest()) for r in docs if (t := one(r.text))}
-    got = {r.doc_id: (r.n, r.digest) for r in QUERIES["f01_normalize_description_all"](spark, DATA).collect()}
+    got = {r.doc_id: (r.n, r.digest) for r in QUERIES["f01_normalize_description"](spark, DATA).collect()}
     assert len(got) == len(docs) and {k: v for k, v in got.items() if v[0]} == want and len({r.lang for r in docs}) == 4
-    assert {r.item_id: r.t for r in QUERIES["c05_normalize_ws_all"](spark, DATA).collect()} == {r.item_id: fold(r.text) for r in items}
+    assert {r.item_id: r.t for r in QUERIES["c05_normalize_ws"](spark, DATA).collect()} == {r.item_id: fold(r.text) for r in items}
     odd = spark.createDataFrame([(" Straße  GROSS ",), (None,), (" ",)], "t string")
     assert [r.t for r in odd.select(T.fold_space("t").alias("t")).collect()] == ["strasse gross", "", ""]
 
@@ -101,13 +101,13 @@ def test_text_audit_takes_every_labelled_text(spark):
     groups.pop("", None)
     hit = [v for t, vs in groups.items() if "the" in t or "$$$" in t for v in vs]
     all_, many = [v for vs in groups.values() for v in vs], [vs for vs in groups.values() if len(vs) > 1]
-    r = QUERIES["c33_text_audit_all"](spark, DATA).first()
+    r = QUERIES["c33_text_audit"](spark, DATA).first()
     assert (r.rows, r.distinct_texts, r.duplicated_rows, r.pure_groups) == (len(all_), len(groups), sum(map(len, many)), sum(len(set(v)) == 1 for v in many))
     assert (r.word_rate_1, r.word_rate_0) == pytest.approx((sum(hit) / sum(all_), hit.count(0) / all_.count(0)), abs=1e-6)
 
 
 def test_association_has_every_field(spark):
-    assert {(r.field, r.method) for r in QUERIES["c11_c12_c14_association_all"](spark, DATA).collect()} == {(f, "point_biserial") for f in ("total_cents", "entity_key")} | {(f, "cramers_v") for f in ("priority", "entity_key")}
+    assert {(r.field, r.method) for r in QUERIES["c11_c12_c14_association"](spark, DATA).collect()} == {(f, "point_biserial") for f in ("total_cents", "entity_key")} | {(f, "cramers_v") for f in ("priority", "entity_key")}
 
 
 def test_isotonic_fits_exact_scores(spark):
