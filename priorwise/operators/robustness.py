@@ -109,11 +109,25 @@ def _sides(train: DataFrame, other: DataFrame, columns: Sequence[str], kind: str
     return train.select(F.lit(0).alias("side"), cells).unionByName(other.select(F.lit(1).alias("side"), cells)).select("side", "x.*")
 
 
+#: ranges of values, of about equally many distinct ones, that a field is cut into for running sums
+VALUE_RANGES = 128
+
+
 def distribution_distance(long: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Per group of (side, v): Wasserstein distance and KS statistic of the two samples."""
+    """Per group (not null) of (side, v): Wasserstein distance and KS statistic of the two samples.
+
+    Running sums go in two levels, over ranges of values and then within a
+    range, so no task holds all distinct values of a group.
+    """
     h = long.filter("v is not null").groupBy(*groups, "v").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    up, whole = Window.partitionBy(*groups).orderBy("v"), Window.partitionBy(*groups)
-    c = h.withColumns({"F": F.sum("a").over(up) / F.sum("a").over(whole), "G": F.sum("b").over(up) / F.sum("b").over(whole), "w": F.lead("v").over(up) - F.col("v")})
+    edges = h.groupBy(*groups).agg(F.percentile_approx("v", [k / VALUE_RANGES for k in range(1, VALUE_RANGES)]).alias("edges"))
+    x = h.join(edges, list(groups)).withColumn("range", F.size(F.filter("edges", lambda e: e <= F.col("v")))).drop("edges")
+    below = Window.partitionBy(*groups).orderBy("range")
+    before, whole = below.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*groups)
+    sums = x.groupBy(*groups, "range").agg(F.sum("a").alias("ra"), F.sum("b").alias("rb"), F.min("v").alias("least"))
+    sums = sums.withColumns({"a0": F.coalesce(F.sum("ra").over(before), F.lit(0)), "b0": F.coalesce(F.sum("rb").over(before), F.lit(0)), "na": F.sum("ra").over(whole), "nb": F.sum("rb").over(whole), "after": F.lead("least").over(below)}).drop("ra", "rb", "least")
+    up = Window.partitionBy(*groups, "range").orderBy("v")
+    c = x.join(sums, [*groups, "range"]).withColumns({"F": (F.col("a0") + F.sum("a").over(up)) / F.col("na"), "G": (F.col("b0") + F.sum("b").over(up)) / F.col("nb"), "w": F.coalesce(F.lead("v").over(up), F.col("after")) - F.col("v")})
     gap = F.abs(F.col("F") - F.col("G"))
     return c.groupBy(*groups).agg(F.coalesce(F.sum(gap * F.col("w")), F.lit(0.0)).alias("wasserstein"), F.max(gap).alias("ks"))
 
