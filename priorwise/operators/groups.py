@@ -18,15 +18,17 @@ def group_membership(snapshot: DataFrame, key: str, direct: Mapping[str, str], h
     direct: group type to column; historical: group type to (bridge, key
     column, value column).  Historical rows are not de-duplicated here.
     """
-    pairs = [F.struct(F.lit(t).alias("t"), F.col(c).cast("string").alias("v")) for t, c in direct.items()]
-    long = snapshot.select(key, F.explode(F.array(*pairs)).alias("g")).filter("g.v is not null")
-    parts = [long.select(key, F.col("g.t").alias("group_type"), F.sha2("g.v", 256).alias("group_value_hash"))]
-    for name, (bridge, bridge_key, value) in (historical or {}).items():
-        rows = bridge.filter(F.col(value).isNotNull())
-        parts.append(rows.select(F.col(bridge_key).alias(key), F.lit(name).alias("group_type"), F.sha2(F.col(value).cast("string"), 256).alias("group_value_hash")))
+    hashed = lambda t, c: F.struct(F.lit(t).alias("group_type"), F.sha2(F.col(c).cast("string"), 256).alias("group_value_hash"))
+    pairs = [hashed(t, c) for t, c in direct.items()]
     if fingerprint_columns:
-        parts.append(snapshot.select(key, F.lit("fingerprint").alias("group_type"), fingerprint([F.col(c) for c in fingerprint_columns]).alias("group_value_hash")))
-    return reduce(DataFrame.unionByName, parts)
+        pairs.append(F.struct(F.lit("fingerprint").alias("group_type"), fingerprint([F.col(c) for c in fingerprint_columns]).alias("group_value_hash")))
+    # types of one bridge are taken from it in one pass
+    bridges: dict[tuple[int, str], tuple[DataFrame, list[Column]]] = {}
+    for name, (bridge, bridge_key, value) in (historical or {}).items():
+        bridges.setdefault((id(bridge), bridge_key), (bridge, []))[1].append(hashed(name, value))
+    parts = [(snapshot, key, pairs)] + [(bridge, bridge_key, of) for (_, bridge_key), (bridge, of) in bridges.items()]
+    long = [frame.select(F.col(k).alias(key), F.explode(F.array(*of)).alias("g")).select(key, "g.*").filter("group_value_hash is not null") for frame, k, of in parts if of]
+    return reduce(DataFrame.unionByName, long)
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
@@ -52,7 +54,8 @@ def membership_lock(df: DataFrame, locked: DataFrame) -> DataFrame:
 
 def normalize_membership(membership: DataFrame, assignments: DataFrame, key: str) -> DataFrame:
     """Distinct (claim, type, hash) with the claim's split."""
-    return membership.dropDuplicates([key, "group_type", "group_value_hash"]).join(assignments.select(key, "split"), key, "left")
+    # joined first: the exchange by claim then serves the removal of repeats as well
+    return membership.join(assignments.select(key, "split"), key, "left").select(key, "group_type", "group_value_hash", "split").distinct()
 
 
 def membership_problems(membership: DataFrame, assignments: DataFrame, key: str) -> DataFrame:
@@ -68,7 +71,8 @@ def group_exposure(members: DataFrame) -> DataFrame:
     # flags are aggregated before they are joined back, so a large group is never sorted in one task
     flags = members.groupBy(F.col("group_type").alias("__t"), F.col("group_value_hash").alias("__h")).agg(
         F.min(place).alias("__first"), F.max(F.col("split") == "TRAIN").alias("seen_in_train"), F.max(F.col("split") == "VALIDATION").alias("seen_in_validation"))
-    j = members.join(flags, F.col("group_type").eqNullSafe(F.col("__t")) & F.col("group_value_hash").eqNullSafe(F.col("__h")))
+    # the hash comes first, as rows are sorted by it fastest
+    j = members.join(flags, F.col("group_value_hash").eqNullSafe(F.col("__h")) & F.col("group_type").eqNullSafe(F.col("__t")))
     return j.select(
         *members.columns, F.when(F.col("__first") == 0, "TRAIN").when(F.col("__first") == 1, "VALIDATION").otherwise("TEST").alias("first_split"),
         "seen_in_train", "seen_in_validation", (F.col("seen_in_train") | F.col("seen_in_validation")).alias("seen_in_development"))
