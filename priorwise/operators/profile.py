@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from priorwise.functions.exprs import fingerprint, normalize_space, profile_std
 
+from .quantiles import exact_quantiles
+
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 RARE = (1, 5, 10, 20)
 
@@ -30,11 +32,11 @@ def unpivot(df: DataFrame, columns: Sequence[str], kind: str = "double", keep: S
 def profile_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per field: rows, nulls, null_pct, min, max, mean, median, std, zeros, negatives and quantiles (linear)."""
     v = F.col("value")
-    q = F.percentile("value", F.array(*[F.lit(x) for x in QUANTILES]))
-    out = unpivot(df, columns).groupBy("field").agg(
+    long = unpivot(df, columns)
+    out = long.groupBy("field").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(v.isNull()).alias("nulls"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), profile_std(v).alias("std"),
-        F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"), q.alias("q"),
-    )
+        F.count_if(v == 0).alias("zeros"), F.count_if(v < 0).alias("negatives"),
+    ).join(exact_quantiles(long, "value", QUANTILES, ["field"]), "field", "left")
     names = {f"p{int(x * 100):02d}": F.get("q", F.lit(i)) for i, x in enumerate(QUANTILES)}
     return out.withColumns({"null_pct": _pct(F.col("nulls"), F.col("rows")), "median": F.get("q", F.lit(3))} | names).drop("q")
 
@@ -199,8 +201,14 @@ def sequence_quality(df: DataFrame, entity: str, date: str, cumulative: str, ord
 def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per field rows outside the fences of 1.5 interquartile ranges; 0 for under four values or no range."""
     long = unpivot(df, columns).filter("value is not null")
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.75)))
-    ends = long.groupBy("field").agg(q.alias("q"), F.count(F.lit(1)).alias("n")).select(F.col("field").alias("__f"), F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("q3"), "n")
+    counts = long.groupBy("field").agg(F.count(F.lit(1)).alias("rows"))
+    ends = exact_quantiles(long, "value", (0.25, 0.75), ["field"]).select("field", F.get("q", F.lit(0)).alias("p25"), F.get("q", F.lit(1)).alias("p75"))
+    return _outliers(long, counts.join(ends, "field"), F.col("rows"))
+
+
+def _outliers(long: DataFrame, ends: DataFrame, n: Column) -> DataFrame:
+    """Per field of (field, value) the rows outside the fences of its p25 and p75; n: its values."""
+    ends = ends.select(F.col("field").alias("__f"), F.col("p25").alias("q1"), F.col("p75").alias("q3"), n.alias("n"))
     iqr = F.col("q3") - F.col("q1")
     out = (F.col("n") >= 4) & (iqr > 0) & ((F.col("value") < F.col("q1") - 1.5 * iqr) | (F.col("value") > F.col("q3") + 1.5 * iqr))
     return long.join(ends, F.col("field") == F.col("__f")).groupBy("field").agg(F.count_if(out).alias("outliers"))
@@ -208,7 +216,9 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def measurement_quality(df: DataFrame, columns: Sequence[str], at_most: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
     """Numeric profile with outliers per field; at_most adds a row per rule that one column must not exceed another."""
-    base = profile_numeric(df, columns).select("field", "rows", "nulls", "zeros", "negatives", "min", "max", "p01", "p99").join(iqr_outliers(df, columns), "field", "left")
+    base = profile_numeric(df, columns)
+    outliers = _outliers(unpivot(df, columns).filter("value is not null"), base, F.col("rows") - F.col("nulls"))
+    base = base.select("field", "rows", "nulls", "zeros", "negatives", "min", "max", "p01", "p99").join(outliers, "field", "left")
     base = base.withColumn("exceeding", F.lit(None).cast("long"))
     for name, (small, large) in (at_most or {}).items():
         bad = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(small) > F.col(large)).alias("exceeding")).withColumn("field", F.lit(name))

@@ -13,15 +13,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from priorwise.functions.exprs import grid_cell, right_closed_bucket
 
 from .metrics import CELLS, EPS, confusion_columns, confusion_metrics, global_place, ranking_metrics, score_histogram
+from .quantiles import exact_quantiles, in_ranges
 
 MISSING, OTHER = "__MISSING__", "__OTHER__"
 
 
 def quantile_edges(df: DataFrame, column: str, parts: int, name: str = "edges") -> DataFrame:
     """One row: the distinct inner quantiles of a column, ends left out, ascending."""
-    q = F.percentile(column, F.array(*[F.lit(k / parts) for k in range(parts + 1)]))
-    unique = F.array_distinct(q)
-    return df.agg(F.when(F.size(unique) >= 2, F.slice(unique, 2, F.size(unique) - 2)).otherwise(F.array().cast("array<double>")).alias(name), F.size(unique).alias(f"{name}_n"))
+    found = exact_quantiles(df, column, [k / parts for k in range(parts + 1)])
+    # an aggregate gives its row without values, too
+    unique = F.array_distinct(F.max("q"))
+    return found.agg(F.when(F.size(unique) >= 2, F.slice(unique, 2, F.size(unique) - 2)).otherwise(F.array().cast("array<double>")).alias(name), F.size(unique).alias(f"{name}_n"))
 
 
 def risk_deciles(train: DataFrame, scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -109,10 +111,6 @@ def _sides(train: DataFrame, other: DataFrame, columns: Sequence[str], kind: str
     return train.select(F.lit(0).alias("side"), cells).unionByName(other.select(F.lit(1).alias("side"), cells)).select("side", "x.*")
 
 
-#: ranges of values, of about equally many distinct ones, that a field is cut into for running sums
-VALUE_RANGES = 128
-
-
 def distribution_distance(long: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Per group (not null) of (side, v): Wasserstein distance and KS statistic of the two samples.
 
@@ -120,8 +118,8 @@ def distribution_distance(long: DataFrame, groups: Sequence[str]) -> DataFrame:
     range, so no task holds all distinct values of a group.
     """
     h = long.filter("v is not null").groupBy(*groups, "v").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    edges = h.groupBy(*groups).agg(F.percentile_approx("v", [k / VALUE_RANGES for k in range(1, VALUE_RANGES)]).alias("edges"))
-    x = h.join(edges, list(groups)).withColumn("range", F.size(F.filter("edges", lambda e: e <= F.col("v")))).drop("edges")
+    # the filter keeps both counts in every use of this frame, so that its exchange is made once
+    x = in_ranges(h.filter("a + b > 0"), groups)
     below = Window.partitionBy(*groups).orderBy("range")
     before, whole = below.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*groups)
     sums = x.groupBy(*groups, "range").agg(F.sum("a").alias("ra"), F.sum("b").alias("rb"), F.min("v").alias("least"))
@@ -140,10 +138,13 @@ def numeric_drift(train: DataFrame, other: DataFrame, columns: Sequence[str]) ->
     """Per field: missing rates, PSI on train deciles (left-closed, shares clipped at 1e-6), medians, IQRs, Wasserstein."""
     long = _sides(train, other, columns, "double")
     t = F.col("side") == 0
-    q = lambda s, x: F.percentile(F.when(F.col("side") == s, F.col("v")), F.lit(x))
-    stats = long.groupBy("field").agg(
-        *[(F.count_if((F.col("side") == s) & F.col("v").isNull()) / F.count_if(F.col("side") == s)).alias(f"missing_{s}") for s in (0, 1)], q(0, 0.5).alias("median_0"), q(1, 0.5).alias("median_1"),
-        (q(0, 0.75) - q(0, 0.25)).alias("iqr_0"), (q(1, 0.75) - q(1, 0.25)).alias("iqr_1"), F.array_distinct(F.percentile(F.when(t, F.col("v")), F.array(*[F.lit(k / 10) for k in range(11)]))).alias("q"))
+    stats = long.groupBy("field").agg(*[(F.count_if((F.col("side") == s) & F.col("v").isNull()) / F.count_if(F.col("side") == s)).alias(f"missing_{s}") for s in (0, 1)])
+    parts = [k / 10 for k in range(11)] + [0.25, 0.75]
+    found = exact_quantiles(long, "v", parts, ["field", "side"])
+    at = lambda s, x: F.max(F.when(F.col("side") == s, F.get("q", F.lit(parts.index(x)))))
+    found = found.groupBy("field").agg(
+        at(0, 0.5).alias("median_0"), at(1, 0.5).alias("median_1"), (at(0, 0.75) - at(0, 0.25)).alias("iqr_0"), (at(1, 0.75) - at(1, 0.25)).alias("iqr_1"), F.array_distinct(F.slice(F.max(F.when(t, F.col("q"))), 1, 11)).alias("q"))
+    stats = stats.join(found, "field", "left")
     inner = F.when(F.size("q") > 2, F.slice("q", 2, F.size("q") - 2)).otherwise(F.array().cast("array<double>"))
     e = stats.select(F.col("field").alias("f"), inner.alias("edges"), F.size("q").alias("n_edges"))
     # left-closed bins; the last edge belongs to the last bin, which is open
@@ -183,8 +184,9 @@ def score_drift(train: DataFrame, other: DataFrame, p: str = "p") -> DataFrame:
     long = _sides(train, other, [p], "double")
     a, b = F.when(F.col("side") == 0, F.col("v")), F.when(F.col("side") == 1, F.col("v"))
     aggs = [f(c).alias(f"{n}_{s}") for s, c in ((0, a), (1, b)) for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
-    aggs += [F.percentile(c, F.lit(q)).alias(f"p{int(q * 100):02d}_{s}") for s, c in ((0, a), (1, b)) for q in (0.05, 0.5, 0.95)]
-    stats = long.agg(*aggs)
+    shares = (0.05, 0.5, 0.95)
+    found = exact_quantiles(long, "v", shares, ["side"]).agg(*[F.max(F.when(F.col("side") == s, F.get("q", F.lit(k)))).alias(f"p{int(q * 100):02d}_{s}") for s in (0, 1) for k, q in enumerate(shares)])
+    stats = long.agg(*aggs).crossJoin(found)
     e = quantile_edges(long, "v", 10)
     h = long.crossJoin(F.broadcast(e)).withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("v")))).groupBy("bin").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
     whole = Window.partitionBy()

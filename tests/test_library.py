@@ -2,10 +2,12 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from priorwise.operators import bridges as B, features as E, keys as K, metrics as M, splits as S, textfeatures as T
+from priorwise.operators import bridges as B, features as E, groups as G, keys as K, metrics as M, profile as P, splits as S, textfeatures as T
+from priorwise.operators.quantiles import exact_quantiles
 from priorwise.sources import tables
 
 D = dt.date
@@ -124,3 +126,40 @@ def test_publish_refuses_bad_keys_and_overwrites(spark, tmp_path):
     assert [len(b) for b in tables.iter_chunks(df.union(df), ["k"], 3)] == [3, 1]
     need = tables.plan_columns(spark.createDataFrame([("a", "x", ["a.k", "b.k"]), ("c", "y", [])], "source_table string, source_column string, join_columns array<string>"), ["c"])
     assert {r.table_name: r.columns for r in need.collect()} == {"a": ["k", "x"], "b": ["k"]}
+
+
+def test_exact_quantiles_equal_sorted_values(spark):
+    parts = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    draw = np.random.default_rng(3)
+    samples = {
+        "many": draw.normal(size=3000).tolist(), "ties": draw.integers(0, 5, 900).astype(float).tolist(), "one": [4.5], "two": [1.0, 2.0],
+        "hot": [7.0] * 800 + draw.normal(size=400).tolist(), None: [3.0, 1.0, 2.0, 2.0], "nothing": [],
+    }
+    rows = [(g, v) for g, vs in samples.items() for v in [*vs, None]]
+    got = {r.g: r.q for r in exact_quantiles(spark.createDataFrame(rows, "g string, value double"), "value", parts, ["g"]).collect()}
+    assert "nothing" not in got and len(got) == len(samples) - 1
+    for g, q in got.items():
+        assert q == pytest.approx(np.quantile(samples[g], parts).tolist(), rel=1e-12)
+    whole = exact_quantiles(spark.createDataFrame([(v,) for v in samples["many"]], "value double"), "value", parts).collect()
+    assert whole[0].q == pytest.approx(np.quantile(samples["many"], parts).tolist(), rel=1e-12)
+    assert exact_quantiles(spark.createDataFrame([], "value double"), "value", parts).collect() == []
+
+
+def test_profile_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    got = {r.field: r for r in P.profile_numeric(df, ["a", "b"]).collect()}
+    assert (got["a"].median, got["a"].p25, got["b"].median, got["b"].nulls) == (2.0, 1.5, None, 2)
+    quality = {r.field: r.outliers for r in P.measurement_quality(df, ["a", "b"]).collect()}
+    assert quality == {"a": 0, "b": None}
+
+
+def test_membership_takes_types_of_one_bridge_together(spark):
+    snapshot = spark.createDataFrame([(1, "x"), (2, None)], "k int, nation string")
+    bridge = spark.createDataFrame([(1, 5, None), (1, 5, 6), (2, None, 6)], "c int, s int, p int")
+    m = G.group_membership(snapshot, "k", {"nation": "nation"}, {"s": (bridge, "c", "s"), "p": (bridge, "c", "p")}, ["nation"])
+    assert sorted((r.k, r.group_type) for r in m.collect()) == [(1, "fingerprint"), (1, "nation"), (1, "p"), (1, "s"), (1, "s"), (2, "fingerprint"), (2, "p")]
+    assigned = spark.createDataFrame([(1, "TRAIN"), (2, "TEST")], "k int, split string")
+    members = G.normalize_membership(m, assigned, "k")
+    assert sorted((r.k, r.group_type, r.split) for r in members.collect()) == [(1, "fingerprint", "TRAIN"), (1, "nation", "TRAIN"), (1, "p", "TRAIN"), (1, "s", "TRAIN"), (2, "fingerprint", "TEST"), (2, "p", "TEST")]
+    seen = {(r.k, r.group_type): (r.first_split, r.seen_in_development) for r in G.group_exposure(members).collect()}
+    assert seen[2, "p"] == ("TRAIN", True) and seen[2, "fingerprint"] == ("TEST", False)
