@@ -69,6 +69,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_histogram(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic_runs import collapse_runs
+
+    return collapse_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .edit_fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_gam": op1_quality_gam,
     "op5_risk_rules": op5_risk_rules,
@@ -80,9 +98,42 @@ QUERIES = {
     "op8_linked_secrets": op8_linked_secrets,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_edit_fingerprints": op13_edit_fingerprints,
 }
 
 ORACLES = {
+    "op11_filter_audit": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), q AS (
+          SELECT doc_id, min(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+        ), f AS (
+          SELECT part, quality, toxic,
+                 (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+                 + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+                 + 16 * coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), min(d.doc_id) OVER (PARTITION BY t) IS NOT NULL)::INT AS fails
+          FROM d LEFT JOIN q ON d.doc_id = q.doc_id
+        ), c AS (
+          SELECT part, fails, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic FROM f GROUP BY part, fails
+        ), l(c, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+        ), o AS (
+          SELECT v.c || w.c || x.c || y.c || z.c AS filter_order, [v.b, w.b, x.b, y.b, z.b] AS bs
+          FROM l v, l w, l x, l y, l z WHERE bit_count(v.b | w.b | x.b | y.b | z.b) = 5
+        ), s AS (
+          SELECT filter_order, k::INT AS step, bs[k] AS own, coalesce(list_sum(bs[1 : k - 1]), 0)::INT AS earlier FROM o, range(1, 6) t(k)
+        )
+        SELECT part, filter_order, step,
+               coalesce(sum(n) FILTER (fails & (own | earlier) = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (fails & own <> 0 AND fails & earlier = 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (fails & own <> 0 AND fails & earlier <> 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (fails & own <> 0 AND fails & earlier = 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (fails & own <> 0 AND fails & earlier = 0), 0)::BIGINT AS toxic_lost,
+               coalesce(sum(sum(n) FILTER (fails & own <> 0 AND fails & earlier = 0)) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+        FROM c, s GROUP BY part, filter_order, step, own
+    """,
     "op3_ngram_join": r"""
         WITH RECURSIVE d AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
