@@ -15,8 +15,14 @@ from priorwise.functions.exprs import month_is_complete
 ANCHOR = "current_claim_key"
 
 
-def _anchors(claims: DataFrame, key: str, entity: str, date: str, *more: str) -> DataFrame:
-    return claims.select(F.col(key).alias(ANCHOR), F.col(entity).alias("__entity"), F.col(date).alias("__anchor"), *[F.col(m).alias(f"__{m}") for m in more])
+#: Claim columns that come along in a bridge, and their names there.
+Carried = Mapping[str, str] | None
+
+
+def _anchors(claims: DataFrame, claim: tuple[str, str, str], carry: Carried, *more: str) -> DataFrame:
+    key, entity, date = claim
+    along = [F.col(c).alias(f"__a_{c}") for c in carry or {}]
+    return claims.select(F.col(key).alias(ANCHOR), F.col(entity).alias("__entity"), F.col(date).alias("__anchor"), *along, *[F.col(m).alias(f"__{m}") for m in more])
 
 
 def _e(column: str) -> Column:
@@ -24,37 +30,71 @@ def _e(column: str) -> Column:
     return F.col(f"__e_{column}")
 
 
-def _bridge(anchors: DataFrame, events: DataFrame, entity: str, rule: Column, outputs: Mapping[str, str]) -> DataFrame:
+#: Pairs of claims and events that one block of an entity's claims may make.
+MOST_PAIRS = 10_000_000
+#: Column of a dealt bridge: the block of its entity's claims.
+BLOCK = "history_block"
+
+
+def heavy_entities(claims: DataFrame, events: DataFrame, entity: str, event_entity: str, most: int = MOST_PAIRS) -> DataFrame:
+    """__heavy and __blocks of the entities whose claims times events exceed ``most``.
+
+    Both sides are counted by entity, with partial counts before the exchange.
+    """
+    a = claims.filter(F.col(entity).isNotNull()).groupBy(F.col(entity).alias("__heavy")).agg(F.count(F.lit(1)).alias("__claims"))
+    e = events.groupBy(F.col(event_entity).alias("__of")).agg(F.count(F.lit(1)).alias("__events"))
+    blocks = F.least(F.ceil(F.col("__claims") / most * F.col("__events")), F.col("__claims")).cast("int")
+    return a.join(e, F.col("__heavy") == F.col("__of")).select("__heavy", blocks.alias("__blocks")).filter("__blocks > 1")
+
+
+def _deal(anchors: DataFrame, events: DataFrame, entity: str, heavy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Claims of a heavy entity in blocks by hash of their key, its events once for each block; others have block 0."""
+    n = F.coalesce("__blocks", F.lit(1))
+    dealt = anchors.join(heavy, F.col("__entity") == F.col("__heavy"), "left").withColumn(BLOCK, F.pmod(F.xxhash64(ANCHOR), n).cast("int")).drop("__heavy", "__blocks")
+    copied = events.join(heavy, _e(entity) == F.col("__heavy"), "left").withColumn("__e_block", F.explode(F.sequence(F.lit(0), n - 1))).drop("__heavy", "__blocks")
+    return dealt, copied
+
+
+def _bridge(anchors: DataFrame, events: DataFrame, entity: str, rule: Column, outputs: Mapping[str, str], carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
+    """``carry``: claim columns that come along, such as the date, and their names.
+
+    ``heavy`` (of :func:`heavy_entities`) deals the claims of heavy entities in
+    blocks, so that no task makes all pairs of one entity; the block comes along.
+    """
     renamed = events.select(*[F.col(c).alias(f"__e_{c}") for c in events.columns])
-    return anchors.join(renamed, (F.col("__entity") == _e(entity)) & rule).select(ANCHOR, *[_e(c).alias(a) for c, a in outputs.items()])
+    on, more = (F.col("__entity") == _e(entity)) & rule, []
+    if heavy is not None:
+        anchors, renamed = _deal(anchors, renamed, entity, heavy)
+        on, more = (F.col(BLOCK) == F.col("__e_block")) & on, [BLOCK]
+    return anchors.join(renamed, on).select(ANCHOR, *[F.col(f"__a_{c}").alias(name) for c, name in (carry or {}).items()], *more, *[_e(c).alias(a) for c, a in outputs.items()])
 
 
-def bridge_strict_before(claims: DataFrame, events: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], outputs: Mapping[str, str]) -> DataFrame:
+def bridge_strict_before(claims: DataFrame, events: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], outputs: Mapping[str, str], carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
     """Events of the claim's entity dated before the claim.
 
-    claim: (key, entity, date); event: (entity, date).
+    claim: (key, entity, date); event: (entity, date).  carry, heavy: as in every bridge, see :func:`_bridge`.
     """
-    return _bridge(_anchors(claims, *claim), events, event[0], _e(event[1]) < F.col("__anchor"), outputs)
+    return _bridge(_anchors(claims, claim, carry), events, event[0], _e(event[1]) < F.col("__anchor"), outputs, carry, heavy)
 
 
-def bridge_exclude_current(claims: DataFrame, events: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], current: str, event_key: str, outputs: Mapping[str, str]) -> DataFrame:
+def bridge_exclude_current(claims: DataFrame, events: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], current: str, event_key: str, outputs: Mapping[str, str], carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
     """As bridge_strict_before, without the claim's own event; a null key is never the own one."""
     rule = (_e(event[1]) < F.col("__anchor")) & ~_e(event_key).eqNullSafe(F.col(f"__{current}"))
-    return _bridge(_anchors(claims, *claim, current), events, event[0], rule, outputs)
+    return _bridge(_anchors(claims, claim, carry, current), events, event[0], rule, outputs, carry, heavy)
 
 
-def bridge_completed_month(claims: DataFrame, months: DataFrame, claim: tuple[str, str, str], month: tuple[str, str], outputs: Mapping[str, str]) -> DataFrame:
+def bridge_completed_month(claims: DataFrame, months: DataFrame, claim: tuple[str, str, str], month: tuple[str, str], outputs: Mapping[str, str], carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
     """Months of the entity that ended before the claim."""
-    return _bridge(_anchors(claims, *claim), months, month[0], month_is_complete(_e(month[1]), F.col("__anchor")), outputs)
+    return _bridge(_anchors(claims, claim, carry), months, month[0], month_is_complete(_e(month[1]), F.col("__anchor")), outputs, carry, heavy)
 
 
-def bridge_with_dimension(claims: DataFrame, events: DataFrame, dimension: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], keys: tuple[str, str], outputs: Mapping[str, str]) -> DataFrame:
+def bridge_with_dimension(claims: DataFrame, events: DataFrame, dimension: DataFrame, claim: tuple[str, str, str], event: tuple[str, str], keys: tuple[str, str], outputs: Mapping[str, str], carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
     """Events LEFT JOIN a dimension, then bridge_strict_before."""
     enriched = events.join(dimension.withColumnRenamed(keys[1], "__dim_key"), events[keys[0]] == F.col("__dim_key"), "left").drop("__dim_key")
-    return bridge_strict_before(claims, enriched, claim, event, outputs)
+    return bridge_strict_before(claims, enriched, claim, event, outputs, carry, heavy)
 
 
-def bridge_self_prior(claims: DataFrame, claim: tuple[str, str, str], outputs: Mapping[str, str], taxonomy: tuple[DataFrame, str, str, Mapping[str, str]] | None = None) -> DataFrame:
+def bridge_self_prior(claims: DataFrame, claim: tuple[str, str, str], outputs: Mapping[str, str], taxonomy: tuple[DataFrame, str, str, Mapping[str, str]] | None = None, carry: Carried = None, heavy: DataFrame | None = None) -> DataFrame:
     """Earlier claims of the same entity with another key, LEFT JOIN a taxonomy.
 
     taxonomy: (frame, claim column, taxonomy key, outputs).
@@ -64,9 +104,9 @@ def bridge_self_prior(claims: DataFrame, claim: tuple[str, str, str], outputs: M
     rule = (_e(f"p_{date}") < F.col("__anchor")) & (_e(f"p_{key}") != F.col(ANCHOR))
     renamed = {f"p_{c}": a for c, a in outputs.items()}
     if taxonomy is None:
-        return _bridge(_anchors(claims, *claim), prior, f"p_{entity}", rule, renamed)
+        return _bridge(_anchors(claims, claim, carry), prior, f"p_{entity}", rule, renamed, carry, heavy)
     frame, column, tax_key, tax_out = taxonomy
-    out = _bridge(_anchors(claims, *claim), prior, f"p_{entity}", rule, renamed | {f"p_{column}": "__tax"})
+    out = _bridge(_anchors(claims, claim, carry), prior, f"p_{entity}", rule, renamed | {f"p_{column}": "__tax"}, carry, heavy)
     dim = frame.select(F.col(tax_key).alias("__tax_key"), *[F.col(c).alias(a) for c, a in tax_out.items()])
     return out.join(dim, F.col("__tax") == F.col("__tax_key"), "left").drop("__tax", "__tax_key")
 
@@ -77,7 +117,7 @@ def bridge_completed_prior(claims: DataFrame, repairs: DataFrame, claim: tuple[s
     prior = claims.select(F.col(key).alias("__prior"), F.col(entity).alias("__p_entity"), F.col(end).alias("__end")).filter(F.col("__end").isNotNull())
     named = repairs.select(*[F.col(c).alias(f"__e_{c}") for c in {repair_claim, *outputs}])
     done = named.join(prior, _e(repair_claim) == F.col("__prior"))
-    anchors = _anchors(claims, *claim)
+    anchors = _anchors(claims, claim, None)
     joined = anchors.join(done, (F.col("__entity") == F.col("__p_entity")) & (F.col("__end") < F.col("__anchor")) & (F.col("__prior") != F.col(ANCHOR)))
     return joined.select(ANCHOR, *[_e(c).alias(a) for c, a in outputs.items()])
 

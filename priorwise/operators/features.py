@@ -1,9 +1,15 @@
 """Window features over history bridges.
 
-A family is a list of aggregate expressions over one bridge with ``event_date``
-and ``anchor_date``; all of a family's expressions run in one grouping of the
-anchor key.  Families are joined to the anchors on the same key.  Every
-expression is made from a :class:`Feature`, so the catalog is the plan.
+A family is a list of features over one bridge with ``event_date`` and
+``anchor_date``.  The windows are nested, so an event belongs to one age bucket:
+that of the youngest window that holds it.  A bridge is aggregated once, to one
+row of mergeable states (counts, sums, extremes, moments, sets, first and last
+rows) for each anchor and bucket, of which an anchor has five at most; a window
+merges the buckets up to its own.  Features are made from merged states, each
+state is kept once however many features share it, and the catalog is the plan.
+
+States of fixed size and states of any size (sets, rows, texts) are grouped
+apart, as Spark aggregates the former in its hash map with generated code.
 """
 
 from __future__ import annotations
@@ -28,16 +34,103 @@ TRENDS = ("mileage_month", "engine_hours_month", "fault_code_count", "avg_engine
 TREND_WINDOWS = ("6m", "12m", "24m")
 
 
-def _distinct(x: Column) -> Column:
-    """Distinct values of one claim's rows, of which there are few.
+def age_bucket(event: str = "event_date", anchor: str = "anchor_date") -> Column:
+    """The place in ``WINDOWS`` of the youngest window that holds the event."""
+    out = F.lit(len(WINDOWS) - 1)
+    for k, months in reversed(list(enumerate(WINDOWS.values()))):
+        out = out if months is None else F.when(F.col(event) >= F.add_months(anchor, -months), k).otherwise(out)
+    return out
 
-    Several COUNT(DISTINCT) in one grouping would copy every row for each.
-    """
-    return F.size(F.collect_set(x)).cast("long")
 
+class States:
+    """The states that the features of a family need of a bucket, and how windows merge them.
+
+    Every method registers what it needs and gives the column in which the
+    merged value will stand.  ``what`` names the values ``x``.
+    """
 
-_AGGREGATES = {
-    "count": F.count, "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "std": population_std, "nunique": _distinct,
+    def __init__(self) -> None:
+        self.fixed: dict[str, Column] = {}
+        self.sized: dict[str, Column] = {}
+        self.shifts: dict[str, Column] = {}
+        self.merged_fixed: dict[str, Column] = {}
+        self.merged_sized: dict[str, Column] = {}
+        self.modes: dict[str, str] = {}
+
+    def _merge(self, op: str, what: str, aggregate: Column, window: str, merge: Callable[[Column], Column]) -> Column:
+        state, out = f"{op}|{what}", f"{op}|{what}|{window}"
+        self.fixed.setdefault(state, aggregate)
+        self.merged_fixed.setdefault(out, merge(F.when(F.col("__bucket") <= list(WINDOWS).index(window), F.col(state))))
+        return F.col(out)
+
+    def count(self, what: str, x: Column, window: str) -> Column:
+        return self._merge("n", what, F.count(x), window, lambda c: F.coalesce(F.sum(c), F.lit(0)))
+
+    def count_if(self, what: str, x: Column, window: str) -> Column:
+        return self._merge("if", what, F.count_if(x), window, lambda c: F.coalesce(F.sum(c), F.lit(0)))
+
+    def total(self, what: str, x: Column, window: str) -> Column:
+        return self._merge("sum", what, F.sum(x), window, F.sum)
+
+    def least(self, what: str, x: Column, window: str) -> Column:
+        return self._merge("min", what, F.min(x), window, F.min)
+
+    def greatest(self, what: str, x: Column, window: str) -> Column:
+        return self._merge("max", what, F.max(x), window, F.max)
+
+    def mean(self, what: str, x: Column, window: str) -> Column:
+        n = self.count(what, x, window)
+        return F.when(n > 0, self.total(what, x, window) / n)
+
+    def std(self, what: str, x: Column, window: str) -> Column:
+        """Population deviation, null below two values.
+
+        Buckets give number, mean and variance; means are taken from one of the
+        anchor's own bucket means, so that nothing cancels.
+        """
+        n = self.count(what, x, window)
+        mean, off = F.col(f"avg|{what}"), F.col(f"avg|{what}") - F.col(f"shift|{what}")
+        self.fixed.setdefault(f"avg|{what}", F.avg(x))
+        self.fixed.setdefault(f"var|{what}", F.var_pop(x))
+        self.shifts.setdefault(f"shift|{what}", F.max(mean))
+        here, size = F.col("__bucket") <= list(WINDOWS).index(window), F.col(f"n|{what}")
+        self.merged_fixed.setdefault(f"m1|{what}|{window}", F.sum(F.when(here, size * off)))
+        self.merged_fixed.setdefault(f"m2|{what}|{window}", F.sum(F.when(here, size * (F.col(f"var|{what}") + off * off))))
+        m1, m2 = F.col(f"m1|{what}|{window}"), F.col(f"m2|{what}|{window}")
+        return F.when(n >= 2, F.sqrt(F.greatest(m2 / n - (m1 / n) * (m1 / n), F.lit(0.0))))
+
+    def _sized(self, state: str, aggregate: Column, out: str, window: str, merge: Callable[[Column], Column]) -> Column:
+        self.sized.setdefault(state, aggregate)
+        k = list(WINDOWS).index(window)
+        chosen = F.filter("__states", lambda s: s["__bucket"] <= k)
+        self.merged_sized.setdefault(out, merge(F.transform(chosen, lambda s: s[state])))
+        return F.col(out)
+
+    def distinct(self, what: str, x: Column, window: str) -> Column:
+        state = f"set|{what}"
+        return self._sized(state, F.collect_set(x), f"{state}|{window}", window, lambda sets: F.size(F.array_distinct(F.flatten(sets))).cast("long"))
+
+    def mode(self, column: str) -> Column:
+        """The most frequent value of all history, the least on ties."""
+        self.modes.setdefault(column, f"mode|{column}")
+        return F.col(self.modes[column])
+
+    def _edge(self, which: str, column: str, key: str, window: str) -> Column:
+        pick, merge = (F.max, F.array_max) if which == "last" else (F.min, F.array_min)
+        state = f"{which}|{column}|{key}"
+        row = F.struct(F.col("event_date").alias("d"), F.col(key).alias("k"), F.col(column).alias("v"))
+        return self._sized(state, pick(row), f"{state}|{window}", window, lambda rows: merge(rows)["v"])
+
+    def last(self, column: str, key: str, window: str) -> Column:
+        """The value of the row with the greatest (date, key), null included."""
+        return self._edge("last", column, key, window)
+
+    def first(self, column: str, key: str, window: str) -> Column:
+        return self._edge("first", column, key, window)
+
+
+_AGGREGATES: dict[str, Callable[[States, str, Column, str], Column]] = {
+    "count": States.count, "sum": States.total, "mean": States.mean, "min": States.least, "max": States.greatest, "std": States.std, "nunique": States.distinct,
 }
 
 
@@ -45,7 +138,8 @@ _AGGREGATES = {
 class Feature:
     """One column of the matrix: what it is made of, and how.
 
-    ``make`` gives its expression, which needs a session; the rest does not.
+    ``make`` gives its expression over a family's states, which needs a
+    session; the rest does not.
     """
 
     name: str
@@ -56,14 +150,10 @@ class Feature:
     aggregation: str
     sources: tuple[str, ...]
     formula: str
-    make: Callable[[], Column] = field(compare=False, repr=False)
+    make: Callable[[States], Column] = field(compare=False, repr=False)
     zero_fill: bool = False
     derived: bool = False
 
-    @property
-    def expression(self) -> Column:
-        return self.make()
-
 
 def within(window: str) -> Column:
     """The event is inside the window of the bridge row's anchor."""
@@ -73,41 +163,34 @@ def within(window: str) -> Column:
 
 def metric(family: str, column: str, aggregation: str, windows: Iterable[str] = WINDOWS, tier: str = "CORE", name: str | None = None) -> list[Feature]:
     """An aggregate of a column in each window; counts are 0 and measures null without rows."""
-    out = []
-    for w in windows:
-        counts = aggregation in ("count", "nunique")
-        make = lambda w=w: _AGGREGATES[aggregation](F.when(within(w), F.col(column)))
-        out.append(Feature(f"{family}_{name or column}_{aggregation}_{w}", family, tier, "long" if counts else "double", w, aggregation, (column,), f"{aggregation}({column})", make, counts))
-    return out
+    counts = aggregation in ("count", "nunique")
+    make = lambda w: lambda st: _AGGREGATES[aggregation](st, column, F.col(column), w)
+    return [Feature(f"{family}_{name or column}_{aggregation}_{w}", family, tier, "long" if counts else "double", w, aggregation, (column,), f"{aggregation}({column})", make(w), counts) for w in windows]
 
 
 def event_count(family: str, key: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", lambda w=w: F.count(F.when(within(w), F.col(key))), True) for w in windows]
+    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", lambda st, w=w: st.count(key, F.col(key), w), True) for w in windows]
 
 
 def flag_count(family: str, flag: str, windows: Iterable[str] = WINDOWS, negate: bool = False, tier: str = "CORE", name: str | None = None) -> list[Feature]:
     """Rows whose flag is true (``negate``: false); null flags are neither."""
     cond = lambda: ~F.col(flag) if negate else F.col(flag)
     name = name or (f"not_{flag}" if negate else flag)
-    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", lambda w=w: F.count_if(within(w) & cond()), True) for w in windows]
+    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", lambda st, w=w: st.count_if(f"{flag}|{negate}", cond(), w), True) for w in windows]
 
 
 def ratio(family: str, name: str, numerator: str, denominator: str, windows: Iterable[str] = WINDOWS, tier: str = "CORE") -> list[Feature]:
     """Ratio of two features of the family, named up to the window."""
-    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", lambda w=w: safe_divide(F.col(f"{numerator}_{w}"), F.col(f"{denominator}_{w}")), derived=True) for w in windows]
-
-
-def _order(key: str) -> Column:
-    return F.struct(F.col("event_date"), F.col(key))
+    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", lambda st, w=w: safe_divide(F.col(f"{numerator}_{w}"), F.col(f"{denominator}_{w}")), derived=True) for w in windows]
 
 
 def latest(family: str, column: str, key: str, tier: str = "CORE") -> Feature:
     """The value of the row with the greatest (date, key), null included."""
-    return Feature(f"{family}_{column}_latest", family, tier, "value", "all", "latest", (column, key), f"latest({column})", lambda: F.max_by(column, _order(key)))
+    return Feature(f"{family}_{column}_latest", family, tier, "value", "all", "latest", (column, key), f"latest({column})", lambda st: st.last(column, key, "all"))
 
 
 def recency(family: str) -> Feature:
-    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda: F.date_diff(F.max("anchor_date"), F.max("event_date")))
+    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda st: F.date_diff(st.greatest("anchor_date", F.col("anchor_date"), "all"), st.greatest("event_date", F.col("event_date"), "all")))
 
 
 def first_to_last(family: str, column: str, key: str, windows: Iterable[str], least: int = 0, tier: str = "CORE", name: str = "change") -> list[Feature]:
@@ -115,63 +198,84 @@ def first_to_last(family: str, column: str, key: str, windows: Iterable[str], le
 
     ``least``: values that the window must hold.
     """
-    out = []
-    for w in windows:
+    make = lambda w: lambda st: F.when(st.count(column, F.col(column), w) >= least, st.last(column, key, w) - st.first(column, key, w))
+    return [Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", make(w)) for w in windows]
 
-        def make(w: str = w) -> Column:
-            order = F.when(within(w), _order(key))
-            diff = F.max_by(column, order) - F.min_by(column, order)
-            return F.when(F.count(F.when(within(w), F.col(column))) >= least, diff)
 
-        out.append(Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", make))
-    return out
+def _month() -> Column:
+    return month_index(F.col("event_date"))
 
 
 def months_observed(family: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", lambda w=w: _distinct(F.when(within(w), month_index(F.col("event_date")))), True) for w in windows]
+    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", lambda st, w=w: st.distinct("month", _month(), w), True) for w in windows]
 
 
 def month_span(family: str) -> list[Feature]:
-    m = lambda: month_index(F.col("event_date"))
-    span = lambda: F.max(m()) - F.min(m()) + 1
+    span = lambda st: st.greatest("month", _month(), "all") - st.least("month", _month(), "all") + 1
     return [
         Feature(f"{family}_month_span", family, "CORE", "long", "all", "span", ("event_date",), "max - min month + 1", span),
-        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", lambda: span() - _distinct(m())),
+        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", lambda st: span(st) - st.distinct("month", _month(), "all")),
     ]
 
 
 def type_diversity(family: str, column: str, key: str) -> list[Feature]:
     return [
-        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", lambda: _distinct(F.col(column)), True),
+        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", lambda st: st.distinct(column, F.col(column), "all"), True),
         latest(family, column, key),
-        Feature(f"{family}_{column}_dominant", family, "CORE", "string", "all", "mode", (column,), f"mode({column}), least on ties", lambda: F.mode(column, True)),
+        Feature(f"{family}_{column}_dominant", family, "CORE", "string", "all", "mode", (column,), f"mode({column}), least on ties", lambda st: st.mode(column)),
     ]
 
 
 def since_latest(family: str, anchor: str, column: str, key: str) -> Feature:
     """The anchor's reading minus the one at the latest event."""
-    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", lambda: F.max(anchor) - F.max_by(column, _order(key)))
-
+    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", lambda st: st.greatest(anchor, F.col(anchor), "all") - st.last(column, key, "all"))
 
-def build_family(bridge: DataFrame, features: Sequence[Feature], key: str = ANCHOR) -> DataFrame:
-    """All features of one family in one grouping, then the ratios made from them."""
-    grouped = bridge.groupBy(key).agg(*[f.expression.alias(f.name) for f in features if not f.derived])
-    return grouped.withColumns({f.name: f.expression for f in features if f.derived}).select(key, *[f.name for f in features])
 
+def build_family(bridge: DataFrame, features: Sequence[Feature], key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
+    """All features of one family for each anchor that the bridge has.
 
-def dominant_share(bridge: DataFrame, column: str, name: str, key: str = ANCHOR) -> DataFrame:
+    ``near``: columns of the bridge that the key determines and that the bridge
+    is partitioned by, such as the entity; grouping by them as well keeps the
+    rows of the bridge where they are.
+    """
+    states = States()
+    made = {f.name: f.make(states) for f in features}
+    keys = [*near, key]
+    bucketed = bridge.withColumn("__bucket", age_bucket())
+    rows = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__rows"), *[x.alias(n) for n, x in states.fixed.items()])
+    if states.shifts:
+        rows = rows.withColumns({n: x.over(Window.partitionBy(*keys)) for n, x in states.shifts.items()})
+    out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__buckets"), *[x.alias(n) for n, x in states.merged_fixed.items()]).drop(*near)
+    if states.sized:
+        sets = bucketed.groupBy(*keys, "__bucket").agg(*[x.alias(n) for n, x in states.sized.items()])
+        # a row a bucket, five at most
+        held = sets.groupBy(*keys).agg(F.collect_list(F.struct("__bucket", *states.sized)).alias("__states"))
+        out = out.join(held.select(key, *[x.alias(n) for n, x in states.merged_sized.items()]), key)
+    for column, name in states.modes.items():
+        out = out.join(tallied(bridge, column, key, near).select(key, F.col("mode").alias(name)), key, "left")
+    whole = out.select(key, *[made[f.name].alias(f.name) for f in features if not f.derived])
+    return whole.withColumns({f.name: made[f.name] for f in features if f.derived}).select(key, *[f.name for f in features])
+
+
+def tallied(bridge: DataFrame, column: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
+    """Per anchor of the values that are not null: mode (the least on ties), its number of rows and that of all."""
+    counts = bridge.filter(F.col(column).isNotNull()).groupBy(*near, key, column).agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col(column).alias("v")))
+    return counts.groupBy(*near, key).agg(best.alias("b"), F.sum("n").alias("events")).select(key, F.col("b.v").alias("mode"), (-F.col("b.n")).alias("mode_events"), "events")
+
+
+def dominant_share(bridge: DataFrame, column: str, name: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
     """Share of events that have the most frequent value; null values are not events."""
-    counts = bridge.filter(F.col(column).isNotNull()).groupBy(key, column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy(key).agg(safe_divide(F.max("n"), F.sum("n")).alias(name))
+    return tallied(bridge, column, key, near).select(key, safe_divide(F.col("mode_events"), F.col("events")).alias(name))
 
 
-def inter_event_stats(bridge: DataFrame, event_key: str, family: str, key: str = ANCHOR) -> DataFrame:
+def inter_event_stats(bridge: DataFrame, event_key: str, family: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
     """Mean and population deviation of day gaps between consecutive events."""
-    gap = F.date_diff(F.col("event_date"), F.lag("event_date").over(Window.partitionBy(key).orderBy("event_date", event_key)))
-    return bridge.select(key, gap.alias("gap")).groupBy(key).agg(F.avg("gap").alias(f"{family}_gap_days_mean"), population_std(F.col("gap")).alias(f"{family}_gap_days_std"))
+    gap = F.date_diff(F.col("event_date"), F.lag("event_date").over(Window.partitionBy(*near, key).orderBy("event_date", event_key)))
+    return bridge.select(*near, key, gap.alias("gap")).groupBy(*near, key).agg(F.avg("gap").alias(f"{family}_gap_days_mean"), population_std(F.col("gap")).alias(f"{family}_gap_days_std")).drop(*near)
 
 
-def slopes(bridge: DataFrame, columns: Sequence[str], windows: Sequence[str], family: str, key: str = ANCHOR) -> DataFrame:
+def slopes(bridge: DataFrame, columns: Sequence[str], windows: Sequence[str], family: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
     """Least-squares slope of monthly averages on the month index, for three months or more.
 
     Null when the months do not vary.  Months count from the anchor's, so sums
@@ -179,7 +283,7 @@ def slopes(bridge: DataFrame, columns: Sequence[str], windows: Sequence[str], fa
     """
     out = []
     month = (month_index(F.col("event_date")) - month_index(F.col("anchor_date"))).cast("double")
-    monthly = bridge.groupBy(key, month.alias("m"), "anchor_date").agg(*[F.avg(F.when(within(w), F.col(c))).alias(f"{c}|{w}") for c in columns for w in windows])
+    monthly = bridge.groupBy(*near, key, month.alias("m")).agg(*[F.avg(F.when(within(w), F.col(c))).alias(f"{c}|{w}") for c in columns for w in windows])
     for c in columns:
         for w in windows:
             y = F.col(f"`{c}|{w}`")
@@ -187,7 +291,7 @@ def slopes(bridge: DataFrame, columns: Sequence[str], windows: Sequence[str], fa
             n, sx = F.count(y), F.sum(x)
             spread = n * F.sum(x * x) - sx * sx
             out.append(F.when((n >= 3) & (spread > 0), (n * F.sum(x * y) - sx * F.sum(y)) / spread).alias(f"{family}_{c}_slope_{w}"))
-    return monthly.groupBy(key).agg(*out)
+    return monthly.groupBy(*near, key).agg(*out).drop(*near)
 
 
 def coverage_ratios(observed: DataFrame, anchors: DataFrame, key: str, date: str, start: str, family: str, windows: Sequence[str] = tuple(WINDOWS)) -> DataFrame:
@@ -238,7 +342,7 @@ def maintenance_spec(key: str = "maintenance_event_key", kind: str = "maintenanc
     f = "maintenance"
     out = event_spec(f, key, kind, readings)
     out += flag_count(f, scheduled) + flag_count(f, scheduled, negate=True, name="unscheduled") + flag_count(f, on_time)
-    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", lambda w=w: F.count_if(within(w) & (F.col(overdue) > 0)), True) for w in WINDOWS]
+    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", lambda st, w=w: st.count_if(f"{overdue}|>0", F.col(overdue) > 0, w), True) for w in WINDOWS]
     out += metric(f, cost, "sum") + metric(f, overdue, "mean") + metric(f, overdue, "max", tier="EXTENDED")
     late = ("6m", "12m", "24m", "all")
     return out + ratio(f, scheduled, f"{f}_{scheduled}_count", f"{f}_event_count", late) + ratio(f, on_time, f"{f}_{on_time}_count", f"{f}_event_count", late)
@@ -255,11 +359,12 @@ def component_spec(key: str = "installation_key", rework: str = "rework_flag", s
             out += metric(f, c, a, ("all",), "CORE" if a == "mean" else "EXTENDED")
     age = lambda: F.date_diff("anchor_date", "event_date")
     share = lambda: safe_divide(age() / DAYS_PER_MONTH, F.col(life_months))
-    for a, fn in (("mean", F.avg), ("min", F.min), ("max", F.max)):
-        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", lambda fn=fn: fn(age())))
-    for a, fn in (("mean", F.avg), ("max", F.max)):
-        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", lambda fn=fn: fn(share())))
-    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", lambda: F.avg(F.when(share().isNotNull(), (share() >= 1).cast("double")))))
+    for a in ("mean", "min", "max"):
+        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", lambda st, a=a: _AGGREGATES[a](st, "age", age(), "all")))
+    for a in ("mean", "max"):
+        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", lambda st, a=a: _AGGREGATES[a](st, "age over life", share(), "all")))
+    past = lambda: F.when(share().isNotNull(), (share() >= 1).cast("double"))
+    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", lambda st: st.mean("past life", past(), "all")))
     return [*out, recency(f)]
 
 
@@ -307,7 +412,7 @@ def frame_features(frame: DataFrame, family: str, aggregation: str, sources: Seq
     def window_of(name: str) -> str:
         return next((w for w in WINDOWS if name.endswith(f"_{w}")), window)
 
-    return frame, [Feature(n, family, tier, kinds[n], window_of(n), aggregation, tuple(sources), f"{aggregation}({', '.join(sources)})", lambda n=n: F.col(n)) for n in names]
+    return frame, [Feature(n, family, tier, kinds[n], window_of(n), aggregation, tuple(sources), f"{aggregation}({', '.join(sources)})", lambda st, n=n: F.col(n)) for n in names]
 
 
 #: Parts of a column name that the matrix must not have.

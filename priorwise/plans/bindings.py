@@ -60,7 +60,11 @@ lines AS (
 
 
 def months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = lines(spark, sf_dir).withColumn("month_start", F.trunc("event_date", "month"))
+    return months_of(lines(spark, sf_dir))
+
+
+def months_of(order_lines: DataFrame) -> DataFrame:
+    x = order_lines.withColumn("month_start", F.trunc("event_date", "month"))
     g = x.groupBy("entity_key", "month_start").agg(F.sum("qty").alias("qty"), F.sum("cents").alias("cents"), F.max("discount_pct").alias("discount_pct"), F.count(F.lit(1)).alias("n_lines"))
     return g.withColumn("month_key", F.col("entity_key") * 100000 + F.year("month_start") * 12 + F.month("month_start"))
 
@@ -75,7 +79,10 @@ months AS (
 
 
 def installs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = lines(spark, sf_dir)
+    return installs_of(lines(spark, sf_dir), spark, sf_dir)
+
+
+def installs_of(x: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("system"), F.col("p_brand").alias("category"), F.col("p_size").alias("life"))
     return x.join(p, x["part_key"] == p["p_partkey"], "left").drop("p_partkey")
 

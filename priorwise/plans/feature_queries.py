@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from priorwise.functions.exprs import safe_divide
 from priorwise.operators import bridges as B, features as E, textfeatures as T
 from priorwise.operators.profile import feature_quality
+from priorwise.sources.tables import written
 
-from .bindings import ANCHORS, CLAIM, EVENT, INSTALLS, LINES, MONTHS, anchors, ctes, installs, lines, months, table
+from .bindings import ANCHORS, CLAIM, EVENT, INSTALLS, LINES, MONTHS, anchors, ctes, installs_of, lines, months_of, table
 from .registry import query
 
 TELE = """tele AS (SELECT claim_key AS current_claim_key, claim_date AS anchor_date, month_start AS event_date, month_key, qty, cents, CASE WHEN month_key % 7 > 0 THEN discount_pct END AS discount_pct, n_lines, CASE WHEN month_key % 5 > 0 THEN month_key % 1000 + qty END AS odometer
@@ -26,47 +27,61 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + 0.0 for c, t in df.dtypes if t == "double" and "_slope_" not in c})
 
 
-def _dated(spark: SparkSession, d: str, bridge: DataFrame) -> DataFrame:
-    return B.attach_anchor_dates(anchors(spark, d), bridge, "claim_key", "claim_date", "event_date")
+#: A bridge is partitioned by its entity, which groups of its anchors name as well.
+NEAR = ("entity_key",)
+DATED = {"claim_date": "anchor_date"}
 
 
-def tele(spark: SparkSession, d: str) -> DataFrame:
-    out = {"month_start": "event_date"} | {c: c for c in ("month_key", "qty", "cents", "discount_pct", "n_lines")}
-    b = B.bridge_completed_month(anchors(spark, d), months(spark, d), CLAIM, ("entity_key", "month_start"), out)
+class History:
+    """The event tables that the bridges of some families share."""
+
+    def __init__(self, spark: SparkSession, d: str, once: bool = False) -> None:
+        """``once``: the order lines and months are written first, so that families do not each make them anew."""
+        keep = (lambda df, name: written(df, name)) if once else (lambda df, name: df)
+        self.spark, self.d = spark, d
+        self.anchors = anchors(spark, d)
+        self.lines = keep(lines(spark, d), "lines")
+        self.months = keep(months_of(self.lines), "months")
+        self.installs = installs_of(self.lines, spark, d)
+
+
+def tele(h: History) -> DataFrame:
+    out = {"month_start": "event_date"} | {c: c for c in ("entity_key", "month_key", "qty", "cents", "discount_pct", "n_lines")}
+    b = B.bridge_completed_month(h.anchors, h.months, CLAIM, ("entity_key", "month_start"), out, DATED)
     k = F.col("month_key")
-    return _dated(spark, d, b).withColumns({"discount_pct": F.when(k % 7 > 0, F.col("discount_pct")), "odometer": F.when(k % 5 > 0, k % 1000 + F.col("qty"))})
+    return b.withColumns({"discount_pct": F.when(k % 7 > 0, F.col("discount_pct")), "odometer": F.when(k % 5 > 0, k % 1000 + F.col("qty"))})
 
 
-def maint(spark: SparkSession, d: str) -> DataFrame:
-    out = {c: c for c in ("event_date", "event_key", "part_key", "qty", "discount_pct", "cents", "line_status")}
-    b = _dated(spark, d, B.bridge_strict_before(anchors(spark, d), lines(spark, d), CLAIM, EVENT, out))
-    b = b.join(anchors(spark, d).select(F.col("claim_key").alias("current_claim_key"), F.col("total_cents").alias("anchor_reading")), "current_claim_key")
-    return b.select("current_claim_key", "anchor_date", "event_date", "event_key", F.col("line_status").alias("kind"), (F.col("part_key") % 2 == 0).alias("scheduled"), F.when(F.col("part_key") % 7 > 0, F.col("qty") < 30).alias("on_time"), F.col("discount_pct").alias("overdue"), F.col("cents").alias("cost"), F.col("qty").alias("reading"), "anchor_reading")
+def maint(h: History) -> DataFrame:
+    out = {c: c for c in ("entity_key", "event_date", "event_key", "part_key", "qty", "discount_pct", "cents", "line_status")}
+    b = B.bridge_strict_before(h.anchors, h.lines, CLAIM, EVENT, out, DATED | {"total_cents": "anchor_reading"})
+    return b.select("current_claim_key", "entity_key", "anchor_date", "event_date", "event_key", F.col("line_status").alias("kind"), (F.col("part_key") % 2 == 0).alias("scheduled"), F.when(F.col("part_key") % 7 > 0, F.col("qty") < 30).alias("on_time"), F.col("discount_pct").alias("overdue"), F.col("cents").alias("cost"), F.col("qty").alias("reading"), "anchor_reading")
 
 
-def comp(spark: SparkSession, d: str) -> DataFrame:
-    out = {c: c for c in ("event_date", "event_key", "supp_key", "system", "category", "returned", "discount_pct", "cents", "life")}
-    b = _dated(spark, d, B.bridge_strict_before(anchors(spark, d), installs(spark, d), CLAIM, EVENT, out))
+def comp(h: History) -> DataFrame:
+    """Installations; the claim's last two digits of cents come along as a reading."""
+    out = {c: c for c in ("entity_key", "event_date", "event_key", "supp_key", "system", "category", "returned", "discount_pct", "cents", "life")}
+    b = B.bridge_strict_before(h.anchors.withColumn("anchor_reading", F.col("total_cents") % 100), h.installs, CLAIM, EVENT, out, DATED | {"anchor_reading": "anchor_reading"})
     return b.withColumns({"rework": F.col("discount_pct") > 7}).withColumnsRenamed({"returned": "safety", "discount_pct": "score", "cents": "cost"})
 
 
-def prior(spark: SparkSession, d: str) -> DataFrame:
-    out = {"claim_key": "prior_claim_key", "claim_date": "event_date", "priority": "code", "target": "target", "total_cents": "total_cents"}
-    b = _dated(spark, d, B.bridge_self_prior(anchors(spark, d), CLAIM, out))
+def prior(h: History) -> DataFrame:
+    out = {"entity_key": "entity_key", "claim_key": "prior_claim_key", "claim_date": "event_date", "priority": "code", "target": "target", "total_cents": "total_cents"}
+    b = B.bridge_self_prior(h.anchors, CLAIM, out, carry=DATED)
     return b.withColumns({"system": F.substring("code", 1, 1), "safety": F.col("target") == 1, "recall": F.col("total_cents") % 3 == 0, "severity": F.expr("substr(code, 3)")}).drop("target", "total_cents")
 
 
 SERVICE = "serv AS (SELECT current_claim_key, anchor_date, event_date, event_key, system AS visit, score AS reading, total_cents % 100 AS anchor_reading FROM comp JOIN anchors ON claim_key = current_claim_key WHERE supp_key % 2 = 0)"
 
 
-def service(spark: SparkSession, d: str) -> DataFrame:
+def service(h: History) -> DataFrame:
     """Visits: the installations of every other supplier."""
-    a = anchors(spark, d).select(F.col("claim_key").alias("current_claim_key"), (F.col("total_cents") % 100).alias("anchor_reading"))
-    visits = comp(spark, d).filter("supp_key % 2 = 0").withColumnsRenamed({"system": "visit", "score": "reading"})
-    return visits.join(a, "current_claim_key").select("current_claim_key", "anchor_date", "event_date", "event_key", "visit", "reading", "anchor_reading")
+    visits = comp(h).filter("supp_key % 2 = 0").withColumnsRenamed({"system": "visit", "score": "reading"})
+    return visits.select("current_claim_key", "entity_key", "anchor_date", "event_date", "event_key", "visit", "reading", "anchor_reading")
 
 
-TELE_SPEC = E.telemetry_spec(("qty", "cents", "n_lines"), ("discount_pct",), "month_key", ("n_lines", "qty"), "odometer", ("qty", "cents", "discount_pct"))
+TREND_COLUMNS = ("qty", "cents", "discount_pct")
+TELE_SPEC = E.telemetry_spec(("qty", "cents", "n_lines"), ("discount_pct",), "month_key", ("n_lines", "qty"), "odometer", TREND_COLUMNS)
 MAINT_SPEC = E.maintenance_spec("event_key", "kind", "scheduled", "on_time", "overdue", "cost", {"reading": "anchor_reading"})
 COMP_SPEC = E.component_spec("event_key", "rework", "safety", ("supp_key", "system", "category"), ("score", "cost"), "life")
 PRIOR_SPEC = E.prior_claim_spec("prior_claim_key", "safety", "recall", ("code", "system"), "severity")
@@ -113,7 +128,7 @@ _TELE_COLS += [f"CASE WHEN count({c}) FILTER ({_W[w]}) >= 2 THEN {_EDGES.format(
 
 @query("e10_e20_e22_telemetry", f"{ctes(ANCHORS, LINES, MONTHS, TELE)} SELECT current_claim_key, {', '.join(_TELE_COLS)} FROM tele GROUP BY current_claim_key")
 def e_telemetry(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(tele(spark, d), TELE_SPEC))
+    return rounded(E.build_family(tele(History(spark, d)), TELE_SPEC, near=NEAR))
 
 
 @query("e01_e05_window_metrics", f"""{ctes(ANCHORS, LINES)} SELECT claim_key, CAST(count(event_key) FILTER (event_date >= claim_date - INTERVAL 6 MONTH) AS BIGINT) AS n_6m, CAST(sum(cents) FILTER (event_date >= claim_date - INTERVAL 6 MONTH) AS BIGINT) AS cents_6m,
@@ -151,7 +166,7 @@ FROM anchors LEFT JOIN first_seen USING (entity_key) LEFT JOIN o ON claim_key =
 def e_coverage(spark: SparkSession, d: str) -> DataFrame:
     started = lines(spark, d).groupBy("entity_key").agg(F.min("event_date").alias("started"))
     a = anchors(spark, d).join(started, "entity_key", "left")
-    observed = E.build_family(tele(spark, d), E.months_observed("telemetry"))
+    observed = E.build_family(tele(History(spark, d)), E.months_observed("telemetry"), near=NEAR)
     return rounded(E.coverage_ratios(observed, a, "claim_key", "claim_date", "started", "telemetry"))
 
 
@@ -163,7 +178,7 @@ _SLOPE_COLS = [f"CASE WHEN count({y}) >= 3 AND {_SUMS.format(y=y)} > 0 THEN (cou
 
 @query("e21_slope", f"{ctes(ANCHORS, LINES, MONTHS, TELE, _MONTHLY)} SELECT current_claim_key, {', '.join(_SLOPE_COLS)} FROM mon GROUP BY 1")
 def e_slope(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.slopes(tele(spark, d), ["qty", "cents", "discount_pct"], ["6m", "12m", "24m"], "telemetry"))
+    return rounded(E.slopes(tele(History(spark, d)), TREND_COLUMNS, E.TREND_WINDOWS, "telemetry", near=NEAR))
 
 
 _N = [f"count(event_key) FILTER ({w}) AS {{f}}_event_count_{k}" for k, w in _W.items()]
@@ -178,7 +193,7 @@ _MODE = "mode_of AS (SELECT current_claim_key, arg_min(kind, (-n, kind)) AS main
 
 @query("e23_e27_maintenance", f"{ctes(ANCHORS, LINES, MAINT, _MODE)} SELECT m.*, maintenance_kind_dominant FROM (SELECT current_claim_key, {', '.join(_MAINT_COLS)} FROM maint GROUP BY 1) m JOIN mode_of USING (current_claim_key)")
 def e_maintenance(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(maint(spark, d), MAINT_SPEC))
+    return rounded(E.build_family(maint(History(spark, d)), MAINT_SPEC, near=NEAR))
 
 
 _SERVICE_COLS = [x.format(f="service") for x in _N[1:]] + [_recency("service"), "count(DISTINCT visit) AS service_visit_nunique_all", _latest("service", "visit", "event_key"), "CAST(max(anchor_reading) - max_by(reading, (event_date, event_key)) AS DOUBLE) AS service_reading_since_last"]
@@ -187,18 +202,18 @@ _VISIT = "visit_of AS (SELECT current_claim_key, arg_min(visit, (-n, visit)) AS
 
 @query("e23_e28_service", f"{ctes(ANCHORS, LINES, INSTALLS, COMP, SERVICE, _VISIT)} SELECT s.*, service_visit_dominant FROM (SELECT current_claim_key, {', '.join(_SERVICE_COLS)} FROM serv GROUP BY 1) s LEFT JOIN visit_of USING (current_claim_key)")
 def e_service(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(service(spark, d), SERVICE_SPEC))
+    return rounded(E.build_family(service(History(spark, d)), SERVICE_SPEC, near=NEAR))
 
 
 @query("e28_dominant_share", f"{ctes(ANCHORS, LINES, MAINT)} SELECT current_claim_key, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS kind_share FROM (SELECT current_claim_key, kind, count(*) AS n FROM maint WHERE kind IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
 def e_share(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.dominant_share(maint(spark, d), "kind", "kind_share"))
+    return rounded(E.dominant_share(maint(History(spark, d)), "kind", "kind_share", near=NEAR))
 
 
 @query("e29_inter_event", f"""{ctes(ANCHORS, LINES, MAINT)} SELECT current_claim_key, round(avg(gap), 6) AS maintenance_gap_days_mean, round(CASE WHEN count(gap) >= 2 THEN stddev_pop(gap) END, 6) AS maintenance_gap_days_std
 FROM (SELECT current_claim_key, event_date - lag(event_date) OVER (PARTITION BY current_claim_key ORDER BY event_date, event_key) AS gap FROM maint) GROUP BY 1""")
 def e_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.inter_event_stats(maint(spark, d), "event_key", "maintenance"))
+    return rounded(E.inter_event_stats(maint(History(spark, d)), "event_key", "maintenance", near=NEAR))
 
 
 _AGE = "(anchor_date - event_date)"
@@ -212,7 +227,7 @@ _COMP_COLS += [f"round(avg({_AGE}), 6) AS component_age_days_mean, min({_AGE}) A
 
 @query("e30_e31_component", f"{ctes(ANCHORS, LINES, INSTALLS, COMP)} SELECT current_claim_key, {', '.join(_COMP_COLS)} FROM comp GROUP BY 1")
 def e_component(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(comp(spark, d), COMP_SPEC))
+    return rounded(E.build_family(comp(History(spark, d)), COMP_SPEC, near=NEAR))
 
 
 _PRIOR_COLS = [x.format(f="prior_claim").replace("event_key", "prior_claim_key") for x in _N] + _flags("prior_claim", "safety", "safety") + _flags("prior_claim", "recall", "recall")
@@ -222,7 +237,7 @@ _PRIOR_COLS += [y for c in ("code", "system") for y in (f"count(DISTINCT {c}) AS
 
 @query("e32_prior_claims", f"{ctes(ANCHORS, PRIOR)} SELECT current_claim_key, {', '.join(_PRIOR_COLS)} FROM prior GROUP BY 1")
 def e_prior(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(prior(spark, d), PRIOR_SPEC))
+    return rounded(E.build_family(prior(History(spark, d)), PRIOR_SPEC, near=NEAR))
 
 
 @query("e06_direct_values", "SELECT p_partkey, p_brand, CAST(p_size AS DOUBLE) AS p_size, TRY_CAST(substr(p_brand, 7) AS DOUBLE) AS brand_no, TRY_CAST(p_type AS DOUBLE) AS p_type FROM part")
@@ -234,48 +249,49 @@ def e_direct(spark: SparkSession, d: str) -> DataFrame:
 _SPAN = "span AS (SELECT order_key, min(event_date) AS first_ship, max(event_date) AS last_ship, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(cents) AS BIGINT) AS cents, count(*) AS n FROM lines GROUP BY 1)"
 
 
-def _span(spark: SparkSession, d: str) -> DataFrame:
-    s = lines(spark, d).groupBy(F.col("order_key").alias("claim_key")).agg(F.min("event_date").alias("first_ship"), F.max("event_date").alias("last_ship"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
-    return anchors(spark, d).join(s, "claim_key", "left")
+def _span(claims: DataFrame, events: DataFrame) -> DataFrame:
+    s = events.groupBy(F.col("order_key").alias("claim_key")).agg(F.min("event_date").alias("first_ship"), F.max("event_date").alias("last_ship"), F.sum("qty").alias("qty"), F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("n"))
+    return claims.join(s, "claim_key", "left")
 
 
 @query("e07_lifecycle_days", f"{ctes(ANCHORS, LINES, _SPAN)} SELECT claim_key, claim_date - first_ship AS days_from_first, last_ship - first_ship AS days_between FROM anchors LEFT JOIN span ON claim_key = order_key")
 def e_lifecycle(spark: SparkSession, d: str) -> DataFrame:
-    return E.lifecycle_days(_span(spark, d), {"days_from_first": ("claim_date", "first_ship"), "days_between": ("last_ship", "first_ship")}).select("claim_key", "days_from_first", "days_between")
+    return E.lifecycle_days(_span(anchors(spark, d), lines(spark, d)), {"days_from_first": ("claim_date", "first_ship"), "days_between": ("last_ship", "first_ship")}).select("claim_key", "days_from_first", "days_between")
 
 
 @query("e08_usage_rates", f"{ctes(ANCHORS, LINES, _SPAN)} SELECT claim_key, round(cents / CAST(n AS DOUBLE), 6) AS usage_miles_per_month, round(qty / CAST(n AS DOUBLE), 6) AS usage_hours_per_month, round(CASE WHEN qty > 0 THEN cents / CAST(qty AS DOUBLE) END, 6) AS usage_miles_per_hour FROM anchors LEFT JOIN span ON claim_key = order_key")
 def e_usage(spark: SparkSession, d: str) -> DataFrame:
-    out = E.usage_rates(_span(spark, d), "cents", "qty", "n")
+    out = E.usage_rates(_span(anchors(spark, d), lines(spark, d)), "cents", "qty", "n")
     return rounded(out.select("claim_key", "usage_miles_per_month", "usage_hours_per_month", "usage_miles_per_hour"))
 
 
 @query("e09_warranty_utilization", f"""{ctes(ANCHORS, LINES, _SPAN)}, r AS (SELECT claim_key, round(qty / 100.0::DOUBLE, 6) AS warranty_qty_ratio, 100.0::DOUBLE - qty AS warranty_qty_remaining, round(CASE WHEN total_cents > 0 THEN cents / CAST(total_cents AS DOUBLE) END, 6) AS warranty_cents_ratio, CAST(total_cents - cents AS DOUBLE) AS warranty_cents_remaining FROM anchors LEFT JOIN span ON claim_key = order_key)
 SELECT *, greatest(warranty_qty_ratio, warranty_cents_ratio) AS warranty_max_ratio FROM r""")
 def e_warranty(spark: SparkSession, d: str) -> DataFrame:
-    out = E.warranty_utilization(_span(spark, d).withColumn("allowed", F.lit(100)), {"qty": ("qty", "allowed"), "cents": ("cents", "total_cents")})
+    out = E.warranty_utilization(_span(anchors(spark, d), lines(spark, d)).withColumn("allowed", F.lit(100)), {"qty": ("qty", "allowed"), "cents": ("cents", "total_cents")})
     return rounded(out.select("claim_key", *[c for c in out.columns if c.startswith("warranty_")]))
 
 
 @query("e33_history_presence", f"""{ctes(ANCHORS, LINES, MONTHS, TELE, PRIOR)} SELECT claim_key AS current_claim_key, claim_key IN (SELECT current_claim_key FROM tele) AS has_telemetry_history, claim_key IN (SELECT current_claim_key FROM prior) AS has_prior_claim_history FROM anchors""")
 def e_presence(spark: SparkSession, d: str) -> DataFrame:
-    return E.history_presence(anchors(spark, d), "claim_key", {"telemetry": tele(spark, d), "prior_claim": prior(spark, d)})
+    return E.history_presence(anchors(spark, d), "claim_key", {"telemetry": tele(History(spark, d)), "prior_claim": prior(History(spark, d))})
 
 
 def families(spark: SparkSession, d: str) -> list[tuple[DataFrame, list[E.Feature]]]:
     """All ten families: frames of one row an anchor and what their columns are."""
-    months_of, events, installed, earlier, visits = (f(spark, d) for f in (tele, maint, comp, prior, service))
-    grouped = [(E.build_family(b, s), s) for b, s in ((months_of, TELE_SPEC), (events, MAINT_SPEC), (installed, COMP_SPEC), (earlier, PRIOR_SPEC), (visits, SERVICE_SPEC))]
+    h = History(spark, d, once=True)
+    months_rows, events = tele(h), maint(h)
+    grouped = [(E.build_family(b, s, near=NEAR), s) for b, s in ((months_rows, TELE_SPEC), (events, MAINT_SPEC), (comp(h), COMP_SPEC), (prior(h), PRIOR_SPEC), (service(h), SERVICE_SPEC))]
     key = F.col("claim_key").alias("current_claim_key")
-    span = _span(spark, d).withColumn("allowed", F.lit(100))
+    span = _span(h.anchors, h.lines).withColumn("allowed", F.lit(100))
     passed = E.direct_values(span.withColumn("urgency", F.substring("priority", 1, 1)), ["claim_key", "priority", "urgency"], ["urgency"])
     days = E.lifecycle_days(span, {"days_from_first": ("claim_date", "first_ship"), "days_between": ("last_ship", "first_ship")})
     usage = E.usage_rates(span, "cents", "qty", "n")
     warranty = E.warranty_utilization(span, {"qty": ("qty", "allowed"), "cents": ("cents", "total_cents")})
-    started = lines(spark, d).groupBy("entity_key").agg(F.min("event_date").alias("started"))
-    coverage = E.coverage_ratios(grouped[0][0], anchors(spark, d).join(started, "entity_key", "left"), "claim_key", "claim_date", "started", "telemetry")
-    trends = E.slopes(months_of, TREND_COLUMNS, E.TREND_WINDOWS, "telemetry")
-    rhythm = E.inter_event_stats(events, "event_key", "maintenance").join(E.dominant_share(events, "kind", "maintenance_kind_share"), "current_claim_key", "left")
+    started = h.lines.groupBy("entity_key").agg(F.min("event_date").alias("started"))
+    coverage = E.coverage_ratios(grouped[0][0], h.anchors.join(started, "entity_key", "left"), "claim_key", "claim_date", "started", "telemetry")
+    trends = E.slopes(months_rows, TREND_COLUMNS, E.TREND_WINDOWS, "telemetry", near=NEAR)
+    rhythm = E.inter_event_stats(events, "event_key", "maintenance", near=NEAR).join(E.dominant_share(events, "kind", "maintenance_kind_share", near=NEAR), "current_claim_key", "left")
     parts = [
         (passed, "direct", "direct", ["priority"], ["priority", "urgency"], "CORE"),
         (days, "lifecycle", "days", ["claim_date", "first_ship", "last_ship"], ["days_from_first", "days_between"], "CORE"),
@@ -289,9 +305,6 @@ def families(spark: SparkSession, d: str) -> list[tuple[DataFrame, list[E.Featur
     return grouped + [E.frame_features(f, family, how, sources, names, tier) for f, family, how, sources, names, tier in named]
 
 
-TREND_COLUMNS = ("qty", "cents", "discount_pct")
-
-
 def matrix(spark: SparkSession, d: str) -> DataFrame:
     return E.feature_matrix(anchors(spark, d), "claim_key", ["claim_date"], families(spark, d))
 

@@ -86,6 +86,13 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder and read again: computed once, and safe from lost executors."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: str = "errorifexists") -> DataFrame:
     """Write and return one row of metadata: row_count, column_count."""
     if compression not in CODECS:
