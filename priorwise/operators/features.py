@@ -8,15 +8,17 @@ rows) for each anchor and bucket, of which an anchor has five at most; a window
 merges the buckets up to its own.  Features are made from merged states, each
 state is kept once however many features share it, and the catalog is the plan.
 
-States of fixed size and states of any size (sets, rows, texts) are grouped
-apart, as Spark aggregates the former in its hash map with generated code.
+Numbers, values and rows are grouped apart: numbers by anchor and bucket, in
+Spark's hash map with generated code; values (for distinct counts and modes) by
+anchor and value, with their count and youngest bucket, so that no set is held
+in memory; first and last rows, which Spark has to sort, with all columns that
+are wanted of them in one row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -34,6 +36,10 @@ TRENDS = ("mileage_month", "engine_hours_month", "fault_code_count", "avg_engine
 TREND_WINDOWS = ("6m", "12m", "24m")
 
 
+#: A column's name, or what makes a column (which needs a session).
+Values = str | Callable[[], Column]
+
+
 def age_bucket(event: str = "event_date", anchor: str = "anchor_date") -> Column:
     """The place in ``WINDOWS`` of the youngest window that holds the event."""
     out = F.lit(len(WINDOWS) - 1)
@@ -42,94 +48,107 @@ def age_bucket(event: str = "event_date", anchor: str = "anchor_date") -> Column
     return out
 
 
+def _value(x: Values) -> Column:
+    return F.col(x) if isinstance(x, str) else x()
+
+
 class States:
     """The states that the features of a family need of a bucket, and how windows merge them.
 
-    Every method registers what it needs and gives the column in which the
-    merged value will stand.  ``what`` names the values ``x``.
+    Every method registers what it needs, once however often it is asked for,
+    and gives the SQL of the merged value.  ``what`` names the values ``x``, a
+    column or what makes one.  Merges are SQL text, which is parsed in one call.
     """
 
     def __init__(self) -> None:
         self.fixed: dict[str, Column] = {}
-        self.sized: dict[str, Column] = {}
-        self.shifts: dict[str, Column] = {}
-        self.merged_fixed: dict[str, Column] = {}
-        self.merged_sized: dict[str, Column] = {}
-        self.modes: dict[str, str] = {}
+        self.shifts: dict[str, str] = {}
+        self.merged_fixed: dict[str, str] = {}
+        self.values: dict[str, Column] = {}
+        self.of_values: dict[str, str] = {}
+        self.edges: dict[tuple[str, str], list[str]] = {}
+        self.of_edges: dict[str, tuple[str, str, str]] = {}
 
-    def _merge(self, op: str, what: str, aggregate: Column, window: str, merge: Callable[[Column], Column]) -> Column:
-        state, out = f"{op}|{what}", f"{op}|{what}|{window}"
-        self.fixed.setdefault(state, aggregate)
-        self.merged_fixed.setdefault(out, merge(F.when(F.col("__bucket") <= list(WINDOWS).index(window), F.col(state))))
-        return F.col(out)
+    def _state(self, op: str, what: str, aggregate: Callable[[Column], Column], x: Values) -> str:
+        name = f"{op}|{what}"
+        if name not in self.fixed:
+            self.fixed[name] = aggregate(_value(x))
+        return f"`{name}`"
 
-    def count(self, what: str, x: Column, window: str) -> Column:
-        return self._merge("n", what, F.count(x), window, lambda c: F.coalesce(F.sum(c), F.lit(0)))
+    def _merge(self, out: str, window: str, merge: str, state: str) -> str:
+        self.merged_fixed[f"{out}|{window}"] = merge.format(f"CASE WHEN __bucket <= {_BUCKET[window]} THEN {state} END")
+        return f"numbers.`{out}|{window}`"
 
-    def count_if(self, what: str, x: Column, window: str) -> Column:
-        return self._merge("if", what, F.count_if(x), window, lambda c: F.coalesce(F.sum(c), F.lit(0)))
+    def count(self, what: str, x: Values, window: str) -> str:
+        return self._merge(f"n|{what}", window, "coalesce(sum({}), 0)", self._state("n", what, F.count, x))
 
-    def total(self, what: str, x: Column, window: str) -> Column:
-        return self._merge("sum", what, F.sum(x), window, F.sum)
+    def count_if(self, what: str, x: Values, window: str) -> str:
+        return self._merge(f"if|{what}", window, "coalesce(sum({}), 0)", self._state("if", what, F.count_if, x))
 
-    def least(self, what: str, x: Column, window: str) -> Column:
-        return self._merge("min", what, F.min(x), window, F.min)
+    def total(self, what: str, x: Values, window: str) -> str:
+        return self._merge(f"sum|{what}", window, "sum({})", self._state("sum", what, F.sum, x))
 
-    def greatest(self, what: str, x: Column, window: str) -> Column:
-        return self._merge("max", what, F.max(x), window, F.max)
+    def least(self, what: str, x: Values, window: str) -> str:
+        return self._merge(f"min|{what}", window, "min({})", self._state("min", what, F.min, x))
 
-    def mean(self, what: str, x: Column, window: str) -> Column:
-        n = self.count(what, x, window)
-        return F.when(n > 0, self.total(what, x, window) / n)
+    def greatest(self, what: str, x: Values, window: str) -> str:
+        return self._merge(f"max|{what}", window, "max({})", self._state("max", what, F.max, x))
 
-    def std(self, what: str, x: Column, window: str) -> Column:
+    def mean(self, what: str, x: Values, window: str) -> str:
+        return divided(self.total(what, x, window), self.count(what, x, window))
+
+    def std(self, what: str, x: Values, window: str) -> str:
         """Population deviation, null below two values.
 
         Buckets give number, mean and variance; means are taken from one of the
         anchor's own bucket means, so that nothing cancels.
         """
-        n = self.count(what, x, window)
-        mean, off = F.col(f"avg|{what}"), F.col(f"avg|{what}") - F.col(f"shift|{what}")
-        self.fixed.setdefault(f"avg|{what}", F.avg(x))
-        self.fixed.setdefault(f"var|{what}", F.var_pop(x))
-        self.shifts.setdefault(f"shift|{what}", F.max(mean))
-        here, size = F.col("__bucket") <= list(WINDOWS).index(window), F.col(f"n|{what}")
-        self.merged_fixed.setdefault(f"m1|{what}|{window}", F.sum(F.when(here, size * off)))
-        self.merged_fixed.setdefault(f"m2|{what}|{window}", F.sum(F.when(here, size * (F.col(f"var|{what}") + off * off))))
-        m1, m2 = F.col(f"m1|{what}|{window}"), F.col(f"m2|{what}|{window}")
-        return F.when(n >= 2, F.sqrt(F.greatest(m2 / n - (m1 / n) * (m1 / n), F.lit(0.0))))
-
-    def _sized(self, state: str, aggregate: Column, out: str, window: str, merge: Callable[[Column], Column]) -> Column:
-        self.sized.setdefault(state, aggregate)
-        k = list(WINDOWS).index(window)
-        chosen = F.filter("__states", lambda s: s["__bucket"] <= k)
-        self.merged_sized.setdefault(out, merge(F.transform(chosen, lambda s: s[state])))
-        return F.col(out)
-
-    def distinct(self, what: str, x: Column, window: str) -> Column:
-        state = f"set|{what}"
-        return self._sized(state, F.collect_set(x), f"{state}|{window}", window, lambda sets: F.size(F.array_distinct(F.flatten(sets))).cast("long"))
-
-    def mode(self, column: str) -> Column:
+        n, size = self.count(what, x, window), self._state("n", what, F.count, x)
+        mean, var, shift = self._state("avg", what, F.avg, x), self._state("var", what, F.var_pop, x), f"`shift|{what}`"
+        self.shifts[f"shift|{what}"] = f"max({mean})"
+        off = f"({mean} - {shift})"
+        m1 = self._merge(f"m1|{what}", window, "sum({})", f"{size} * {off}")
+        m2 = self._merge(f"m2|{what}", window, "sum({})", f"{size} * ({var} + {off} * {off})")
+        return f"CASE WHEN {n} >= 2 THEN sqrt(greatest({m2} / {n} - ({m1} / {n}) * ({m1} / {n}), 0D)) END"
+
+    def _tallied(self, what: str, x: Values) -> None:
+        if what not in self.values:
+            self.values[what] = _value(x)
+
+    def distinct(self, what: str, x: Values, window: str) -> str:
+        """Distinct values; as windows are nested, a value belongs to those from its youngest bucket on."""
+        self._tallied(what, x)
+        self.of_values[f"distinct|{what}|{window}"] = f"count_if(what = '{what}' AND youngest <= {_BUCKET[window]})"
+        return f"coalesce(tallied.`distinct|{what}|{window}`, 0)"
+
+    def mode(self, column: str) -> str:
         """The most frequent value of all history, the least on ties."""
-        self.modes.setdefault(column, f"mode|{column}")
-        return F.col(self.modes[column])
-
-    def _edge(self, which: str, column: str, key: str, window: str) -> Column:
-        pick, merge = (F.max, F.array_max) if which == "last" else (F.min, F.array_min)
-        state = f"{which}|{column}|{key}"
-        row = F.struct(F.col("event_date").alias("d"), F.col(key).alias("k"), F.col(column).alias("v"))
-        return self._sized(state, pick(row), f"{state}|{window}", window, lambda rows: merge(rows)["v"])
-
-    def last(self, column: str, key: str, window: str) -> Column:
+        self._tallied(column, column)
+        self.of_values[f"mode|{column}"] = f"min(CASE WHEN what = '{column}' THEN struct(-n AS n, value) END).value"
+        return f"tallied.`mode|{column}`"
+
+    def _edge(self, which: str, column: str, key: str, window: str) -> str:
+        columns = self.edges.setdefault((which, key), [])
+        if column not in columns:
+            columns.append(column)
+        self.of_edges[f"{which}|{key}|{window}"] = (which, key, window)
+        return f"edges.`{which}|{key}|{window}`.v.`{column}`"
+
+    def last(self, column: str, key: str, window: str) -> str:
         """The value of the row with the greatest (date, key), null included."""
         return self._edge("last", column, key, window)
 
-    def first(self, column: str, key: str, window: str) -> Column:
+    def first(self, column: str, key: str, window: str) -> str:
         return self._edge("first", column, key, window)
 
 
-_AGGREGATES: dict[str, Callable[[States, str, Column, str], Column]] = {
+def divided(a: str, b: str) -> str:
+    """Ratio; null where the denominator is null or not positive."""
+    return f"CASE WHEN {b} > 0 THEN {a} / {b} END"
+
+
+_BUCKET = {w: k for k, w in enumerate(WINDOWS)}
+_AGGREGATES: dict[str, Callable[[States, str, Values, str], str]] = {
     "count": States.count, "sum": States.total, "mean": States.mean, "min": States.least, "max": States.greatest, "std": States.std, "nunique": States.distinct,
 }
 
@@ -138,8 +157,8 @@ _AGGREGATES: dict[str, Callable[[States, str, Column, str], Column]] = {
 class Feature:
     """One column of the matrix: what it is made of, and how.
 
-    ``make`` gives its expression over a family's states, which needs a
-    session; the rest does not.
+    ``make`` gives its SQL over a family's states, which needs a session; the
+    rest does not.
     """
 
     name: str
@@ -150,7 +169,7 @@ class Feature:
     aggregation: str
     sources: tuple[str, ...]
     formula: str
-    make: Callable[[States], Column] = field(compare=False, repr=False)
+    make: Callable[[States], str] = field(compare=False, repr=False)
     zero_fill: bool = False
     derived: bool = False
 
@@ -164,24 +183,24 @@ def within(window: str) -> Column:
 def metric(family: str, column: str, aggregation: str, windows: Iterable[str] = WINDOWS, tier: str = "CORE", name: str | None = None) -> list[Feature]:
     """An aggregate of a column in each window; counts are 0 and measures null without rows."""
     counts = aggregation in ("count", "nunique")
-    make = lambda w: lambda st: _AGGREGATES[aggregation](st, column, F.col(column), w)
+    make = lambda w: lambda st: _AGGREGATES[aggregation](st, column, column, w)
     return [Feature(f"{family}_{name or column}_{aggregation}_{w}", family, tier, "long" if counts else "double", w, aggregation, (column,), f"{aggregation}({column})", make(w), counts) for w in windows]
 
 
 def event_count(family: str, key: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", lambda st, w=w: st.count(key, F.col(key), w), True) for w in windows]
+    return [Feature(f"{family}_event_count_{w}", family, "CORE", "long", w, "count", (key,), f"count({key})", lambda st, w=w: st.count(key, key, w), True) for w in windows]
 
 
 def flag_count(family: str, flag: str, windows: Iterable[str] = WINDOWS, negate: bool = False, tier: str = "CORE", name: str | None = None) -> list[Feature]:
     """Rows whose flag is true (``negate``: false); null flags are neither."""
     cond = lambda: ~F.col(flag) if negate else F.col(flag)
     name = name or (f"not_{flag}" if negate else flag)
-    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", lambda st, w=w: st.count_if(f"{flag}|{negate}", cond(), w), True) for w in windows]
+    return [Feature(f"{family}_{name}_count_{w}", family, tier, "long", w, "flag_count", (flag,), f"sum({name})", lambda st, w=w: st.count_if(f"{flag}|{negate}", cond, w), True) for w in windows]
 
 
 def ratio(family: str, name: str, numerator: str, denominator: str, windows: Iterable[str] = WINDOWS, tier: str = "CORE") -> list[Feature]:
     """Ratio of two features of the family, named up to the window."""
-    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", lambda st, w=w: safe_divide(F.col(f"{numerator}_{w}"), F.col(f"{denominator}_{w}")), derived=True) for w in windows]
+    return [Feature(f"{family}_{name}_ratio_{w}", family, tier, "double", w, "ratio", (numerator, denominator), f"{numerator} / {denominator}", lambda st, w=w: divided(f"`{numerator}_{w}`", f"`{denominator}_{w}`"), derived=True) for w in windows]
 
 
 def latest(family: str, column: str, key: str, tier: str = "CORE") -> Feature:
@@ -190,7 +209,7 @@ def latest(family: str, column: str, key: str, tier: str = "CORE") -> Feature:
 
 
 def recency(family: str) -> Feature:
-    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda st: F.date_diff(st.greatest("anchor_date", F.col("anchor_date"), "all"), st.greatest("event_date", F.col("event_date"), "all")))
+    return Feature(f"{family}_recency_days", family, "CORE", "long", "all", "recency", ("event_date",), "anchor - max(date)", lambda st: f"date_diff({st.greatest('anchor_date', 'anchor_date', 'all')}, {st.greatest('event_date', 'event_date', 'all')})")
 
 
 def first_to_last(family: str, column: str, key: str, windows: Iterable[str], least: int = 0, tier: str = "CORE", name: str = "change") -> list[Feature]:
@@ -198,7 +217,7 @@ def first_to_last(family: str, column: str, key: str, windows: Iterable[str], le
 
     ``least``: values that the window must hold.
     """
-    make = lambda w: lambda st: F.when(st.count(column, F.col(column), w) >= least, st.last(column, key, w) - st.first(column, key, w))
+    make = lambda w: lambda st: f"CASE WHEN {st.count(column, column, w)} >= {least} THEN {st.last(column, key, w)} - {st.first(column, key, w)} END"
     return [Feature(f"{family}_{column}_{name}_{w}", family, tier, "double", w, name, (column, key), f"latest - earliest {column}", make(w)) for w in windows]
 
 
@@ -207,20 +226,20 @@ def _month() -> Column:
 
 
 def months_observed(family: str, windows: Iterable[str] = WINDOWS) -> list[Feature]:
-    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", lambda st, w=w: st.distinct("month", _month(), w), True) for w in windows]
+    return [Feature(f"{family}_months_observed_{w}", family, "CORE", "long", w, "nunique", ("event_date",), "count(distinct month)", lambda st, w=w: st.distinct("month", _month, w), True) for w in windows]
 
 
 def month_span(family: str) -> list[Feature]:
-    span = lambda st: st.greatest("month", _month(), "all") - st.least("month", _month(), "all") + 1
+    span = lambda st: f"{st.greatest('month', _month, 'all')} - {st.least('month', _month, 'all')} + 1"
     return [
         Feature(f"{family}_month_span", family, "CORE", "long", "all", "span", ("event_date",), "max - min month + 1", span),
-        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", lambda st: span(st) - st.distinct("month", _month(), "all")),
+        Feature(f"{family}_missing_months", family, "CORE", "long", "all", "span", ("event_date",), "span - observed months", lambda st: f"{span(st)} - {st.distinct('month', _month, 'all')}"),
     ]
 
 
 def type_diversity(family: str, column: str, key: str) -> list[Feature]:
     return [
-        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", lambda st: st.distinct(column, F.col(column), "all"), True),
+        Feature(f"{family}_{column}_nunique_all", family, "CORE", "long", "all", "nunique", (column,), f"count(distinct {column})", lambda st: st.distinct(column, column, "all"), True),
         latest(family, column, key),
         Feature(f"{family}_{column}_dominant", family, "CORE", "string", "all", "mode", (column,), f"mode({column}), least on ties", lambda st: st.mode(column)),
     ]
@@ -228,7 +247,12 @@ def type_diversity(family: str, column: str, key: str) -> list[Feature]:
 
 def since_latest(family: str, anchor: str, column: str, key: str) -> Feature:
     """The anchor's reading minus the one at the latest event."""
-    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", lambda st: st.greatest(anchor, F.col(anchor), "all") - st.last(column, key, "all"))
+    return Feature(f"{family}_{column}_since_last", family, "CORE", "double", "all", "since_last", (anchor, column), f"{anchor} - latest {column}", lambda st: f"{st.greatest(anchor, anchor, 'all')} - {st.last(column, key, 'all')}")
+
+
+def _packed(df: DataFrame, key: str, name: str, columns: Iterable[str]) -> DataFrame:
+    """The key and one struct of the columns: joins then pass on one value, not hundreds."""
+    return df.select(key, F.struct(*[F.col(f"`{c}`") for c in columns]).alias(name))
 
 
 def build_family(bridge: DataFrame, features: Sequence[Feature], key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
@@ -239,34 +263,38 @@ def build_family(bridge: DataFrame, features: Sequence[Feature], key: str = ANCH
     rows of the bridge where they are.
     """
     states = States()
-    made = {f.name: f.make(states) for f in features}
+    made = {f.name: f"{f.make(states)} AS `{f.name}`" for f in features}
     keys = [*near, key]
     bucketed = bridge.withColumn("__bucket", age_bucket())
     rows = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__rows"), *[x.alias(n) for n, x in states.fixed.items()])
     if states.shifts:
-        rows = rows.withColumns({n: x.over(Window.partitionBy(*keys)) for n, x in states.shifts.items()})
-    out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__buckets"), *[x.alias(n) for n, x in states.merged_fixed.items()]).drop(*near)
-    if states.sized:
-        sets = bucketed.groupBy(*keys, "__bucket").agg(*[x.alias(n) for n, x in states.sized.items()])
-        # a row a bucket, five at most
-        held = sets.groupBy(*keys).agg(F.collect_list(F.struct("__bucket", *states.sized)).alias("__states"))
-        out = out.join(held.select(key, *[x.alias(n) for n, x in states.merged_sized.items()]), key)
-    for column, name in states.modes.items():
-        out = out.join(tallied(bridge, column, key, near).select(key, F.col("mode").alias(name)), key, "left")
-    whole = out.select(key, *[made[f.name].alias(f.name) for f in features if not f.derived])
-    return whole.withColumns({f.name: made[f.name] for f in features if f.derived}).select(key, *[f.name for f in features])
-
-
-def tallied(bridge: DataFrame, column: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
-    """Per anchor of the values that are not null: mode (the least on ties), its number of rows and that of all."""
-    counts = bridge.filter(F.col(column).isNotNull()).groupBy(*near, key, column).agg(F.count(F.lit(1)).alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col(column).alias("v")))
-    return counts.groupBy(*near, key).agg(best.alias("b"), F.sum("n").alias("events")).select(key, F.col("b.v").alias("mode"), (-F.col("b.n")).alias("mode_events"), "events")
+        by = ", ".join(f"`{k}`" for k in keys)
+        rows = rows.selectExpr("*", *[f"{x} OVER (PARTITION BY {by}) AS `{n}`" for n, x in states.shifts.items()])
+    out = _packed(rows.groupBy(*keys).agg(F.sum("__rows").alias("__rows"), *[F.expr(f"{x} AS `{n}`") for n, x in states.merged_fixed.items()]), key, "numbers", ["__rows", *states.merged_fixed])
+    if states.values:
+        tallied = tallies(bucketed, states.values, key, near).groupBy(*keys).agg(*[F.expr(f"{x} AS `{n}`") for n, x in states.of_values.items()])
+        out = out.join(_packed(tallied, key, "tallied", states.of_values), key, "left")
+    if states.edges:
+        row = lambda order, columns: F.struct(F.col("event_date").alias("d"), F.col(order).alias("k"), F.struct(*columns).alias("v"))
+        kept = {(which, order): (F.max if which == "last" else F.min)(row(order, columns)).alias(f"{which}|{order}") for (which, order), columns in states.edges.items()}
+        ends = bucketed.groupBy(*keys, "__bucket").agg(*kept.values())
+        picked = [f"{'max' if which == 'last' else 'min'}(CASE WHEN __bucket <= {_BUCKET[w]} THEN `{which}|{order}` END) AS `{n}`" for n, (which, order, w) in states.of_edges.items()]
+        out = out.join(_packed(ends.groupBy(*keys).agg(*map(F.expr, picked)), key, "edges", states.of_edges), key)
+    out = out.selectExpr(f"`{key}`", *[made[f.name] for f in features if not f.derived])
+    return out.selectExpr(f"`{key}`", *[made[f.name] if f.derived else f"`{f.name}`" for f in features])
+
+
+def tallies(bridge: DataFrame, values: Mapping[str, Column], key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
+    """Per anchor, name and value (as text) that is not null: n, and youngest, the least ``__bucket`` it lies in."""
+    cells = F.array(*[F.struct(F.lit(n).alias("what"), x.cast("string").alias("value")) for n, x in values.items()])
+    long = bridge.select(*near, key, "__bucket", F.explode(cells).alias("c")).filter("c.value IS NOT NULL")
+    return long.groupBy(*near, key, "c.what", "c.value").agg(F.count(F.lit(1)).alias("n"), F.min("__bucket").alias("youngest"))
 
 
 def dominant_share(bridge: DataFrame, column: str, name: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
     """Share of events that have the most frequent value; null values are not events."""
-    return tallied(bridge, column, key, near).select(key, safe_divide(F.col("mode_events"), F.col("events")).alias(name))
+    counts = bridge.filter(F.col(column).isNotNull()).groupBy(*near, key, column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(*near, key).agg(safe_divide(F.max("n"), F.sum("n")).alias(name)).drop(*near)
 
 
 def inter_event_stats(bridge: DataFrame, event_key: str, family: str, key: str = ANCHOR, near: Sequence[str] = ()) -> DataFrame:
@@ -342,7 +370,7 @@ def maintenance_spec(key: str = "maintenance_event_key", kind: str = "maintenanc
     f = "maintenance"
     out = event_spec(f, key, kind, readings)
     out += flag_count(f, scheduled) + flag_count(f, scheduled, negate=True, name="unscheduled") + flag_count(f, on_time)
-    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", lambda st, w=w: st.count_if(f"{overdue}|>0", F.col(overdue) > 0, w), True) for w in WINDOWS]
+    out += [Feature(f"{f}_overdue_count_{w}", f, "CORE", "long", w, "count", (overdue,), f"{overdue} > 0", lambda st, w=w: st.count_if(f"{overdue}|>0", lambda: F.col(overdue) > 0, w), True) for w in WINDOWS]
     out += metric(f, cost, "sum") + metric(f, overdue, "mean") + metric(f, overdue, "max", tier="EXTENDED")
     late = ("6m", "12m", "24m", "all")
     return out + ratio(f, scheduled, f"{f}_{scheduled}_count", f"{f}_event_count", late) + ratio(f, on_time, f"{f}_{on_time}_count", f"{f}_event_count", late)
@@ -360,11 +388,11 @@ def component_spec(key: str = "installation_key", rework: str = "rework_flag", s
     age = lambda: F.date_diff("anchor_date", "event_date")
     share = lambda: safe_divide(age() / DAYS_PER_MONTH, F.col(life_months))
     for a in ("mean", "min", "max"):
-        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", lambda st, a=a: _AGGREGATES[a](st, "age", age(), "all")))
+        out.append(Feature(f"{f}_age_days_{a}", f, "CORE", "double", "all", a, ("event_date",), f"{a}(age)", lambda st, a=a: _AGGREGATES[a](st, "age", age, "all")))
     for a in ("mean", "max"):
-        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", lambda st, a=a: _AGGREGATES[a](st, "age over life", share(), "all")))
+        out.append(Feature(f"{f}_age_over_life_{a}", f, "CORE", "double", "all", a, ("event_date", life_months), f"{a}(age / life)", lambda st, a=a: _AGGREGATES[a](st, "age over life", share, "all")))
     past = lambda: F.when(share().isNotNull(), (share() >= 1).cast("double"))
-    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", lambda st: st.mean("past life", past(), "all")))
+    out.append(Feature(f"{f}_past_life_share", f, "EXTENDED", "double", "all", "ratio", ("event_date", life_months), "share of age / life >= 1", lambda st: st.mean("past life", past, "all")))
     return [*out, recency(f)]
 
 
@@ -412,7 +440,7 @@ def frame_features(frame: DataFrame, family: str, aggregation: str, sources: Seq
     def window_of(name: str) -> str:
         return next((w for w in WINDOWS if name.endswith(f"_{w}")), window)
 
-    return frame, [Feature(n, family, tier, kinds[n], window_of(n), aggregation, tuple(sources), f"{aggregation}({', '.join(sources)})", lambda st, n=n: F.col(n)) for n in names]
+    return frame, [Feature(n, family, tier, kinds[n], window_of(n), aggregation, tuple(sources), f"{aggregation}({', '.join(sources)})", lambda st, n=n: f"`{n}`") for n in names]
 
 
 #: Parts of a column name that the matrix must not have.
@@ -428,10 +456,12 @@ def feature_matrix(anchors: DataFrame, key: str, controls: Sequence[str], famili
     if bad := [n for n in [*names, *controls] if any(x in n for x in FORBIDDEN)]:
         raise ValueError(f"not allowed in the matrix: {bad}")
     out = anchors.select(F.col(key).alias(ANCHOR), *controls)
-    out = reduce(lambda left, fam: left.join(fam[0].select(ANCHOR, *[f.name for f in fam[1]]), ANCHOR, "left"), families, out)
-    value = lambda f: F.coalesce(F.col(f.name), F.lit(0)).alias(f.name) if f.zero_fill else F.col(f.name)
+    for k, (frame, own) in enumerate(families):
+        out = out.join(_packed(frame, ANCHOR, f"__f{k}", [f.name for f in own]), ANCHOR, "left")
+    at = {f.name: f"__f{k}.`{f.name}`" for k, (_, own) in enumerate(families) for f in own}
+    value = lambda f: f"coalesce({at[f.name]}, 0) AS `{f.name}`" if f.zero_fill else f"{at[f.name]} AS `{f.name}`"
     ordered = [f for f in features if f.tier == "CORE"] + [f for f in features if f.tier != "CORE"]
-    return out.select(ANCHOR, *controls, *[value(f) for f in ordered])
+    return out.selectExpr(ANCHOR, *[f"`{c}`" for c in controls], *[value(f) for f in ordered])
 
 
 def history_presence(anchors: DataFrame, key: str, bridges: Mapping[str, DataFrame]) -> DataFrame:

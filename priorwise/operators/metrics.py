@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from priorwise.functions.exprs import clip, grid_cell
+from priorwise.sources.tables import written
 
 CELLS = 1000
 EPS = 2.220446049250313e-16
@@ -136,18 +137,25 @@ def pareto_frontier(curve: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
 
 
 def global_place(df: DataFrame, order: Sequence[Column], cell: Column, groups: Sequence[str] = ()) -> DataFrame:
-    """Adds place (from 0) and total in the order of (cell, order), in two levels.
+    """Adds place (from 0) and total in the order of (cell, order) within each group.
 
-    ``cell`` must rise with the order.
+    Rows are range-partitioned by sampled splitters over group, cell and the
+    whole order, so neither a hot group nor a cell that holds most rows (a
+    constant score, one date) comes to one task; ``order`` should end in a key.
+    The sorted rows are written, numbered within their partition, and a count
+    for each group and partition gives what lies before.
     """
     x = df.withColumn("__c", cell)
-    counts = x.groupBy(*groups, "__c").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*groups).orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*[F.col(g) for g in groups], F.col("__c"), *order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = x.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__id", F.monotonically_increasing_id()).withColumn("__part", F.shiftright("__id", 33)).drop("__c")
+    rows = written(rows, "places")
+    counts = rows.groupBy(*groups, "__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumns({"__off": F.coalesce(F.sum("__n").over(before), F.lit(0)), "total": F.sum("__n").over(Window.partitionBy(*groups))}).drop("__n")
-    counts = counts.withColumnsRenamed({g: f"__g_{g}" for g in groups} | {"__c": "__cc"})
-    on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups], F.col("__c").eqNullSafe(F.col("__cc")))
-    rn = F.row_number().over(Window.partitionBy(*groups, "__c").orderBy(*order))
-    return x.withColumn("__rn", rn).join(counts, on).withColumn("place", F.col("__off") + F.col("__rn") - 1).drop("__c", "__cc", "__off", "__rn", *[f"__g_{g}" for g in groups])
+    counts = counts.withColumnsRenamed({g: f"__g_{g}" for g in groups} | {"__part": "__of"})
+    on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__g_{g}")) for g in groups], F.col("__part") == F.col("__of"))
+    return rows.join(counts, on).withColumn("place", F.col("__off") + F.col("__id") - F.col("__first")).drop("__id", "__part", "__of", "__first", "__off", *[f"__g_{g}" for g in groups])
 
 
 def near_equal_bin(place: Column, total: Column, bins: int) -> Column:

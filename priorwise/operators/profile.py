@@ -23,6 +23,24 @@ def _pct(part: Column, of: Column) -> Column:
     return F.coalesce(F.when(of > 0, 100.0 * part / of), F.lit(0.0))
 
 
+def digest(text: Column) -> Column:
+    """SHA-256 in 32 bytes: texts with one digest count as equal."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def whole_row(df: DataFrame) -> list[Column]:
+    """What rows are grouped by when all their columns must agree: the columns if all are of fixed size, else one digest.
+
+    The digest is of the row as JSON, in which values of different columns do
+    not run together, nulls are told from texts and -0.0 is 0.0.
+    """
+    kinds = dict(df.dtypes)
+    if not any(k in ("string", "binary") or k.startswith(("array", "struct", "map")) for k in kinds.values()):
+        return [F.col(f"`{c}`") for c in df.columns]
+    value = lambda c: (F.col(f"`{c}`") + F.lit(0.0).cast(kinds[c])).alias(c) if kinds[c] in ("double", "float") else F.col(f"`{c}`")
+    return [digest(F.to_json(F.struct(*[value(c) for c in df.columns]), {"ignoreNullFields": "false"})).alias("row_digest")]
+
+
 def unpivot(df: DataFrame, columns: Sequence[str], kind: str = "double", keep: Sequence[str] = ()) -> DataFrame:
     """field, value (cast to ``kind``) and the kept columns."""
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast(kind).alias("value")) for c in columns])).alias("x")
@@ -82,7 +100,7 @@ def top_values(df: DataFrame, column: str, k: int = 10, sensitive: bool = False)
 
 def profile_table(df: DataFrame, name: str, keys: Sequence[str], estimate: int | None = None) -> DataFrame:
     """One row: rows, columns, key and whole-row duplicates, columns with nulls, difference from an estimate."""
-    whole = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    whole = df.groupBy(*whole_row(df)).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
     by_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").agg(F.count(F.lit(1)).alias("duplicate_keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_key_rows"))
     nulls = df.agg(reduce(lambda a, b: a + b, [F.max(F.col(c).isNull().cast("int")) for c in df.columns]).alias("columns_with_nulls"))
     out = whole.crossJoin(by_key).crossJoin(nulls).withColumns({"table_name": F.lit(name), "columns": F.lit(len(df.columns))})
@@ -262,7 +280,7 @@ def component_supplier_quality(installs: DataFrame, key: str, component: str, su
 
 def duplicate_rows(df: DataFrame, name: str) -> DataFrame:
     """One row: rows in groups of equal rows, such groups, largest group."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    g = df.groupBy(*whole_row(df)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return g.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_records"), F.count(F.lit(1)).alias("distinct_duplicates"), F.coalesce(F.max("n"), F.lit(0)).alias("max_repeats")).withColumn("table_name", F.lit(name))
 
 
@@ -310,7 +328,8 @@ def text_audit(df: DataFrame, text: str, target: str, words: Sequence[str], leak
     """One row: normalised distinct texts, repeats, outcome-word rate per class, pure and mixed groups, and a leak flag."""
     norm = normalize(F.col(text))
     marked = df.select(F.col(target).alias("y"), norm.alias("t")).filter("t <> ''").withColumn("w", reduce(lambda a, b: a | b, [F.contains(F.col("t"), F.lit(w)) for w in words]))
-    g = marked.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.max("w").alias("w"))
+    # what is shuffled of a text is its digest, however long it is
+    g = marked.groupBy(digest(F.col("t")).alias("t")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.max("w").alias("w"))
     n, p, q, w = (F.col(c) for c in "npqw")
     dup = n > 1
     out = g.agg(

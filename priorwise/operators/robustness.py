@@ -11,9 +11,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from priorwise.functions.exprs import grid_cell, right_closed_bucket
+from priorwise.sources.tables import written
 
 from .metrics import CELLS, EPS, confusion_columns, confusion_metrics, global_place, ranking_metrics, score_histogram
-from .quantiles import exact_quantiles, in_ranges
+from .quantiles import exact_quantiles, in_ranges, quantiles_of
 
 MISSING, OTHER = "__MISSING__", "__OTHER__"
 
@@ -28,9 +29,11 @@ def quantile_edges(df: DataFrame, column: str, parts: int, name: str = "edges")
 
 def risk_deciles(train: DataFrame, scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """Per decile frozen on train scores, highest risk first: counts, precision, recall, lift, mean p."""
-    x = scored.crossJoin(F.broadcast(quantile_edges(train, p, 10))).withColumn("d", right_closed_bucket(F.col(p), F.col("edges")))
+    # one row, written: both uses would find the quantiles anew
+    edges = written(quantile_edges(train, p, 10), "decile-edges")
+    x = scored.crossJoin(F.broadcast(edges)).withColumn("d", right_closed_bucket(F.col(p), F.col("edges")))
     g = x.groupBy("d").agg(F.count(F.lit(1)).alias("rows"), F.sum(y).alias("positives"), F.avg(p).alias("mean_p"))
-    every = quantile_edges(train, p, 10).select(F.explode(F.sequence(F.lit(1), F.greatest(F.col("edges_n") - 1, F.lit(1)))).alias("k"))
+    every = edges.select(F.explode(F.sequence(F.lit(1), F.greatest(F.col("edges_n") - 1, F.lit(1)))).alias("k"))
     g = every.join(g, F.col("k") == F.col("d"), "left").select("k", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("positives", F.lit(0)).alias("positives"), F.coalesce("mean_p", F.lit(0.0)).alias("mean_p"))
     whole, down = Window.partitionBy(), Window.orderBy(F.desc("k"))
     total, n = F.sum("positives").over(whole), F.sum("rows").over(whole)
@@ -111,49 +114,72 @@ def _sides(train: DataFrame, other: DataFrame, columns: Sequence[str], kind: str
     return train.select(F.lit(0).alias("side"), cells).unionByName(other.select(F.lit(1).alias("side"), cells)).select("side", "x.*")
 
 
-def distribution_distance(long: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """Per group (not null) of (side, v): Wasserstein distance and KS statistic of the two samples.
+def side_counts(long: DataFrame) -> DataFrame:
+    """field, v, a, b, range: how often each side has each value that is not null; a written table.
+
+    Quantiles, binned shares and distances of a drift report are all made from
+    it; the rows themselves are read once.
+    """
+    h = long.filter("v is not null").groupBy("field", "v").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
+    return written(in_ranges(written(h, "side-values"), ["field"]), "side-counts")
+
+
+def side_quantiles(counts: DataFrame, parts: Sequence[float], pooled: bool = False) -> DataFrame:
+    """field, side (0, 1, or 2 for both together), q."""
+    sides = [(0, F.col("a")), (1, F.col("b")), *([(2, F.col("a") + F.col("b"))] if pooled else [])]
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("side"), n.alias("n")) for k, n in sides])).alias("c")
+    return quantiles_of(counts.select("field", "v", "range", cells).select("field", "v", "range", "c.*").filter("n > 0"), parts, ["field", "side"])
+
+
+def distance_of(x: DataFrame) -> DataFrame:
+    """Per field of :func:`side_counts`: Wasserstein distance and KS statistic of the two samples.
 
     Running sums go in two levels, over ranges of values and then within a
-    range, so no task holds all distinct values of a group.
+    range, so no task holds all distinct values of a field.
     """
-    h = long.filter("v is not null").groupBy(*groups, "v").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    # the filter keeps both counts in every use of this frame, so that its exchange is made once
-    x = in_ranges(h.filter("a + b > 0"), groups)
-    below = Window.partitionBy(*groups).orderBy("range")
-    before, whole = below.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*groups)
-    sums = x.groupBy(*groups, "range").agg(F.sum("a").alias("ra"), F.sum("b").alias("rb"), F.min("v").alias("least"))
+    below = Window.partitionBy("field").orderBy("range")
+    before, whole = below.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("field")
+    sums = x.groupBy("field", "range").agg(F.sum("a").alias("ra"), F.sum("b").alias("rb"), F.min("v").alias("least"))
     sums = sums.withColumns({"a0": F.coalesce(F.sum("ra").over(before), F.lit(0)), "b0": F.coalesce(F.sum("rb").over(before), F.lit(0)), "na": F.sum("ra").over(whole), "nb": F.sum("rb").over(whole), "after": F.lead("least").over(below)}).drop("ra", "rb", "least")
-    up = Window.partitionBy(*groups, "range").orderBy("v")
-    c = x.join(sums, [*groups, "range"]).withColumns({"F": (F.col("a0") + F.sum("a").over(up)) / F.col("na"), "G": (F.col("b0") + F.sum("b").over(up)) / F.col("nb"), "w": F.coalesce(F.lead("v").over(up), F.col("after")) - F.col("v")})
+    up = Window.partitionBy("field", "range").orderBy("v")
+    c = x.join(sums, ["field", "range"]).withColumns({"F": (F.col("a0") + F.sum("a").over(up)) / F.col("na"), "G": (F.col("b0") + F.sum("b").over(up)) / F.col("nb"), "w": F.coalesce(F.lead("v").over(up), F.col("after")) - F.col("v")})
     gap = F.abs(F.col("F") - F.col("G"))
-    return c.groupBy(*groups).agg(F.coalesce(F.sum(gap * F.col("w")), F.lit(0.0)).alias("wasserstein"), F.max(gap).alias("ks"))
+    return c.groupBy("field").agg(F.coalesce(F.sum(gap * F.col("w")), F.lit(0.0)).alias("wasserstein"), F.max(gap).alias("ks"))
 
 
 def _psi(a: Column, b: Column) -> Column:
     return F.sum((b - a) * F.log(b / a))
 
 
+def binned_psi(counts: DataFrame, edges: DataFrame) -> DataFrame:
+    """Per field PSI over left-closed bins, the outer ones open, shares clipped at 1e-6; edges: f, edges."""
+    binned = counts.join(edges, F.col("field") == F.col("f")).withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("v"))))
+    h = binned.groupBy("field", "bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    whole = Window.partitionBy("field")
+    share = lambda c: F.greatest(F.col(c) / F.greatest(F.sum(c).over(whole), F.lit(1)), F.lit(1e-6))
+    return h.withColumns({"x": share("a"), "y": share("b")}).groupBy("field").agg(_psi(F.col("x"), F.col("y")).alias("psi"))
+
+
+def _inner(q: Column) -> Column:
+    return F.when(F.size(q) > 2, F.slice(q, 2, F.size(q) - 2)).otherwise(F.array().cast("array<double>"))
+
+
 def numeric_drift(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per field: missing rates, PSI on train deciles (left-closed, shares clipped at 1e-6), medians, IQRs, Wasserstein."""
     long = _sides(train, other, columns, "double")
-    t = F.col("side") == 0
     stats = long.groupBy("field").agg(*[(F.count_if((F.col("side") == s) & F.col("v").isNull()) / F.count_if(F.col("side") == s)).alias(f"missing_{s}") for s in (0, 1)])
+    counts = side_counts(long)
     parts = [k / 10 for k in range(11)] + [0.25, 0.75]
-    found = exact_quantiles(long, "v", parts, ["field", "side"])
     at = lambda s, x: F.max(F.when(F.col("side") == s, F.get("q", F.lit(parts.index(x)))))
-    found = found.groupBy("field").agg(
-        at(0, 0.5).alias("median_0"), at(1, 0.5).alias("median_1"), (at(0, 0.75) - at(0, 0.25)).alias("iqr_0"), (at(1, 0.75) - at(1, 0.25)).alias("iqr_1"), F.array_distinct(F.slice(F.max(F.when(t, F.col("q"))), 1, 11)).alias("q"))
-    stats = stats.join(found, "field", "left")
-    inner = F.when(F.size("q") > 2, F.slice("q", 2, F.size("q") - 2)).otherwise(F.array().cast("array<double>"))
-    e = stats.select(F.col("field").alias("f"), inner.alias("edges"), F.size("q").alias("n_edges"))
-    # left-closed bins; the last edge belongs to the last bin, which is open
-    binned = long.filter("v is not null").join(e, F.col("field") == F.col("f")).withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("v"))))
-    h = binned.groupBy("field", "bin", "n_edges").agg(F.count_if(t).alias("a"), F.count_if(~t).alias("b"))
-    whole = Window.partitionBy("field")
-    share = lambda c: F.greatest(F.col(c) / F.greatest(F.sum(c).over(whole), F.lit(1)), F.lit(1e-6))
-    psi = h.withColumns({"x": share("a"), "y": share("b")}).groupBy("field").agg(F.when(F.max("n_edges") >= 2, _psi(F.col("x"), F.col("y"))).otherwise(0.0).alias("psi"))
-    return stats.drop("q").join(psi, "field", "left").join(distribution_distance(long, ["field"]).select("field", "wasserstein"), "field", "left")
+    found = side_quantiles(counts, parts).groupBy("field").agg(
+        at(0, 0.5).alias("median_0"), at(1, 0.5).alias("median_1"), (at(0, 0.75) - at(0, 0.25)).alias("iqr_0"), (at(1, 0.75) - at(1, 0.25)).alias("iqr_1"), F.array_distinct(F.slice(F.max(F.when(F.col("side") == 0, F.col("q"))), 1, 11)).alias("q"))
+    # a row a field
+    found = written(found, "drift-quantiles")
+    psi = binned_psi(counts, found.select(F.col("field").alias("f"), _inner(F.col("q")).alias("edges")))
+    out = stats.join(found, "field", "left").join(psi, "field", "left").join(distance_of(counts).select("field", "wasserstein"), "field", "left")
+    # without two edges there is one bin
+    score = F.when(F.size("q") >= 2, F.col("psi")).when(F.col("psi").isNotNull(), 0.0)
+    return out.withColumn("psi", score).drop("q")
 
 
 def categorical_drift(train: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -182,17 +208,17 @@ def drift_table(numeric: DataFrame, categorical: DataFrame) -> DataFrame:
 def score_drift(train: DataFrame, other: DataFrame, p: str = "p") -> DataFrame:
     """One row: percentiles, means and deviations (ddof 0) of both sides, PSI on pooled deciles, KS, Wasserstein."""
     long = _sides(train, other, [p], "double")
-    a, b = F.when(F.col("side") == 0, F.col("v")), F.when(F.col("side") == 1, F.col("v"))
-    aggs = [f(c).alias(f"{n}_{s}") for s, c in ((0, a), (1, b)) for n, f in (("mean", F.avg), ("std", F.stddev_pop))]
-    shares = (0.05, 0.5, 0.95)
-    found = exact_quantiles(long, "v", shares, ["side"]).agg(*[F.max(F.when(F.col("side") == s, F.get("q", F.lit(k)))).alias(f"p{int(q * 100):02d}_{s}") for s in (0, 1) for k, q in enumerate(shares)])
-    stats = long.agg(*aggs).crossJoin(found)
-    e = quantile_edges(long, "v", 10)
-    h = long.crossJoin(F.broadcast(e)).withColumn("bin", F.size(F.filter("edges", lambda x: x <= F.col("v")))).groupBy("bin").agg(F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b"))
-    whole = Window.partitionBy()
-    share = lambda c: F.greatest(F.col(c) / F.greatest(F.sum(c).over(whole), F.lit(1)), F.lit(1e-6))
-    psi = h.withColumns({"x": share("a"), "y": share("b")}).agg(_psi(F.col("x"), F.col("y")).alias("psi"))
-    return stats.crossJoin(psi).crossJoin(distribution_distance(long, ["field"]).select("wasserstein", "ks"))
+    counts = side_counts(long)
+    shares = [0.05, 0.5, 0.95, *(k / 10 for k in range(11))]
+    n = {s: F.sum(c) for s, c in ((0, F.col("a")), (1, F.col("b")))}
+    means = counts.agg(*[(F.sum(F.col("v") * F.col(c)) / n[s]).alias(f"mean_{s}") for s, c in ((0, "a"), (1, "b"))])
+    off = lambda s: F.col("v") - F.col(f"mean_{s}")
+    stats = counts.crossJoin(F.broadcast(means)).agg(*[F.max(f"mean_{s}").alias(f"mean_{s}") for s in (0, 1)], *[F.sqrt(F.sum(off(s) * off(s) * F.col(c)) / n[s]).alias(f"std_{s}") for s, c in ((0, "a"), (1, "b"))])
+    # three rows
+    quantiles = written(side_quantiles(counts, shares, pooled=True), "score-quantiles")
+    found = quantiles.agg(*[F.max(F.when(F.col("side") == s, F.get("q", F.lit(k)))).alias(f"p{int(q * 100):02d}_{s}") for s in (0, 1) for k, q in enumerate(shares[:3])])
+    edges = quantiles.filter("side = 2").select(F.col("field").alias("f"), _inner(F.array_distinct(F.slice("q", 4, 11))).alias("edges"))
+    return stats.crossJoin(found).crossJoin(binned_psi(counts, edges).select("psi")).crossJoin(distance_of(counts).select("wasserstein", "ks"))
 
 
 def bootstrap_weights(scored: DataFrame, key: str, replicates: int, groups: Sequence[str] = (), y: str = "y", seed: int = 17) -> DataFrame:
@@ -234,30 +260,47 @@ def _resample(rng: np.random.Generator, draws: np.ndarray, counts: np.ndarray) -
     return rng.multinomial(draws, share / max(1.0, share.sum()))
 
 
-def _range_draws(replicates: int, seed: int):
-    def run(frames):
-        for f in frames:
-            for gid, ranges in zip(f["gid"], f["ranges"], strict=True):
-                ranges = sorted(ranges, key=lambda x: x["part"])
-                drawn = []
-                for c in ("cp", "cn"):
-                    counts = np.array([x[c] for x in ranges], dtype="int64")
-                    w = _resample(_stream(seed, gid, c), np.full(replicates, counts.sum()), counts)
-                    w = np.vstack([counts, w])  # replicate 0 is the sample itself
-                    drawn += [w, np.cumsum(w, axis=1) - w]
-                for k, x in enumerate(ranges):
-                    yield pd.DataFrame({"gid": [gid], "part": [x["part"]]} | {n: [w[:, k].tolist()] for n, w in zip(("dp", "ap", "dn", "an"), drawn, strict=True)})
-
-    return run
+def _split(draws: np.ndarray, steps: list[tuple[int, bool, int, int]], *stream) -> tuple[np.ndarray, np.ndarray]:
+    """Draws of a leaf of the tree of score ranges, and of the ranges before it, from those of the root.
 
-
-def _range_sums(threshold: float, seed: int):
+    steps, root first: height, whether the leaf is in the second half, rows of
+    the first and of the second half.  The first half of a node takes a binomial
+    share; its stream is the node's own, so leaves of one node agree.
+    """
+    before = np.zeros_like(draws)
+    node = 0
+    for height, second, left, right in steps:
+        taken = _stream(*stream, height, node).binomial(draws, left / (left + right) if left + right else 0.0)
+        if second:
+            before, draws = before + taken, draws - taken
+        else:
+            draws = taken
+        node = 2 * node + second
+    return draws, before
+
+
+def _leaf_draws(replicates: int, seed: int, row) -> dict[str, np.ndarray]:
+    """How often each replicate draws from a range, and from those above it; replicate 0 is the sample itself."""
+    steps = sorted(row.steps, key=lambda x: -x["height"])
+    out = {}
+    for c, d, a in (("p", "dp", "ap"), ("n", "dn", "an")):
+        way = [(x["height"], bool(x["second"]), x[f"left_{c}"], x[f"right_{c}"]) for x in steps]
+        total = way[0][2] + way[0][3]
+        own = way[-1][3] if way[-1][1] else way[-1][2]
+        above = sum(left for _, second, left, _ in way if second)
+        drawn, before = _split(np.full(replicates, total, dtype="int64"), way, seed, row.gid, c)
+        out |= {d: np.concatenate([[own], drawn]), a: np.concatenate([[above], before])}
+    return out
+
+
+def _range_sums(replicates: int, threshold: float, seed: int):
     def run(frames):
         for f in frames:
-            for gid, part, scores, *drawn in f[["gid", "part", "scores", "dp", "ap", "dn", "an"]].itertuples(index=False, name=None):
-                scores = sorted(scores, key=lambda x: -x["p"])
+            for row in f.itertuples(index=False):
+                gid, part, scores = row.gid, row.part, sorted(row.scores, key=lambda x: -x["p"])
+                drawn = _leaf_draws(replicates, seed, row)
                 p, pos, neg = (np.array([x[c] for x in scores], dtype=t) for c, t in (("p", "float64"), ("pos", "int64"), ("neg", "int64")))
-                dp, ap, dn, an = (np.asarray(x, dtype="int64") for x in drawn)
+                dp, ap, dn, an = (drawn[x] for x in ("dp", "ap", "dn", "an"))
                 q, hit = np.clip(p, EPS, 1 - EPS), p >= threshold
                 a, b = _stream(seed, gid, "scores", part, 1), _stream(seed, gid, "scores", part, 0)
                 step = max(1, HELD // len(p))
@@ -275,20 +318,29 @@ def bootstrap_metrics(scored: DataFrame, replicates: int, threshold: float, grou
     """groups, replicate and ten metrics, of as many rows of each class as there are, drawn with replacement.
 
     Replicate 0 is the sample itself.  A replicate of a group of one class has
-    no metrics.  Draws are made in two levels, over score ranges and then over
-    the distinct scores of a range, which has the law of single draws; streams
-    are seeded by hash of seed, group and range, so runs agree.
+    no metrics.  A binary tree stands over a group's score ranges: a node's draws
+    fall to its halves by a binomial, and in a range to its distinct scores by a
+    multinomial, which has the law of single draws.  Each node has a stream of
+    its own, seeded by hash, so a range follows its own way down from the root
+    and no task holds the draws of a whole group; runs agree.
     """
     gid = F.to_json(F.struct(*groups)) if groups else F.lit("{}")
     h = score_histogram(scored.withColumn("gid", gid), ["gid"])
     above = Window.partitionBy("gid").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     cells = h.groupBy("gid", "cell").agg(F.sum("pos").alias("cp"), F.sum("neg").alias("cn"))
     cells = cells.withColumn("part", F.floor(F.coalesce(F.sum(F.col("cp") + F.col("cn")).over(above), F.lit(0)) / RANGE_ROWS))
-    ranges = cells.groupBy("gid", "part").agg(F.sum("cp").alias("cp"), F.sum("cn").alias("cn")).groupBy("gid").agg(F.collect_list(F.struct("part", "cp", "cn")).alias("ranges"), F.sum("cp").alias("n_pos"), F.sum("cn").alias("n_neg"))
-    drawn = ranges.select("gid", "ranges").mapInPandas(_range_draws(replicates, seed), "gid string, part long, dp array<long>, ap array<long>, dn array<long>, an array<long>")
+    ranges = cells.groupBy("gid", "part").agg(F.sum("cp").alias("cp"), F.sum("cn").alias("cn"))
+    groups_of = ranges.groupBy("gid").agg(F.sum("cp").alias("n_pos"), F.sum("cn").alias("n_neg"), F.greatest(F.length(F.bin(F.max("part"))), F.lit(1)).alias("height"))
+    # a node at a height holds the ranges whose numbers agree from that bit on
+    at = ranges.join(groups_of.select("gid", F.col("height").alias("top")), "gid").select("gid", "part", "cp", "cn", F.explode(F.sequence(F.lit(0), F.col("top") - 1)).alias("height"))
+    at = at.withColumn("node", F.expr("shiftright(part, height)"))
+    nodes = at.groupBy("gid", "height", F.expr("shiftright(node, 1)").alias("parent")).agg(*[F.sum(F.when(F.col("node") % 2 == k, F.col(c))).alias(f"{side}_{c[1]}") for k, side in ((0, "left"), (1, "right")) for c in ("cp", "cn")])
+    steps = at.withColumn("parent", F.expr("shiftright(node, 1)")).join(nodes, ["gid", "height", "parent"])
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    steps = steps.groupBy("gid", "part").agg(F.collect_list(F.struct("height", (F.col("node") % 2 == 1).alias("second"), *[zero(f"{side}_{c}") for side in ("left", "right") for c in "pn"])).alias("steps"))
     scores = h.join(cells.select("gid", "cell", "part"), ["gid", "cell"]).groupBy("gid", "part").agg(F.collect_list(F.struct("p", "pos", "neg")).alias("scores"))
-    sums = scores.join(drawn, ["gid", "part"]).mapInPandas(_range_sums(threshold, seed), "gid string, replicate int, precisions double, pairs double, loss double, squares double, tp long, fp long")
-    x = sums.groupBy("gid", "replicate").agg(*[F.sum(c).alias(c) for c in ("precisions", "pairs", "loss", "squares", "tp", "fp")]).join(ranges.select("gid", "n_pos", "n_neg"), "gid")
+    sums = scores.join(steps, ["gid", "part"]).mapInPandas(_range_sums(replicates, threshold, seed), "gid string, replicate int, precisions double, pairs double, loss double, squares double, tp long, fp long")
+    x = sums.groupBy("gid", "replicate").agg(*[F.sum(c).alias(c) for c in ("precisions", "pairs", "loss", "squares", "tp", "fp")]).join(groups_of.select("gid", "n_pos", "n_neg"), "gid")
     pos, neg = F.col("n_pos"), F.col("n_neg")
     values = {"average_precision": F.col("precisions") / pos, "roc_auc": F.col("pairs") / (pos.cast("double") * neg), "log_loss": F.col("loss") / (pos + neg), "brier": F.col("squares") / (pos + neg)}
     values |= confusion_columns(F.col("tp"), F.col("fp"), neg - F.col("fp"), pos - F.col("tp"))

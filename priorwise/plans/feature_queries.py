@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from priorwise.functions.exprs import safe_divide
 from priorwise.operators import bridges as B, features as E, textfeatures as T
 from priorwise.operators.profile import feature_quality
-from priorwise.sources.tables import written
+from priorwise.sources.tables import bucketed, written
 
 from .bindings import ANCHORS, CLAIM, EVENT, INSTALLS, LINES, MONTHS, anchors, ctes, installs_of, lines, months_of, table
 from .registry import query
@@ -24,7 +24,7 @@ PRIOR = """prior AS (SELECT a.claim_key AS current_claim_key, a.claim_date AS an
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded, so that both engines write the same; slopes are exact in both as they are."""
-    return df.withColumns({c: F.round(c, digits) + 0.0 for c, t in df.dtypes if t == "double" and "_slope_" not in c})
+    return df.selectExpr(*[f"round(`{c}`, {digits}) + 0D AS `{c}`" if t == "double" and "_slope_" not in c else f"`{c}`" for c, t in df.dtypes])
 
 
 #: A bridge is partitioned by its entity, which groups of its anchors name as well.
@@ -36,12 +36,11 @@ class History:
     """The event tables that the bridges of some families share."""
 
     def __init__(self, spark: SparkSession, d: str, once: bool = False) -> None:
-        """``once``: the order lines and months are written first, so that families do not each make them anew."""
-        keep = (lambda df, name: written(df, name)) if once else (lambda df, name: df)
+        """``once``: the order lines are written first, so that bridges do not each make them anew."""
         self.spark, self.d = spark, d
         self.anchors = anchors(spark, d)
-        self.lines = keep(lines(spark, d), "lines")
-        self.months = keep(months_of(self.lines), "months")
+        self.lines = written(lines(spark, d), "lines") if once else lines(spark, d)
+        self.months = months_of(self.lines)
         self.installs = installs_of(self.lines, spark, d)
 
 
@@ -74,9 +73,9 @@ def prior(h: History) -> DataFrame:
 SERVICE = "serv AS (SELECT current_claim_key, anchor_date, event_date, event_key, system AS visit, score AS reading, total_cents % 100 AS anchor_reading FROM comp JOIN anchors ON claim_key = current_claim_key WHERE supp_key % 2 = 0)"
 
 
-def service(h: History) -> DataFrame:
-    """Visits: the installations of every other supplier."""
-    visits = comp(h).filter("supp_key % 2 = 0").withColumnsRenamed({"system": "visit", "score": "reading"})
+def service(installed: DataFrame) -> DataFrame:
+    """Visits: the installations of every other supplier, from the bridge of installations."""
+    visits = installed.filter("supp_key % 2 = 0").withColumnsRenamed({"system": "visit", "score": "reading"})
     return visits.select("current_claim_key", "entity_key", "anchor_date", "event_date", "event_key", "visit", "reading", "anchor_reading")
 
 
@@ -202,7 +201,7 @@ _VISIT = "visit_of AS (SELECT current_claim_key, arg_min(visit, (-n, visit)) AS
 
 @query("e23_e28_service", f"{ctes(ANCHORS, LINES, INSTALLS, COMP, SERVICE, _VISIT)} SELECT s.*, service_visit_dominant FROM (SELECT current_claim_key, {', '.join(_SERVICE_COLS)} FROM serv GROUP BY 1) s LEFT JOIN visit_of USING (current_claim_key)")
 def e_service(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(E.build_family(service(History(spark, d)), SERVICE_SPEC, near=NEAR))
+    return rounded(E.build_family(service(comp(History(spark, d))), SERVICE_SPEC, near=NEAR))
 
 
 @query("e28_dominant_share", f"{ctes(ANCHORS, LINES, MAINT)} SELECT current_claim_key, round(max(n) / CAST(sum(n) AS DOUBLE), 6) AS kind_share FROM (SELECT current_claim_key, kind, count(*) AS n FROM maint WHERE kind IS NOT NULL GROUP BY 1, 2) GROUP BY 1")
@@ -280,8 +279,9 @@ def e_presence(spark: SparkSession, d: str) -> DataFrame:
 def families(spark: SparkSession, d: str) -> list[tuple[DataFrame, list[E.Feature]]]:
     """All ten families: frames of one row an anchor and what their columns are."""
     h = History(spark, d, once=True)
-    months_rows, events = tele(h), maint(h)
-    grouped = [(E.build_family(b, s, near=NEAR), s) for b, s in ((months_rows, TELE_SPEC), (events, MAINT_SPEC), (comp(h), COMP_SPEC), (prior(h), PRIOR_SPEC), (service(h), SERVICE_SPEC))]
+    # each bridge is made once, in buckets of the claim: what groups and joins by the claim stays where it is
+    months_rows, events, installed, earlier = (bucketed(bridge(h), bridge.__name__, "current_claim_key") for bridge in (tele, maint, comp, prior))
+    grouped = [(E.build_family(b, s), s) for b, s in ((months_rows, TELE_SPEC), (events, MAINT_SPEC), (installed, COMP_SPEC), (earlier, PRIOR_SPEC), (service(installed), SERVICE_SPEC))]
     key = F.col("claim_key").alias("current_claim_key")
     span = _span(h.anchors, h.lines).withColumn("allowed", F.lit(100))
     passed = E.direct_values(span.withColumn("urgency", F.substring("priority", 1, 1)), ["claim_key", "priority", "urgency"], ["urgency"])
@@ -290,8 +290,8 @@ def families(spark: SparkSession, d: str) -> list[tuple[DataFrame, list[E.Featur
     warranty = E.warranty_utilization(span, {"qty": ("qty", "allowed"), "cents": ("cents", "total_cents")})
     started = h.lines.groupBy("entity_key").agg(F.min("event_date").alias("started"))
     coverage = E.coverage_ratios(grouped[0][0], h.anchors.join(started, "entity_key", "left"), "claim_key", "claim_date", "started", "telemetry")
-    trends = E.slopes(months_rows, TREND_COLUMNS, E.TREND_WINDOWS, "telemetry", near=NEAR)
-    rhythm = E.inter_event_stats(events, "event_key", "maintenance", near=NEAR).join(E.dominant_share(events, "kind", "maintenance_kind_share", near=NEAR), "current_claim_key", "left")
+    trends = E.slopes(months_rows, TREND_COLUMNS, E.TREND_WINDOWS, "telemetry")
+    rhythm = E.inter_event_stats(events, "event_key", "maintenance").join(E.dominant_share(events, "kind", "maintenance_kind_share"), "current_claim_key", "left")
     parts = [
         (passed, "direct", "direct", ["priority"], ["priority", "urgency"], "CORE"),
         (days, "lifecycle", "days", ["claim_date", "first_ship", "last_ship"], ["days_from_first", "days_between"], "CORE"),

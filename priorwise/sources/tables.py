@@ -93,6 +93,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As :func:`written`, in as many buckets of ``key`` as there are shuffle partitions.
+
+    Groups and joins on the key that read it, however many, need no exchange.
+    The bucketed table has a name of its own in the session's catalog; its files
+    lie in the shared folder.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(n, key).sortWithinPartitions(key)
+    dealt.write.bucketBy(n, key).sortBy(key).option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy", mode: str = "errorifexists") -> DataFrame:
     """Write and return one row of metadata: row_count, column_count."""
     if compression not in CODECS:
