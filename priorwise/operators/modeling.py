@@ -13,6 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from priorwise.functions.exprs import logit
+from priorwise.sources.tables import written
 
 from .metrics import ranking_metrics
 
@@ -76,11 +77,10 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
 def oof_scores(df: DataFrame, folds: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], y: str = "y", kind: str = "logistic") -> DataFrame:
     """key, y, fold_id, p: each fold's validation rows scored by a fit on its train rows.
 
-    Every step of every fold reads df and folds again, so both are persisted
-    (memory, then disk) and stay so, as the result reads them too; lost blocks
-    are made again.
+    Every step of every fold reads df and folds again, so both are written
+    first; nothing stays in the executors' memory.
     """
-    df, folds = df.persist(), folds.persist()
+    df, folds = written(df, "oof-rows"), written(folds, "oof-folds")
     parts = []
     for (fold,) in folds.select("fold_id").distinct().orderBy("fold_id").collect():  # a handful of folds
         of = folds.filter(F.col("fold_id") == fold)

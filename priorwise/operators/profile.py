@@ -324,12 +324,24 @@ def leakage_diagnostics(df: DataFrame, target: str, numeric: Sequence[str], cate
     return association_table(df, target, numeric, categorical).join(missingness_by_target(df, target, [*numeric, *categorical]), "field")
 
 
+def text_marks(df: DataFrame, keys: Sequence[str], text: str, words: Sequence[str], normalize: Callable[[Column], Column] = normalize_space) -> DataFrame:
+    """keys, t (digest of the normalised text) and w (it holds one of the words), for texts that are not blank."""
+    norm = df.select(*keys, normalize(F.col(text)).alias("t")).filter("t <> ''")
+    return norm.select(*keys, digest(F.col("t")).alias("t"), reduce(lambda a, b: a | b, [F.contains(F.col("t"), F.lit(w)) for w in words]).alias("w"))
+
+
 def text_audit(df: DataFrame, text: str, target: str, words: Sequence[str], leak_at: float = 0.8, normalize: Callable[[Column], Column] = normalize_space) -> DataFrame:
-    """One row: normalised distinct texts, repeats, outcome-word rate per class, pure and mixed groups, and a leak flag."""
-    norm = normalize(F.col(text))
-    marked = df.select(F.col(target).alias("y"), norm.alias("t")).filter("t <> ''").withColumn("w", reduce(lambda a, b: a | b, [F.contains(F.col("t"), F.lit(w)) for w in words]))
-    # what is shuffled of a text is its digest, however long it is
-    g = marked.groupBy(digest(F.col("t")).alias("t")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.max("w").alias("w"))
+    """One row: normalised distinct texts, repeats, outcome-word rate per class, pure and mixed groups, and a leak flag.
+
+    Where the target stands in another table, joining it to :func:`text_marks`
+    and going on with :func:`audit_marks` moves no text at all.
+    """
+    return audit_marks(text_marks(df, [target], text, words, normalize), target, leak_at)
+
+
+def audit_marks(marks: DataFrame, target: str, leak_at: float = 0.8) -> DataFrame:
+    """As :func:`text_audit`, of marks with their target."""
+    g = marks.withColumnRenamed(target, "y").groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") == 0).alias("q"), F.max("w").alias("w"))
     n, p, q, w = (F.col(c) for c in "npqw")
     dup = n > 1
     out = g.agg(

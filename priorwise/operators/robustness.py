@@ -325,7 +325,8 @@ def bootstrap_metrics(scored: DataFrame, replicates: int, threshold: float, grou
     and no task holds the draws of a whole group; runs agree.
     """
     gid = F.to_json(F.struct(*groups)) if groups else F.lit("{}")
-    h = score_histogram(scored.withColumn("gid", gid), ["gid"])
+    # distinct scores and their counts, of which all that follows is made
+    h = written(score_histogram(scored.withColumn("gid", gid), ["gid"]), "scores")
     above = Window.partitionBy("gid").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
     cells = h.groupBy("gid", "cell").agg(F.sum("pos").alias("cp"), F.sum("neg").alias("cn"))
     cells = cells.withColumn("part", F.floor(F.coalesce(F.sum(F.col("cp") + F.col("cn")).over(above), F.lit(0)) / RANGE_ROWS))

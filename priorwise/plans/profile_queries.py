@@ -263,8 +263,9 @@ SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_texts, CAST(coalesce
 count(*) FILTER (n > 1 AND (p = 0 OR q = 0)) AS pure_groups, count(*) FILTER (n > 1 AND p > 0 AND q > 0) AS mixed_groups, round(sum(greatest(p, q)) FILTER (n > 1) / CAST(sum(p + q) FILTER (n > 1) AS DOUBLE), 6) AS template_purity,
 coalesce(abs(sum(CASE WHEN w THEN p ELSE 0 END) / CAST(sum(p) AS DOUBLE) - sum(CASE WHEN w THEN q ELSE 0 END) / CAST(sum(q) AS DOUBLE)) >= 0.8, FALSE) AS leaks FROM g""")
 def c33(spark: SparkSession, d: str) -> DataFrame:
-    """Every labelled document."""
-    return rounded(P.text_audit(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id"), "text", "quality", ["the", "$$$"], normalize=T.fold_space))
+    """Every labelled document; what is joined and grouped of a text is its digest."""
+    marks = P.text_marks(table(spark, d, "documents"), ["doc_id"], "text", ["the", "$$$"], T.fold_space)
+    return rounded(P.audit_marks(marks.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id"), "quality"))
 
 
 @query("c34_findings_rollup", f"""{ctes(ANCHORS, LINES)} SELECT CASE WHEN dup > 0 THEN 'BLOCKED' WHEN late > 0 THEN 'READY WITH WARNINGS' ELSE 'READY' END AS status, CAST(dup > 0 AS INTEGER) + CAST(late > 0 AS INTEGER) AS findings FROM

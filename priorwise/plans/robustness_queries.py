@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from priorwise.operators import metrics as M, modeling as G, robustness as R
+from priorwise.sources.tables import written
 
 from .bindings import ANCHORS, anchors, ctes
 from .feature_queries import PRIOR_SPEC, TELE_SPEC, rounded
@@ -169,7 +170,7 @@ def i12_ci(spark: SparkSession, d: str) -> DataFrame:
 
 @query("i13_slice_bootstrap")
 def i13(spark: SparkSession, d: str) -> DataFrame:
-    x = R.bootstrap_slices(slices(spark, d), parts(spark, d)[1].select("claim_key", "y", "p"), "claim_key")
+    x = R.bootstrap_slices(written(slices(spark, d), "slices"), parts(spark, d)[1].select("claim_key", "y", "p"), "claim_key")
     return rounded(R.bootstrap_ci(R.bootstrap_metrics(x, 1000, 0.4, ["slice"]), 1000, ["slice"]))
 
 

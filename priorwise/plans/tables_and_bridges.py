@@ -53,6 +53,39 @@ def a08(spark: SparkSession, d: str) -> DataFrame:
     return S.read_verified(spark, path, G.content_fingerprint(orders))
 
 
+@query("a08_publish_versioned", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders", dates=["o_orderdate"])
+def a08_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders published as a version with a manifest, and the newest version read."""
+    root = f"{S.shared_folder(spark)}/orders-{uuid.uuid4().hex}"
+    S.publish_versioned(S.scan_explicit(spark, f"{d}/orders.parquet", CONTRACT["orders"]), root, "o_orderkey")
+    return S.read_version(spark, root)
+
+
+@query("a04_chunks", "SELECT (rn - 1) // 1000 AS chunk, count(*) AS rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(sum(o_custkey) AS BIGINT) AS customers FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1")
+def a04(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of a thousand orders, in the order of their key."""
+    rows = S.chunks(table(spark, d, "orders"), "o_orderkey", ["o_orderkey", "o_custkey"], 1000)
+    return rows.groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.sum("o_custkey").alias("customers"))
+
+
+#: Field mappings: table and column of a field, and the join columns on the way to it.
+MAPPINGS = [
+    ("orders", "o_orderstatus", []), ("orders", "o_orderpriority", []), ("customer", "c_mktsegment", ["orders.o_custkey", "customer.c_custkey"]),
+    ("nation", "n_name", ["orders.o_custkey", "customer.c_custkey", "customer.c_nationkey", "nation.n_nationkey"]), ("labels", "quality", []),
+]
+
+
+@query("a05_planned_scan", "SELECT o_orderstatus, o_orderpriority, c_mktsegment, n_name, count(*) AS claims FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3, 4")
+def a05(spark: SparkSession, d: str) -> DataFrame:
+    """Each table is scanned for the columns that the plan finds its fields and joins need."""
+    mappings = spark.createDataFrame(MAPPINGS, "source_table string, source_column string, join_columns array<string>")
+    # a row a table
+    needed = {r["table_name"]: r["columns"] for r in S.plan_columns(mappings, ["labels"]).collect()}
+    t = {name: S.scan_explicit(spark, f"{d}/{name}.parquet", columns) for name, columns in needed.items()}
+    wide = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "left").join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return wide.groupBy("o_orderstatus", "o_orderpriority", "c_mktsegment", "n_name").agg(F.count(F.lit(1)).alias("claims"))
+
+
 @query("a06_scan_labels_semi", f"{ctes(ANCHORS)} SELECT claim_key, target FROM anchors WHERE entity_key IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def a06(spark: SparkSession, d: str) -> DataFrame:
     a = anchors(spark, d)
@@ -160,6 +193,14 @@ def b09(spark: SparkSession, d: str) -> DataFrame:
     return B.bridge_strict_before(anchors(spark, d), lines(spark, d), CLAIM, EVENT, {"event_key": "event_key", "event_date": "history__date", "qty": "history__qty"})
 
 
+@query("b09_bridge_dealt", f"""{ctes(ANCHORS, LINES)} SELECT claim_key AS current_claim_key, event_key, event_date AS history__date, qty AS history__qty FROM anchors JOIN lines USING (entity_key) WHERE event_date < claim_date""", dates=["history__date"])
+def b09_dealt(spark: SparkSession, d: str) -> DataFrame:
+    """The same bridge with the claims of entities that make over 500 pairs dealt in blocks."""
+    a, e = anchors(spark, d), S.written(lines(spark, d), "lines")
+    heavy = S.written(B.heavy_entities(a, e, "entity_key", "entity_key", 500), "heavy")
+    return B.bridge_strict_before(a, e, CLAIM, EVENT, {"event_key": "event_key", "event_date": "history__date", "qty": "history__qty"}, heavy=heavy).drop(B.BLOCK)
+
+
 @query("b10_bridge_exclude_current", f"""{ctes(ANCHORS, LINES)} SELECT claim_key AS current_claim_key, event_key, event_date AS service__date FROM anchors JOIN lines USING (entity_key) WHERE event_date < claim_date AND order_key IS DISTINCT FROM claim_key""", dates=["service__date"])
 def b10(spark: SparkSession, d: str) -> DataFrame:
     a = anchors(spark, d).withColumn("own", F.col("claim_key"))

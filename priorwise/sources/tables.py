@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import math
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from priorwise.operators.groups import content_fingerprint
@@ -25,6 +28,27 @@ def scan_jdbc(spark: SparkSession, url: str, table: str, columns: Sequence[str],
     return reader.load().select(*columns)
 
 
+def scan_jdbc_balanced(spark: SparkSession, url: str, table: str, columns: Sequence[str], key: str, partitions: int, low: int, high: int, fetch: int = 10_000, **options: str) -> DataFrame:
+    """As :func:`scan_jdbc`, but each task reads about as many rows, however the key is skewed.
+
+    The key alone is read first, in even ranges from ``low`` to ``high``; its
+    exact quantiles bound the ranges of the second read.  Rows of one key stay
+    together, rows without a key go with the first range.
+    """
+    from priorwise.operators.quantiles import exact_quantiles
+
+    keys = scan_jdbc(spark, url, table, [key], key, low, high, partitions, fetch, **options)
+    found = exact_quantiles(keys, key, [k / partitions for k in range(1, partitions)]).first() if partitions > 1 else None
+    # one number a partition
+    bounds = sorted({math.ceil(x) for x in found["q"]}) if found else []
+    if not bounds:
+        return scan_jdbc(spark, url, table, columns, key, low, high, 1, fetch, **options)
+    quoted = '"' + key.replace('"', '""') + '"'
+    inner = [f"{quoted} >= {a} AND {quoted} < {b}" for a, b in zip(bounds, bounds[1:])]  # noqa: B905
+    predicates = [f"{quoted} < {bounds[0]} OR {quoted} IS NULL", *inner, f"{quoted} >= {bounds[-1]}"]
+    return spark.read.jdbc(url, table, predicates=predicates, properties={**options, "fetchsize": str(fetch)}).select(*columns)
+
+
 def scan_all_tables(spark: SparkSession, root: str, contract: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
     """Every contract table, lazily, with its contract columns."""
     return {name: scan_explicit(spark, f"{root}/{name}.parquet", columns) for name, columns in contract.items()}
@@ -36,16 +60,28 @@ def exact_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def iter_chunks(df: DataFrame, columns: Sequence[str], rows: int) -> Iterator[list]:
-    """Batches of the named columns, one input partition in memory at a time."""
-    batch: list = []
-    for row in df.select(*columns).toLocalIterator():
-        batch.append(row)
-        if len(batch) == rows:
-            yield batch
-            batch = []
-    if batch:
-        yield batch
+def chunks(df: DataFrame, key: str, columns: Sequence[str], rows: int) -> DataFrame:
+    """The named columns and chunk: its number when rows in the order of a unique key go ``rows`` to a chunk."""
+    from priorwise.operators.metrics import global_place
+
+    placed = global_place(df.select(*dict.fromkeys([key, *columns])), [F.col(key)], F.lit(0))
+    return placed.select(*columns, F.floor(F.col("place") / rows).cast("long").alias("chunk"))
+
+
+def deliver_chunks(df: DataFrame, key: str, columns: Sequence[str], rows: int, sink: Callable[[int, pa.Table], None]) -> DataFrame:
+    """chunk, rows: ``sink`` is given each chunk's number and Arrow table by the task that holds it.
+
+    Rows go from executor to sink; the driver sees none.  A task that is tried
+    again delivers the same chunks under the same numbers, so a sink that
+    replaces what it has under a number holds every row once.
+    """
+
+    def work(table: pa.Table) -> pa.Table:
+        number = table.column("chunk")[0].as_py()
+        sink(number, table.drop_columns(["chunk"]))
+        return pa.table({"chunk": [number], "rows": [table.num_rows]})
+
+    return chunks(df, key, columns, rows).groupBy("chunk").applyInArrow(work, "chunk long, rows long")
 
 
 def plan_columns(mappings: DataFrame, excluded: Sequence[str] = ()) -> DataFrame:
@@ -142,6 +178,78 @@ def publish_staged(df: DataFrame, path: str, key: str, compression: str = "snapp
     return spark.read.parquet(path)
 
 
+def _manifests(spark: SparkSession, root: str) -> list[tuple[int, dict]]:
+    """Number and content of every whole manifest, in order; what a killed writer left half written is passed over."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/manifests")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    out = []
+    for status in fs.listStatus(folder):
+        text = spark.read.text(str(status.getPath().toString()), wholetext=True).first()
+        try:
+            out.append((int(status.getPath().getName()), json.loads(text[0] if text else "")))
+        except ValueError:
+            continue
+    return sorted(out, key=lambda x: x[0])
+
+
+def _digests(df: DataFrame) -> dict[str, str]:
+    return {k: str(v) for k, v in content_fingerprint(df).first().asDict().items()}
+
+
+def publish_versioned(df: DataFrame, root: str, key: str, compression: str = "snappy") -> int:
+    """Publish as the next version of the table at ``root``; returns its number.
+
+    Files are written to a folder of their own and checked; then a manifest
+    that names the folder, its files, row count and digests is created, only if
+    no other has its number.  Readers go by manifests, so nothing is renamed,
+    which object stores do not do at once: before the manifest stands readers
+    see the version before, afterwards the new one.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = root.rstrip("/")
+    data = f"{root}/versions/{uuid.uuid4().hex}"
+    df.write.option("compression", compression).parquet(data)
+    back = spark.read.parquet(data)
+    if back.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).limit(1).count():
+        raise ValueError(f"{key} is null or repeats")
+    folder = jvm.org.apache.hadoop.fs.Path(data)
+    fs = folder.getFileSystem(conf)
+    files = sorted((x.getPath().getName(), x.getLen()) for x in fs.listStatus(folder) if x.getPath().getName().endswith(".parquet"))
+    number = max([n for n, _ in _manifests(spark, root)], default=0) + 1
+    manifest = json.dumps({"data": data, "files": files, "rows": back.count(), "digests": _digests(back)})
+    while True:
+        target = jvm.org.apache.hadoop.fs.Path(f"{root}/manifests/{number:012d}")
+        if not fs.exists(target):
+            out = fs.create(target, False)  # refused if another writer came first
+            out.write(bytearray(manifest.encode()))
+            out.close()
+            return number
+        number += 1
+
+
+def read_version(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """The newest version (or that of a number) whose manifest and files are whole; digests are checked."""
+    jvm = spark.sparkContext._jvm
+    found = [m for n, m in _manifests(spark, root.rstrip("/")) if number is None or n == number]
+    if not found:
+        raise FileNotFoundError(root)
+    manifest = found[-1]
+    folder = jvm.org.apache.hadoop.fs.Path(manifest["data"])
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = {x.getPath().getName(): x.getLen() for x in fs.listStatus(folder)}
+    if any(there.get(name) != size for name, size in manifest["files"]):
+        raise ValueError(f"files of {manifest['data']} are not as recorded")
+    df = spark.read.parquet(*[f"{manifest['data']}/{name}" for name, _ in manifest["files"]])
+    if _digests(df) != manifest["digests"]:
+        raise ValueError(f"content of {manifest['data']} is not as recorded")
+    return df
+
+
 def read_verified(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
     """The table at ``path`` if its content fingerprint is that of ``expected`` (one row)."""
     found = spark.read.parquet(path)

@@ -1,6 +1,7 @@
 """Hand-worked cases for the operators whose rules matter most."""
 
 import datetime as dt
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -123,7 +124,6 @@ def test_publish_refuses_bad_keys_and_overwrites(spark, tmp_path):
         tables.read_verified(spark, path, content_fingerprint(df.limit(1)))
     meta = tables.write_parquet(df, f"file://{tmp_path}/z", "zstd").first()
     assert (meta.row_count, meta.column_count) == (2, 1)
-    assert [len(b) for b in tables.iter_chunks(df.union(df), ["k"], 3)] == [3, 1]
     need = tables.plan_columns(spark.createDataFrame([("a", "x", ["a.k", "b.k"]), ("c", "y", [])], "source_table string, source_column string, join_columns array<string>"), ["c"])
     assert {r.table_name: r.columns for r in need.collect()} == {"a": ["k", "x"], "b": ["k"]}
 
@@ -163,3 +163,127 @@ def test_membership_takes_types_of_one_bridge_together(spark):
     assert sorted((r.k, r.group_type, r.split) for r in members.collect()) == [(1, "fingerprint", "TRAIN"), (1, "nation", "TRAIN"), (1, "p", "TRAIN"), (1, "s", "TRAIN"), (2, "fingerprint", "TEST"), (2, "p", "TEST")]
     seen = {(r.k, r.group_type): (r.first_split, r.seen_in_development) for r in G.group_exposure(members).collect()}
     assert seen[2, "p"] == ("TRAIN", True) and seen[2, "fingerprint"] == ("TEST", False)
+
+
+def test_chunks_go_to_their_sink_on_the_executors(spark, tmp_path):
+    df = spark.createDataFrame([(k, f"v{k}") for k in range(25)], "k long, v string").repartition(5)
+    folder = str(tmp_path)
+
+    def sink(number, table):
+        import pyarrow.parquet as pq
+
+        pq.write_table(table, f"{folder}/{number}.parquet")
+
+    got = tables.deliver_chunks(df, "k", ["k", "v"], 10, sink).collect()
+    assert sorted((r.chunk, r.rows) for r in got) == [(0, 10), (1, 10), (2, 5)]
+    assert sorted(r.k for r in spark.read.parquet(f"file://{folder}/1.parquet").collect()) == list(range(10, 20))
+
+
+def test_a_database_with_a_skewed_key_is_read_in_even_parts(spark):
+    url = "jdbc:derby:memory:skewed;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    keys = [*range(900), *[10**6 + 7 * k for k in range(100)], None, None]
+    spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "K long, V long").coalesce(1).write.jdbc(url, "T", mode="overwrite", properties=driver)
+    df = tables.scan_jdbc_balanced(spark, url, "T", ["K", "V"], "K", 5, 0, 2 * 10**6, **driver)
+    assert sorted(r.V for r in df.collect()) == list(range(len(keys)))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 5 and max(sizes) <= 2 * len(keys) / 5
+    even = tables.scan_jdbc(spark, url, "T", ["K", "V"], "K", 0, 2 * 10**6, 5, **driver)
+    assert sorted(r.V for r in even.collect()) == list(range(len(keys)))
+    assert max(r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()) >= 900
+
+
+def test_versions_stand_until_the_next_manifest_does(spark, tmp_path):
+    root = f"file://{tmp_path}/t"
+    with pytest.raises(FileNotFoundError):
+        tables.read_version(spark, root)
+    one, two = spark.range(5), spark.range(9)
+    assert tables.publish_versioned(one, root, "id") == 1
+    # a writer killed after its files and in the middle of its manifest
+    two.write.parquet(f"{root}/versions/lost")
+    (tmp_path / "t" / "manifests" / "000000000002").write_text('{"data": "')
+    assert tables.read_version(spark, root).count() == 5
+    assert tables.publish_versioned(two, root, "id") == 3
+    assert (tables.read_version(spark, root).count(), tables.read_version(spark, root, 1).count()) == (9, 5)
+    with pytest.raises(ValueError):
+        tables.publish_versioned(one.union(one), root, "id")
+    assert tables.read_version(spark, root).count() == 9
+    Path(tables.read_version(spark, root, 3).inputFiles()[0].removeprefix("file:")).unlink()
+    assert tables.read_version(spark, root, 1).count() == 5
+    with pytest.raises(ValueError):
+        tables.read_version(spark, root)
+
+
+def test_places_of_a_constant_score_are_spread(spark):
+    rows = spark.range(4000).selectExpr("(id * 7919) % 4000 AS k", "0.5D AS p", "CASE WHEN id % 5 = 0 THEN NULL ELSE 'g' END AS g")
+    got = M.global_place(rows, [F.desc("p"), F.col("k")], F.lit(1), ["g"]).collect()
+    for g in ("g", None):
+        own = sorted((r.k, r.place, r.total) for r in got if r.g == g)
+        assert [r[1] for r in own] == list(range(len(own))) and {r[2] for r in own} == {len(own)}
+    placed = M.global_place(rows, [F.desc("p"), F.col("k")], F.lit(1))
+    files = [r["count"] for r in spark.read.parquet(*placed.inputFiles()).groupBy("__part").count().collect()]
+    assert len(files) == 4 and max(files) <= 2 * 4000 / 4
+
+
+def test_a_heavy_entity_is_dealt_in_blocks(spark):
+    start = D(2020, 1, 1)
+    anchors = [(k, 1, start + dt.timedelta(days=k)) for k in range(300)] + [(1000 + k, 2 + k, start + dt.timedelta(days=400)) for k in range(5)] + [(2000, None, start)]
+    c = spark.createDataFrame(anchors, "k long, e long, d date")
+    ev = spark.createDataFrame([(k, 1, start + dt.timedelta(days=k % 290)) for k in range(400)] + [(9000 + k, 2 + k % 3, start) for k in range(9)] + [(9999, None, start)], "id long, e long, t date")
+    heavy = B.heavy_entities(c, ev, "e", "e", 10_000)
+    assert [(r["__heavy"], r["__blocks"]) for r in heavy.collect()] == [(1, 12)]
+    plain = B.bridge_strict_before(c, ev, CLAIM, ("e", "t"), {"id": "id", "e": "e"}, {"d": "day"})
+    dealt = B.bridge_strict_before(c, ev, CLAIM, ("e", "t"), {"id": "id", "e": "e"}, {"d": "day"}, heavy)
+    pick = lambda df: sorted(map(tuple, df.select("current_claim_key", "day", "id", "e").collect()))
+    assert pick(plain) == pick(dealt)
+    sizes = [r["count"] for r in dealt.filter("e = 1").groupBy(B.BLOCK).count().collect()]
+    assert len(sizes) == 12 and max(sizes) <= 3 * sorted(sizes)[6]
+
+
+def test_rows_and_texts_are_equal_by_digest(spark):
+    rows = [("a", 0.0, None), ("a", -0.0, None), ("a", 0.0, ""), ("a\x1f", 1.0, "b"), ("a", 1.0, "\x1fb"), ("a\x1f", 1.0, "b"), (None, None, None), (None, None, None)]
+    r = P.duplicate_rows(spark.createDataFrame(rows, "x string, v double, y string"), "t").first()
+    assert (r.duplicate_records, r.distinct_duplicates, r.max_repeats) == (6, 3, 2)
+    texts = [("The  end", 1), ("the end", 0), ("other", 1), (" ", 1), (None, 0)]
+    r = P.text_audit(spark.createDataFrame(texts, "t string, y int"), "t", "y", ["end"]).first()
+    assert (r.rows, r.distinct_texts, r.duplicated_rows, r.mixed_groups, r.word_rate_1, r.word_rate_0) == (3, 2, 2, 1, 0.5, 1.0)
+
+
+def test_windows_merge_states_of_the_whole_spec(spark):
+    """Every measure of the monthly table at full width against plain Python, window by window."""
+    rng = np.random.default_rng(8)
+    names = [*E.ADDITIVE, *E.CONTINUOUS, "total_odometer_miles"]
+    anchors = {1: D(2026, 3, 31), 2: D(2024, 2, 29), 3: D(2026, 7, 15)}
+    rows = []
+    for a, day in anchors.items():
+        for i in range(60):
+            when = day - dt.timedelta(days=int(rng.integers(1, 1100)))
+            rows.append((a, day, 100 * a + i, when, *[None if rng.random() < 0.15 else float(1e7 + rng.integers(0, 3)) if n == "mileage_month" else float(np.round(rng.normal(50, 9), 3)) for n in names]))
+    b = spark.createDataFrame(rows, "current_claim_key long, anchor_date date, month_key long, event_date date, " + ", ".join(f"{n} double" for n in names))
+    spec = E.telemetry_spec()
+    assert len(spec) == len({f.name for f in spec}) > 270
+    got = {r.current_claim_key: r.asDict() for r in E.build_family(b, spec).collect()}
+
+    def back(day, months):
+        y, m = divmod(day.year * 12 + day.month - 1 - months, 12)
+        for last in (day.day, 30, 29, 28):
+            try:
+                return D(y, m + 1, last)
+            except ValueError:
+                continue
+
+    for a, day in anchors.items():
+        own = sorted((r for r in rows if r[0] == a), key=lambda r: (r[3], r[2]))
+        for w, months in E.WINDOWS.items():
+            some = [r for r in own if months is None or r[3] >= back(day, months)]
+            assert got[a][f"telemetry_months_observed_{w}"] == len({(r[3].year, r[3].month) for r in some})
+            for i, n in enumerate(names):
+                v = np.array([r[4 + i] for r in some if r[4 + i] is not None])
+                for agg, value in (("sum", v.sum), ("mean", v.mean), ("min", v.min), ("max", v.max), ("std", v.std)):
+                    if f"telemetry_{n}_{agg}_{w}" in got[a]:
+                        want = value() if len(v) > (agg == "std") else None
+                        assert got[a][f"telemetry_{n}_{agg}_{w}"] == (want if want is None else pytest.approx(want, rel=1e-9, abs=1e-9)), (n, agg, w)
+                if f"telemetry_{n}_change_{w}" in got[a]:
+                    first, last = (some[0][4 + i], some[-1][4 + i]) if some else (None, None)
+                    assert got[a][f"telemetry_{n}_change_{w}"] == (None if len(v) < 2 or first is None or last is None else pytest.approx(last - first))
+        assert all(got[a][f"telemetry_{n}_latest"] == own[-1][4 + i] for i, n in enumerate(names))
