@@ -56,15 +56,12 @@ def _spans(text: Column, kind: int, pattern: str) -> Column:
         return F.aggregate(group["pieces"], start, step, lambda acc: acc["out"])
 
     # Appending copies what stands, so spans are gathered in groups of an even
-    # number of pieces, each with the place at which it begins.
+    # number of pieces; where each group begins is summed up from numbers alone.
     groups = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / _GROUP).cast("int") - 1), lambda g: F.slice(pieces, g * _GROUP + 1, F.lit(_GROUP)))
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,pieces:array<string>>>").alias("out"))
-
-    def begin(acc: Column, group: Column) -> Column:
-        length = F.aggregate(group, F.lit(0), lambda n, piece: n + F.length(piece))
-        return F.struct((acc["at"] + length).alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("at"), group.alias("pieces")))).alias("out"))
-
-    found = F.flatten(F.transform(F.aggregate(groups, begun, begin, lambda acc: acc["out"]), spans_of))
+    lengths = F.transform(groups, lambda group: F.aggregate(group, F.lit(0), lambda n, piece: n + F.length(piece)))
+    begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    begins = F.aggregate(lengths, begun, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+    found = F.flatten(F.transform(F.zip_with(begins, groups, lambda at, group: F.struct(at.alias("at"), group.alias("pieces"))), spans_of))
     return F.when(F.size(pieces) > 1, found).otherwise(F.array().cast(_SPANS))
 
 
