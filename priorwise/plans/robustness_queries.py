@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from priorwise.operators import metrics as M, modeling as G, robustness as R
+from priorwise.operators import calibration as C, metrics as M, modeling as G, robustness as R
 from priorwise.sources.tables import written
 
 from .bindings import ANCHORS, anchors, ctes
@@ -301,7 +301,7 @@ def g09(spark: SparkSession, d: str) -> DataFrame:
 def g11(spark: SparkSession, d: str) -> DataFrame:
     """Isotonic calibration fitted on train, and its metrics on the rest."""
     a, b = parts(spark, d)
-    return rounded(M.ranking_metrics(G.calibrate_isotonic(b, G.fit_isotonic(a))), 4)
+    return rounded(M.ranking_metrics(C.apply_pieces(b, C.isotonic_pieces(a))), 4)
 
 
 @query("g10_apply_sigmoid", f"{_P} SELECT claim_key, round(1 / (1 + exp(-(1.5 * ln(p / (1 - p)) - 0.25))), 6) AS p FROM other")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from priorwise.operators import bridges as B, features as E, groups as G, keys as K, metrics as M, profile as P, splits as S, textfeatures as T
+from priorwise.operators import bridges as B, calibration as C, features as E, groups as G, keys as K, metrics as M, profile as P, splits as S, textfeatures as T
 from priorwise.operators.quantiles import exact_quantiles
 from priorwise.sources import tables
 
@@ -287,3 +287,25 @@ def test_windows_merge_states_of_the_whole_spec(spark):
                     first, last = (some[0][4 + i], some[-1][4 + i]) if some else (None, None)
                     assert got[a][f"telemetry_{n}_change_{w}"] == (None if len(v) < 2 or first is None or last is None else pytest.approx(last - first))
         assert all(got[a][f"telemetry_{n}_latest"] == own[-1][4 + i] for i, n in enumerate(names))
+
+
+@pytest.mark.parametrize("block", [16, 100_000])
+def test_isotonic_blocks_equal_pooling(spark, block):
+    rng = np.random.default_rng(4)
+    p = np.round(rng.random(1500), 3)
+    y = (rng.random(1500) < np.where(p < 0.5, p * p, 0.2 + 0.6 * p)).astype(int)
+    xs, at, n = np.unique(p, return_inverse=True, return_counts=True)
+    pooled = []
+    for x, mean, w in zip(xs, np.bincount(at, y) / n, n):
+        pooled.append([mean, w, [x]])
+        while len(pooled) > 1 and pooled[-2][0] >= pooled[-1][0]:
+            v, m, c = pooled.pop()
+            u = pooled[-1]
+            pooled[-1] = [(u[0] * u[1] + v * m) / (u[1] + m), u[1] + m, u[2] + c]
+    ys = np.concatenate([np.full(len(c), v) for v, _, c in pooled])
+    train = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, p)] + [(1, None)], "y int, p double")
+    pieces = C.isotonic_pieces(train, block=block)
+    q = [0.0, 1.0, *rng.random(300).tolist(), *xs[:50].tolist()]
+    got = {r.k: r.p for r in C.apply_pieces(spark.createDataFrame([(k, v) for k, v in enumerate(q)] + [(-1, None)], "k int, p double"), pieces).collect()}
+    assert got.pop(-1) is None and len(got) == len(q)
+    assert [got[k] for k in range(len(q))] == pytest.approx(np.interp(q, xs, ys).tolist(), abs=1e-12)
