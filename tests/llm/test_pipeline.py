@@ -1,11 +1,16 @@
 """The pipeline against the brute-force composition of its stages."""
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from pyspark.sql import functions as F
+import duckdb
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from priorwise.llm import packing, quality_gam
+from priorwise.llm import quality_gam
+from priorwise.llm.queries import ORACLES
 from priorwise.llm.scratch import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -49,10 +54,35 @@ def test_stages_compose(spark):
                 x, y = sorted((find(a), find(b)))
                 parent[y] = x
     assert sorted(r.doc_id for r in near.collect()) == sorted(d for d, s in rows if find(d) == d)
-    assert set(r.doc_id for r in mixed.collect()) <= set(r.doc_id for r in near.collect())
-    again = packing.pack_documents(mixed)
-    total = lambda df: Counter({r.doc_id: r.n for r in df.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()})
-    assert total(packed) == total(again)
+    # mixing: the plan's SQL over the rows that came in says how often each document is taken
+    con = duckdb.connect()
+    incoming = near.toPandas()
+    con.register("documents", incoming)
+    taken = con.execute(f"SELECT doc_id, CASE WHEN size > 0 THEN taken // size END FROM ({ORACLES['op4_mixing']})").fetchall()
+    mixed_rows = mixed.collect()
+    copies = Counter(r.doc_id for r in mixed_rows)
+    assert len(taken) == len(incoming) and all(n is None or copies[d] == n for d, n in taken)
+    assert set(copies) <= set(incoming["doc_id"])
+
+    # packing: every id of every copy lies in one piece, as the vocabulary's own library encodes it
+    encoder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r.doc_id: r.text or "" for r in mixed_rows}
+    ids = {d: np.array([*encoder.encode(t, add_special_tokens=False).ids, 1], "<u4") for d, t in texts.items()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in packed.collect():
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for d, own in pieces.items():
+        covered = Counter(i for start, n in own for i in range(start, start + n))
+        assert set(covered) == set(range(len(ids[d]))) and set(covered.values()) == {copies[d]}
+    assert set(pieces) == set(copies)
+    for own in sequences.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= 2048
 
 
 def test_run_is_the_last_stage(spark):
