@@ -344,6 +344,22 @@ def e_catalog(spark: SparkSession, d: str) -> DataFrame:
     return catalog.drop("sources").join(feature_quality(m, numeric), "feature", "left")
 
 
+_NUMERIC_MAINT = [f for f in MAINT_SPEC if not f.name.endswith(("kind_latest", "kind_dominant"))]
+_LISTED = ", ".join(f"('{f.name}', '{f.tier}', '{f.window}', '{f.aggregation}')" for f in _NUMERIC_MAINT)
+
+
+@query("e35_c36_maintenance_quality", f"""{ctes(ANCHORS, LINES, MAINT)}, m AS (SELECT current_claim_key, {', '.join(_MAINT_COLS)} FROM maint GROUP BY 1),
+long AS ({' UNION ALL '.join(f"SELECT '{f.name}' AS feature, CAST({f.name} AS DOUBLE) AS v FROM m" for f in _NUMERIC_MAINT)}),
+q AS (SELECT feature, count(*) AS rows, count(*) - count(v) AS nulls, count(DISTINCT v) AS distinct_values, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean FROM long GROUP BY 1)
+SELECT q.*, tier, feature_window, aggregation, distinct_values = 0 AS all_null, distinct_values = 1 AS constant, distinct_values > 1000 AS high_cardinality FROM q JOIN (VALUES {_LISTED}) c(feature, tier, feature_window, aggregation) USING (feature)""")
+def e_quality(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog of the maintenance family with the quality of each numeric feature."""
+    family = rounded(E.build_family(maint(History(spark, d)), MAINT_SPEC, near=NEAR))
+    quality = feature_quality(family, [f.name for f in _NUMERIC_MAINT]).drop("std", "ratio_out_of_range")
+    catalog = E.feature_catalog(spark, MAINT_SPEC).select("feature", "tier", F.col("window").alias("feature_window"), "aggregation")
+    return quality.withColumn("mean", F.round("mean", 6)).join(catalog, "feature")
+
+
 @query("e36_source_coverage", f"""{ctes(ANCHORS, LINES)} SELECT 'maintenance' AS family, s AS source_field, CASE WHEN s IN ('event_key', 'event_date') THEN 'USED' ELSE 'DEFERRED' END AS status, n AS filled_rows
 FROM (SELECT 'event_key' AS s, count(event_key) AS n FROM lines UNION ALL SELECT 'event_date', count(event_date) FROM lines UNION ALL SELECT 'supp_key', count(supp_key) FROM lines UNION ALL SELECT 'returned', count(returned) FROM lines)""")
 def e_sources(spark: SparkSession, d: str) -> DataFrame:
