@@ -17,7 +17,8 @@ occurrences then occurs at least k times in the other, short lists.
     are dropped without looking at a text again.
 4.  For a pair that is left, the L long lists of one text are probed by binary
     search in the other's set, on top of the occurrences counted, until T is
-    reached or out of reach.
+    reached or out of reach.  The pairs of a node that stands in very many are
+    dealt out by their other node, its set copied once a share.
 5.  A list of more than 17 members is not turned into all its pairs: members
     meet the most central one and their neighbour by size.  Lists of thousands
     are dealt out in blocks, which share some members, so that all meet the
@@ -60,6 +61,8 @@ _BLOCKED = 9
 _ENVOYS = 16
 #: Members on either side of a cell of pairs.
 _CELL = 512
+#: Pairs of one node that a task verifies, at least, and the most nodes whose pairs are dealt out.
+_SHARE, _SHARES = 256, 1024
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -262,13 +265,25 @@ def _wanted() -> Column:
     return 1 + F.floor(F.ceil(PART * F.least("size_a", "size_b") / WHOLE) / 16)
 
 
+def heavy_nodes(ends: DataFrame) -> DataFrame:
+    """node, shares: the nodes of very many pairs, and over how many tasks their pairs are dealt.
+
+    ``ends`` has node and n, its pairs.  A share is ``_SHARE`` pairs, or one in
+    ``_SHARES`` of all ends where that is more; so at most ``_SHARES`` nodes are
+    heavy, few enough to broadcast whatever the input.
+    """
+    share = max(_SHARE, -(-(ends.agg(F.sum("n")).first()[0] or 0) // _SHARES))
+    return ends.filter(F.col("n") > share).select("node", F.ceil(F.col("n") / share).cast("int").alias("shares"))
+
+
 def _verify(docs: DataFrame, slim: DataFrame, pairs: DataFrame, levels: ListLevels, text_col: str, id_col: str) -> DataFrame:
     """u, v: the node pairs whose sets are similar enough; a written table.
 
     ``pairs`` has a, b, n, unknown and k; where nothing is unknown, n counts all
     occurrences in the pair's short lists, and only the T - k long ones are probed.
     """
-    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidates")
+    wanted = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n")), "candidates")
+    heavy = materialize(heavy_nodes(wanted), "heavy-nodes")
     ids = materialize(slim.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "candidate-ids")
     holds = value_filter(ids, "doc_id")
 
@@ -289,13 +304,22 @@ def _verify(docs: DataFrame, slim: DataFrame, pairs: DataFrame, levels: ListLeve
             ]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    have = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(sets, "node long, shingles binary")
-    have = have.join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    left = have.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = have.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    links = pairs.join(left, "a").join(right, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), "x", "y", "n", "unknown", "k").mapInArrow(probe, "u long, v long")
+    def copies(nodes: DataFrame) -> DataFrame:
+        share = F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1)).alias("share")
+        return nodes.join(F.broadcast(heavy), "node", "left").select(*nodes.columns, share)
+
+    have = copies(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(sets, "node long, shingles binary"))
+    # the joins below find the sets partitioned as they need them
+    have = have.join(copies(wanted.select("node")), ["node", "share"], "left_semi").dropDuplicates(["node", "share"])
+    left = have.select(F.col("node").alias("a"), F.col("share").alias("share_a"), F.col("shingles").alias("x"))
+    right = have.select(F.col("node").alias("b"), F.col("share").alias("share_b"), F.col("shingles").alias("y"))
+    dealt = pairs
+    for end, other in (("a", "b"), ("b", "a")):
+        of = F.broadcast(heavy.select(F.col("node").alias(end), F.col("shares")))
+        dealt = dealt.join(of, end, "left").withColumn(f"share_{end}", F.pmod(F.xxhash64(other), F.coalesce("shares", F.lit(1))).cast("int")).drop("shares")
+    links = dealt.join(left, ["a", "share_a"]).join(right, ["b", "share_b"]).select(F.col("a").alias("u"), F.col("b").alias("v"), "x", "y", "n", "unknown", "k").mapInArrow(probe, "u long, v long")
     links = materialize(links, "links")
-    release(wanted, ids)
+    release(wanted, ids, heavy)
     return links
 
 

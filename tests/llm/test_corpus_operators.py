@@ -352,6 +352,38 @@ def test_ngram_join_verifies_pairs_in_proportion_to_texts(spark, monkeypatch):
         assert sum(counted.values()) < 12 * n
 
 
+def test_pairs_of_a_heavy_node_are_dealt_out(spark, monkeypatch):
+    """A node in more pairs than a share gets shares of at most about that size; links stay the same."""
+    monkeypatch.setattr(ngram_join, "_SHARE", 8)
+    ends = spark.createDataFrame([(1, 100), (2, 8), (3, 9), (4, 1)], "node long, n long")
+    assert {(r.node, r.shares) for r in ngram_join.heavy_nodes(ends).collect()} == {(1, 13), (3, 2)}
+    monkeypatch.setattr(ngram_join, "_SHARES", 4)
+    assert {(r.node, r.shares) for r in ngram_join.heavy_nodes(ends).collect()} == {(1, 4)}
+    monkeypatch.setattr(ngram_join, "_SHARES", 1024)
+    assert ngram_join.heavy_nodes(ends.limit(0)).count() == 0
+    heaviest = []
+    write = ngram_join.materialize
+
+    def watch(df, name):
+        out = write(df, name)
+        if name == "heavy-nodes":
+            heaviest.append(out.agg({"shares": "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", watch)
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for d in range(150):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"u{rng.randrange(10**6)}"
+        rows.append((d, " ".join(w)))
+    got = ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+    assert max(heaviest) > 1
+
+
 def test_ngram_join_with_blocked_lists(spark, monkeypatch):
     """Small limits deal out lists in blocks and cells; the links stay the same."""
     for name, value in (("_LONG", 1), ("_SHORT_LIST", 2), ("_BLOCKED", 2), ("_CELL", 4), ("_ENVOYS", 2)):
