@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from priorwise.functions.exprs import logit
 from priorwise.sources.tables import written
 
+from .fold_fits import fit_folds, fold_rows, score_folds
 from .metrics import ranking_metrics
 
 MISSING, NO_HISTORY = "__MISSING__", "__NO_HISTORY__"
@@ -58,14 +59,14 @@ def class_weights(train: DataFrame, y: str = "y") -> DataFrame:
     return n.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
 
-def fit_classifier(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y", weight: str | None = None, kind: str = "logistic", seed: int = 17) -> PipelineModel:
+def fit_classifier(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: str = "y", weight: str | None = None, kind: str = "logistic", seed: int = 17, tol: float = 1e-6) -> PipelineModel:
     """A pipeline fitted on train rows only: impute, index and encode, then a logistic or boosted-tree model."""
     steps = [Imputer(inputCols=list(numeric), outputCols=[f"{c}__i" for c in numeric], strategy="median")]
     if categorical:
         steps += [StringIndexer(inputCols=list(categorical), outputCols=[f"{c}__x" for c in categorical], handleInvalid="keep"), OneHotEncoder(inputCols=[f"{c}__x" for c in categorical], outputCols=[f"{c}__h" for c in categorical])]
     steps.append(VectorAssembler(inputCols=[*[f"{c}__i" for c in numeric], *[f"{c}__h" for c in categorical]], outputCol="features"))
     options = {"featuresCol": "features", "labelCol": y} | ({"weightCol": weight} if weight else {})
-    model = LogisticRegression(**options, regParam=0.01) if kind == "logistic" else GBTClassifier(**options, maxIter=20, maxDepth=4, seed=seed)
+    model = LogisticRegression(**options, regParam=0.01, tol=tol) if kind == "logistic" else GBTClassifier(**options, maxIter=20, maxDepth=4, seed=seed)
     return Pipeline(stages=[*steps, model]).fit(train)
 
 
@@ -77,9 +78,16 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame
 def oof_scores(df: DataFrame, folds: DataFrame, key: str, numeric: Sequence[str], categorical: Sequence[str], y: str = "y", kind: str = "logistic") -> DataFrame:
     """key, y, fold_id, p: each fold's validation rows scored by a fit on its train rows.
 
-    Every step of every fold reads df and folds again, so both are written
+    Logistic models of all folds are fitted together, one pass a step
+    (:mod:`fold_fits`); trees, and designs too wide for that, one fold at a time.
+    Every step of every fold reads df and folds again then, so both are written
     first; nothing stays in the executors' memory.
     """
+    if kind == "logistic":
+        rows, ids = fold_rows(df, folds, key, numeric, categorical, y)
+        fits = fit_folds(rows, ids, numeric, categorical)
+        if fits:
+            return score_folds(rows, fits, key, y)
     df, folds = written(df, "oof-rows"), written(folds, "oof-folds")
     parts = []
     for (fold,) in folds.select("fold_id").distinct().orderBy("fold_id").collect():  # a handful of folds
