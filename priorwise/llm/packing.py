@@ -92,7 +92,7 @@ def pack_documents(
     the closing id alone.  A document that exceeds ``length`` tokens or
     ``max_loss`` loss-bearing ones fills sequences of its own, each as long as
     both limits allow, and its rest is placed as an example.  ``max_loss`` is
-    127/128 of ``length`` unless given.
+    127/128 of ``length`` unless given; a limit below 1 is refused.
 
     Returns one row a piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset, and ids (little-endian unsigned 32-bit) when
@@ -104,7 +104,9 @@ def pack_documents(
     longest document.
     """
     ship(docs.sparkSession)
-    limits = (length, max_segments, max_loss or length - length // 128)
+    limits = (length, max_segments, length - length // 128 if max_loss is None else max_loss)
+    if min(limits) < 1:
+        raise ValueError("every limit must be at least 1")
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
     if with_ids:
         fields.append(("ids", pa.binary()))

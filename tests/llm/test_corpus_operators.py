@@ -805,6 +805,12 @@ def test_packing_covers_every_id_once(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("limit", ["length", "max_segments", "max_loss"])
+def test_packing_refuses_limits_below_one(docs, limit):
+    with pytest.raises(ValueError):
+        packing.pack_documents(docs, **{limit: 0})
+
+
 def test_dot_product_fill_respects_all_limits():
     rng = np.random.default_rng(4)
     n = rng.integers(1, 100, 500)
