@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from priorwise.functions.exprs import UNIT_SEPARATOR, canonical
 from priorwise.operators import groups as G, splits as S
+from priorwise.operators.keys import left_many_to_one
 
-from .bindings import ANCHORS, LINES, anchors, ctes
+from .bindings import ANCHORS, LINES, anchors, ctes, lines, table
 from .registry import query
 from .tables_and_bridges import MEMBERSHIP, membership
 
@@ -85,8 +87,22 @@ EXPOSURE = """exposure AS (SELECT *, CASE min(CASE split WHEN 'TRAIN' THEN 0 WHE
 _ALL = ctes(ANCHORS, LINES, MEMBERSHIP, SPLIT, MEMBERS, EXPOSURE)
 
 
+_BY = ("entity_key", "claim_date")
+
+
+def compact(spark: SparkSession, d: str, direct: tuple[str, ...] = TYPES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The claims with their split, and the groups of claims and of entities that the membership is made of."""
+    a = assigned(spark, d)
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    snap = left_many_to_one(a, c, ["entity_key"], ["c_custkey"], {"c_nationkey": "nation", "c_mktsegment": "segment"})
+    of = {"entity": F.col("entity_key"), "nation": F.col("nation"), "segment": F.col("segment"), "fingerprint": F.concat_ws(UNIT_SEPARATOR, *[canonical(F.col(x)) for x in ("entity_key", "priority", "nation")])}
+    own, firsts = G.compact_members(snap.select("claim_key", "entity_key", "priority", "nation", "segment", "split"), {t: of[t] for t in direct}, lines(spark, d), "entity_key", "event_date", {"supplier": "supp_key", "part": "part_key"})
+    return a, own, firsts
+
+
 def members(spark: SparkSession, d: str) -> DataFrame:
-    return G.normalize_membership(membership(spark, d), assigned(spark, d), "claim_key")
+    a, own, firsts = compact(spark, d)
+    return G.expand_members(own, firsts, "claim_key", *_BY, a)
 
 
 @query("d07_normalize_membership", f"{_ALL} SELECT * FROM members")
@@ -101,7 +117,8 @@ def d07_problems(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d08_group_exposure", f"{_ALL} SELECT * FROM exposure")
 def d08(spark: SparkSession, d: str) -> DataFrame:
-    return G.group_exposure(members(spark, d))
+    a, own, firsts = compact(spark, d)
+    return G.expand_members(*G.compact_exposure(own, firsts, *_BY, a), "claim_key", *_BY, a, G.EXPOSED)
 
 
 @query("d09_group_overlap", f"""{_ALL}, g AS (SELECT group_type, group_value_hash, count(*) FILTER (split = 'TRAIN') AS t, count(*) FILTER (split = 'VALIDATION') AS v, count(*) FILTER (split = 'TEST') AS x FROM members GROUP BY 1, 2)
@@ -110,7 +127,8 @@ SELECT group_type, count(*) AS groups, count(*) FILTER (t > 0) AS train_groups,
   CAST(coalesce(sum(v) FILTER (t > 0), 0) AS BIGINT) AS validation_rows_seen, CAST(coalesce(sum(v) FILTER (t = 0), 0) AS BIGINT) AS validation_rows_unseen,
   CAST(coalesce(sum(x) FILTER (t + v > 0), 0) AS BIGINT) AS test_rows_seen, CAST(coalesce(sum(x) FILTER (t + v = 0), 0) AS BIGINT) AS test_rows_unseen FROM g GROUP BY group_type""")
 def d09(spark: SparkSession, d: str) -> DataFrame:
-    return G.group_overlap(members(spark, d))
+    a, own, firsts = compact(spark, d)
+    return G.compact_overlap(own, firsts, *_BY, a)
 
 
 @query("d10_group_availability", f"{_ALL} SELECT t AS group_type FROM (VALUES ('entity'), ('part'), ('batch'), ('station')) v(t) WHERE t NOT IN (SELECT group_type FROM members)")
@@ -145,7 +163,9 @@ def d12(spark: SparkSession, d: str) -> DataFrame:
 g AS (SELECT split, count(DISTINCT group_value_hash) AS fingerprints, count(DISTINCT group_value_hash) FILTER (seen) AS shared_fingerprints, count(DISTINCT claim_key) AS claims, count(DISTINCT claim_key) FILTER (seen) AS shared_claims FROM f GROUP BY split)
 SELECT *, round(100.0 * shared_fingerprints / fingerprints, 6) AS shared_fingerprint_pct, round(100.0 * shared_claims / claims, 6) AS shared_claim_pct FROM g""")
 def d13(spark: SparkSession, d: str) -> DataFrame:
-    return G.fingerprint_overlap(d08(spark, d), "claim_key").withColumns({c: F.round(c, 6) for c in ("shared_fingerprint_pct", "shared_claim_pct")})
+    _, own, _ = compact(spark, d, ("fingerprint",))
+    exposure = G.group_exposure(own.withColumnRenamed("value", "group_value_hash"))
+    return G.fingerprint_overlap(exposure, "claim_key").withColumns({c: F.round(c, 6) for c in ("shared_fingerprint_pct", "shared_claim_pct")})
 
 
 _FP = ", ".join(f"CAST(sum(('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT) AS BIGINT) AS sum_{i}" for i in range(4))
