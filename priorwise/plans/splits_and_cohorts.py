@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from priorwise.functions.exprs import UNIT_SEPARATOR, canonical
 from priorwise.operators import groups as G, splits as S
+from priorwise.operators.bridges import tasks_for
 from priorwise.operators.keys import left_many_to_one
+from priorwise.sources.tables import bucketed
 
 from .bindings import ANCHORS, LINES, anchors, ctes, lines, table
 from .registry import query
@@ -90,14 +92,31 @@ _ALL = ctes(ANCHORS, LINES, MEMBERSHIP, SPLIT, MEMBERS, EXPOSURE)
 _BY = ("entity_key", "claim_date")
 
 
-def compact(spark: SparkSession, d: str, direct: tuple[str, ...] = TYPES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The claims with their split, and the groups of claims and of entities that the membership is made of."""
-    a = assigned(spark, d)
+#: Direct types of which a group has claims of one entity only.
+WITHIN = ("entity", "fingerprint")
+
+
+def own_members(spark: SparkSession, d: str, direct: tuple[str, ...] = TYPES) -> tuple[DataFrame, DataFrame]:
+    """The claims with their split, and the groups that they name, both dealt by entity."""
+    x = anchors(spark, d)
+    a = S.assign_split(x.repartition(tasks_for(table(spark, d, "lineitem")), "entity_key"), S.split_boundaries(x, "claim_date"), "claim_date")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     snap = left_many_to_one(a, c, ["entity_key"], ["c_custkey"], {"c_nationkey": "nation", "c_mktsegment": "segment"})
     of = {"entity": F.col("entity_key"), "nation": F.col("nation"), "segment": F.col("segment"), "fingerprint": F.concat_ws(UNIT_SEPARATOR, *[canonical(F.col(x)) for x in ("entity_key", "priority", "nation")])}
-    own, firsts = G.compact_members(snap.select("claim_key", "entity_key", "priority", "nation", "segment", "split"), {t: of[t] for t in direct}, lines(spark, d), "entity_key", "event_date", {"supplier": "supp_key", "part": "part_key"})
-    return a, own, firsts
+    return a, G.direct_members(snap.select("claim_key", "entity_key", "priority", "nation", "segment", "split"), {t: of[t] for t in direct})
+
+
+def compact(spark: SparkSession, d: str, keep: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The claims with their split, and the groups of claims and of entities that the membership is made of.
+
+    All are dealt by entity in the same tasks; with ``keep`` the events are
+    written so, for plans that read them more than once.
+    """
+    a, own = own_members(spark, d)
+    tasks = tasks_for(table(spark, d, "lineitem"))
+    events = lines(spark, d).select("entity_key", "event_date", "supp_key", "part_key")
+    events = bucketed(events, "events", "entity_key", tasks) if keep else events.repartition(tasks, "entity_key")
+    return a, own, G.first_dates(events, "entity_key", "event_date", {"supplier": "supp_key", "part": "part_key"})
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
@@ -117,8 +136,8 @@ def d07_problems(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d08_group_exposure", f"{_ALL} SELECT * FROM exposure")
 def d08(spark: SparkSession, d: str) -> DataFrame:
-    a, own, firsts = compact(spark, d)
-    return G.expand_members(*G.compact_exposure(own, firsts, *_BY, a), "claim_key", *_BY, a, G.EXPOSED)
+    a, own, firsts = compact(spark, d, keep=True)
+    return G.expand_members(*G.compact_exposure(own, firsts, *_BY, a, WITHIN), "claim_key", *_BY, a, G.EXPOSED)
 
 
 @query("d09_group_overlap", f"""{_ALL}, g AS (SELECT group_type, group_value_hash, count(*) FILTER (split = 'TRAIN') AS t, count(*) FILTER (split = 'VALIDATION') AS v, count(*) FILTER (split = 'TEST') AS x FROM members GROUP BY 1, 2)
@@ -163,7 +182,7 @@ def d12(spark: SparkSession, d: str) -> DataFrame:
 g AS (SELECT split, count(DISTINCT group_value_hash) AS fingerprints, count(DISTINCT group_value_hash) FILTER (seen) AS shared_fingerprints, count(DISTINCT claim_key) AS claims, count(DISTINCT claim_key) FILTER (seen) AS shared_claims FROM f GROUP BY split)
 SELECT *, round(100.0 * shared_fingerprints / fingerprints, 6) AS shared_fingerprint_pct, round(100.0 * shared_claims / claims, 6) AS shared_claim_pct FROM g""")
 def d13(spark: SparkSession, d: str) -> DataFrame:
-    _, own, _ = compact(spark, d, ("fingerprint",))
+    _, own = own_members(spark, d, ("fingerprint",))
     exposure = G.group_exposure(own.withColumnRenamed("value", "group_value_hash"))
     return G.fingerprint_overlap(exposure, "claim_key").withColumns({c: F.round(c, 6) for c in ("shared_fingerprint_pct", "shared_claim_pct")})
 
