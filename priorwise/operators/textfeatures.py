@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, BooleanType, StringType, StructField, StructType
 
 from priorwise.functions.exprs import tokens
 
@@ -33,6 +35,30 @@ def fold_space(text: pd.Series) -> pd.Series:
     return text.map(lambda t: " ".join(t.split()).casefold(), na_action="ignore").astype(object).where(text.notna(), "")
 
 
+def folded_marks(df: DataFrame, keys: Sequence[str], text: str, words: Sequence[str]) -> DataFrame:
+    """As :func:`priorwise.operators.profile.text_marks` of texts folded by :func:`fold_space`.
+
+    A text is folded, searched and digested before the next one is looked at,
+    and only its digest leaves Python: a task holds an Arrow batch and one text,
+    not the batch again as objects, folded, and as the batch that is sent back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, digests, found = [], [], []
+            for i, value in enumerate(batch.column(len(keys))):
+                t = " ".join((value.as_py() or "").split()).casefold()
+                if t:
+                    kept.append(i)
+                    digests.append(hashlib.sha256(t.encode()).digest())
+                    found.append(any(w in t for w in words))
+            out = [c.take(pa.array(kept, pa.int64())) for c in batch.columns[: len(keys)]]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(digests, pa.binary()), pa.array(found, pa.bool_())], names=[*keys, "t", "w"])
+
+    schema = StructType([*[df.schema[k] for k in keys], StructField("t", BinaryType()), StructField("w", BooleanType())])
+    return df.select(*keys, text).mapInArrow(run, schema)
+
+
 def historical_documents(bridge: DataFrame, key: str, text: str, windows: Mapping[str, int | None] = TEXT_WINDOWS) -> DataFrame:
     """Per anchor and window the earlier texts by (date, key), joined; repeats stay, none is null.
 

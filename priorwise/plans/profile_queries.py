@@ -264,7 +264,7 @@ count(*) FILTER (n > 1 AND (p = 0 OR q = 0)) AS pure_groups, count(*) FILTER (n
 coalesce(abs(sum(CASE WHEN w THEN p ELSE 0 END) / CAST(sum(p) AS DOUBLE) - sum(CASE WHEN w THEN q ELSE 0 END) / CAST(sum(q) AS DOUBLE)) >= 0.8, FALSE) AS leaks FROM g""")
 def c33(spark: SparkSession, d: str) -> DataFrame:
     """Every labelled document; what is joined and grouped of a text is its digest."""
-    marks = P.text_marks(table(spark, d, "documents"), ["doc_id"], "text", ["the", "$$$"], T.fold_space)
+    marks = T.folded_marks(table(spark, d, "documents"), ["doc_id"], "text", ["the", "$$$"])
     return rounded(P.audit_marks(marks.join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id"), "quality"))
 
 
