@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from priorwise.functions.exprs import UNIT_SEPARATOR, canonical
 from priorwise.operators import groups as G, splits as S
 from priorwise.operators.bridges import tasks_for
 from priorwise.operators.keys import left_many_to_one
-from priorwise.sources.tables import bucketed
+from priorwise.sources.tables import bucketed, written
 
 from .bindings import ANCHORS, LINES, anchors, ctes, lines, table
 from .registry import query
@@ -96,27 +96,46 @@ _BY = ("entity_key", "claim_date")
 WITHIN = ("entity", "fingerprint")
 
 
+def direct_of(types: tuple[str, ...] = TYPES) -> dict[str, Column]:
+    of = {"entity": F.col("entity_key"), "nation": F.col("nation"), "segment": F.col("segment"), "fingerprint": F.concat_ws(UNIT_SEPARATOR, *[canonical(F.col(x)) for x in ("entity_key", "priority", "nation")])}
+    return {t: of[t] for t in types}
+
+
+def _with_customer(spark: SparkSession, d: str, claims: DataFrame) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    snap = left_many_to_one(claims, c, ["entity_key"], ["c_custkey"], {"c_nationkey": "nation", "c_mktsegment": "segment"})
+    return snap.select("claim_key", "entity_key", "claim_date", "priority", "nation", "segment", "split")
+
+
 def own_members(spark: SparkSession, d: str, direct: tuple[str, ...] = TYPES) -> tuple[DataFrame, DataFrame]:
     """The claims with their split, and the groups that they name, both dealt by entity."""
     x = anchors(spark, d)
     a = S.assign_split(x.repartition(tasks_for(table(spark, d, "lineitem")), "entity_key"), S.split_boundaries(x, "claim_date"), "claim_date")
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    snap = left_many_to_one(a, c, ["entity_key"], ["c_custkey"], {"c_nationkey": "nation", "c_mktsegment": "segment"})
-    of = {"entity": F.col("entity_key"), "nation": F.col("nation"), "segment": F.col("segment"), "fingerprint": F.concat_ws(UNIT_SEPARATOR, *[canonical(F.col(x)) for x in ("entity_key", "priority", "nation")])}
-    return a, G.direct_members(snap.select("claim_key", "entity_key", "priority", "nation", "segment", "split"), {t: of[t] for t in direct})
+    return a, G.direct_members(_with_customer(spark, d, a), direct_of(direct))
 
 
-def compact(spark: SparkSession, d: str, keep: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The claims with their split, and the groups of claims and of entities that the membership is made of.
+_HISTORICAL = {"supplier": "supp_key", "part": "part_key"}
 
-    All are dealt by entity in the same tasks; with ``keep`` the events are
-    written so, for plans that read them more than once.
-    """
+
+def compact(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The claims with their split, and the groups of claims and of entities that the membership is made of, dealt by entity in the same tasks."""
     a, own = own_members(spark, d)
+    events = lines(spark, d).select("entity_key", "event_date", "supp_key", "part_key").repartition(tasks_for(table(spark, d, "lineitem")), "entity_key")
+    return a, own, G.first_dates(events, "entity_key", "event_date", _HISTORICAL)
+
+
+def kept(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The claims with what their groups are made of, and the groups of entities, for plans that read them more than once.
+
+    Both are written in buckets of the entity, so nothing that reads them is
+    exchanged but groups.  Events are written before they are dealt as well:
+    the exchange by order is gone when the one by entity is made.
+    """
     tasks = tasks_for(table(spark, d, "lineitem"))
-    events = lines(spark, d).select("entity_key", "event_date", "supp_key", "part_key")
-    events = bucketed(events, "events", "entity_key", tasks) if keep else events.repartition(tasks, "entity_key")
-    return a, own, G.first_dates(events, "entity_key", "event_date", {"supplier": "supp_key", "part": "part_key"})
+    of_order = written(lines(spark, d).select("entity_key", "event_date", "supp_key", "part_key"), "events-by-order")
+    events = bucketed(of_order, "events", "entity_key", tasks)
+    claims = bucketed(_with_customer(spark, d, assigned(spark, d)), "claims", "entity_key", tasks)
+    return claims, G.first_dates(events, "entity_key", "event_date", _HISTORICAL)
 
 
 def members(spark: SparkSession, d: str) -> DataFrame:
@@ -136,8 +155,9 @@ def d07_problems(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d08_group_exposure", f"{_ALL} SELECT * FROM exposure")
 def d08(spark: SparkSession, d: str) -> DataFrame:
-    a, own, firsts = compact(spark, d, keep=True)
-    return G.expand_members(*G.compact_exposure(own, firsts, *_BY, a, WITHIN), "claim_key", *_BY, a, G.EXPOSED)
+    claims, firsts = kept(spark, d)
+    own = G.direct_members(claims, direct_of())
+    return G.expand_members(*G.compact_exposure(own, firsts, *_BY, claims, WITHIN), "claim_key", *_BY, claims, G.EXPOSED)
 
 
 @query("d09_group_overlap", f"""{_ALL}, g AS (SELECT group_type, group_value_hash, count(*) FILTER (split = 'TRAIN') AS t, count(*) FILTER (split = 'VALIDATION') AS v, count(*) FILTER (split = 'TEST') AS x FROM members GROUP BY 1, 2)
@@ -146,8 +166,8 @@ SELECT group_type, count(*) AS groups, count(*) FILTER (t > 0) AS train_groups,
   CAST(coalesce(sum(v) FILTER (t > 0), 0) AS BIGINT) AS validation_rows_seen, CAST(coalesce(sum(v) FILTER (t = 0), 0) AS BIGINT) AS validation_rows_unseen,
   CAST(coalesce(sum(x) FILTER (t + v > 0), 0) AS BIGINT) AS test_rows_seen, CAST(coalesce(sum(x) FILTER (t + v = 0), 0) AS BIGINT) AS test_rows_unseen FROM g GROUP BY group_type""")
 def d09(spark: SparkSession, d: str) -> DataFrame:
-    a, own, firsts = compact(spark, d)
-    return G.compact_overlap(own, firsts, *_BY, a)
+    claims, firsts = kept(spark, d)
+    return G.compact_overlap(G.direct_members(claims, direct_of()), firsts, *_BY, claims, WITHIN)
 
 
 @query("d10_group_availability", f"{_ALL} SELECT t AS group_type FROM (VALUES ('entity'), ('part'), ('batch'), ('station')) v(t) WHERE t NOT IN (SELECT group_type FROM members)")
@@ -162,7 +182,8 @@ _COHORTS = "c AS (SELECT claim_key, split, " + ", ".join(f"coalesce(bool_or(NOT
 
 
 def cohorts(spark: SparkSession, d: str) -> DataFrame:
-    return G.evaluation_cohorts(assigned(spark, d), d08(spark, d), "claim_key", TYPES, ("supplier", "part"))
+    claims, firsts = kept(spark, d)
+    return G.compact_cohorts(claims, direct_of(), firsts, "claim_key", *_BY, tuple(_HISTORICAL), WITHIN)
 
 
 @query("d11_evaluation_cohorts", f"{_ALL}, {_COHORTS} SELECT * FROM c")
