@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .scratch import materialize, ship
-from .tokens import encoder
+from .tokens import encoder, stretches
 
 BLOCK = 64
 
@@ -30,7 +30,7 @@ def encoded_lengths(docs: DataFrame, vocabulary: str | None = None, text_col: st
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         for batch in batches:
-            sizes = [len(ids) // 4 for at in range(0, batch.num_rows, 256) for ids in enc.ids(batch.column(0)[at : at + 256].to_pylist())]
+            sizes = [len(ids) // 4 for texts in stretches(batch.column(0)) for ids in enc.ids(texts.to_pylist())]
             lengths, n = np.unique(np.array(sizes, np.int64), return_counts=True)
             yield pa.record_batch([pa.array(lengths), pa.array(n.astype(np.int64))], names=["length", "n_docs"])
 

@@ -27,9 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .scratch import ship
-from .tokens import encoder
+from .tokens import encoder, stretches
 
 END_ID = 1
+#: More loss than any room, for sizes of which no example is left.
+_NEVER = 1 << 62
 
 
 def dot_product_fill(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) -> list[np.ndarray]:
@@ -47,29 +49,39 @@ def dot_product_fill(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, in
     order = np.argsort(kind_of.ravel(), kind="stable")
     nexts = np.searchsorted(kind_of.ravel()[order], np.arange(len(kinds) + 1))
     at, ends = nexts[:-1].copy(), nexts[1:]
-    scale = np.array([limits[0], limits[1], limits[2]], float)
     # kinds stand in ascending order of tokens; live ones are kept compact
-    live = np.arange(len(kinds))
+    live, size, bears = np.arange(len(kinds)), kinds[:, 0].copy(), kinds[:, 1].copy()
+    most_loss = np.maximum.accumulate(bears)
+    gone = 0
     out: list[np.ndarray] = []
     left = len(tokens)
     while left:
-        room = np.array(limits, float)
+        room = list(map(float, limits))
         placed: list[int] = []
         while room[1] >= 1:
-            fits = kinds[live[: np.searchsorted(kinds[live, 0], room[0], "right")]]
-            if not len(fits):
-                break
-            score = fits[:, 0] * (room[0] / scale[0] ** 2) + fits[:, 1] * (room[2] / scale[2] ** 2)
-            score[fits[:, 1] > room[2]] = -1.0
-            best = len(score) - 1 - int(np.argmax(score[::-1]))
-            if score[best] < 0:
+            by_size, by_loss = room[0] / limits[0] ** 2, room[2] / limits[2] ** 2
+            to, step, best, top = int(size.searchsorted(room[0], "right")), 32, -1, -1.0
+            # from the largest down, until what is left cannot exceed the best
+            while to and size[to - 1] * by_size + most_loss[to - 1] * by_loss > top:
+                at_least = max(0, to - step)
+                score = size[at_least:to] * by_size + bears[at_least:to] * by_loss
+                score[bears[at_least:to] > room[2]] = -1.0
+                k = len(score) - 1 - int(score[::-1].argmax())
+                if score[k] > top:
+                    best, top = at_least + k, score[k]
+                to, step = at_least, step * 2
+            if best < 0:
                 break
             k = live[best]
             placed.append(int(order[at[k]]))
             at[k] += 1
+            room[0], room[1], room[2] = room[0] - size[best], room[1] - 1, room[2] - kinds[k, 1]
             if at[k] == ends[k]:
-                live = np.delete(live, best)
-            room -= (kinds[k, 0], 1, kinds[k, 1])
+                bears[best], gone = _NEVER, gone + 1
+                if gone == 64:
+                    keep = bears < _NEVER
+                    live, size, bears, gone = live[keep], size[keep], bears[keep], 0
+                    most_loss = np.maximum.accumulate(bears)
         out.append(np.array(placed))
         left -= len(placed)
     return out
@@ -155,12 +167,14 @@ def pack_documents(
             held = 0
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(doc_ids), 256):
+            at = 0
+            for texts in stretches(batch.column(1)):
+                doc_ids = batch.column(0).slice(at, len(texts)).to_pylist()
+                at += len(texts)
                 # a line break is white space, so the ids of both parts are those of the whole
-                parts = [(t or "").partition("\n") for t in texts[at : at + 256].to_pylist()]
-                lines, others = enc.ids([p[0] for p in parts]), enc.ids([p[2] for p in parts])
-                for doc, line, other in zip(doc_ids[at : at + 256], lines, others, strict=True):
+                parts = [(t or "").partition("\n") for t in texts.to_pylist()]
+                ids_of = enc.ids([p[k] for k in (0, 2) for p in parts])
+                for doc, line, other in zip(doc_ids, ids_of[: len(parts)], ids_of[len(parts) :], strict=True):
                     ids = line + other + close
                     total, start = len(ids) // 4, 0
                     prompt = max(1, len(line) // 4) if other else 1
@@ -170,8 +184,8 @@ def pack_documents(
                     if start < total:
                         rest.append((doc, start, ids[4 * start :], total, prompt))
                     held += total
-                if held >= block_tokens:
-                    yield from close_block()
+                    if held >= block_tokens:
+                        yield from close_block()
         yield from close_block()
 
     kinds = {pa.int64(): "long", pa.binary(): "binary"}

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -882,6 +883,55 @@ def test_encoder_equals_tokenizer():
         assert np.frombuffer(got, "<u4").tolist() == enc.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_merges_plain_words_without_the_tokenizer(monkeypatch):
+    """Words of Latin letters are merged together; none is sent to the tokenizer alone, and none is kept."""
+    enc = tokens.WordEncoder(tokens.default_path())
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()
+    texts += ["it's 'll' ''s '\xe9 'st'ves rock'n'roll 12\xb2 a\xa0b\x85c x<y|z \xaa\xb5\xdf\u0178", "x" * 48, " \n ", None]
+    want = [encode(t) for t in texts]
+    monkeypatch.setattr(enc, "tokenizer", None)
+    monkeypatch.setattr(tokens, "CALL_BYTES", 20_000)
+    assert [np.frombuffer(i, "<u4").tolist() for i in enc.ids(texts)] == want
+    assert not enc.words
+
+
+@pytest.mark.parametrize("together", [3, 1 << 14])
+def test_encoder_merges_in_blocks_and_long_pieces(monkeypatch, together):
+    monkeypatch.setattr(tokens, "_TOGETHER", together)
+    enc, rng = tokens.WordEncoder(tokens.default_path()), random.Random(11)
+    texts = ["".join(rng.choice("aaabn\xe9t'") for _ in range(rng.randint(1, 120))) for _ in range(200)] + ["a" * n for n in range(45, 52)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in enc.ids(texts)] == [encode(t) for t in texts]
+
+
+def test_fill_of_many_sizes_scans_few(monkeypatch):
+    """Choices among 3,000 distinct sizes are those of a scan of all, and look at a small part of them."""
+    rng = np.random.default_rng(12)
+    n = rng.permutation(np.arange(1, 2033).repeat(2))[:3000]
+    loss = np.maximum(n - rng.integers(1, 30, len(n)), 0)
+    seen = []
+
+    class Watched(np.ndarray):
+        def argmax(self, *a, **b):
+            seen.append(len(self))
+            return np.asarray(self).argmax(*a, **b)
+
+    unique = np.unique
+    monkeypatch.setattr(packing.np, "unique", lambda *a, **b: (lambda k, at: (k.view(Watched), at))(*unique(*a, **b)))
+    got = packing.dot_product_fill(n, loss, (2048, 256, 2032))
+    monkeypatch.undo()
+    assert sorted(np.concatenate(got).tolist()) == list(range(len(n)))
+    assert 0 < sum(seen) < 0.2 * len(n) ** 2
+    left = np.ones(len(n), bool)
+    for members in got:
+        room = [2048.0, 256.0, 2032.0]
+        for m in members:
+            score = np.where(left & (n <= room[0]) & (loss <= room[2]), n * (room[0] / 2048**2) + loss * (room[2] / 2032**2), -1.0)
+            assert score[m] == score.max()
+            left[m] = False
+            room = [room[0] - n[m], room[1] - 1, room[2] - loss[m]]
+        assert not (left & (n <= room[0]) & (loss <= room[2])).any()
+
+
 def test_encoder_refuses_other_vocabularies():
     import public_tokenizers
 
