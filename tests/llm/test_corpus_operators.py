@@ -895,6 +895,24 @@ def test_encoder_merges_plain_words_without_the_tokenizer(monkeypatch):
     assert not enc.words
 
 
+def test_encoder_keeps_nothing_of_the_texts():
+    """A worker that has packed many distinct words holds no more than one that has packed few."""
+    import tracemalloc
+
+    enc, rng = tokens.WordEncoder(tokens.default_path()), random.Random(13)
+    enc.ids(["the first call"])
+    words = ["".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(60_000)]
+    texts = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+    del words
+    tracemalloc.start()
+    ids = enc.ids(texts)
+    assert sum(map(len, ids)) > 4 * 60_000
+    del ids
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
 @pytest.mark.parametrize("together", [3, 1 << 14])
 def test_encoder_merges_in_blocks_and_long_pieces(monkeypatch, together):
     monkeypatch.setattr(tokens, "_TOGETHER", together)
