@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from priorwise.functions.exprs import fingerprint, normalize_space, profile_std
 
+from .column_values import column_values
 from .quantiles import exact_quantiles
 
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
@@ -393,15 +394,15 @@ def contract_conformance(df: DataFrame, name: str, contract: Mapping[str, Mappin
     return reduce(DataFrame.unionByName, parts)
 
 
-def feature_quality(df: DataFrame, columns: Sequence[str], high: int = 1000, unit_ratios: Sequence[str] = ()) -> DataFrame:
-    """Per feature: nulls, distinct values, range, mean, deviation (ddof 0), and flags."""
-    g = unpivot(df, columns).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    v, n, has = F.col("value"), F.col("n"), F.col("value").isNotNull()
-    filled = F.sum(F.when(has, n))
-    mean = F.sum(v * n) / filled
-    out = g.groupBy(F.col("field").alias("feature")).agg(F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(~has, n)), F.lit(0)).alias("nulls"), F.count_if(has).alias("distinct_values"), F.min(v).alias("min"), F.max(v).alias("max"), mean.alias("mean"), F.sqrt(F.greatest(F.sum(v * v * n) / filled - mean * mean, F.lit(0.0))).alias("std"))
+def feature_quality(df: DataFrame, columns: Sequence[str], high: int = 1000, unit_ratios: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+    """Per feature: nulls, distinct values, range, mean, deviation (ddof 0), and flags.  rows: about as many as there are, counted if not known."""
+    return quality_flags(column_values([(df, columns)], df.count() if rows is None else rows), high, unit_ratios)
+
+
+def quality_flags(told: DataFrame, high: int = 1000, unit_ratios: Sequence[str] = ()) -> DataFrame:
+    """Adds the flags of :func:`feature_quality` to what :func:`column_values` gives."""
     bad = F.col("feature").isin(*unit_ratios) & ((F.col("min") < 0) | (F.col("max") > 1)) if unit_ratios else F.lit(False)
-    return out.withColumns({"all_null": F.col("distinct_values") == 0, "constant": F.col("distinct_values") == 1, "high_cardinality": F.col("distinct_values") > high, "ratio_out_of_range": F.coalesce(bad, F.lit(False))})
+    return told.withColumns({"all_null": F.col("distinct_values") == 0, "constant": F.col("distinct_values") == 1, "high_cardinality": F.col("distinct_values") > high, "ratio_out_of_range": F.coalesce(bad, F.lit(False))})
 
 
 def policy_coverage(columns: DataFrame, policy: DataFrame) -> DataFrame:
